@@ -32,6 +32,10 @@ BOUNDED_COLUMNS = {
 }
 
 
+# a window partition over at most this many distinct values is cheap for one task
+SINGLE_WINDOW_MAX_DISTINCT = 2_000_000
+
+
 def is_bounded(df: DataFrame, col: str) -> bool:
     if col in BOUNDED_COLUMNS:
         return True
@@ -57,9 +61,15 @@ def cumulative(freq: DataFrame, value: str, by=(), bounded: bool = True,
         out = (freq.withColumn("cum_before", F.coalesce(F.sum("n").over(w.rowsBetween(*before)), F.lit(0)))
                .withColumn("total", F.sum("n").over(Window.partitionBy(*by))))
     else:
-        edges = (freq.agg(F.percentile_approx(F.col(value).cast("double"),
-                                              [i / buckets for i in range(1, buckets)], 10 * buckets)
-                          .alias("e")).first()["e"]) or []
+        # one small job: approx distinct count + order-preserving bucket edges
+        # (a bounded summary).  Few distinct values -> single window per group.
+        st = freq.agg(F.approx_count_distinct(value).alias("d"),
+                      F.percentile_approx(F.col(value).cast("double"),
+                                          [i / buckets for i in range(1, buckets)], 10 * buckets)
+                      .alias("e")).first()
+        if (st["d"] or 0) <= SINGLE_WINDOW_MAX_DISTINCT:
+            return cumulative(freq, value, by, True)
+        edges = st["e"] or []
         splits = [float("-inf")] + sorted(set(e for e in edges if e is not None)) + [float("inf")]
         fb = Bucketizer(splits=splits, inputCol="_v", outputCol="_bucket", handleInvalid="keep") \
             .transform(freq.withColumn("_v", F.col(value).cast("double"))).drop("_v")

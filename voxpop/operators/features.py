@@ -15,11 +15,11 @@ from voxpop.schema import BANDS, FEATURE_SETS
 
 
 def version_filter(df: DataFrame, version: str = "v1") -> DataFrame:
-    """F1: V1 keeps every row; V2 drops ``nps_score = 0``."""
+    """F1: V1 keeps every row; V2 keeps ``nps_score > 0`` (drops the zeros)."""
     if version == "v1":
         return df
     if version == "v2":
-        return df.filter(F.col("nps_score") != 0)
+        return df.filter(F.col("nps_score") > 0)
     raise ValueError(version)
 
 

@@ -1 +1,292 @@
 """Statistics report queries (ST*)."""
+
+from __future__ import annotations
+
+import itertools
+
+from pyspark.sql import functions as F
+
+from voxpop.operators import stats as ST
+from voxpop.plans.catalog import register
+from voxpop.plans.q_summary import lg, svc
+from voxpop.plans.sqlparts import LOGISTICS_CTE, SERVICE_CTE, safe_corr_sql, with_base
+from voxpop.schema import CORR_DEMO, CORR_FULL, CORR_LOGISTICS, NPS_CLASSES, SPEARMAN_VARS
+from voxpop.sources.tables import load_base
+
+D2 = "CAST(2 AS DOUBLE)"
+
+
+def _pearson_sql(variables, src="base", ctes=()):
+    body = "\nUNION ALL\n".join(f"SELECT '{v}' AS variable, {safe_corr_sql(v, 'nps_score')} AS r FROM {src}"
+                                for v in variables)
+    return with_base(*ctes, body=body)
+
+
+@register("pearson_rank", _pearson_sql(CORR_FULL), "r")
+def pearson_rank(spark, sf):
+    return ST.pearson_with(load_base(spark, sf), CORR_FULL)
+
+
+@register("pearson_demo", _pearson_sql(CORR_DEMO), "r")
+def pearson_demo(spark, sf):
+    return ST.pearson_with(load_base(spark, sf), CORR_DEMO)
+
+
+@register("pearson_logistics", _pearson_sql(CORR_LOGISTICS, "lg", [LOGISTICS_CTE]), "r")
+def pearson_logistics(spark, sf):
+    return ST.pearson_with(lg(spark, sf), CORR_LOGISTICS)
+
+
+_MATRIX = ["nps_score"] + CORR_FULL
+_mx = []
+for _a, _b in itertools.permutations(_MATRIX, 2):
+    _mx.append(f"SELECT '{_a}' AS x, '{_b}' AS y, {safe_corr_sql(_a, _b)} AS r FROM base")
+for _a in _MATRIX:
+    _mx.append(f"SELECT '{_a}' AS x, '{_a}' AS y, CASE WHEN stddev_pop({_a}) > 0 THEN CAST(1 AS DOUBLE) END AS r FROM base")
+
+
+@register("pearson_matrix", with_base(body="\nUNION ALL\n".join(_mx)), "r")
+def pearson_matrix(spark, sf):
+    return ST.pearson_matrix(load_base(spark, sf), _MATRIX)
+
+
+_P_UNION = "\nUNION ALL\n".join(f"SELECT '{v}' AS variable, {safe_corr_sql(v, 'nps_score')} AS r FROM base"
+                                for v in CORR_FULL)
+register("pearson_top3", with_base(f"pr AS ({_P_UNION})", body="""
+(SELECT variable, r, 'positivo' AS lado FROM pr WHERE r IS NOT NULL ORDER BY r DESC, variable LIMIT 3)
+UNION ALL
+(SELECT variable, r, 'negativo' AS lado FROM pr WHERE r IS NOT NULL ORDER BY r ASC, variable LIMIT 3)"""), "r")(
+    lambda spark, sf: ST.top_bottom(ST.pearson_with(load_base(spark, sf), CORR_FULL), 3))
+
+
+# --- Spearman ----------------------------------------------------------------------------
+
+def _spearman_sql(v, y="nps_score"):
+    return (f"SELECT '{v}' AS variable, {safe_corr_sql('rx', 'ry')} AS rho, count(*) AS n FROM ("
+            f"SELECT rank() OVER (ORDER BY {v}) + (count(*) OVER (PARTITION BY {v}) - 1) / {D2} AS rx, "
+            f"rank() OVER (ORDER BY {y}) + (count(*) OVER (PARTITION BY {y}) - 1) / {D2} AS ry "
+            f"FROM base WHERE {v} IS NOT NULL AND {y} IS NOT NULL) t")
+
+
+@register("spearman_rank", with_base(body="SELECT *, abs(rho) AS impacto_abs FROM (\n"
+                                          + "\nUNION ALL\n".join(_spearman_sql(v) for v in SPEARMAN_VARS) + "\n) s"),
+          "rho impacto_abs")
+def spearman_rank(spark, sf):
+    return ST.spearman_table(load_base(spark, sf), SPEARMAN_VARS)
+
+
+@register("spearman_pvalues")
+def spearman_pvalues(spark, sf):
+    return ST.with_t_pvalue(ST.spearman_table(load_base(spark, sf), SPEARMAN_VARS))
+
+
+# --- Kruskal-Wallis ----------------------------------------------------------------------
+
+def _kruskal_sql(src_cte, src, g, v, pclosed):
+    return with_base(*src_cte, f"""kd AS (SELECT {g} AS g, {v} AS v FROM {src} WHERE {g} IS NOT NULL AND {v} IS NOT NULL)""",
+                     f"""kr AS (SELECT g, rank() OVER (ORDER BY v) + (count(*) OVER (PARTITION BY v) - 1) / {D2} AS rk FROM kd)""",
+                     """kg AS (SELECT g, sum(rk) AS R, count(*) AS ng FROM kr GROUP BY g)""",
+                     """kt AS (SELECT sum(CAST(t AS DOUBLE) * t * t - t) AS tt, CAST(sum(t) AS BIGINT) AS N
+                             FROM (SELECT count(*) AS t FROM kd GROUP BY v) x)""",
+                     """kh AS (SELECT (12 / (CAST(N AS DOUBLE) * (N + 1)) * sum(R * R / ng) - 3 * (CAST(N AS DOUBLE) + 1))
+                                   / nullif(1 - tt / (CAST(N AS DOUBLE) * N * N - N), 0) AS h_stat,
+                                   count(*) - 1 AS df, count(*) AS k, N AS n
+                             FROM kg, kt GROUP BY N, tt)""",
+                     body=f"""
+SELECT h_stat, df, k, n, {pclosed} AS p_value,
+       CASE WHEN {pclosed} < 0.05 THEN 'rejeitamos a hipótese nula'
+            WHEN {pclosed} IS NOT NULL THEN 'não rejeitamos a hipótese nula' END AS leitura
+FROM kh""")
+
+
+# chi-square tail in closed form for even df: df=4 (5 regions), df=2 (3 classes)
+@register("kruskal_region", _kruskal_sql([], "base", "customer_region", "nps_score",
+                                         "exp(-h_stat / 2) * (1 + h_stat / 2)"), "h_stat p_value")
+def kruskal_region(spark, sf):
+    return ST.kruskal(load_base(spark, sf), "nps_score", "customer_region")
+
+
+@register("kruskal_delay", _kruskal_sql([LOGISTICS_CTE], "lg", "classificacao_nps", "delivery_delay_days",
+                                        "exp(-h_stat / 2)"), "h_stat p_value")
+def kruskal_delay(spark, sf):
+    return ST.kruskal(lg(spark, sf), "delivery_delay_days", "classificacao_nps")
+
+
+# --- Mann-Whitney ------------------------------------------------------------------------
+_cls_dim = ", ".join(f"({i}, '{c}')" for i, c in enumerate(NPS_CLASSES))
+_MWU_SQL = with_base(
+    LOGISTICS_CTE,
+    f"""md AS (SELECT classificacao_nps AS g, CAST(delivery_delay_days AS DOUBLE) AS v FROM lg
+        WHERE classificacao_nps IN ('Detrator', 'Neutro', 'Promotor') AND delivery_delay_days IS NOT NULL)""",
+    f"""mp AS (SELECT a.g AS g1, b.g AS g2 FROM (VALUES {_cls_dim}) AS a(i, g) JOIN (VALUES {_cls_dim}) AS b(i, g) ON a.i < b.i)""",
+    """mpd AS (SELECT mp.g1, mp.g2, md.g, md.v FROM mp JOIN md ON md.g = mp.g1 OR md.g = mp.g2)""",
+    f"""mr AS (SELECT *, rank() OVER (PARTITION BY g1, g2 ORDER BY v)
+                     + (count(*) OVER (PARTITION BY g1, g2, v) - 1) / {D2} AS rk FROM mpd)""",
+    """mt AS (SELECT g1, g2, sum(CAST(t AS DOUBLE) * t * t - t) AS tt
+             FROM (SELECT g1, g2, v, count(*) AS t FROM mpd GROUP BY g1, g2, v) x GROUP BY g1, g2)""",
+    """ms AS (SELECT g1, g2, sum(rk) FILTER (WHERE g = g1) AS R1,
+                    count(*) FILTER (WHERE g = g1) AS n1, count(*) FILTER (WHERE g = g2) AS n2,
+                    avg(v) FILTER (WHERE g = g1) AS media_1, avg(v) FILTER (WHERE g = g2) AS media_2,
+                    median(v) FILTER (WHERE g = g1) AS mediana_1, median(v) FILTER (WHERE g = g2) AS mediana_2
+             FROM mr GROUP BY g1, g2)""",
+    """mu AS (SELECT ms.*, mt.tt, R1 - CAST(n1 AS DOUBLE) * (n1 + 1) / 2 AS u_stat,
+                    CAST(n1 AS DOUBLE) AS a, CAST(n2 AS DOUBLE) AS b FROM ms JOIN mt USING (g1, g2))""",
+    body="""
+SELECT g1 || ' vs ' || g2 AS comparacao, g1, g2, n1, n2, media_1, media_2, mediana_1, mediana_2,
+       mediana_1 - mediana_2 AS diferenca_mediana, u_stat,
+       (greatest(u_stat, a * b - u_stat) - a * b / 2 - 0.5)
+         / nullif(sqrt(a * b / 12 * ((a + b + 1) - tt / ((a + b) * (a + b - 1)))), 0) AS z
+FROM mu""")
+
+
+@register("mwu_delay_stats", _MWU_SQL, "media_1 media_2 mediana_1 mediana_2 diferenca_mediana u_stat z")
+def mwu_delay_stats(spark, sf):
+    return ST.mann_whitney_pairs(lg(spark, sf), "delivery_delay_days", "classificacao_nps", with_p=False)
+
+
+@register("mwu_delay")
+def mwu_delay(spark, sf):
+    return ST.mann_whitney_pairs(lg(spark, sf), "delivery_delay_days", "classificacao_nps")
+
+
+# --- trend -------------------------------------------------------------------------------
+_TREND = """SELECT regr_slope(nps_score, csat_internal_score) AS slope,
+       regr_intercept(nps_score, csat_internal_score) AS intercept,
+       regr_r2(nps_score, csat_internal_score) AS r2,
+       CAST(regr_count(nps_score, csat_internal_score) AS BIGINT) AS n,
+       CAST(min(csat_internal_score) AS DOUBLE) AS x_min, CAST(max(csat_internal_score) AS DOUBLE) AS x_max
+FROM base"""
+
+
+@register("trend_csat", with_base(body=_TREND), "slope intercept r2 x_min x_max")
+def trend_csat(spark, sf):
+    return ST.trend(load_base(spark, sf))
+
+
+@register("trend_points", with_base(f"tr AS ({_TREND})", body="""
+SELECT CAST(g.i AS INTEGER) AS i,
+       CASE WHEN g.i = 99 THEN x_max ELSE x_min + g.i * ((x_max - x_min) / 99) END AS x,
+       intercept + slope * (CASE WHEN g.i = 99 THEN x_max ELSE x_min + g.i * ((x_max - x_min) / 99) END) AS y_hat
+FROM range(100) AS g(i) CROSS JOIN tr"""), "x y_hat")
+def trend_points(spark, sf):
+    return ST.trend_points(load_base(spark, sf))
+
+
+# --- V1 / V2 comparison ------------------------------------------------------------------
+def _corr_change_rows():
+    keep = "nps_score > 0"
+    parts = []
+    for v in CORR_FULL:
+        v2 = safe_corr_sql(f"CASE WHEN {keep} THEN {v} END", f"CASE WHEN {keep} THEN nps_score END")
+        parts.append(f"SELECT '{v}' AS variable, {safe_corr_sql(v, 'nps_score')} AS v1, {v2} AS v2 FROM base")
+    return "\nUNION ALL\n".join(parts)
+
+
+_CC = with_base(f"cc AS ({_corr_change_rows()})", body="""
+SELECT variable, v1, v2, v2 - v1 AS delta, abs(v2 - v1) AS delta_abs,
+       CASE WHEN (v1 > 0 AND v2 < 0) OR (v1 < 0 AND v2 > 0) THEN 'inverteu sinal'
+            WHEN abs(v2) < abs(v1) THEN 'enfraqueceu' ELSE 'fortaleceu' END AS mudanca
+FROM cc""")
+
+
+@register("corr_change", _CC, "v1 v2 delta delta_abs")
+def corr_change(spark, sf):
+    return ST.corr_change(load_base(spark, sf), CORR_FULL)
+
+
+@register("corr_change_top6", f"SELECT * FROM ({_CC}) c ORDER BY delta_abs DESC, variable LIMIT 6",
+          "v1 v2 delta delta_abs")
+def corr_change_top6(spark, sf):
+    return ST.corr_change(load_base(spark, sf), CORR_FULL).orderBy(F.desc("delta_abs"), "variable").limit(6)
+
+
+def _vo_sql():
+    from voxpop.plans.sqlparts import class_sql
+    cls = class_sql("floor")
+    H = "CAST(100 AS DOUBLE)"
+
+    def agg(cond, tag):
+        w = f" FILTER (WHERE {cond})" if cond else ""
+        parts = [f"CAST(count(*){w} AS DOUBLE) AS linhas_{tag}", f"avg(nps_score){w} AS nps_medio_{tag}"]
+        for k in NPS_CLASSES:
+            parts.append(f"count(*) FILTER (WHERE cls = '{k}'{' AND ' + cond if cond else ''}) * {H} "
+                         f"/ count(cls){w} AS {k}_{tag}")
+        return ", ".join(parts)
+    names = [("linhas", "Linhas na base"), ("nps_medio", "NPS médio"), ("nps_oficial", "NPS oficial"),
+             ("Detrator", "% Detratores"), ("Neutro", "% Neutros"), ("Promotor", "% Promotores")]
+    rows = "\nUNION ALL\n".join(f"SELECT {i} AS ordem, '{lab}' AS metrica, {k}_v1 AS v1, {k}_v2 AS v2, "
+                                f"{k}_v2 - {k}_v1 AS delta FROM vo2" for i, (k, lab) in enumerate(names))
+    return with_base(f"vo AS (SELECT {agg(None, 'v1')}, {agg('nps_score > 0', 'v2')} FROM (SELECT *, {cls} AS cls FROM base) b)",
+                     "vo2 AS (SELECT *, Promotor_v1 - Detrator_v1 AS nps_oficial_v1, Promotor_v2 - Detrator_v2 AS nps_oficial_v2 FROM vo)",
+                     body=rows)
+
+
+@register("version_overview", _vo_sql(), "v1 v2 delta")
+def version_overview(spark, sf):
+    return ST.version_overview(load_base(spark, sf))
+
+
+# --- histogram / box / QQ / residuals ------------------------------------------------------
+@register("nps_histogram", with_base(
+    "hs AS (SELECT min(nps_score) AS lo, max(nps_score) AS hi, avg(nps_score) AS media, median(nps_score) AS mediana FROM base)",
+    """hb AS (SELECT coalesce(CAST(least(floor((nps_score - lo) / nullif((hi - lo) / 30, 0)), 29) AS INTEGER), 0) AS bin,
+                 count(*) AS n FROM base, hs WHERE nps_score IS NOT NULL GROUP BY 1)""",
+    body="""
+SELECT CAST(g.i AS INTEGER) AS bin, lo + g.i * ((hi - lo) / 30) AS inicio,
+       CASE WHEN g.i = 29 THEN hi ELSE lo + (g.i + 1) * ((hi - lo) / 30) END AS fim,
+       coalesce(hb.n, 0) AS n, media, mediana
+FROM range(30) AS g(i) CROSS JOIN hs LEFT JOIN hb ON hb.bin = g.i"""), "inicio fim media mediana")
+def nps_histogram(spark, sf):
+    return ST.histogram(load_base(spark, sf), "nps_score", 30)
+
+
+def _box_sql(v):
+    return with_base(LOGISTICS_CTE,
+                     f"bd AS (SELECT classificacao_nps AS g, CAST({v} AS DOUBLE) AS x FROM lg WHERE classificacao_nps IS NOT NULL AND {v} IS NOT NULL)",
+                     """bq AS (SELECT g, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS med, quantile_cont(x, 0.75) AS q3
+                              FROM bd GROUP BY g)""",
+                     body="""
+SELECT bd.g AS classificacao_nps, any_value(q1) AS q1, any_value(med) AS mediana, any_value(q3) AS q3,
+       min(x) FILTER (WHERE x >= q1 - 1.5 * (q3 - q1) AND x <= q3 + 1.5 * (q3 - q1)) AS whisker_baixo,
+       max(x) FILTER (WHERE x >= q1 - 1.5 * (q3 - q1) AND x <= q3 + 1.5 * (q3 - q1)) AS whisker_alto,
+       count(*) FILTER (WHERE NOT (x >= q1 - 1.5 * (q3 - q1) AND x <= q3 + 1.5 * (q3 - q1))) AS outliers,
+       count(*) AS n
+FROM bd JOIN bq ON bq.g = bd.g GROUP BY bd.g""")
+
+
+@register("box_delay", _box_sql("delivery_delay_days"), "q1 mediana q3 whisker_baixo whisker_alto")
+def box_delay(spark, sf):
+    return ST.box_table(lg(spark, sf), "delivery_delay_days")
+
+
+@register("box_order_value", _box_sql("order_value"), "q1 mediana q3 whisker_baixo whisker_alto")
+def box_order_value(spark, sf):
+    return ST.box_table(lg(spark, sf), "order_value")
+
+
+@register("qq_points")
+def qq_points(spark, sf):
+    return ST.qq_points(load_base(spark, sf), "nps_score", 1000)
+
+
+# residual diagnostics on a given prediction column (CSAT as the NPS forecast)
+@register("residual_bands", with_base(body="""
+SELECT d.band_id, d.band, avg(abs(b.nps_score - b.csat_internal_score)) AS erro_medio_abs, count(b.nps_score) AS n
+FROM (VALUES (0, '0-3'), (1, '4-6'), (2, '7-8'), (3, '9-10')) AS d(band_id, band)
+LEFT JOIN (SELECT *, CASE WHEN nps_score > 0 AND nps_score <= 3 THEN 0 WHEN nps_score > 3 AND nps_score <= 6 THEN 1
+                          WHEN nps_score > 6 AND nps_score <= 8 THEN 2 WHEN nps_score > 8 AND nps_score <= 10 THEN 3 END AS bid
+           FROM base) b ON b.bid = d.band_id
+GROUP BY d.band_id, d.band"""), "erro_medio_abs")
+def residual_bands(spark, sf):
+    return ST.residual_bands(load_base(spark, sf).withColumn("prediction", F.col("csat_internal_score")))
+
+
+@register("residual_summary", with_base(body="""
+SELECT avg(abs(nps_score - csat_internal_score)) AS mae, stddev_samp(nps_score - csat_internal_score) AS residuo_std,
+       avg(nps_score - csat_internal_score) AS residuo_medio, count(*) AS n FROM base"""),
+          "mae residuo_std residuo_medio")
+def residual_summary(spark, sf):
+    return ST.residual_summary(load_base(spark, sf).withColumn("prediction", F.col("csat_internal_score")))
+
+
+__all__ = ["svc", "SERVICE_CTE"]
