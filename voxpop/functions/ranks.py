@@ -61,15 +61,14 @@ def cumulative(freq: DataFrame, value: str, by=(), bounded: bool = True,
         out = (freq.withColumn("cum_before", F.coalesce(F.sum("n").over(w.rowsBetween(*before)), F.lit(0)))
                .withColumn("total", F.sum("n").over(Window.partitionBy(*by))))
     else:
-        # one small job: approx distinct count + order-preserving bucket edges
-        # (a bounded summary).  Few distinct values -> single window per group.
-        st = freq.agg(F.approx_count_distinct(value).alias("d"),
-                      F.percentile_approx(F.col(value).cast("double"),
-                                          [i / buckets for i in range(1, buckets)], 10 * buckets)
-                      .alias("e")).first()
-        if (st["d"] or 0) <= SINGLE_WINDOW_MAX_DISTINCT:
+        # one small job decides: few distinct values -> single window per group
+        d = freq.agg(F.approx_count_distinct(value).alias("d")).first()["d"] or 0
+        if d <= SINGLE_WINDOW_MAX_DISTINCT:
             return cumulative(freq, value, by, True)
-        edges = st["e"] or []
+        # order-preserving bucket edges (a bounded array) from approximate quantiles
+        edges = freq.agg(F.percentile_approx(F.col(value).cast("double"),
+                                             [i / buckets for i in range(1, buckets)], 10 * buckets)
+                         .alias("e")).first()["e"] or []
         splits = [float("-inf")] + sorted(set(e for e in edges if e is not None)) + [float("inf")]
         fb = Bucketizer(splits=splits, inputCol="_v", outputCol="_bucket", handleInvalid="keep") \
             .transform(freq.withColumn("_v", F.col(value).cast("double"))).drop("_v")
@@ -93,26 +92,51 @@ def ranked_values(df: DataFrame, value: str, by=(), bounded: bool | None = None,
     return cumulative(frequencies(df, value, by, weight), value, by, bounded)
 
 
+def small_domains(df: DataFrame, cols) -> dict[str, bool]:
+    """One job over the raw rows (HyperLogLog partial aggregates, no
+    shuffle of rows): is each column's distinct count small enough for an
+    exact per-group value map?"""
+    cols = [c for c in dict.fromkeys(cols)]
+    todo = [c for c in cols if not is_bounded(df, c)]
+    out = {c: True for c in cols if c not in todo}
+    if todo:
+        row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in todo]).first()
+        out.update({c: (row[c] or 0) <= SINGLE_WINDOW_MAX_DISTINCT for c in todo})
+    return out
+
+
+def _tag(p: float) -> str:
+    return f"{round(p * 100, 6):g}".replace(".", "_")
+
+
 def exact_quantiles(df: DataFrame, value: str, probs, by=(), bounded: bool | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles (pandas ``quantile`` / Spark
-    ``percentile``) computed from the distributed cumulative counts: one row
-    per group with a column ``q<pct>`` per probability."""
+    ``percentile``): one row per group with a column ``q<pct>`` per
+    probability.  Small domains use ``percentile`` (its value map is bounded
+    by the distinct count); large ones the distributed cumulative counts."""
     by = list(by)
-    r = ranked_values(df, value, by, bounded)
+    if bounded is None or not bounded:
+        bounded = small_domains(df, [value])[value]
+    if bounded:
+        x = F.col(value).cast("double")
+        q = F.percentile(x, F.array(*[F.lit(float(p)) for p in probs]))
+        agg = df.filter(F.col(value).isNotNull()).groupBy(*by).agg(q.alias("_q"))
+        return agg.select(*by, *[F.col("_q")[i].alias(f"q{_tag(p)}") for i, p in enumerate(probs)])
+    r = cumulative(frequencies(df, value, by), value, by, False)
     cols = []
     for p in probs:
         pos = F.lit(p) * (F.col("total") - 1)
         lo_i, hi_i = F.floor(pos), F.ceil(pos)
         hit_lo = (F.col("cum_before") <= lo_i) & (lo_i < F.col("cum_before") + F.col("n"))
         hit_hi = (F.col("cum_before") <= hi_i) & (hi_i < F.col("cum_before") + F.col("n"))
-        tag = f"{round(p * 100, 6):g}".replace(".", "_")
+        tag = _tag(p)
         cols += [F.max(F.when(hit_lo, F.col(value).cast("double"))).alias(f"_lo{tag}"),
                  F.max(F.when(hit_hi, F.col(value).cast("double"))).alias(f"_hi{tag}"),
                  F.max(pos - lo_i).alias(f"_fr{tag}")]
     agg = r.groupBy(*by).agg(*cols)
     outs = []
     for p in probs:
-        tag = f"{round(p * 100, 6):g}".replace(".", "_")
+        tag = _tag(p)
         lo, hi, fr = F.col(f"_lo{tag}"), F.col(f"_hi{tag}"), F.col(f"_fr{tag}")
         outs.append((lo + (hi - lo) * fr).alias(f"q{tag}"))
     return agg.select(*by, *outs)

@@ -43,9 +43,10 @@ def describe(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -
     unbounded ones (ids, money) use the distributed exact quantile from the
     rank core instead of a value map that would grow with the data.
     ``exact=False`` uses ``percentile_approx`` for all."""
-    from voxpop.functions.ranks import exact_quantiles, is_bounded
+    from voxpop.functions.ranks import exact_quantiles, small_domains
     cols = cols or _numeric_cols(df)
-    local = [c for c in cols if not exact or is_bounded(df, c)]
+    small = small_domains(df, cols) if exact else {c: True for c in cols}
+    local = [c for c in cols if small[c]]
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")

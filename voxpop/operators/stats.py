@@ -177,7 +177,7 @@ def mann_whitney_pairs(df: DataFrame, value: str, group: str, groups=tuple(NPS_C
         F.sum(F.col("n1v") * F.col("avg_rank")).alias("R1"), F.sum("n1v").alias("n1"), F.sum("n2v").alias("n2"),
         F.sum(F.col("n1v") * F.col(value)).alias("_s1"), F.sum(F.col("n2v") * F.col(value)).alias("_s2"),
         F.sum(F.pow(F.col("n").cast("double"), 3) - F.col("n")).alias("tt"))
-    med = exact_quantiles(d, value, [0.5], by=[group], bounded=is_bounded(df, value))
+    med = exact_quantiles(d, value, [0.5], by=[group])
     m1 = med.select(F.col(group).alias("g1"), F.col("q50").alias("mediana_1"))
     m2 = med.select(F.col(group).alias("g2"), F.col("q50").alias("mediana_2"))
     n1, n2 = F.col("n1").cast("double"), F.col("n2").cast("double")
@@ -233,14 +233,14 @@ def trend_points(df: DataFrame, x: str = "csat_internal_score", y: str = "nps_sc
 # --- ST8 / ST9 ------------------------------------------------------------------------
 
 def corr_change(df: DataFrame, variables, target: str = "nps_score") -> DataFrame:
-    """V1 (all rows) vs V2 (nps > 0) correlations in ONE pass with
-    conditional inputs; delta, |delta| and the change verdict."""
-    keep = F.col(target) > 0
-    aggs = []
-    for v in variables:
-        aggs.append(C.safe_corr(v, target).alias(f"{v}__v1"))
-        aggs.append(C.safe_corr(F.when(keep, F.col(v)), F.when(keep, F.col(target))).alias(f"{v}__v2"))
-    row = df.agg(*aggs)
+    """V1 (all rows) vs V2 (nps > 0) correlations; delta, |delta| and the
+    change verdict.  Each version is one centred-moment pass."""
+    cols = list(dict.fromkeys(list(variables) + [target]))
+    pairs = [(v, target) for v in variables]
+    r1 = _centred_corr(df, pairs, cols).select(*[F.col(f"{v}__{target}").alias(f"{v}__v1") for v in variables])
+    r2 = _centred_corr(df.filter(F.col(target) > 0), pairs, cols) \
+        .select(*[F.col(f"{v}__{target}").alias(f"{v}__v2") for v in variables])
+    row = r1.crossJoin(r2)
     out = _explode(row, [F.struct(F.lit(v).alias("variable"), F.col(f"{v}__v1").alias("v1"),
                                   F.col(f"{v}__v2").alias("v2")) for v in variables])
     v1, v2 = F.col("v1"), F.col("v2")
@@ -300,7 +300,7 @@ def box_table(df: DataFrame, value: str, group: str = "classificacao_nps") -> Da
     """q1/median/q3, whiskers (most extreme datum within 1.5 IQR) and outlier
     count per group; quartiles joined back, extremes by conditional min/max."""
     d = df.filter(F.col(group).isNotNull() & F.col(value).isNotNull())
-    q = exact_quantiles(d, value, [0.25, 0.5, 0.75], by=[group], bounded=is_bounded(df, value)) \
+    q = exact_quantiles(d, value, [0.25, 0.5, 0.75], by=[group]) \
         .withColumn("iqr", F.col("q75") - F.col("q25")) \
         .withColumn("_lo", F.col("q25") - 1.5 * F.col("iqr")).withColumn("_hi", F.col("q75") + 1.5 * F.col("iqr"))
     x = F.col(value).cast("double")

@@ -133,18 +133,19 @@ def six_stat_profile(df: DataFrame, cols, by: str = "classificacao_nps") -> Data
     """count/mean/median/std/min/max of each column by class, long form.
     Medians of bounded columns come from ``median``; of unbounded ones from
     the distributed exact quantile (joined on the class)."""
-    from voxpop.functions.ranks import is_bounded
+    from voxpop.functions.ranks import small_domains
     base = df.filter(F.col(by).isNotNull())
+    small = small_domains(df, cols)
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
-        if is_bounded(df, c):
+        if small[c]:
             aggs.append(F.median(x).alias(f"{c}__median"))
     wide = base.groupBy(by).agg(*aggs)
     for c in cols:
-        if not is_bounded(df, c):
+        if not small[c]:
             med = exact_quantiles(base, c, [0.5], by=[by], bounded=False).withColumnRenamed("q50", f"{c}__median")
             wide = wide.join(med, by, "left")
     structs = [F.struct(F.lit(c).alias("variable"),
@@ -201,7 +202,7 @@ def revenue_by(df: DataFrame, key: str, exact_median: bool = True) -> DataFrame:
     repurchase and shares of orders and revenue."""
     base = df.filter(F.col(key).isNotNull())
     agg = base.groupBy(key).agg(*_revenue_aggs())
-    med = exact_quantiles(base, "order_value", [0.5], by=[key], bounded=False) if exact_median else \
+    med = exact_quantiles(base, "order_value", [0.5], by=[key], bounded=None) if exact_median else \
         base.groupBy(key).agg(F.percentile_approx("order_value", 0.5, 10000).cast("double").alias("q50"))
     out = agg.join(med.withColumnRenamed("q50", "mediana_pedido"), key, "left")
     return (out.withColumn("percentual_pedidos_pct", _share("total_pedidos"))
@@ -212,7 +213,7 @@ def high_value_delayed(df: DataFrame) -> DataFrame:
     """AG13 / F4: orders at or above the 75th percentile of value that were
     delayed — summary and share of high-value orders.  The percentile is a
     one-row scalar joined to every row (broadcast of one row)."""
-    q75 = exact_quantiles(df, "order_value", [0.75], bounded=False).select(F.col("q75").alias("_q75"))
+    q75 = exact_quantiles(df, "order_value", [0.75]).select(F.col("q75").alias("_q75"))
     hv = df.crossJoin(F.broadcast(q75)).filter(F.col("order_value") >= F.col("_q75"))
     delayed = F.col("teve_atraso") == 1
     summary = hv.agg(
@@ -227,7 +228,7 @@ def high_value_delayed(df: DataFrame) -> DataFrame:
         F.avg(F.when(delayed, F.col("repeat_purchase_30d"))).alias("recompra_media_30d"),
         F.first("_q75").alias("q75_order_value"))
     hvd = hv.filter(delayed)
-    med = exact_quantiles(hvd, "order_value", [0.5], bounded=False).withColumnRenamed("q50", "valor_mediana")
+    med = exact_quantiles(hvd, "order_value", [0.5]).withColumnRenamed("q50", "valor_mediana")
     return (summary.crossJoin(med)
             .withColumn("valor_total", F.col("_cents") / F.lit(100.0)).drop("_cents")
             .withColumn("pct_alto_valor_com_atraso",
@@ -236,7 +237,7 @@ def high_value_delayed(df: DataFrame) -> DataFrame:
 
 def high_value_mix(df: DataFrame) -> DataFrame:
     """AG13: class mix of the delayed high-value orders (all classes listed)."""
-    q75 = exact_quantiles(df, "order_value", [0.75], bounded=False).select(F.col("q75").alias("_q75"))
+    q75 = exact_quantiles(df, "order_value", [0.75]).select(F.col("q75").alias("_q75"))
     hvd = (df.crossJoin(F.broadcast(q75))
            .filter((F.col("order_value") >= F.col("_q75")) & (F.col("teve_atraso") == 1)))
     dist = nps_distribution(hvd, "floor")
@@ -266,7 +267,7 @@ def regional_logistics(df: DataFrame) -> DataFrame:
         n.alias("total_pedidos"), *[f().alias(name) for name, f in REGIONAL_AGGS],
         money_sum("order_value").alias("faturamento_total"),
         *[F.try_divide(F.count_if(F.col("classificacao_nps") == k) * 100.0, nc).alias(k) for k in NPS_CLASSES])
-    med = exact_quantiles(base, "order_value", [0.5], by=["customer_region"], bounded=False)
+    med = exact_quantiles(base, "order_value", [0.5], by=["customer_region"])
     out = agg.join(med.withColumnRenamed("q50", "mediana_pedido"), "customer_region", "left")
     return (out.withColumn("participacao_faturamento_pct", _share("faturamento_total"))
             .withColumn("participacao_pedidos_pct", _share("total_pedidos")))
