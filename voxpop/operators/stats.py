@@ -30,29 +30,45 @@ def _explode(row: DataFrame, structs) -> DataFrame:
 
 # --- ST1 / ST2 / SO3 ------------------------------------------------------------------
 
+def _q(c: str) -> str:
+    return f"`{c}`"
+
+
+def _dbl(v) -> str:
+    return "CAST(NULL AS DOUBLE)" if v is None else f"CAST('{float(v)!r}' AS DOUBLE)"
+
+
+def _inline(row: DataFrame, items) -> DataFrame:
+    """Wide one-row aggregate -> long rows with ONE SQL expression
+    (``inline(array(named_struct(...)))``), parsed once in the JVM."""
+    arr = ", ".join("named_struct(" + ", ".join(f"'{k}', {v}" for k, v in it.items()) + ")" for it in items)
+    return row.selectExpr(f"inline(array({arr}))")
+
+
 def _complete(df: DataFrame, cols) -> tuple[bool, dict]:
     """One small job: row count, non-null counts and means (bounded summary)."""
-    row = df.agg(F.count(F.lit(1)).alias("__n"), *[F.count(c).alias(f"{c}__nn") for c in cols],
-                 *[F.avg(F.col(c).cast("double")).alias(f"{c}__mean") for c in cols]).first()
+    exprs = ["count(1) AS `__n`"] + [f"count({_q(c)}) AS `{c}__nn`" for c in cols] \
+        + [f"avg(CAST({_q(c)} AS DOUBLE)) AS `{c}__mean`" for c in cols]
+    row = df.selectExpr(*exprs).first()
     ok = all(row[f"{c}__nn"] == row["__n"] for c in cols)
     return ok, {c: row[f"{c}__mean"] for c in cols}
 
 
 def _centred_corr(df: DataFrame, pairs, cols) -> DataFrame:
     """Second pass over complete rows: centred cross products (numerically
-    stable two-pass moments); returns one row with ``a__b`` and ``c__sd``."""
+    stable two-pass moments); returns one row with ``a__b`` and ``c__sd``.
+    Columns with NULLs fall back to the pairwise-complete safe correlation."""
     ok, means = _complete(df, cols)
     if not ok:
         return df.agg(*[C.safe_corr(a, b).alias(f"{a}__{b}") for a, b in pairs],
                       *[F.stddev_pop(c).alias(f"{c}__sd") for c in cols])
-    d = {c: F.col(c).cast("double") - F.lit(means[c] if means[c] is not None else 0.0) for c in cols}
-    sums = [F.sum(d[a] * d[b]).alias(f"{a}__{b}__s") for a, b in pairs]
-    sums += [F.sum(d[c] * d[c]).alias(f"{c}__ss") for c in cols]
-    row = df.agg(F.count(F.lit(1)).alias("__n"), *sums)
-    out = [(F.col(f"{a}__{b}__s") / F.nullif(F.sqrt(F.col(f"{a}__ss") * F.col(f"{b}__ss")), F.lit(0.0)))
-           .alias(f"{a}__{b}") for a, b in pairs]
-    out += [F.sqrt(F.col(f"{c}__ss") / F.col("__n")).alias(f"{c}__sd") for c in cols]
-    return row.select(*out)
+    d = {c: f"(CAST({_q(c)} AS DOUBLE) - {_dbl(means[c] if means[c] is not None else 0.0)})" for c in cols}
+    sums = ["count(1) AS `__n`"] + [f"sum({d[a]} * {d[b]}) AS `{a}__{b}__s`" for a, b in pairs] \
+        + [f"sum({d[c]} * {d[c]}) AS `{c}__ss`" for c in cols]
+    row = df.selectExpr(*sums)
+    out = [f"`{a}__{b}__s` / nullif(sqrt(`{a}__ss` * `{b}__ss`), 0D) AS `{a}__{b}`" for a, b in pairs]
+    out += [f"sqrt(`{c}__ss` / `__n`) AS `{c}__sd`" for c in cols]
+    return row.selectExpr(*out)
 
 
 def pearson_with(df: DataFrame, variables, target: str = "nps_score") -> DataFrame:
@@ -61,8 +77,7 @@ def pearson_with(df: DataFrame, variables, target: str = "nps_score") -> DataFra
     the columns have no NULLs."""
     cols = list(dict.fromkeys(list(variables) + [target]))
     row = _centred_corr(df, [(v, target) for v in variables], cols)
-    return _explode(row, [F.struct(F.lit(v).alias("variable"), F.col(f"{v}__{target}").alias("r"))
-                          for v in variables])
+    return _inline(row, [{"variable": f"'{v}'", "r": f"`{v}__{target}`"} for v in variables])
 
 
 def pearson_matrix(df: DataFrame, cols) -> DataFrame:
@@ -70,14 +85,13 @@ def pearson_matrix(df: DataFrame, cols) -> DataFrame:
     mirrored, diagonal = 1 for a non-constant column."""
     pairs = list(itertools.combinations(cols, 2))
     row = _centred_corr(df, pairs, cols)
-    structs = []
+    items = []
     for a, b in pairs:
-        structs.append(F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"{a}__{b}").alias("r")))
-        structs.append(F.struct(F.lit(b).alias("x"), F.lit(a).alias("y"), F.col(f"{a}__{b}").alias("r")))
+        items.append({"x": f"'{a}'", "y": f"'{b}'", "r": f"`{a}__{b}`"})
+        items.append({"x": f"'{b}'", "y": f"'{a}'", "r": f"`{a}__{b}`"})
     for c in cols:
-        structs.append(F.struct(F.lit(c).alias("x"), F.lit(c).alias("y"),
-                                F.when(F.col(f"{c}__sd") > 0, F.lit(1.0)).alias("r")))
-    return _explode(row, structs)
+        items.append({"x": f"'{c}'", "y": f"'{c}'", "r": f"CASE WHEN `{c}__sd` > 0 THEN 1D END"})
+    return _inline(row, items)
 
 
 def top_bottom(corr: DataFrame, k: int = 3, col: str = "r") -> DataFrame:
@@ -241,8 +255,7 @@ def corr_change(df: DataFrame, variables, target: str = "nps_score") -> DataFram
     r2 = _centred_corr(df.filter(F.col(target) > 0), pairs, cols) \
         .select(*[F.col(f"{v}__{target}").alias(f"{v}__v2") for v in variables])
     row = r1.crossJoin(r2)
-    out = _explode(row, [F.struct(F.lit(v).alias("variable"), F.col(f"{v}__v1").alias("v1"),
-                                  F.col(f"{v}__v2").alias("v2")) for v in variables])
+    out = _inline(row, [{"variable": f"'{v}'", "v1": f"`{v}__v1`", "v2": f"`{v}__v2`"} for v in variables])
     v1, v2 = F.col("v1"), F.col("v2")
     flipped = ((v1 > 0) & (v2 < 0)) | ((v1 < 0) & (v2 > 0))
     return (out.withColumn("delta", v2 - v1).withColumn("delta_abs", F.abs(v2 - v1))
