@@ -205,6 +205,8 @@ def revenue_by(df: DataFrame, key: str, exact_median: bool = True) -> DataFrame:
     med = exact_quantiles(base, "order_value", [0.5], by=[key], bounded=None) if exact_median else \
         base.groupBy(key).agg(F.percentile_approx("order_value", 0.5, 10000).cast("double").alias("q50"))
     out = agg.join(med.withColumnRenamed("q50", "mediana_pedido"), key, "left")
+    if key == "teve_atraso":
+        out = out.withColumn("grupo", F.create_map(F.lit(0), F.lit("Sem atraso"), F.lit(1), F.lit("Com atraso"))[F.col(key)])
     return (out.withColumn("percentual_pedidos_pct", _share("total_pedidos"))
             .withColumn("participacao_faturamento_pct", _share("faturamento_total")))
 

@@ -368,3 +368,31 @@ def ml_risk_queue(spark, sf):
     th = float(best["threshold"]) if best else 0.5
     return S.risk_queue(scored, "score", th).select("order_id", "customer_id", "score", "risk_score",
                                                      F.lit(th).alias("limiar"))
+
+
+# --- P20 verdict labels ---------------------------------------------------------------------
+
+@register("verdicts", with_base(GIVEN_CTE,
+    "d AS (SELECT count(*) FILTER (WHERE floor(nps_score) >= 9) * CAST(100 AS DOUBLE) / count(nps_score) "
+    "- count(*) FILTER (WHERE floor(nps_score) < 7) * CAST(100 AS DOUBLE) / count(nps_score) AS nps_oficial FROM base)",
+    "m AS (SELECT avg(abs(nps_score - csat_internal_score)) AS mae FROM base)",
+    """a AS (SELECT (sum(rk) FILTER (WHERE label = 1) - CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE)
+                   * (count(*) FILTER (WHERE label = 1) + 1) / 2)
+                  / nullif(CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE) * count(*) FILTER (WHERE label <> 1), 0) AS auc
+           FROM (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / CAST(2 AS DOUBLE) AS rk
+                 FROM gv WHERE score IS NOT NULL) r)""",
+    body="""SELECT d.nps_oficial, CASE WHEN d.nps_oficial > 50 THEN 'Excelente (>50)' WHEN d.nps_oficial > 0 THEN 'Bom (>0)'
+       ELSE 'Crítico (<=0)' END AS leitura_nps, m.mae,
+       CASE WHEN m.mae < 1.5 THEN 'aceitável' WHEN m.mae < 2.5 THEN 'razoável' ELSE 'alto' END AS leitura_mae, a.auc,
+       CASE WHEN a.auc > 0.9 THEN 'excelente' WHEN a.auc > 0.8 THEN 'bom' ELSE 'razoável' END AS leitura_auc
+FROM d, m, a"""), "nps_oficial mae auc")
+def verdicts(spark, sf):
+    """P20: official-NPS, MAE and AUC verdicts (MAE/AUC of the given score)."""
+    dist = S.nps_distribution(load_base(spark, sf), "floor").select("nps_oficial").limit(1)
+    b = load_base(spark, sf).withColumn("prediction", F.col("csat_internal_score"))
+    mae = b.agg(F.avg(F.abs(F.col("nps_score") - F.col("prediction"))).alias("mae"))
+    auc = EV.auc_rank(given(spark, sf)).select("auc")
+    return (dist.crossJoin(mae).crossJoin(auc)
+            .withColumn("leitura_nps", C.nps_verdict("nps_oficial"))
+            .withColumn("leitura_mae", C.mae_verdict("mae"))
+            .withColumn("leitura_auc", C.auc_verdict("auc")))

@@ -233,7 +233,8 @@ def revenue_by_class(spark, sf):
     return S.revenue_by(lg(spark, sf), "classificacao_nps")
 
 
-@register("revenue_by_delay", _rev_sql("teve_atraso"), _REV_DOUBLES)
+@register("revenue_by_delay", f"""SELECT *, CASE teve_atraso WHEN 0 THEN 'Sem atraso' WHEN 1 THEN 'Com atraso' END AS grupo
+FROM ({_rev_sql("teve_atraso")}) r""", _REV_DOUBLES)
 def revenue_by_delay(spark, sf):
     return S.revenue_by(lg(spark, sf), "teve_atraso")
 
