@@ -191,6 +191,22 @@ def test_bucketed_ranks_equal_single_window(spark, monkeypatch):
     assert all(a[v] == pytest.approx(rk) for v, rk in zip(vals[:200], ranks[:200]))
 
 
+def test_bucket_count_grows_with_distinct_values(spark, monkeypatch):
+    import voxpop.functions.ranks as R
+    assert R.bucket_count(10) == R.MIN_BUCKETS
+    assert R.bucket_count(5_000 * R.BUCKET_TARGET) == 5_000
+    assert R.bucket_count(10 ** 15) == R.MAX_BUCKETS
+    # few large buckets (many distinct values per window) still give exact ranks
+    vals = [float((i * 104729) % 5003) for i in range(6000)]
+    df = spark.createDataFrame([(i % 2, v) for i, v in enumerate(vals)], "g int, v double")
+    a = {(r["g"], r["v"]): r["avg_rank"] for r in ranked_values(df, "v", by=["g"], bounded=True).collect()}
+    monkeypatch.setattr(R, "SINGLE_WINDOW_MAX_DISTINCT", 0)
+    monkeypatch.setattr(R, "BUCKET_TARGET", 100)
+    monkeypatch.setattr(R, "MIN_BUCKETS", 2)
+    b = {(r["g"], r["v"]): r["avg_rank"] for r in R.ranked_values(df, "v", by=["g"], bounded=False).collect()}
+    assert a == b
+
+
 def test_repartition_stability(spark):
     vals = [((i * 31) % 17, float((i * 7) % 11)) for i in range(500)]
     base = spark.createDataFrame(vals, "g int, v double")

@@ -8,9 +8,11 @@ over sorted values is then computed on that table:
 * bounded domains (scores with one decimal, small counts, days) — one window
   per group over the distinct values;
 * unbounded domains (money, ratios) — two levels: distinct values are cut into
-  ``buckets`` order-preserving buckets from approximate quantiles (a bounded
-  array of edges), a window per (group, bucket) gives the running count inside
-  the bucket and a window over the per-bucket totals gives the offset.
+  order-preserving buckets from approximate quantiles (a bounded array of
+  edges), a window per (group, bucket) gives the running count inside the
+  bucket and a window over the per-bucket totals gives the offset.  The bucket
+  count grows with the distinct count (about ``BUCKET_TARGET`` distinct values
+  per bucket), so a bucket stays task-sized at any scale.
 
 Either way the largest window partition is bounded by the number of distinct
 values of one bucket, never by the number of rows.
@@ -34,6 +36,16 @@ BOUNDED_COLUMNS = {
 
 # a window partition over at most this many distinct values is cheap for one task
 SINGLE_WINDOW_MAX_DISTINCT = 2_000_000
+# distinct values per bucket in the two-level path, and the bucket-count range
+BUCKET_TARGET = 1_000_000
+MIN_BUCKETS, MAX_BUCKETS = 1024, 65_536
+
+
+def bucket_count(distinct: int) -> int:
+    """Buckets for the two-level running count: ~BUCKET_TARGET distinct
+    values each (the edge array stays a bounded driver-side list)."""
+    need = -(-int(distinct) // BUCKET_TARGET)
+    return max(MIN_BUCKETS, min(MAX_BUCKETS, need))
 
 
 def is_bounded(df: DataFrame, col: str) -> bool:
@@ -51,7 +63,7 @@ def frequencies(df: DataFrame, value: str, by=(), weight: str | None = None) ->
 
 
 def cumulative(freq: DataFrame, value: str, by=(), bounded: bool = True,
-               buckets: int = 1024) -> DataFrame:
+               buckets: int | None = None) -> DataFrame:
     """Adds ``cum_before`` (count of smaller values in the group), ``total``
     (count in the group) and ``avg_rank`` = cum_before + (n + 1) / 2."""
     by = list(by)
@@ -65,6 +77,7 @@ def cumulative(freq: DataFrame, value: str, by=(), bounded: bool = True,
         d = freq.agg(F.approx_count_distinct(value).alias("d")).first()["d"] or 0
         if d <= SINGLE_WINDOW_MAX_DISTINCT:
             return cumulative(freq, value, by, True)
+        buckets = buckets or bucket_count(d)
         # order-preserving bucket edges (a bounded array) from approximate quantiles
         edges = freq.agg(F.percentile_approx(F.col(value).cast("double"),
                                              [i / buckets for i in range(1, buckets)], 10 * buckets)

@@ -294,8 +294,10 @@ def histogram(df: DataFrame, col: str = "nps_score", bins: int = 30) -> DataFram
     mean and median markers on every row."""
     spark = df.sparkSession
     x = F.col(col).cast("double")
-    stats = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.avg(x).alias("media"),
-                   F.median(x).alias("mediana"))
+    # the median takes the exact path fit for the column's domain (value map
+    # only when the distinct count is bounded)
+    med = exact_quantiles(df, col, [0.5]).select(F.col("q50").alias("mediana"))
+    stats = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.avg(x).alias("media")).crossJoin(med)
     w = (F.col("hi") - F.col("lo")) / bins
     binned = (df.select(x.alias("_x")).filter(F.col("_x").isNotNull()).crossJoin(F.broadcast(stats))
               .withColumn("bin", F.least(F.floor((F.col("_x") - F.col("lo")) / F.nullif(w, F.lit(0.0))),

@@ -10,10 +10,15 @@ window.  Plan notes, per stage:
   window partitioned by customer would put a hot customer (a third of all
   orders) into one task; instead orders are first reduced to one row per
   (customer, day) — at most the number of distinct days per customer — and
-  the window runs over that, then joins back on (customer, day).
-* ``customer ⋈ nation ⋈ region``: nation and region are the fixed 25/5-row
-  dimensions and are broadcast only after a size check; the customer join is a
-  shuffle join (AQE splits a skewed customer key).
+  the window runs over that.
+* The region comes from ``customer ⋈ nation ⋈ region`` and is attached to
+  that (customer, day) table, which the window has already hash-partitioned
+  by customer: only the customer table moves, and a hot customer contributes
+  one row per day, not one per order.  Nation and region are the fixed
+  25/5-row dimensions, broadcast only after a size check.
+* The order rows then meet the (customer, day) rows in ONE join on both keys;
+  hashing on (customer, day) spreads a hot customer over many tasks, so no
+  fact-sized shuffle is keyed on the customer alone.
 """
 
 from __future__ import annotations
@@ -83,9 +88,10 @@ def derive_orders_nps(spark: SparkSession, sf_dir: str) -> DataFrame:
            .agg(F.max("o_orderkey").alias("_day_max_key")))
     w = Window.partitionBy("o_custkey").orderBy("o_orderdate")
     day = day.withColumn("_next_day", F.lead("o_orderdate").over(w))
+    day = (day.join(customer_regions(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"), "left")
+           .drop("c_custkey"))
 
-    b = (per_order.join(day, ["o_custkey", "o_orderdate"], "left")
-         .join(customer_regions(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"), "left"))
+    b = per_order.join(day, ["o_custkey", "o_orderdate"], "left")
 
     z = lambda c: F.coalesce(c, F.lit(0))
     delay = z(F.col("_late")).cast("int")
