@@ -207,6 +207,21 @@ def test_bucket_count_grows_with_distinct_values(spark, monkeypatch):
     assert a == b
 
 
+def test_stacked_spearman_equals_single_and_pandas(spark):
+    rows = [(i % 7, (i * 13) % 11, float((i * 31) % 17) / 2, None) for i in range(400)]
+    df = spark.createDataFrame(rows, "a int, b int, y double, z int")
+    pdf = pd.DataFrame(rows, columns=["a", "b", "y", "z"])
+    stacked = {r["variable"]: r for r in ST.spearman_stacked(df, ["a", "b", "z"], "y").collect()}
+    table = {r["variable"]: r for r in ST.spearman_table(df, ["a", "b", "z"], "y").collect()}
+    for got in (stacked, table):
+        for v in ("a", "b"):
+            want = pdf[v].rank().corr(pdf["y"].rank())
+            assert got[v]["rho"] == pytest.approx(want, abs=1e-12)
+            assert got[v]["rho"] == pytest.approx(ST.spearman(df, v, "y").first()["rho"], abs=1e-12)
+            assert got[v]["n"] == 400
+        assert got["z"]["n"] == 0 and got["z"]["rho"] is None
+
+
 def test_repartition_stability(spark):
     vals = [((i * 31) % 17, float((i * 7) % 11)) for i in range(500)]
     base = spark.createDataFrame(vals, "g int, v double")

@@ -113,23 +113,62 @@ def spearman(df: DataFrame, x: str, y: str = "nps_score") -> DataFrame:
         .select(x, F.col("avg_rank").alias("rx"))
     ry = cumulative(joint.groupBy(y).agg(F.sum("w").alias("n")), y, bounded=is_bounded(df, y)) \
         .select(y, F.col("avg_rank").alias("ry"))
-    j = joint.join(rx, x).join(ry, y)
+    return _weighted_rho(joint.join(rx, x).join(ry, y), []).select(F.lit(x).alias("variable"), "rho", "n")
+
+
+def _weighted_rho(j: DataFrame, by) -> DataFrame:
+    """Pearson of the average ranks ``rx``, ``ry`` weighted by the pair count ``w``."""
     w = F.col("w")
     n = F.sum(w)
     mx, my = F.sum(w * F.col("rx")) / n, F.sum(w * F.col("ry")) / n
     cov = F.sum(w * F.col("rx") * F.col("ry")) / n - mx * my
     vx = F.sum(w * F.col("rx") * F.col("rx")) / n - mx * mx
     vy = F.sum(w * F.col("ry") * F.col("ry")) / n - my * my
-    return j.agg(F.lit(x).alias("variable"), (cov / F.nullif(F.sqrt(vx * vy), F.lit(0.0))).alias("rho"),
-                 n.cast("bigint").alias("n"))
+    aggs = [(cov / F.nullif(F.sqrt(vx * vy), F.lit(0.0))).alias("rho"),
+            F.coalesce(n.cast("bigint"), F.lit(0).cast("bigint")).alias("n")]
+    return j.groupBy(*by).agg(*aggs) if by else j.agg(*aggs)
+
+
+def spearman_stacked(df: DataFrame, variables, y: str = "nps_score") -> DataFrame:
+    """Spearman of several bounded-domain variables with ``y`` in ONE scan.
+
+    Rows are exploded to (variable, x, y) and reduced at once by a partial
+    aggregation to the joint frequency table.  Average ranks come from windows
+    over that table, all partitioned by variable (one shuffle; a window
+    partition holds the distinct (x, y) pairs of one bounded variable):
+    rank(x) = count(rows with value <= x) - (count(x) - 1) / 2, the first
+    term a RANGE running sum, the second a sum over the (variable, x) peers.
+    The moments then aggregate on the same partitioning (no further shuffle).
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(v).alias("variable"), F.col(v).cast("double").alias("x"))
+                                for v in variables])).alias("s")
+    stacked = (df.select(pairs, F.col(y).cast("double").alias("y")).select("s.*", "y")
+               .filter(F.col("x").isNotNull() & F.col("y").isNotNull()))
+    joint = stacked.groupBy("variable", "x", "y").agg(F.count(F.lit(1)).alias("w"))
+
+    def avg_rank(c):
+        upto = F.sum("w").over(Window.partitionBy("variable").orderBy(c)
+                               .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+        peers = F.sum("w").over(Window.partitionBy("variable", c))
+        return upto - (peers - 1) / 2.0
+    ranked = joint.withColumn("rx", avg_rank("x")).withColumn("ry", avg_rank("y"))
+    rho = _weighted_rho(ranked, ["variable"])
+    # every requested variable is reported, also one without any complete row
+    names = df.sparkSession.createDataFrame([(v,) for v in variables], "variable string")
+    return (F.broadcast(names).join(rho, "variable", "left")
+            .withColumn("n", F.coalesce("n", F.lit(0).cast("bigint"))))
 
 
 def spearman_table(df: DataFrame, variables, y: str = "nps_score") -> DataFrame:
-    """ST4: rho per variable, ranked by |rho|."""
-    out = None
+    """ST4: rho per variable, ranked by |rho|.  Bounded-domain variables share
+    one stacked pass; any other variable gets its own (bucketed) rank plan."""
+    variables = list(variables)
+    stacked = [v for v in variables if is_bounded(df, v)] if is_bounded(df, y) else []
+    out = spearman_stacked(df, stacked, y) if stacked else None
     for v in variables:
-        s = spearman(df, v, y)
-        out = s if out is None else out.unionByName(s)
+        if v not in stacked:
+            s = spearman(df, v, y)
+            out = s if out is None else out.unionByName(s)
     return out.withColumn("impacto_abs", F.abs("rho"))
 
 
