@@ -135,7 +135,14 @@ def exact_quantiles(df: DataFrame, value: str, probs, by=(), bounded: bool | Non
         q = F.percentile(x, F.array(*[F.lit(float(p)) for p in probs]))
         agg = df.filter(F.col(value).isNotNull()).groupBy(*by).agg(q.alias("_q"))
         return agg.select(*by, *[F.col("_q")[i].alias(f"q{_tag(p)}") for i, p in enumerate(probs)])
-    r = cumulative(frequencies(df, value, by), value, by, False)
+    return quantiles_from_ranks(cumulative(frequencies(df, value, by), value, by, False), value, probs, by)
+
+
+def quantiles_from_ranks(r: DataFrame, value: str, probs, by=()) -> DataFrame:
+    """Exact linear-interpolation quantiles from a ``cumulative`` table: the
+    values at the two order statistics around each position, one grouped
+    aggregation (one row per group, a column ``q<pct>`` per probability)."""
+    by = list(by)
     cols = []
     for p in probs:
         pos = F.lit(p) * (F.col("total") - 1)

@@ -36,49 +36,51 @@ def shape(df: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -> DataFrame:
-    """DQ2: count/mean/std/min/25/50/75/max per numeric column, one pass.
-
-    Quartiles are exact with linear interpolation.  Bounded columns (scores,
-    counts, days) use ``percentile`` (a value map bounded by the domain);
-    unbounded ones (ids, money) use the distributed exact quantile from the
-    rank core instead of a value map that would grow with the data.
+    """DQ2: count/mean/std/min/25/50/75/max per numeric column.
+
+    Every column is stacked into (column, value) rows right after the scan, so
+    the moments are five aggregates grouped by column (a narrow buffer that
+    stays inside whole-stage codegen, partial aggregation on the executors)
+    instead of one very wide row.  Quartiles are exact with linear
+    interpolation: columns with a small domain (checked by one HyperLogLog
+    job) are reduced to a (column, value) frequency table and ranked by a
+    window partitioned by column over distinct values; a column with a large
+    domain (ids, money at scale) gets the bucketed distributed ranks instead.
+    No per-column value map is merged in a single task.
     ``exact=False`` uses ``percentile_approx`` for all."""
-    from voxpop.functions.ranks import exact_quantiles, small_domains
+    from voxpop.functions.ranks import (cumulative, exact_quantiles, frequencies, quantiles_from_ranks,
+                                        small_domains)
     cols = cols or _numeric_cols(df)
-    small = small_domains(df, cols) if exact else {c: True for c in cols}
+    probs = [0.25, 0.5, 0.75]
+
+    def stack(names):
+        return (df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("coluna"), F.col(c).cast("double").alias("v"))
+                                              for c in names])).alias("s")).select("s.*"))
+    v = F.col("v")
+    aggs = [F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev(v).alias("std"),
+            F.min(v).alias("min"), F.max(v).alias("max")]
+    if not exact:
+        aggs.append(F.percentile_approx(v, probs, 10000).alias("_q"))
+    moments = stack(cols).groupBy("coluna").agg(*aggs)
+    if not exact:
+        return moments.select("coluna", "count", "mean", "std", "min",
+                              *[F.col("_q")[i].cast("double").alias(n) for i, n in enumerate(("p25", "p50", "p75"))],
+                              "max")
+    small = small_domains(df, cols)
     local = [c for c in cols if small[c]]
-    aggs = []
+    parts = []
+    if local:
+        ranks = cumulative(frequencies(stack(local), "v", ["coluna"]), "v", ["coluna"], bounded=True)
+        parts.append(quantiles_from_ranks(ranks, "v", probs, ["coluna"]))
     for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__n"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 F.max(x).alias(f"{c}__max")]
-        if c in local:
-            q = (F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if exact
-                 else F.percentile_approx(x, [0.25, 0.5, 0.75], 10000))
-            aggs.append(q.alias(f"{c}__q"))
-    row = df.agg(*aggs)
-    none = F.lit(None).cast("double")
-    structs = [F.struct(F.lit(c).alias("coluna"), F.col(f"{c}__n").alias("count"),
-                        F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std"),
-                        F.col(f"{c}__min").alias("min"),
-                        *[(F.col(f"{c}__q")[i].cast("double") if c in local else none).alias(n)
-                          for i, n in enumerate(("p25", "p50", "p75"))],
-                        F.col(f"{c}__max").alias("max")) for c in cols]
-    out = _long(row, structs)
-    remote = [c for c in cols if c not in local]
-    if not remote:
-        return out
-    qs = None
-    for c in remote:
-        q = exact_quantiles(df, c, [0.25, 0.5, 0.75], bounded=False).select(
-            F.lit(c).alias("coluna"), F.col("q25").alias("_p25"), F.col("q50").alias("_p50"),
-            F.col("q75").alias("_p75"))
-        qs = q if qs is None else qs.unionByName(q)
-    out = out.join(qs, "coluna", "left")
-    for n in ("p25", "p50", "p75"):
-        out = out.withColumn(n, F.coalesce(F.col(n), F.col(f"_{n}")))
-    return out.select("coluna", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+        if c not in local:
+            parts.append(exact_quantiles(df, c, probs, bounded=False).select(F.lit(c).alias("coluna"), "q25", "q50", "q75"))
+    qs = parts[0]
+    for p in parts[1:]:
+        qs = qs.unionByName(p)
+    out = moments.join(qs, "coluna", "left")
+    return out.select("coluna", "count", "mean", "std", "min", F.col("q25").alias("p25"), F.col("q50").alias("p50"),
+                      F.col("q75").alias("p75"), "max")
 
 
 def null_counts(df: DataFrame) -> DataFrame:
