@@ -222,6 +222,17 @@ def test_stacked_spearman_equals_single_and_pandas(spark):
         assert got["z"]["n"] == 0 and got["z"]["rho"] is None
 
 
+def test_qq_positions_match_brute_force(spark):
+    for vals, points in (([5.0, 1.0, 3.0, 3.0, 9.0, 2.0, 7.0], 10), ([4.0], 5),
+                         ([float(i % 13) for i in range(500)], 40)):
+        df = spark.createDataFrame([(v,) for v in vals], "v double")
+        got = sorted((r["ordem"], r["observado"]) for r in ST.qq_points(df, "v", points).collect())
+        srt, n = sorted(vals), len(vals)
+        want = sorted((j * (n - 1) // max(points - 1, 1) + 1, srt[j * (n - 1) // max(points - 1, 1)])
+                      for j in range(points))
+        assert got == want
+
+
 def test_repartition_stability(spark):
     vals = [((i * 31) % 17, float((i * 7) % 11)) for i in range(500)]
     base = spark.createDataFrame(vals, "g int, v double")

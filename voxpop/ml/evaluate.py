@@ -22,14 +22,13 @@ def _long(row: DataFrame, names, model: str | None = None) -> DataFrame:
 
 def regression_metrics(scored: DataFrame, y: str = "nps_score", pred: str = "prediction",
                        model: str | None = None, long: bool = False) -> DataFrame:
-    """MAE, RMSE, R² (R² = 1 - SS_res / SS_tot, mean from a one-row
-    aggregate joined back)."""
-    m = scored.agg(F.avg(y).alias("_my"))
+    """MAE, RMSE, R² (R² = 1 - SS_res / SS_tot; the mean of y is a scalar
+    subquery, computed once and used as a value)."""
+    my = scored.agg(F.avg(y)).scalar()
     e = F.col(y) - F.col(pred)
-    row = (scored.crossJoin(F.broadcast(m))
-           .agg(F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
-                (1 - F.sum(e * e) / F.nullif(F.sum((F.col(y) - F.col("_my")) ** 2), F.lit(0.0))).alias("r2"),
-                F.count(F.lit(1)).alias("n")))
+    row = scored.agg(F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
+                     (1 - F.sum(e * e) / F.nullif(F.sum((F.col(y) - my) ** 2), F.lit(0.0))).alias("r2"),
+                     F.count(F.lit(1)).alias("n"))
     return _long(row, ["mae", "rmse", "r2"], model) if long else row
 
 
@@ -111,14 +110,13 @@ def threshold_sweep(scored: DataFrame, y: str = "label", score: str = "score",
     f = score_frequencies(scored, y, score)
     th = spark.createDataFrame([(int(t),) for t in thresholds_pct], "t_pct int") \
         .withColumn("threshold", F.col("t_pct") / F.lit(100.0))
-    totals = f.agg(F.sum("pos").alias("P"))
+    positives = f.agg(F.sum("pos")).scalar()
     hit = (F.broadcast(th).join(f, F.col(score) >= F.col("threshold"), "left")
            .groupBy("t_pct", "threshold")
            .agg(F.coalesce(F.sum("pos"), F.lit(0)).alias("tp"), F.coalesce(F.sum("neg"), F.lit(0)).alias("fp")))
     z = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
-    out = hit.crossJoin(F.broadcast(totals))
-    out = out.select("t_pct", "threshold", "tp", "fp",
-                     z(F.col("tp").cast("double"), F.col("P")).alias("recall"),
+    out = hit.select("t_pct", "threshold", "tp", "fp",
+                     z(F.col("tp").cast("double"), positives).alias("recall"),
                      z(F.col("tp").cast("double"), F.col("tp") + F.col("fp")).alias("precision"))
     return out.withColumn("f1", z(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
 

@@ -188,15 +188,16 @@ def kruskal(df: DataFrame, value: str, group: str) -> DataFrame:
     pooled = cumulative(freq.groupBy(value).agg(F.sum("n").alias("n")), value, bounded=is_bounded(df, value))
     g = (freq.join(pooled.select(value, "avg_rank", F.col("n").alias("t")), value)
          .groupBy(group).agg(F.sum(F.col("n") * F.col("avg_rank")).alias("R"), F.sum("n").alias("ng")))
-    ties = pooled.agg(F.sum(F.pow(F.col("n").cast("double"), 3) - F.col("n")).alias("tt"),
-                      F.sum("n").alias("N"))
+    # tie sum and N over the pooled values: one scalar subquery (a struct)
+    ties = pooled.agg(F.struct(F.sum(F.pow(F.col("n").cast("double"), 3) - F.col("n")).alias("tt"),
+                               F.sum("n").alias("N")).alias("t")).scalar()
     s = g.agg(F.sum(F.col("R") * F.col("R") / F.col("ng")).alias("S"), F.count(F.lit(1)).alias("k"))
-    N = F.col("N").cast("double")
+    N = ties["N"].cast("double")
     h0 = F.lit(12.0) / (N * (N + 1)) * F.col("S") - 3 * (N + 1)
-    corr = 1 - F.col("tt") / (N * N * N - N)
-    out = s.crossJoin(ties).select(
+    corr = 1 - ties["tt"] / (N * N * N - N)
+    out = s.select(
         (h0 / F.nullif(corr, F.lit(0.0))).alias("h_stat"), (F.col("k") - 1).alias("df"),
-        F.col("k"), F.col("N").alias("n"))
+        F.col("k"), ties["N"].alias("n"))
     return out.withColumn("p_value", chi2_sf_udf(F.col("h_stat"), F.col("df").cast("double"))) \
               .withColumn("leitura", C.significance("p_value"))
 
@@ -291,9 +292,10 @@ def corr_change(df: DataFrame, variables, target: str = "nps_score") -> DataFram
     cols = list(dict.fromkeys(list(variables) + [target]))
     pairs = [(v, target) for v in variables]
     r1 = _centred_corr(df, pairs, cols).select(*[F.col(f"{v}__{target}").alias(f"{v}__v1") for v in variables])
+    # the V2 row enters as one struct-valued scalar subquery
     r2 = _centred_corr(df.filter(F.col(target) > 0), pairs, cols) \
-        .select(*[F.col(f"{v}__{target}").alias(f"{v}__v2") for v in variables])
-    row = r1.crossJoin(r2)
+        .select(F.struct(*[F.col(f"{v}__{target}").alias(f"{v}__v2") for v in variables]).alias("v2")).scalar()
+    row = r1.select("*", *[r2[f"{v}__v2"].alias(f"{v}__v2") for v in variables])
     out = _inline(row, [{"variable": f"'{v}'", "v1": f"`{v}__v1`", "v2": f"`{v}__v2`"} for v in variables])
     v1, v2 = F.col("v1"), F.col("v2")
     flipped = ((v1 > 0) & (v2 < 0)) | ((v1 < 0) & (v2 > 0))
@@ -335,19 +337,21 @@ def histogram(df: DataFrame, col: str = "nps_score", bins: int = 30) -> DataFram
     x = F.col(col).cast("double")
     # the median takes the exact path fit for the column's domain (value map
     # only when the distinct count is bounded)
-    med = exact_quantiles(df, col, [0.5]).select(F.col("q50").alias("mediana"))
-    stats = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.avg(x).alias("media")).crossJoin(med)
-    w = (F.col("hi") - F.col("lo")) / bins
-    binned = (df.select(x.alias("_x")).filter(F.col("_x").isNotNull()).crossJoin(F.broadcast(stats))
-              .withColumn("bin", F.least(F.floor((F.col("_x") - F.col("lo")) / F.nullif(w, F.lit(0.0))),
+    med = exact_quantiles(df, col, [0.5]).select("q50").scalar()
+    # range and mean: one struct-valued scalar subquery, used as values
+    st = df.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"), F.avg(x).alias("media")).alias("s")).scalar()
+    lo, hi = st["lo"], st["hi"]
+    w = (hi - lo) / bins
+    binned = (df.select(x.alias("_x")).filter(F.col("_x").isNotNull())
+              .withColumn("bin", F.least(F.floor((F.col("_x") - lo) / F.nullif(w, F.lit(0.0))),
                                          F.lit(bins - 1)).cast("int"))
               .withColumn("bin", F.coalesce("bin", F.lit(0)))
               .groupBy("bin").agg(F.count(F.lit(1)).alias("n")))
     dim = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
-    return (F.broadcast(dim).join(binned, "bin", "left").crossJoin(F.broadcast(stats))
-            .select("bin", (F.col("lo") + F.col("bin") * w).alias("inicio"),
-                    F.when(F.col("bin") == bins - 1, F.col("hi")).otherwise(F.col("lo") + (F.col("bin") + 1) * w).alias("fim"),
-                    F.coalesce("n", F.lit(0)).alias("n"), "media", "mediana"))
+    return (F.broadcast(dim).join(binned, "bin", "left")
+            .select("bin", (lo + F.col("bin") * w).alias("inicio"),
+                    F.when(F.col("bin") == bins - 1, hi).otherwise(lo + (F.col("bin") + 1) * w).alias("fim"),
+                    F.coalesce("n", F.lit(0)).alias("n"), st["media"].alias("media"), med.alias("mediana")))
 
 
 def box_table(df: DataFrame, value: str, group: str = "classificacao_nps") -> DataFrame:
@@ -372,14 +376,24 @@ def qq_points(df: DataFrame, col: str = "nps_score", points: int = 1000) -> Data
     medians mapped through the inverse normal; plus the fitted line."""
     from voxpop.functions.ranks import ranked_values
     r = ranked_values(df, col)
-    n_tot = r.agg(F.sum("n").alias("n_total"))
-    spark = df.sparkSession
-    idx = spark.range(points).select(F.col("id").cast("double").alias("j"))
-    pos = (idx.crossJoin(F.broadcast(n_tot))
+    total = r.agg(F.sum("n")).scalar()
+    # Sample j (0..points-1) takes order statistic i = floor(j (N-1) / (P-1)) + 1.
+    # A value row holds the order statistics (a, b], a = cum_before, b = a + n,
+    # so its samples are the integer range ceil(a (P-1) / (N-1)) <= j <=
+    # floor((b (P-1) - 1) / (N-1)): each row emits its own samples, exactly
+    # ``points`` rows in total, with no join against the position list.
+    p1 = max(points - 1, 1)
+    bounds = r.select(col, F.col("cum_before").cast("bigint").alias("_a"),
+                      (F.col("cum_before") + F.col("n")).cast("bigint").alias("_b"),
+                      (total - 1).cast("bigint").alias("_n1"))
+    # exact integer arithmetic (ceil / floor of non-negative quotients by ``div``)
+    j_lo = F.expr(f"CASE WHEN _n1 = 0 THEN 0L ELSE (_a * {p1}L + _n1 - 1) div _n1 END")
+    j_hi = F.expr(f"least(CASE WHEN _n1 = 0 THEN {points - 1}L ELSE (_b * {p1}L - 1) div _n1 END, {points - 1}L)")
+    hit = (bounds.select(col, j_lo.alias("_jl"), j_hi.alias("_jh"))
+           .filter(F.col("_jl") <= F.col("_jh"))
+           .select(col, F.explode(F.sequence("_jl", "_jh")).alias("j"))
+           .withColumn("n_total", total)
            .withColumn("i", F.floor(F.col("j") * (F.col("n_total") - 1) / max(points - 1, 1)) + 1))
-    # range join of the bounded position list (broadcast) onto the value ranks
-    hit = r.select(col, "cum_before", "n").join(
-        F.broadcast(pos), (F.col("i") > F.col("cum_before")) & (F.col("i") <= F.col("cum_before") + F.col("n")))
     N = F.col("n_total").cast("double")
     m = (F.when(F.col("i") == N, F.pow(F.lit(0.5), 1 / N))
          .when(F.col("i") == 1, 1 - F.pow(F.lit(0.5), 1 / N))

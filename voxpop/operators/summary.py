@@ -214,9 +214,9 @@ def revenue_by(df: DataFrame, key: str, exact_median: bool = True) -> DataFrame:
 def high_value_delayed(df: DataFrame) -> DataFrame:
     """AG13 / F4: orders at or above the 75th percentile of value that were
     delayed — summary and share of high-value orders.  The percentile is a
-    one-row scalar joined to every row (broadcast of one row)."""
-    q75 = exact_quantiles(df, "order_value", [0.75]).select(F.col("q75").alias("_q75"))
-    hv = df.crossJoin(F.broadcast(q75)).filter(F.col("order_value") >= F.col("_q75"))
+    scalar subquery (computed once, used as a value in the filter)."""
+    q75 = exact_quantiles(df, "order_value", [0.75]).select("q75").scalar()
+    hv = df.filter(F.col("order_value") >= q75)
     delayed = F.col("teve_atraso") == 1
     summary = hv.agg(
         F.count(F.lit(1)).alias("total_alto_valor"),
@@ -227,11 +227,9 @@ def high_value_delayed(df: DataFrame) -> DataFrame:
         F.median(F.when(delayed, F.col("delivery_delay_days"))).alias("atraso_mediana"),
         F.avg(F.when(delayed, F.col("delivery_attempts"))).alias("tentativas_medias"),
         F.median(F.when(delayed, F.col("delivery_attempts"))).alias("tentativas_mediana"),
-        F.avg(F.when(delayed, F.col("repeat_purchase_30d"))).alias("recompra_media_30d"),
-        F.first("_q75").alias("q75_order_value"))
-    hvd = hv.filter(delayed)
-    med = exact_quantiles(hvd, "order_value", [0.5]).withColumnRenamed("q50", "valor_mediana")
-    return (summary.crossJoin(med)
+        F.avg(F.when(delayed, F.col("repeat_purchase_30d"))).alias("recompra_media_30d"))
+    med = exact_quantiles(hv.filter(delayed), "order_value", [0.5]).select("q50").scalar()
+    return (summary.withColumn("q75_order_value", q75).withColumn("valor_mediana", med)
             .withColumn("valor_total", F.col("_cents") / F.lit(100.0)).drop("_cents")
             .withColumn("pct_alto_valor_com_atraso",
                         F.try_divide(F.col("alto_valor_com_atraso") * 100.0, F.col("total_alto_valor"))))
@@ -239,9 +237,8 @@ def high_value_delayed(df: DataFrame) -> DataFrame:
 
 def high_value_mix(df: DataFrame) -> DataFrame:
     """AG13: class mix of the delayed high-value orders (all classes listed)."""
-    q75 = exact_quantiles(df, "order_value", [0.75]).select(F.col("q75").alias("_q75"))
-    hvd = (df.crossJoin(F.broadcast(q75))
-           .filter((F.col("order_value") >= F.col("_q75")) & (F.col("teve_atraso") == 1)))
+    q75 = exact_quantiles(df, "order_value", [0.75]).select("q75").scalar()
+    hvd = df.filter((F.col("order_value") >= q75) & (F.col("teve_atraso") == 1))
     dist = nps_distribution(hvd, "floor")
     return dist.select("ordem", "classe", "n", "pct")
 

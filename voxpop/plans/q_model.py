@@ -306,8 +306,8 @@ def ml_attribution(spark, sf):
     attr = XP.row_attributions(model, scored)
     names = FIT.feature_names(scored)
     gap = attr.join(scored.select("order_id", "_margin"), "order_id") \
-        .agg(F.max(F.abs(F.col("raw") - F.col("_margin"))).alias("max_additivity_gap"))
-    return XP.global_importance(attr, names).crossJoin(gap)
+        .agg(F.max(F.abs(F.col("raw") - F.col("_margin")))).scalar()
+    return XP.global_importance(attr, names).withColumn("max_additivity_gap", gap)
 
 
 @register("ml_scenarios")
@@ -388,11 +388,12 @@ def ml_risk_queue(spark, sf):
 FROM d, m, a"""), "nps_oficial mae auc")
 def verdicts(spark, sf):
     """P20: official-NPS, MAE and AUC verdicts (MAE/AUC of the given score)."""
-    dist = S.nps_distribution(load_base(spark, sf), "floor").select("nps_oficial").limit(1)
+    # the official NPS is the same on every class row; it and the AUC are scalars
+    nps = S.nps_distribution(load_base(spark, sf), "floor").agg(F.max("nps_oficial")).scalar()
+    auc = EV.auc_rank(given(spark, sf)).select("auc").scalar()
     b = load_base(spark, sf).withColumn("prediction", F.col("csat_internal_score"))
     mae = b.agg(F.avg(F.abs(F.col("nps_score") - F.col("prediction"))).alias("mae"))
-    auc = EV.auc_rank(given(spark, sf)).select("auc")
-    return (dist.crossJoin(mae).crossJoin(auc)
+    return (mae.select(nps.alias("nps_oficial"), "mae", auc.alias("auc"))
             .withColumn("leitura_nps", C.nps_verdict("nps_oficial"))
             .withColumn("leitura_mae", C.mae_verdict("mae"))
             .withColumn("leitura_auc", C.auc_verdict("auc")))
