@@ -233,6 +233,29 @@ def test_qq_positions_match_brute_force(spark):
         assert got == want
 
 
+def test_roc_and_sweep_match_brute_force(spark, monkeypatch):
+    import voxpop.functions.ranks as R
+    rows = [(int((i * 37) % 5 < 2), ((i * 7919) % 1009) / 1009.0) for i in range(3000)]
+    rows += [(1, 0.15), (0, 0.15), (1, 0.85), (0, 0.1)]   # scores exactly on thresholds
+    df = spark.createDataFrame(rows, "label int, score double")
+    P = sum(y for y, _ in rows)
+    Nn = len(rows) - P
+    monkeypatch.setattr(R, "SINGLE_WINDOW_MAX_DISTINCT", 0)   # force the bucketed running sums
+    monkeypatch.setattr(R, "MIN_BUCKETS", 16)
+    got = {r["threshold"]: (r["tpr"], r["fpr"]) for r in EV.roc_points(df).collect()}
+    assert got[None] == (0.0, 0.0)
+    for s_ in {sc for _, sc in rows}:
+        tp = sum(1 for y, sc in rows if y == 1 and sc >= s_)
+        fp = sum(1 for y, sc in rows if y != 1 and sc >= s_)
+        assert got[s_] == pytest.approx((tp / P, fp / Nn), abs=1e-12)
+    sweep = {r["t_pct"]: r for r in EV.threshold_sweep(df).collect()}
+    for t in range(10, 90, 5):
+        tp = sum(1 for y, sc in rows if y == 1 and sc >= t / 100.0)
+        fp = sum(1 for y, sc in rows if y != 1 and sc >= t / 100.0)
+        assert (sweep[t]["tp"], sweep[t]["fp"]) == (tp, fp)
+        assert sweep[t]["recall"] == pytest.approx(tp / P, abs=1e-12)
+
+
 def test_repartition_stability(spark):
     vals = [((i * 31) % 17, float((i * 7) % 11)) for i in range(500)]
     base = spark.createDataFrame(vals, "g int, v double")

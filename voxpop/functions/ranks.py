@@ -63,20 +63,31 @@ def frequencies(df: DataFrame, value: str, by=(), weight: str | None = None) ->
 
 
 def cumulative(freq: DataFrame, value: str, by=(), bounded: bool = True,
-               buckets: int | None = None) -> DataFrame:
+               buckets: int | None = None, also=()) -> DataFrame:
     """Adds ``cum_before`` (count of smaller values in the group), ``total``
-    (count in the group) and ``avg_rank`` = cum_before + (n + 1) / 2."""
+    (count in the group) and ``avg_rank`` = cum_before + (n + 1) / 2.
+    Each column ``c`` of ``also`` gets the same running sum as
+    ``cum_before_<c>`` (sum over smaller values) and ``total_<c>``."""
     by = list(by)
+    sums = ["n"] + [c for c in also if c != "n"]
+
+    def before_name(c):
+        return "cum_before" if c == "n" else f"cum_before_{c}"
+
+    def total_name(c):
+        return "total" if c == "n" else f"total_{c}"
     before = Window.unboundedPreceding, -1
     if bounded:
         w = Window.partitionBy(*by).orderBy(value)
-        out = (freq.withColumn("cum_before", F.coalesce(F.sum("n").over(w.rowsBetween(*before)), F.lit(0)))
-               .withColumn("total", F.sum("n").over(Window.partitionBy(*by))))
+        out = freq
+        for c in sums:
+            out = (out.withColumn(before_name(c), F.coalesce(F.sum(c).over(w.rowsBetween(*before)), F.lit(0)))
+                   .withColumn(total_name(c), F.sum(c).over(Window.partitionBy(*by))))
     else:
         # one small job decides: few distinct values -> single window per group
         d = freq.agg(F.approx_count_distinct(value).alias("d")).first()["d"] or 0
         if d <= SINGLE_WINDOW_MAX_DISTINCT:
-            return cumulative(freq, value, by, True)
+            return cumulative(freq, value, by, True, also=also)
         buckets = buckets or bucket_count(d)
         # order-preserving bucket edges (a bounded array) from approximate quantiles
         edges = freq.agg(F.percentile_approx(F.col(value).cast("double"),
@@ -85,15 +96,17 @@ def cumulative(freq: DataFrame, value: str, by=(), bounded: bool = True,
         splits = [float("-inf")] + sorted(set(e for e in edges if e is not None)) + [float("inf")]
         fb = Bucketizer(splits=splits, inputCol="_v", outputCol="_bucket", handleInvalid="keep") \
             .transform(freq.withColumn("_v", F.col(value).cast("double"))).drop("_v")
-        btot = fb.groupBy(*by, "_bucket").agg(F.sum("n").alias("_bn"))
+        btot = fb.groupBy(*by, "_bucket").agg(*[F.sum(c).alias(f"_b_{c}") for c in sums])
         wb = Window.partitionBy(*by).orderBy("_bucket")
-        btot = (btot.withColumn("_offset", F.coalesce(F.sum("_bn").over(wb.rowsBetween(*before)), F.lit(0)))
-                .withColumn("total", F.sum("_bn").over(Window.partitionBy(*by))))
         wi = Window.partitionBy(*by, "_bucket").orderBy(value)
-        fb = fb.withColumn("_within", F.coalesce(F.sum("n").over(wi.rowsBetween(*before)), F.lit(0)))
-        out = (fb.join(btot, by + ["_bucket"])
-               .withColumn("cum_before", F.col("_offset") + F.col("_within"))
-               .drop("_bucket", "_bn", "_offset", "_within"))
+        for c in sums:
+            btot = (btot.withColumn(f"_off_{c}", F.coalesce(F.sum(f"_b_{c}").over(wb.rowsBetween(*before)), F.lit(0)))
+                    .withColumn(total_name(c), F.sum(f"_b_{c}").over(Window.partitionBy(*by))))
+            fb = fb.withColumn(f"_in_{c}", F.coalesce(F.sum(c).over(wi.rowsBetween(*before)), F.lit(0)))
+        out = fb.join(btot, by + ["_bucket"])
+        for c in sums:
+            out = out.withColumn(before_name(c), F.col(f"_off_{c}") + F.col(f"_in_{c}"))
+        out = out.drop("_bucket", *[f"_{k}_{c}" for c in sums for k in ("b", "off", "in")])
     return out.withColumn("avg_rank", F.col("cum_before") + (F.col("n") + 1) / 2.0)
 
 

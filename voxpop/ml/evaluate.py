@@ -79,15 +79,18 @@ def score_frequencies(scored: DataFrame, y: str = "label", score: str = "score")
 
 
 def roc_points(scored: DataFrame, y: str = "label", score: str = "score") -> DataFrame:
-    """ML18: (fpr, tpr) at every distinct score, descending, plus (0, 0)."""
-    f = score_frequencies(scored, y, score)
-    w = Window.orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
-    tot = Window.partitionBy()
-    pts = f.select(F.col(score).alias("threshold"),
-                   (F.sum("pos").over(w) / F.sum("pos").over(tot)).alias("tpr"),
-                   (F.sum("neg").over(w) / F.sum("neg").over(tot)).alias("fpr"))
+    """ML18: (fpr, tpr) at every distinct score, descending, plus (0, 0).
+    The running positive / negative counts from the top score down come from
+    the distributed cumulative counts over the negated score (bucketed when
+    the scores are many), never from one window over all scores."""
+    f = (score_frequencies(scored, y, score)
+         .withColumn("n", F.col("pos") + F.col("neg")).withColumn("_desc", -F.col(score).cast("double")))
+    r = cumulative(f, "_desc", bounded=False, also=["pos", "neg"])
+    pts = r.select(F.col(score).cast("double").alias("threshold"),
+                   ((F.col("cum_before_pos") + F.col("pos")) / F.col("total_pos")).alias("tpr"),
+                   ((F.col("cum_before_neg") + F.col("neg")) / F.col("total_neg")).alias("fpr"))
     origin = scored.sparkSession.createDataFrame([(None, 0.0, 0.0)], "threshold double, tpr double, fpr double")
-    return pts.select(F.col("threshold").cast("double"), "tpr", "fpr").unionByName(origin)
+    return pts.unionByName(origin)
 
 
 def auc_rank(scored: DataFrame, y: str = "label", score: str = "score") -> DataFrame:
@@ -105,19 +108,29 @@ def auc_rank(scored: DataFrame, y: str = "label", score: str = "score") -> DataF
 def threshold_sweep(scored: DataFrame, y: str = "label", score: str = "score",
                     thresholds_pct=THRESHOLDS_PCT) -> DataFrame:
     """ML16: recall / precision / F1 at thresholds i/100 (predict positive
-    when score >= t): per-score frequency table x broadcast threshold list."""
+    when score >= t).  Histogram + suffix sums: each row gets the number of
+    thresholds it reaches (a fixed comparison chain), positives and negatives
+    are counted per such bucket in one aggregation, and the counts at a
+    threshold are the sums over the buckets from it upward (a window over at
+    most len(thresholds) + 1 rows)."""
     spark = scored.sparkSession
-    f = score_frequencies(scored, y, score)
-    th = spark.createDataFrame([(int(t),) for t in thresholds_pct], "t_pct int") \
+    ts = sorted(int(t) for t in thresholds_pct)
+    reached = sum((F.col(score) >= F.lit(t) / F.lit(100.0)).cast("int") for t in ts)
+    hist = (scored.filter(F.col(score).isNotNull()).groupBy(reached.alias("k"))
+            .agg(F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg")))
+    # threshold number k (1-based, ascending) is reached by buckets >= k
+    th = spark.createDataFrame([(k + 1, t) for k, t in enumerate(ts)], "k int, t_pct int") \
         .withColumn("threshold", F.col("t_pct") / F.lit(100.0))
-    positives = f.agg(F.sum("pos")).scalar()
-    hit = (F.broadcast(th).join(f, F.col(score) >= F.col("threshold"), "left")
-           .groupBy("t_pct", "threshold")
-           .agg(F.coalesce(F.sum("pos"), F.lit(0)).alias("tp"), F.coalesce(F.sum("neg"), F.lit(0)).alias("fp")))
+    positives = hist.agg(F.sum("pos")).scalar()
+    up = Window.orderBy(F.desc("k")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    full = (F.broadcast(th).join(hist, "k", "full")
+            .withColumn("tp", F.sum(F.coalesce("pos", F.lit(0))).over(up))
+            .withColumn("fp", F.sum(F.coalesce("neg", F.lit(0))).over(up))
+            .filter(F.col("t_pct").isNotNull()))
     z = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
-    out = hit.select("t_pct", "threshold", "tp", "fp",
-                     z(F.col("tp").cast("double"), positives).alias("recall"),
-                     z(F.col("tp").cast("double"), F.col("tp") + F.col("fp")).alias("precision"))
+    out = full.select("t_pct", "threshold", "tp", "fp",
+                      z(F.col("tp").cast("double"), positives).alias("recall"),
+                      z(F.col("tp").cast("double"), F.col("tp") + F.col("fp")).alias("precision"))
     return out.withColumn("f1", z(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
 
 
