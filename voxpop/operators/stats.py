@@ -221,7 +221,15 @@ def mann_whitney_pairs(df: DataFrame, value: str, group: str, groups=tuple(NPS_C
     d = df.filter(F.col(group).isin(list(groups)) & F.col(value).isNotNull())
     freq = frequencies(d, value, [group])
     pairs = F.broadcast(_pairs(spark, list(groups)))
-    pf = (freq.join(pairs, (F.col(group) == F.col("g1")) | (F.col(group) == F.col("g2")))
+    # each (group, value) row joins the k-1 pairs holding its group by an
+    # equi-join on the ordered index pair (no disjunctive join condition)
+    k = len(groups)
+    gi = F.create_map(*[x for i, g in enumerate(groups) for x in (F.lit(g), F.lit(i))])[F.col(group)]
+    keyed = (freq.withColumn("_gi", gi).withColumn("_o", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+             .filter(F.col("_o") != F.col("_gi"))
+             .withColumn("i1", F.least("_gi", "_o")).withColumn("i2", F.greatest("_gi", "_o"))
+             .drop("_gi", "_o"))
+    pf = (keyed.join(pairs, ["i1", "i2"])
           .groupBy("g1", "g2", "i1", "i2", value)
           .agg(F.sum(F.when(F.col(group) == F.col("g1"), F.col("n")).otherwise(0)).alias("n1v"),
                F.sum(F.when(F.col(group) == F.col("g2"), F.col("n")).otherwise(0)).alias("n2v"),
