@@ -1,4 +1,5 @@
-"""IO1-IO6: declared-schema CSV read, processed-base fallback, metric table, model persistence."""
+"""IO1-IO6: declared-schema CSV read, processed-base fallback, report tables, metric table,
+model persistence."""
 
 import tempfile
 
@@ -34,3 +35,16 @@ def test_model_save_load(spark):
                          StandardScaler(inputCol="v", outputCol="s")]).fit(df)
     IO.save_model(m, d + "/model")
     assert IO.load_model(d + "/model").transform(df).count() == df.count()
+
+
+def test_write_comparison_tables_round_trip(spark):
+    from voxpop.operators import stats as ST
+    from voxpop.schema import CORR_FULL
+    d = tempfile.mkdtemp(prefix="voxpop-io-")
+    base = IO.load_base(spark, "/root/testdata/sf0.001")
+    tables = {"visao_geral": ST.version_overview(base), "correlacoes": ST.corr_change(base, CORR_FULL)}
+    IO.write_comparison(tables, d)
+    for name, df in tables.items():
+        back = spark.read.option("header", True).schema(df.schema).csv(f"{d}/{name}")
+        assert back.count() == df.count() > 0
+        assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0

@@ -195,7 +195,9 @@ def class_rules(spark, sf):
 SELECT order_id, 'R$ ' || format('{:,.2f}', order_value) AS valor_pedido FROM base"""))
 def currency_report(spark, sf):
     from voxpop.functions import columns as C
-    return load_base(spark, sf).select("order_id", C.currency_brl("order_value").alias("valor_pedido"))
+    # P19 currency text, then P18 select + rename for the report
+    df = load_base(spark, sf).withColumn("_valor", C.currency_brl("order_value"))
+    return FT.select_report(df, {"order_id": "order_id", "_valor": "valor_pedido"})
 
 
 __all__ = ["band_id_sql", "band_label_sql"]
