@@ -48,3 +48,11 @@ def test_write_comparison_tables_round_trip(spark):
         back = spark.read.option("header", True).schema(df.schema).csv(f"{d}/{name}")
         assert back.count() == df.count() > 0
         assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
+
+
+def test_scale_conf_sizes_partitions():
+    from voxpop.session import scale_conf
+    c = scale_conf(100 * 2 ** 40, 8000)            # 100 TiB on 1,000 executors x 8 cores
+    assert int(c["spark.sql.shuffle.partitions"]) == 100_000
+    assert scale_conf(10 * 2 ** 30, 8000)["spark.sql.shuffle.partitions"] == "16000"
+    assert scale_conf(1 << 20, 8)["spark.sql.shuffle.partitions"] == "16"
