@@ -39,3 +39,10 @@ def test_holdout_metrics_shape(spark):
     df = model_frame(load_base(spark, SF), "full_v1")
     m = FIT.holdout_metrics(df, "full_v1", "clf", ["logistic"])
     assert {r["metric"] for r in m.collect()} == {"accuracy", "precision", "recall", "f1", "auc"}
+
+
+def test_regression_holdout_on_model_scores(spark):
+    # metrics aggregate over model output (a non-deterministic plan for Spark)
+    df = model_frame(load_base(spark, SF), "full_v1")
+    m = {r["metric"]: r["value"] for r in FIT.holdout_metrics(df, "full_v1", "reg", ["linear"]).collect()}
+    assert set(m) == {"mae", "rmse", "r2"} and 0 <= m["mae"] <= m["rmse"] and m["r2"] <= 1

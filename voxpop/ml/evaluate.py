@@ -22,12 +22,13 @@ def _long(row: DataFrame, names, model: str | None = None) -> DataFrame:
 
 def regression_metrics(scored: DataFrame, y: str = "nps_score", pred: str = "prediction",
                        model: str | None = None, long: bool = False) -> DataFrame:
-    """MAE, RMSE, R² (R² = 1 - SS_res / SS_tot; the mean of y is a scalar
-    subquery, computed once and used as a value)."""
-    my = scored.agg(F.avg(y)).scalar()
+    """MAE, RMSE, R² in one pass: R² = 1 - SS_res / SS_tot with
+    SS_tot = n * var_pop(y) (Spark's variance merges partial moments, so it
+    stays numerically stable without a separate pass for the mean)."""
     e = F.col(y) - F.col(pred)
+    ss_tot = F.var_pop(F.col(y)) * F.count(F.col(y))
     row = scored.agg(F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
-                     (1 - F.sum(e * e) / F.nullif(F.sum((F.col(y) - my) ** 2), F.lit(0.0))).alias("r2"),
+                     (1 - F.sum(e * e) / F.nullif(ss_tot, F.lit(0.0))).alias("r2"),
                      F.count(F.lit(1)).alias("n"))
     return _long(row, ["mae", "rmse", "r2"], model) if long else row
 
