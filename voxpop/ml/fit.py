@@ -177,7 +177,7 @@ def feature_names(scored_or_model_df: DataFrame, col: str = "features") -> list[
 def importances(model: PipelineModel, df: DataFrame) -> DataFrame:
     """ML20: impurity importances with feature names, ordered."""
     est = model.stages[-1]
-    names = feature_names(model.transform(df.limit(1)))
+    names = feature_names(model.transform(df))  # schema metadata only; no job runs
     vals = est.featureImportances.toArray().tolist()
     spark = df.sparkSession
     rows = [(names[i] if i < len(names) else f"f{i}", float(v)) for i, v in enumerate(vals)]
