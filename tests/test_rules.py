@@ -256,6 +256,23 @@ def test_roc_and_sweep_match_brute_force(spark, monkeypatch):
         assert sweep[t]["recall"] == pytest.approx(tp / P, abs=1e-12)
 
 
+def test_six_stat_profile_both_median_paths(spark, monkeypatch):
+    import voxpop.functions.ranks as R
+    rows = [("abc"[i % 3], (i * 7) % 13, ((i * 7919) % 1009) / 7.0) for i in range(900)]
+    df = spark.createDataFrame(rows, "classificacao_nps string, delivery_delay_days int, money double")
+    pdf = pd.DataFrame(rows, columns=["classificacao_nps", "delivery_delay_days", "money"])
+    monkeypatch.setattr(R, "SINGLE_WINDOW_MAX_DISTINCT", 0)   # money takes the bucketed ranks
+    monkeypatch.setattr(R, "MIN_BUCKETS", 8)
+    got = {(r["classificacao_nps"], r["variable"]): r
+           for r in S.six_stat_profile(df, ["delivery_delay_days", "money"]).collect()}
+    for (g, c), r in got.items():
+        x = pdf.loc[pdf.classificacao_nps == g, c]
+        assert r["count"] == len(x) and r["median"] == pytest.approx(x.median(), abs=1e-12)
+        assert r["mean"] == pytest.approx(x.mean()) and r["std"] == pytest.approx(x.std())
+        assert (r["min"], r["max"]) == (x.min(), x.max())
+    assert len(got) == 6
+
+
 def test_repartition_stability(spark):
     vals = [((i * 31) % 17, float((i * 7) % 11)) for i in range(500)]
     base = spark.createDataFrame(vals, "g int, v double")

@@ -131,27 +131,41 @@ def zero_vs_rest(df: DataFrame) -> DataFrame:
 
 def six_stat_profile(df: DataFrame, cols, by: str = "classificacao_nps") -> DataFrame:
     """count/mean/median/std/min/max of each column by class, long form.
-    Medians of bounded columns come from ``median``; of unbounded ones from
-    the distributed exact quantile (joined on the class)."""
-    from voxpop.functions.ranks import small_domains
+
+    Rows are stacked into (class, variable, value) right after the scan:
+    the moments are five aggregates grouped by (class, variable) and the
+    exact medians come from the distributed ranks over the (class, variable,
+    value) frequency table — a window per (class, variable) over distinct
+    values for small domains, bucketed ranks for a large one.  No value map
+    and no wide aggregation buffer."""
+    from voxpop.functions.ranks import (cumulative, frequencies, quantiles_from_ranks, small_domains)
     base = df.filter(F.col(by).isNotNull())
     small = small_domains(df, cols)
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
-        if small[c]:
-            aggs.append(F.median(x).alias(f"{c}__median"))
-    wide = base.groupBy(by).agg(*aggs)
+
+    def stack(names):
+        return base.select(by, F.explode(F.array(*[F.struct(F.lit(c).alias("variable"),
+                                                            F.col(c).cast("double").alias("v"))
+                                                   for c in names])).alias("s")).select(by, "s.*")
+    v = F.col("v")
+    moments = stack(cols).groupBy(by, "variable").agg(
+        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev(v).alias("std"),
+        F.min(v).alias("min"), F.max(v).alias("max"))
+    keys = [by, "variable"]
+    parts = []
+    local = [c for c in cols if small[c]]
+    if local:
+        ranks = cumulative(frequencies(stack(local), "v", keys), "v", keys, bounded=True)
+        parts.append(quantiles_from_ranks(ranks, "v", [0.5], keys))
     for c in cols:
         if not small[c]:
-            med = exact_quantiles(base, c, [0.5], by=[by], bounded=False).withColumnRenamed("q50", f"{c}__median")
-            wide = wide.join(med, by, "left")
-    structs = [F.struct(F.lit(c).alias("variable"),
-                        *[F.col(f"{c}__{s}").alias(s) for s in ("count", "mean", "median", "std", "min", "max")])
-               for c in cols]
-    return wide.select(by, F.explode(F.array(*structs)).alias("r")).select(by, "r.*")
+            one = stack([c])
+            parts.append(quantiles_from_ranks(cumulative(frequencies(one, "v", keys), "v", keys, bounded=False),
+                                              "v", [0.5], keys))
+    med = parts[0]
+    for p in parts[1:]:
+        med = med.unionByName(p)
+    return (moments.join(med.withColumnRenamed("q50", "median"), keys, "left")
+            .select(by, "variable", "count", "mean", "median", "std", "min", "max"))
 
 
 # --- AG9 / X1 / AG18 ------------------------------------------------------------
