@@ -273,6 +273,18 @@ def test_six_stat_profile_both_median_paths(spark, monkeypatch):
     assert len(got) == 6
 
 
+def test_corr_change_one_pass_and_null_fallback(spark):
+    rows = [(float(i % 11), float((i * 7) % 5) if i % 9 else None, float((i * 3) % 10)) for i in range(300)]
+    pdf = pd.DataFrame(rows, columns=["x", "z", "y"])
+    for cols in (["x"], ["x", "z"]):          # complete columns: one pass; z has NULLs: fallback
+        got = {r["variable"]: r for r in ST.corr_change(spark.createDataFrame(rows, "x double, z double, y double"),
+                                                         cols, "y").collect()}
+        for c in cols:
+            assert got[c]["v1"] == pytest.approx(pdf[c].corr(pdf["y"]), abs=1e-12)
+            v2 = pdf[pdf.y > 0]
+            assert got[c]["v2"] == pytest.approx(v2[c].corr(v2["y"]), abs=1e-12)
+
+
 def test_repartition_stability(spark):
     vals = [((i * 31) % 17, float((i * 7) % 11)) for i in range(500)]
     base = spark.createDataFrame(vals, "g int, v double")

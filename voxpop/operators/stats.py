@@ -71,6 +71,31 @@ def _centred_corr(df: DataFrame, pairs, cols) -> DataFrame:
     return row.selectExpr(*out)
 
 
+def _centred_corr_versions(df: DataFrame, pairs, cols, versions) -> DataFrame | None:
+    """Centred-moment correlations for several row filters ``versions``
+    (``[(tag, sql_condition)]``) in the same two passes: one job for all the
+    means (conditional averages), one pass for all the centred cross
+    products (conditional sums).  One row with ``a__b__<tag>``.  Returns None
+    when a column has NULLs (the caller then uses the pairwise-complete path)."""
+    exprs = []
+    for tag, cond in versions:
+        exprs += [f"count(CASE WHEN {cond} THEN 1 END) AS `__n__{tag}`"]
+        exprs += [f"count(CASE WHEN {cond} THEN {_q(c)} END) AS `{c}__nn__{tag}`" for c in cols]
+        exprs += [f"avg(CASE WHEN {cond} THEN CAST({_q(c)} AS DOUBLE) END) AS `{c}__mean__{tag}`" for c in cols]
+    row = df.selectExpr(*exprs).first()
+    if not all(row[f"{c}__nn__{tag}"] == row[f"__n__{tag}"] for tag, _ in versions for c in cols):
+        return None
+    sums, out = [], []
+    for tag, cond in versions:
+        m = {c: row[f"{c}__mean__{tag}"] for c in cols}
+        d = {c: f"(CAST({_q(c)} AS DOUBLE) - {_dbl(m[c] if m[c] is not None else 0.0)})" for c in cols}
+        sums += [f"sum(CASE WHEN {cond} THEN {d[a]} * {d[b]} END) AS `{a}__{b}__s__{tag}`" for a, b in pairs]
+        sums += [f"sum(CASE WHEN {cond} THEN {d[c]} * {d[c]} END) AS `{c}__ss__{tag}`" for c in cols]
+        out += [f"`{a}__{b}__s__{tag}` / nullif(sqrt(`{a}__ss__{tag}` * `{b}__ss__{tag}`), 0D) AS `{a}__{b}__{tag}`"
+                for a, b in pairs]
+    return df.selectExpr(*sums).selectExpr(*out)
+
+
 def pearson_with(df: DataFrame, variables, target: str = "nps_score") -> DataFrame:
     """(variable, r) of each variable with the target: pairwise-complete safe
     correlation (NULL for a constant column); two-pass centred moments when
@@ -296,14 +321,19 @@ def trend_points(df: DataFrame, x: str = "csat_internal_score", y: str = "nps_sc
 
 def corr_change(df: DataFrame, variables, target: str = "nps_score") -> DataFrame:
     """V1 (all rows) vs V2 (nps > 0) correlations; delta, |delta| and the
-    change verdict.  Each version is one centred-moment pass."""
+    change verdict.  Both versions come from the same two passes
+    (conditional means, then conditional centred cross products)."""
     cols = list(dict.fromkeys(list(variables) + [target]))
     pairs = [(v, target) for v in variables]
-    r1 = _centred_corr(df, pairs, cols).select(*[F.col(f"{v}__{target}").alias(f"{v}__v1") for v in variables])
-    # the V2 row enters as one struct-valued scalar subquery
-    r2 = _centred_corr(df.filter(F.col(target) > 0), pairs, cols) \
-        .select(F.struct(*[F.col(f"{v}__{target}").alias(f"{v}__v2") for v in variables]).alias("v2")).scalar()
-    row = r1.select("*", *[r2[f"{v}__v2"].alias(f"{v}__v2") for v in variables])
+    row = _centred_corr_versions(df, pairs, cols, [("v1", "TRUE"), ("v2", f"{_q(target)} > 0")])
+    if row is None:   # NULLs present: pairwise-complete correlations per version
+        r1 = _centred_corr(df, pairs, cols).select(*[F.col(f"{v}__{target}").alias(f"{v}__{target}__v1")
+                                                     for v in variables])
+        # the V2 row enters as one struct-valued scalar subquery
+        r2 = _centred_corr(df.filter(F.col(target) > 0), pairs, cols) \
+            .select(F.struct(*[F.col(f"{v}__{target}").alias(f"{v}__{target}__v2") for v in variables])).scalar()
+        row = r1.select("*", *[r2[f"{v}__{target}__v2"].alias(f"{v}__{target}__v2") for v in variables])
+    row = row.select(*[F.col(f"{v}__{target}__{t}").alias(f"{v}__{t}") for v in variables for t in ("v1", "v2")])
     out = _inline(row, [{"variable": f"'{v}'", "v1": f"`{v}__v1`", "v2": f"`{v}__v2`"} for v in variables])
     v1, v2 = F.col("v1"), F.col("v2")
     flipped = ((v1 > 0) & (v2 < 0)) | ((v1 < 0) & (v2 > 0))
