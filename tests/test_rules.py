@@ -294,3 +294,22 @@ def test_repartition_stability(spark):
         k = ST.kruskal(df.withColumn("g", F.col("g") % 3), "v", "g").first()["h_stat"]
         outs.append(round(k, 9))
     assert len(set(outs)) == 1
+
+
+def test_repartition_stability_of_ranks_splits_and_sweeps(spark):
+    from voxpop.ml import split as SP
+    rows = [(i, i % 3, (i * 13) % 7, float((i * 31) % 17) / 2, ((i * 7919) % 1009) / 1009.0, int(i % 5 < 2))
+            for i in range(600)]
+    base = spark.createDataFrame(
+        rows, "order_id bigint, cls int, complaints_count int, nps_score double, score double, label int")
+    seen = []
+    for n in (1, 8, 64):
+        df = base.repartition(n)
+        sp = {r["variable"]: round(r["rho"], 12) for r in ST.spearman_stacked(df, ["complaints_count"]).collect()}
+        six = sorted((r["cls"], r["variable"], r["median"], round(r["std"], 12))
+                     for r in S.six_stat_profile(df, ["complaints_count", "score"], by="cls").collect())
+        auc = round(EV.auc_rank(df).first()["auc"], 12)
+        sweep = sorted((r["t_pct"], r["tp"], r["fp"]) for r in EV.threshold_sweep(df).collect())
+        split = sorted((r["order_id"], r["split"]) for r in SP.stratified_split(df, "label").collect())
+        seen.append((sp, six, auc, sweep, split))
+    assert seen[0] == seen[1] == seen[2]
