@@ -1,6 +1,5 @@
 """Spark queries vs their DuckDB oracle on the smallest supplied tables."""
 
-import pytest
 
 FAST = ["dq_profile", "dq_nulls", "dq_range", "dq_key_metrics", "features_v1", "nps_dist_floor", "nps_dist_select",
         "nps_dist_cut", "driver_contacts", "driver_age", "region_summary", "detractor_profile_long", "zero_vs_rest",
