@@ -285,6 +285,24 @@ def test_corr_change_one_pass_and_null_fallback(spark):
             assert got[c]["v2"] == pytest.approx(v2[c].corr(v2["y"]), abs=1e-12)
 
 
+def test_pearson_matrix_gram_and_fallback(spark):
+    import math as _m
+    rows = [(float(i % 7), float((i * 5) % 11), 3.0, float((i * 3) % 13) if i % 10 else None) for i in range(200)]
+    pdf = pd.DataFrame(rows, columns=["a", "b", "c", "z"])
+    df = spark.createDataFrame(rows, "a double, b double, c double, z double")
+    for cols in (["a", "b", "c"], ["a", "b", "z"]):   # complete: Gram path; z has NULLs: fallback
+        got = {(r["x"], r["y"]): r["r"] for r in ST.pearson_matrix(df, cols).collect()}
+        assert len(got) == len(cols) ** 2
+        for x in cols:
+            for y in cols:
+                want = pdf[[x, y]].dropna().corr().iloc[0, 1] if x != y else (1.0 if pdf[x].std() > 0 else None)
+                if want is None or (isinstance(want, float) and _m.isnan(want)):
+                    assert got[(x, y)] is None
+                else:
+                    assert got[(x, y)] == pytest.approx(want, abs=1e-12)
+                assert got[(x, y)] == got[(y, x)]
+
+
 def test_repartition_stability(spark):
     vals = [((i * 31) % 17, float((i * 7) % 11)) for i in range(500)]
     base = spark.createDataFrame(vals, "g int, v double")

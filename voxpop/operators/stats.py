@@ -105,9 +105,40 @@ def pearson_with(df: DataFrame, variables, target: str = "nps_score") -> DataFra
     return _inline(row, [{"variable": f"'{v}'", "r": f"`{v}__{target}`"} for v in variables])
 
 
+def _gram_matrix(df: DataFrame, cols, means) -> DataFrame:
+    """Long (x, y, r) from the centred cross-product (Gram) matrix.  Every
+    row is exploded into k rows keyed by a column index ``a`` carrying its
+    centred value; ``groupBy(a)`` with k sums gives row a of the matrix.  The
+    aggregation buffer stays narrow (k sums per group, inside whole-stage
+    codegen) instead of one buffer of k(k+1)/2 sums; partial aggregation
+    leaves k rows per task."""
+    k = len(cols)
+    d = [(F.col(c).cast("double") - F.lit(float(means[c] if means[c] is not None else 0.0))).alias(f"_d{i}")
+         for i, c in enumerate(cols)]
+    x = df.select(*d)
+    st = x.select("*", F.posexplode(F.array(*[F.col(f"_d{i}") for i in range(k)])).alias("a", "_da"))
+    gram = st.groupBy("a").agg(*[F.sum(F.col("_da") * F.col(f"_d{j}")).alias(f"_s{j}") for j in range(k)])
+    cells = gram.select("a", F.inline(F.array(*[F.struct(F.lit(j).alias("b"), F.col(f"_s{j}").alias("s"))
+                                                  for j in range(k)])))
+    diag = F.max(F.when(F.col("a") == F.col("b"), F.col("s")))
+    ss_a = diag.over(Window.partitionBy("a"))
+    ss_b = F.max(F.when(F.col("a") == F.col("b"), F.col("s"))).over(Window.partitionBy("b"))
+    upper = (cells.withColumn("_ssa", ss_a).withColumn("_ssb", ss_b).filter(F.col("a") <= F.col("b"))
+             .withColumn("r", F.when(F.col("a") == F.col("b"), F.when(F.col("s") > 0, F.lit(1.0)))
+                         .otherwise(F.col("s") / F.nullif(F.sqrt(F.col("_ssa") * F.col("_ssb")), F.lit(0.0)))))
+    mirrored = upper.filter(F.col("a") < F.col("b")).select(F.col("b").alias("a"), F.col("a").alias("b"), "r")
+    names = F.create_map(*[v for i, c in enumerate(cols) for v in (F.lit(i), F.lit(c))])
+    return (upper.select("a", "b", "r").unionByName(mirrored)
+            .select(names[F.col("a")].alias("x"), names[F.col("b")].alias("y"), "r"))
+
+
 def pearson_matrix(df: DataFrame, cols) -> DataFrame:
-    """Long (x, y, r) matrix: each unordered pair computed once in one pass,
-    mirrored, diagonal = 1 for a non-constant column."""
+    """Long (x, y, r) matrix: each unordered pair computed once, mirrored,
+    diagonal = 1 for a non-constant column.  Complete columns use the
+    stacked Gram aggregation; columns with NULLs the pairwise-complete path."""
+    ok, means = _complete(df, cols)
+    if ok:
+        return _gram_matrix(df, cols, means)
     pairs = list(itertools.combinations(cols, 2))
     row = _centred_corr(df, pairs, cols)
     items = []
