@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxpop.llm import decontam, linedup, mixing, topk, urlfilter
+from voxpop.llm import decontam, linedup, mixing, neardup, topk, urlfilter
 from voxpop.llm.textkit import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -72,6 +72,12 @@ def op1(spark, sf_dir):
     return m.select("doc_id", F.expr(DOMAIN).alias("domain"), "lang", "source", F.col("__epoch").alias("epoch"), F.col("__take").alias("take_tokens"), "n_tokens")
 
 
+@query("op3_near_dedup")
+def op3(spark, sf_dir):
+    d = neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return d.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("comp").alias("component_id"), (F.col("doc") == F.col("comp")).alias("kept"))
+
+
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), '%s', '%s'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')" % (UPPER, LOWER)
 
 
