@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxpop.llm import decontam, linedup, mixing, neardup, topk, urlfilter
-from voxpop.llm.textkit import table
+from voxpop.llm import decontam, linedup, mixing, neardup, ngram_lm, topk, urlfilter
+from voxpop.llm.textkit import remainder, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,6 +72,14 @@ def op1(spark, sf_dir):
     return m.select("doc_id", F.expr(DOMAIN).alias("domain"), "lang", "source", F.col("__epoch").alias("epoch"), F.col("__take").alias("take_tokens"), "n_tokens")
 
 
+@query("op2_lm_scoring")
+def op2(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (remainder("doc_id", 7) == 2).alias("held_out"))
+    out = ngram_lm.score_texts(docs, ~F.col("held_out"))
+    return out.select("doc_id", "held_out", *[F.col(f"__{c}").alias(c) for c in ("n_tokens", "n_known", "train_tokens")],
+                      F.col("__base").alias("base_score"), F.col("__score").alias("score"))
+
+
 @query("op3_near_dedup")
 def op3(spark, sf_dir):
     d = neardup.near_duplicates(table(spark, sf_dir, "documents"))
