@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxpop.llm import decontam, linedup, mixing, neardup, ngram_lm, topk, urlfilter
+from voxpop.llm import decontam, langid, linedup, mixing, neardup, ngram_lm, quality, topk, urlfilter
 from voxpop.llm.textkit import remainder, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -125,6 +125,13 @@ def op5(spark, sf_dir):
     return urlfilter.judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query("op6_language_id")
+def op6(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = langid.identify(docs, remainder("doc_id", 5) != 0)
+    return out.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"))
+
+
 _STRIP = r"translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), '%s', '%s')" % (UPPER, LOWER)
 
 
@@ -141,6 +148,17 @@ def op7(spark, sf_dir):
                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+CUT = 0.3
+
+
+@query("op9_quality")
+def op9(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs.where(remainder("doc_id", 5) != 0), table(spark, sf_dir, "labels"), cut_score=CUT)
+    out = quality.score(docs, model).select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), F.col("__score").alias("score"))
+    return out.withColumn("predicted", (F.col("score") >= CUT).cast("int"))
+
+
 @query("op10_top_k", f"""WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
     WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 q AS (SELECT vec_id AS query_id, v AS qv FROM v WHERE vec_id % 20 = 0),
