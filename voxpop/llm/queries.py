@@ -6,10 +6,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxpop.llm import decontam, langid, linedup, mixing, neardup, ngram_lm, quality, topk, urlfilter
+from voxpop.llm import decontam, langid, linedup, mixing, neardup, ngram_lm, pii, quality, topk, urlfilter
 from voxpop.llm.textkit import remainder, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -148,6 +148,21 @@ def op7(spark, sf_dir):
                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def _listed(spans: Column) -> Column:
+    """kind:start:end by start, then kind as listed."""
+    kinds = F.array(*[F.lit(k) for k in pii.KINDS])
+    keyed = F.transform(spans, lambda x: F.struct(x["start"].alias("a"), F.array_position(kinds, x["kind"]).alias("k"), x["end"].alias("b"), x["kind"].alias("kind")))
+    return F.array_join(F.transform(F.array_sort(keyed), lambda x: F.concat_ws(":", x["kind"], x["a"].cast("string"), x["b"].cast("string"))), ",")
+
+
+@query("op8_pii")
+def op8(spark, sf_dir):
+    out = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    of_kind = lambda k: F.size(F.filter("__base", lambda x: x["kind"] == k)).cast("long")
+    counts = [of_kind(k).alias(f"n_{k}") for k in pii.KINDS]
+    return out.select("doc_id", *counts, F.sha2(_listed(F.col("__base")), 256).alias("base_sha256"), _listed(F.concat("__base", "__added")).alias("spans"))
+
+
 CUT = 0.3
 
 
