@@ -20,7 +20,7 @@ from voxpop.session import checkpoint_root
 
 U = np.uint64
 SPACE = bytes([0x20, 9, 10, 11, 12, 13])
-PIECE = 1 << 20  # bytes hashed at a time
+PIECE = 1 << 18  # bytes hashed at a time
 
 
 def _lower_table() -> np.ndarray:
@@ -141,7 +141,7 @@ def word_hashes(col: pa.Array, in_word: np.ndarray = NOT_SPACE, seed: int = 1) -
     return hasher(seed).spans(buf, starts, ends), n
 
 
-def slices(batch: pa.RecordBatch, text: str = "text", max_bytes: int = 8 << 20):
+def slices(batch: pa.RecordBatch, text: str = "text", max_bytes: int = 2 << 20):
     """The batch in row slices of about ``max_bytes`` of text (at least one row)."""
     buf, off = text_buffer(batch.column(text))
     del buf
