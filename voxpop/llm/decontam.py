@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voxpop.llm.textkit import ALNUM, hasher, slices, text_buffer, word_hashes, word_spans
+from voxpop.llm.textkit import ALNUM, hasher, slices, small_batches, text_buffer, word_hashes, word_spans
 
 WINDOW = 10
 
@@ -185,6 +185,7 @@ def match_items(docs: DataFrame, items: DataFrame, text: str = "text", item_id:
     null id counts under the empty id; repeated items are one; empty tables are
     allowed on both sides.  Other columns pass through.
     """
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     autos = [spark.sparkContext.broadcast(SuffixAutomaton(x, window)) for x in shards(items, item_id, item_text, max_words)]
     schema = T.StructType([*docs.schema.fields, T.StructField("__n_words", T.LongType()), T.StructField("__n_hit", T.LongType()),

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voxpop.llm.textkit import saved, slices
+from voxpop.llm.textkit import saved, slices, small_batches
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -209,6 +209,7 @@ def identify(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str =
     Ties go to the language first by name; repeated rows are predicted each; an
     empty table gives an empty one.
     """
+    small_batches(docs.sparkSession)
     from pyspark.sql.pandas.types import to_arrow_schema
     model = docs.sparkSession.sparkContext.broadcast(fit(docs.where(train), doc_id, text, lang, vocabulary, sample, rounds))
     rows = docs.select(doc_id, text)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voxpop.llm.textkit import NOT_SPACE, U, hasher, mix, saved, slices, text_buffer
+from voxpop.llm.textkit import NOT_SPACE, U, hasher, mix, saved, slices, small_batches, text_buffer
 
 MIN_CHARS = 10
 PROBES = 2
@@ -160,6 +160,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     lines; rows that share an id are one document; an empty table gives an
     empty one.  Other columns, whatever their names, pass through.
     """
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     take = docs.select(F.col(doc_id).cast("long").alias("__doc"), F.col(text).alias("__text")).where("__doc is not null")
     bits, log2 = twice_seen(take, "__text", min_chars, bits_per_line, max_bits)

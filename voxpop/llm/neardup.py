@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxpop.llm.graph import components
-from voxpop.llm.textkit import U, mix, saved, slices, word_hashes
+from voxpop.llm.textkit import U, mix, saved, slices, small_batches, word_hashes
 
 SHINGLE = 5
 PERCENT = 75
@@ -164,6 +164,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows that share an id count as one with the greatest of their texts; a null
     id is no document; an empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     length, limit = chunks * width, (errors + 1) * chunks - 1
     rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).where("doc is not null")
     sketched = "doc long, n long, c1 long, c2 long, sig binary"

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxpop.llm.textkit import U, mix, saved, slices, word_hashes
+from voxpop.llm.textkit import U, mix, saved, slices, small_batches, word_hashes
 
 EVEN = U(0xFFFFFFFFFFFFFFFE)
 END, START = U(0x1F123BB5159A55E4), U(0x8B72E5A1D0C94C76)
@@ -185,6 +185,7 @@ def score_texts(docs: DataFrame, train: Column, text: str = "text", weight: floa
     count is 0; repeated rows count and are scored each; an empty table gives
     an empty one.  Other columns pass through.
     """
+    small_batches(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
     counted = docs.where(train).select(text).mapInArrow(_count(text, most), "h long, n int, docs long, total long")
     # bigrams seen once never enter the filter; words all count

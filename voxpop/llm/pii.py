@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voxpop.llm.textkit import slices
+from voxpop.llm.textkit import slices, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 N = len(KINDS) + 1  # label 0: outside
@@ -301,6 +301,7 @@ def find_pii(docs: DataFrame, text: str = "text", least: float = 0.8) -> DataFra
     table gives an empty one and a model without added spans.  Other columns
     pass through.
     """
+    small_batches(docs.sparkSession)
     from pyspark.sql.pandas.types import to_arrow_schema
     counts = (docs.select(text).mapInArrow(_counts(text), "what int, x long, y int, n long")
               .groupBy("what", "x", "y").agg(F.sum("n").alias("n")).collect())  # at most 2^16 shapes by 5 labels

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voxpop.llm.textkit import slices
+from voxpop.llm.textkit import slices, small_batches
 
 LETTERS = bytes(b for b in range(256) if chr(b).isalpha() and b < 128)
 UPPER = bytes(range(65, 91))
@@ -116,6 +116,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     """The model of the labelled rows of ``docs``.  Null labels are no labels; of
     several labels of one document the mean decides; without good or without
     bad rows every score is 0.5."""
+    small_batches(docs.sparkSession)
     marks = (labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("__id"))
              .agg((F.avg(label) >= 0.5).alias("__good")))
     near = docs.select(F.col(doc_id).alias("__id"))
@@ -136,6 +137,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     A null or empty text is scored by its features like any other; repeated rows
     are scored each; an empty table gives an empty one."""
+    small_batches(docs.sparkSession)
     from pyspark.sql.pandas.types import to_arrow_schema
     schema = T.StructType([*docs.schema.fields, T.StructField("__score", T.DoubleType())])
     sent = docs.sparkSession.sparkContext.broadcast(model)

@@ -156,6 +156,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Whole texts travel to Python in Arrow batches of ``rows`` rows: the default
+    of 10,000 holds tens of megabytes several times over in each task.  A session
+    that has set another size keeps it."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(rows))
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared checkpoint folder and read it
     back: later steps and retries after a lost executor start from there."""
