@@ -331,3 +331,12 @@ def test_repartition_stability_of_ranks_splits_and_sweeps(spark):
         split = sorted((r["order_id"], r["split"]) for r in SP.stratified_split(df, "label").collect())
         seen.append((sp, six, auc, sweep, split))
     assert seen[0] == seen[1] == seen[2]
+
+
+def test_t_tail_stays_exact_at_large_df():
+    from voxpop.functions.pvalues import betainc_reg, normal_sf, t_two_sided
+    for t in (0.3, 1.5, 1.96, 5.0):
+        below = betainc_reg(5e5, 0.5, 1e6 / (1e6 + t * t))
+        assert abs(t_two_sided(t, 1e6 + 1) / below - 1) < 1e-5
+        for df in (1.5e11, 1e13):
+            assert abs(t_two_sided(t, df) - 2 * normal_sf(t)) < 1e-9

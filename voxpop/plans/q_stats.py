@@ -10,7 +10,7 @@ from voxpop.operators import stats as ST
 from voxpop.plans.catalog import register
 from voxpop.plans.q_summary import lg, svc
 from voxpop.plans.sqlparts import LOGISTICS_CTE, SERVICE_CTE, safe_corr_sql, with_base
-from voxpop.schema import CORR_DEMO, CORR_FULL, CORR_LOGISTICS, NPS_CLASSES, SPEARMAN_VARS
+from voxpop.schema import CORR_DEMO, CORR_FULL, CORR_LOGISTICS, NPS_CLASSES, SPEARMAN_OPERATIONAL, SPEARMAN_SINGLE
 from voxpop.sources.tables import load_base
 
 D2 = "CAST(2 AS DOUBLE)"
@@ -68,16 +68,30 @@ def _spearman_sql(v, y="nps_score"):
             f"FROM base WHERE {v} IS NOT NULL AND {y} IS NOT NULL) t")
 
 
-@register("spearman_rank", with_base(body="SELECT *, abs(rho) AS impacto_abs FROM (\n"
-                                          + "\nUNION ALL\n".join(_spearman_sql(v) for v in SPEARMAN_VARS) + "\n) s"),
+# the oracle's variables are written out: a wrong list in the schema turns the row red
+_OPERATIONAL_SQL = "\nUNION ALL\n".join(_spearman_sql(v) for v in (
+    "delivery_delay_days", "complaints_count", "customer_service_contacts", "resolution_time_days", "delivery_attempts",
+    "freight_value"))
+_SINGLE_SQL = "\nUNION ALL\n".join(_spearman_sql(v) for v in (
+    "customer_service_contacts", "complaints_count", "resolution_time_days", "csat_internal_score", "customer_age",
+    "customer_tenure_months"))
+
+
+@register("spearman_rank", with_base(body=f"SELECT *, abs(rho) AS impacto_abs FROM (\n{_OPERATIONAL_SQL}\n) s"),
           "rho impacto_abs")
 def spearman_rank(spark, sf):
-    return ST.spearman_table(load_base(spark, sf), SPEARMAN_VARS)
+    return ST.spearman_table(load_base(spark, sf), SPEARMAN_OPERATIONAL)
+
+
+@register("spearman_single", with_base(body=f"SELECT *, abs(rho) AS impacto_abs FROM (\n{_SINGLE_SQL}\n) s"),
+          "rho impacto_abs")
+def spearman_single(spark, sf):
+    return ST.spearman_table(load_base(spark, sf), SPEARMAN_SINGLE)
 
 
 @register("spearman_pvalues")
 def spearman_pvalues(spark, sf):
-    return ST.with_t_pvalue(ST.spearman_table(load_base(spark, sf), SPEARMAN_VARS))
+    return ST.with_t_pvalue(ST.spearman_table(load_base(spark, sf), SPEARMAN_OPERATIONAL))
 
 
 # --- Kruskal-Wallis ----------------------------------------------------------------------

@@ -100,9 +100,12 @@ CORR_LOGISTICS = ["delivery_delay_days", "delivery_time_days", "freight_value",
                   "freight_ratio", "order_value", "items_quantity", "delivery_attempts",
                   "repeat_purchase_30d"]
 
-# Spearman list of operational / profile drivers
-SPEARMAN_VARS = ["customer_service_contacts", "complaints_count", "resolution_time_days",
-                 "csat_internal_score", "customer_age", "customer_tenure_months"]
+# Spearman ranking of the operational variables
+SPEARMAN_OPERATIONAL = ["delivery_delay_days", "complaints_count", "customer_service_contacts",
+                        "resolution_time_days", "delivery_attempts", "freight_value"]
+# Variables whose Spearman correlation is reported one by one
+SPEARMAN_SINGLE = ["customer_service_contacts", "complaints_count", "resolution_time_days",
+                   "csat_internal_score", "customer_age", "customer_tenure_months"]
 
 # Seven logistics columns profiled by class
 LOGISTICS_PROFILE = ["delivery_delay_days", "delivery_time_days", "freight_value",
