@@ -5,6 +5,7 @@ import tempfile
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.sql import functions as F
 
 from voxpop.sources import tables as IO
 
@@ -53,6 +54,22 @@ def test_write_comparison_tables_round_trip(spark):
 def test_scale_conf_sizes_partitions():
     from voxpop.session import scale_conf
     c = scale_conf(100 * 2 ** 40, 8000)            # 100 TiB on 1,000 executors x 8 cores
-    assert int(c["spark.sql.shuffle.partitions"]) == 100_000
+    assert int(c["spark.sql.shuffle.partitions"]) == 409_600
     assert scale_conf(10 * 2 ** 30, 8000)["spark.sql.shuffle.partitions"] == "16000"
     assert scale_conf(1 << 20, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_csv_is_read_by_header_name_and_counts_what_does_not_parse(spark, tmp_path):
+    import pytest
+    base = IO.load_base(spark, "/root/testdata/sf0.001").limit(20)
+    turned = base.select(*reversed(base.columns)).withColumn("items_quantity", F.col("items_quantity").cast("double"))
+    turned.write.option("header", True).csv(str(tmp_path / "turned"))
+    back = IO.read_orders(spark, str(tmp_path / "turned"))
+    assert back.columns == base.columns
+    assert back.exceptAll(base).count() == 0 and base.exceptAll(back).count() == 0
+    assert sum(IO.unparsed_orders(spark, str(tmp_path / "turned")).first()) == 0
+    base.withColumn("customer_age", F.lit("old")).write.option("header", True).csv(str(tmp_path / "text"))
+    assert IO.unparsed_orders(spark, str(tmp_path / "text")).first()["customer_age"] == 20
+    base.drop("nps_score").write.option("header", True).csv(str(tmp_path / "short"))
+    with pytest.raises(ValueError, match="nps_score"):
+        IO.read_orders(spark, str(tmp_path / "short"))

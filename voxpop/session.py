@@ -40,18 +40,17 @@ def get_spark(master: str | None = None, app: str = "voxpop",
     return spark
 
 
-def scale_conf(input_bytes: int, total_cores: int, target_bytes: int = 256 << 20,
-               max_partitions: int = 100_000) -> dict[str, str]:
+def scale_conf(input_bytes: int, total_cores: int, target_bytes: int = 256 << 20) -> dict[str, str]:
     """Shuffle and scan sizing for a cluster run, to pass to the builder.
 
     The largest shuffle here (order lines joined to orders) moves at most
     the scanned columns of the input, so ``input_bytes / target_bytes``
     initial shuffle partitions keep each reducer near ``target_bytes``
-    (at least two per core, at most ``max_partitions``).  AQE then coalesces
+    (at least two per core).  AQE then coalesces
     small partitions toward the same advisory size and splits a skewed one
     (a partition over 4x the target and 5x the median).  Scan splits use
     the same target, so a task's input fits in executor memory."""
-    parts = max(2 * total_cores, min(max_partitions, -(-int(input_bytes) // target_bytes)))
+    parts = max(2 * total_cores, -(-int(input_bytes) // target_bytes))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),

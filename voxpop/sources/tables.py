@@ -26,7 +26,7 @@ from __future__ import annotations
 import hashlib
 import os
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voxpop.schema import ORDERS_NPS_SCHEMA, BASE_COLUMNS
@@ -155,9 +155,14 @@ def load_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def read_orders(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """IO1: base table with the declared schema (no inference)."""
+    """IO1: base table with the declared schema (no inference).
+
+    CSV columns are taken by their header names, in any order; a missing column
+    is an error.  Integers may be written as ``3`` or ``3.0``; text that is no
+    number becomes NULL and is counted by ``unparsed_orders``."""
     if fmt == "csv":
-        df = spark.read.schema(ORDERS_NPS_SCHEMA).option("header", True).csv(path)
+        raw = _orders_text(spark, path)
+        df = raw.select(*[_parsed(f).alias(f.name) for f in ORDERS_NPS_SCHEMA.fields])
     else:
         df = spark.read.schema(ORDERS_NPS_SCHEMA).format(fmt).load(path)
     # NaN is ordered above every number in Spark; treat it as missing
@@ -165,6 +170,31 @@ def read_orders(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
                            for c, t in df.dtypes if t == "double"})
 
 
+def _orders_text(spark: SparkSession, path: str) -> DataFrame:
+    raw = spark.read.option("header", True).csv(path)
+    missing = [c for c in BASE_COLUMNS if c not in raw.columns]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
+    return raw
+
+
+def _parsed(field) -> Column:
+    kind, c = field.dataType.simpleString(), field.name
+    if kind == "string":
+        return F.col(c)
+    if kind == "double":
+        return F.expr(f"try_cast(`{c}` AS DOUBLE)")
+    # as written first: large keys lose digits on the way through DOUBLE
+    return F.expr(f"coalesce(try_cast(`{c}` AS {kind}), try_cast(try_cast(`{c}` AS DOUBLE) AS {kind}))")
+
+
+def unparsed_orders(spark: SparkSession, path: str) -> DataFrame:
+    """One row: per column, how many non-blank CSV values are no number."""
+    raw = _orders_text(spark, path)
+    return raw.agg(*[F.count(F.when((F.trim(F.col(f.name)) != "") & (F.lower(F.trim(F.col(f.name))) != "nan") & _parsed(f).isNull(), 1))
+                     .alias(f.name) for f in ORDERS_NPS_SCHEMA.fields])
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
