@@ -46,3 +46,17 @@ def test_regression_holdout_on_model_scores(spark):
     df = model_frame(load_base(spark, SF), "full_v1")
     m = {r["metric"]: r["value"] for r in FIT.holdout_metrics(df, "full_v1", "reg", ["linear"]).collect()}
     assert set(m) == {"mae", "rmse", "r2"} and 0 <= m["mae"] <= m["rmse"] and m["r2"] <= 1
+
+
+def test_null_region_is_all_zeros_and_null_number_is_named(spark):
+    import pytest
+    df = model_frame(load_base(spark, SF), "ops")
+    holed = df.withColumn("customer_region", F.when(F.col("order_id") % 7 == 0, None).otherwise(F.col("customer_region")))
+    model = FIT.fit(holed, "ops", "label", "logistic")
+    scored = FIT.score(model, holed)
+    assert scored.count() == df.count()
+    zeros = scored.filter("customer_region IS NULL").select(*[F.sum(c).alias(c) for c in scored.columns if c.startswith("customer_region_")]).first()
+    assert len(zeros) == 4 and not any(zeros)
+    broken = df.withColumn("freight_value", F.when(F.col("order_id") % 11 == 0, None).otherwise(F.col("freight_value")))
+    with pytest.raises(ValueError, match="freight_value"):
+        FIT.fit(broken, "ops", "nps_score", "linear")

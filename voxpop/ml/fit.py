@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
@@ -22,24 +22,54 @@ REGRESSORS = ["linear", "ridge", "forest_reg", "gbt_reg"]
 CLASSIFIERS = ["logistic", "forest_clf", "gbt_clf"]
 
 
-def preprocess(num, cat, scale: bool = True, cat_order: str = "frequencyDesc") -> list:
-    """ML3/ML4/ML5: numeric assembler (+ standard scaling), categorical
-    index + one-hot (unknown category -> all zeros), final assembler."""
+def category_labels(df: DataFrame, cat) -> dict[str, list[str]]:
+    """Sorted non-null values of each categorical column (one row per category)."""
+    return {c: sorted(r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().collect()) for c in cat}
+
+
+def dummies(labels: dict[str, list[str]]) -> tuple[SQLTransformer | None, list[str]]:
+    """Drop-first 0/1 columns as a pipeline stage; a NULL or unseen category is
+    all zeros."""
+    quoted = lambda v: "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    cols = [(f"{c}_{v}", f"CASE WHEN `{c}` = {quoted(v)} THEN 1.0D ELSE 0.0D END") for c, vs in labels.items() for v in vs[1:]]
+    if not cols:
+        return None, []
+    listed = ", ".join(f"{expr} AS `{name}`" for name, expr in cols)
+    return SQLTransformer(statement=f"SELECT *, {listed} FROM __THIS__"), [name for name, _ in cols]
+
+
+def refuse_missing(df: DataFrame, num) -> None:
+    """Fail with the columns and counts when a numeric feature is NULL or NaN."""
+    found = df.agg(*[F.count(F.when(F.col(c).isNull() | F.isnan(F.col(c).cast("double")), 1)).alias(c) for c in num]).first()
+    bad = {c: found[c] for c in num if found[c]}
+    if bad:
+        raise ValueError("missing values in features: " + ", ".join(f"{c} ({n} rows)" for c, n in bad.items()))
+
+
+def preprocess(num, cat, scale: bool = True, labels: dict[str, list[str]] | None = None) -> list:
+    """ML3/ML4/ML5: numeric assembler, categories as one-hot, scaling, final
+    assembler.  With ``labels`` (sorted categories) the categories become
+    drop-first dummies and are scaled too, as all columns of that frame are in
+    the study; otherwise frequency-indexed one-hot columns, unscaled, with an
+    unknown or NULL category all zeros."""
     stages, inputs = [], []
-    stages.append(VectorAssembler(inputCols=list(num), outputCol="_num", handleInvalid="keep"))
-    if scale:
-        stages.append(StandardScaler(inputCol="_num", outputCol="_num_s", withMean=True, withStd=True))
-        inputs.append("_num_s")
-    else:
-        inputs.append("_num")
-    if cat:
+
+    def block(cols, name):
+        stages.append(VectorAssembler(inputCols=list(cols), outputCol=name, handleInvalid="error"))
+        if scale:
+            stages.append(StandardScaler(inputCol=name, outputCol=f"{name}_s", withMean=True, withStd=True))
+        inputs.append(f"{name}_s" if scale else name)
+
+    block(num, "_num")
+    if cat and labels is not None:
+        stage, cols = dummies(labels)
+        if stage is not None:
+            stages.append(stage)
+            block(cols, "_cat")
+    elif cat:
         idx = [f"{c}_idx" for c in cat]
         ohe = [f"{c}_ohe" for c in cat]
-        # drop-first dummies (alphabetDesc + dropLast) need no "unknown" slot;
-        # otherwise an unseen category maps to the dropped slot (all zeros)
-        handle = "error" if cat_order == "alphabetDesc" else "keep"
-        stages.append(StringIndexer(inputCols=list(cat), outputCols=idx, handleInvalid=handle,
-                                    stringOrderType=cat_order))
+        stages.append(StringIndexer(inputCols=list(cat), outputCols=idx, handleInvalid="keep", stringOrderType="frequencyDesc"))
         stages.append(OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True))
         inputs += ohe
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
@@ -91,10 +121,11 @@ def fit(train: DataFrame, feature_set: str, label: str, name: str, trees: int =
     """Fit preprocessing + estimator on the training rows only."""
     fnum, fcat = FEATURE_SETS[feature_set]
     num, cat = num or fnum, fcat if cat is None else cat
-    order = "alphabetDesc" if feature_set.startswith("ops") else "frequencyDesc"
+    refuse_missing(train, num)
+    labels = category_labels(train, cat) if feature_set.startswith("ops") else None
     est = estimator(name, label, trees, depth, weight_col=weight_col,
                     reg_param=_reg_param(train, name, label, weight_col, alpha, C))
-    return Pipeline(stages=preprocess(num, cat, scale, order) + [est]).fit(train)
+    return Pipeline(stages=preprocess(num, cat, scale, labels) + [est]).fit(train)
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -105,7 +136,7 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return out
 
 
-def holdout_metrics(df: DataFrame, feature_set: str, task: str, models, trees: int = 20,
+def holdout_metrics(df: DataFrame, feature_set: str, task: str, models, trees: int = 200,
                     weighted: bool = False, version_tag: str | None = None) -> DataFrame:
     """Fit each model on the train split and report test metrics, long form
     ``(model, metric, value)``; classification also reports AUC."""
@@ -138,7 +169,7 @@ def holdout_metrics(df: DataFrame, feature_set: str, task: str, models, trees: i
     return res
 
 
-def cross_validate(df: DataFrame, feature_set: str, task: str, model: str, k: int = 5, trees: int = 20) -> DataFrame:
+def cross_validate(df: DataFrame, feature_set: str, task: str, model: str, k: int = 5, trees: int = 200) -> DataFrame:
     """ML19: k-fold CV (regression: hash folds; classification: stratified
     folds) -> mean and population std of R² (or F1 and AUC) over folds."""
     from voxpop.ml.split import key_hash, stratified_folds

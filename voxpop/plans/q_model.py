@@ -336,12 +336,10 @@ def ml_csat_scenario(spark, sf):
 def _risk_scored(spark, sf, scope="all"):
     """ML24: balanced forest on the demo features scores every row (or only
     the hold-out), risk = P(detractor) * 100."""
-    df = FT.model_frame(load_base(spark, sf), "demo", "select").join(
-        load_base(spark, sf).select("order_id", "delivery_delay_days", "complaints_count",
-                                    "customer_service_contacts").withColumnsRenamed(
-            {"delivery_delay_days": "_d", "complaints_count": "_c", "customer_service_contacts": "_s"}), "order_id")
+    df = FT.model_frame(load_base(spark, sf), "demo", "select").withColumns(
+        {"_d": F.col("delivery_delay_days"), "_c": F.col("complaints_count"), "_s": F.col("customer_service_contacts")})
     split = SP.with_weights(SP.stratified_split(df, "label", 0.75), "label")
-    model = FIT.fit(split.filter("split = 'train'"), "demo", "label", "forest_clf", trees=TREES, depth=12,
+    model = FIT.fit(split.filter("split = 'train'"), "demo", "label", "forest_clf", trees=TREES, depth=30,
                     weight_col="weight", scale=False)
     target = split if scope == "all" else split.filter("split = 'test'")
     return FIT.score(model, target).withColumn("risk_score", F.col("score") * 100) \
