@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voxpop.llm.textkit import NOT_SPACE, U, hasher, mix, saved, slices, small_batches, text_buffer
+from voxpop.llm.textkit import NOT_SPACE, U, free, hasher, mix, saved, slices, small_batches, text_buffer
 
 MIN_CHARS = 10
 PROBES = 2
@@ -119,11 +119,11 @@ def _suspects(doc_id: str, text: str, min_chars: int, filt, log2: int):
     return part
 
 
-def _rebuild(text: str, min_chars: int, schema: pa.Schema):
+def _rebuild(text: str, drop: str, min_chars: int, schema: pa.Schema):
     def part(batches):
         for batch in batches:
             for x in slices(batch, text):
-                drops = x.column("__drops")
+                drops = x.column(drop)
                 texts = x.column(text).to_pylist()
                 n_lines = [1 if t is None else t.count("\n") + 1 for t in texts]
                 n_dropped = [0] * len(texts)
@@ -143,7 +143,7 @@ def _rebuild(text: str, min_chars: int, schema: pa.Schema):
                         g = gone[first[k]:first[k + 1]]
                         n_dropped[i] = int(g.sum())
                         texts[i] = "\n".join(t for t, d in zip(texts[i].split("\n"), g) if not d)
-                cols = [pa.array(texts, pa.string()) if f == text else x.column(f) for f in x.schema.names if f != "__drops"]
+                cols = [pa.array(texts, pa.string()) if f == text else x.column(f) for f in x.schema.names if f != drop]
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip([*cols, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], schema)], schema=schema)
 
     return part
@@ -168,12 +168,13 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     suspects = saved(take.mapInArrow(_suspects("__doc", "__text", min_chars, filt, log2), "h1 long, h2 long, doc long"), "line-suspects")
     repeats = saved(suspects.groupBy("h1", "h2").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
                     .where("first < last").select("h1", "h2", "first"), "line-repeats")
+    own, drop = free("__doc", docs), free("__drops", docs)
     drops = (suspects.join(repeats, ["h1", "h2"]).where("doc > first")
-             .groupBy(F.col("doc").alias("__doc")).agg(F.collect_set("h1").alias("__drops")))
-    joined = docs.withColumn("__doc", F.col(doc_id).cast("long")).join(drops, "__doc", "left").drop("__doc")
+             .groupBy(F.col("doc").alias(own)).agg(F.collect_set("h1").alias(drop)))
+    joined = docs.withColumn(own, F.col(doc_id).cast("long")).join(drops, own, "left").drop(own)
     schema = T.StructType([*docs.schema.fields, T.StructField("__n_lines", T.LongType()), T.StructField("__n_dropped", T.LongType())])
     from pyspark.sql.pandas.types import to_arrow_schema
-    return joined.mapInArrow(_rebuild(text, min_chars, to_arrow_schema(schema)), schema)
+    return joined.mapInArrow(_rebuild(text, drop, min_chars, to_arrow_schema(schema)), schema)
 
 
 def sha256_hex(s: str | None) -> str:

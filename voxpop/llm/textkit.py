@@ -156,6 +156,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free(name: str, df: DataFrame) -> str:
+    """``name``, with underscores behind it until ``df`` has no such column."""
+    while name.lower() in [c.lower() for c in df.columns]:
+        name += "_"
+    return name
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Whole texts travel to Python in Arrow batches of ``rows`` rows: the default
     of 10,000 holds tens of megabytes several times over in each task.  A session
