@@ -109,6 +109,18 @@ def test_words_beyond_the_head_keep_exact_counts(spark, edge):
     assert a == b
 
 
+def test_a_small_filter_keeps_its_bound_and_the_base_score(spark, edge):
+    docs = spark.read.parquet(f"{edge}/documents.parquet").select("doc_id", "text")
+    full, small = ({r["doc_id"]: r for r in ngram_lm.score_texts(docs, F.lit(True), max_bits=m).collect()} for m in (1 << 30, 1 << 9))
+    for i, r in full.items():
+        assert (r["__n_known"], r["__n_tokens"]) == (small[i]["__n_known"], small[i]["__n_tokens"])
+        assert math.isclose(r["__base"], small[i]["__base"], rel_tol=1e-12) and math.isfinite(small[i]["__score"])
+    stats = [{"lv": lv, "k": 1 << (10 - lv), "n": 1 << 10, "bigram": b} for b in (0, 1) for lv in range(10)]
+    for room in (0, 5, 100, 1000, 10**6):
+        of, first = ngram_lm._fitting(stats, 0, 0, room)
+        assert ngram_lm._inserted(of) <= room and (first == 0) == (room == 10**6)
+
+
 def _brute_groups(texts):
     def shingles(t):
         w = _words(t)

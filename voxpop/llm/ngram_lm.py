@@ -9,8 +9,10 @@ parallel and broadcast.  A level stands for the mean count of its n-grams, and
     P(w | v) = weight * min(1, c(v w) / c(v)) + (1 - weight) * (c(w) + 1) / (N + V + 1).
 
 Bounds: the filter holds ``bits`` bits for each inserted (n-gram, level) and at
-most ``max_bits`` in all; the least count of a bigram that is kept starts at
-``min_count`` and doubles until the bound holds.  The exact counts of the most
+most ``max_bits`` in all, words at most half of them.  The least count of a
+bigram that is kept starts at ``min_count``, that of a word at 1, and doubles
+until the bound holds; an n-gram below it counts as unseen in the model (never
+in the base score).  The exact counts of the most
 frequent words (at most ``max_head``) are broadcast too; all other words meet
 their exact counts in a join, so the base score is exact for any vocabulary.
 
@@ -78,9 +80,9 @@ def _count(text: str, most: int):
     return part
 
 
-def _level(n: np.ndarray, bigram: np.ndarray, first: int) -> np.ndarray:
-    """1 + floor(log2) of the count; bigrams start at 2^first."""
-    return np.frexp(n.astype(np.float64))[1] - np.where(bigram, first, 0)
+def _level(n: np.ndarray, bigram: np.ndarray, first: tuple[int, int]) -> np.ndarray:
+    """1 + floor(log2) of the count; words start at 2^first[0], bigrams at 2^first[1]."""
+    return np.frexp(n.astype(np.float64))[1] - np.where(bigram, first[1], first[0])
 
 
 def _positions(h: np.ndarray, level: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
@@ -89,7 +91,7 @@ def _positions(h: np.ndarray, level: np.ndarray, size: np.ndarray) -> list[np.nd
     return [(((a + U(i) * b) & U(0xFFFFFFFF)) * size) >> U(32) for i in range(PROBES)]
 
 
-def _sub_filter(bits: int, start: int):
+def _sub_filter(bits: int, start: tuple[int, int]):
     def group(pdf: pd.DataFrame) -> pd.DataFrame:
         h = pdf["h"].to_numpy().view(U)
         lv = _level(pdf["n"].to_numpy(), (h & U(1)).astype(bool), start)
@@ -175,6 +177,20 @@ def _score(text: str, row: str, model, weight: float):
     return part
 
 
+def _inserted(of: dict[int, tuple[int, int]]) -> int:
+    return sum(lv * k for lv, (k, _) in of.items())
+
+
+def _fitting(stats: list, kind: int, first: int, room: int) -> tuple[dict[int, tuple[int, int]], int]:
+    """Of one kind of n-gram: level -> (how many, their total count), from the least
+    count 2^first on whose insertions fit ``room``; and that ``first``."""
+    while True:
+        of = {r["lv"] - first + 1: (r["k"], r["n"]) for r in stats if r["bigram"] == kind and r["lv"] >= first}
+        if not of or _inserted(of) <= room:
+            return of, first
+        first += 1
+
+
 def score_texts(docs: DataFrame, train: Column, text: str = "text", weight: float = 0.4, bits: int = 8, max_bits: int = 1 << 30,
                 min_count: int = 2, max_head: int = 1 << 20, most: int = 4_000_000) -> DataFrame:
     """``docs`` (without ``text``) with ``__n_tokens``, ``__n_known``, ``__train_tokens``,
@@ -195,18 +211,14 @@ def score_texts(docs: DataFrame, train: Column, text: str = "text", weight: floa
     level = (F.length(F.bin("n")) - 1).alias("lv")  # floor(log2): at most 64 rows for each kind
     stats = grams.groupBy(bigram, level).agg(F.count("*").alias("k"), F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.sum("total").alias("total")).collect()
     total, vocab, n_docs = (sum(r[c] for r in stats if r["bigram"] == 0) for c in ("total", "k", "docs"))
-    words = {r["lv"] + 1: (r["k"], r["n"]) for r in stats if r["bigram"] == 0}
-    first = int(math.log2(min_count))
-    room = max_bits // bits - sum(lv * k for lv, (k, _) in words.items())
-    while True:
-        pairs = {r["lv"] - first + 1: (r["k"], r["n"]) for r in stats if r["bigram"] == 1 and r["lv"] >= first}
-        if sum(lv * k for lv, (k, _) in pairs.items()) <= max(0, room) or not pairs:
-            break
-        first += 1
-    kept = grams.where(f"h & 1 = 0 or n >= {1 << first}").select(F.shiftrightunsigned("h", 64 - SHARD_BITS).cast("int").alias("shard"), "h", "n")
+    room = max_bits // bits
+    words, from_word = _fitting(stats, 0, 0, room // 2)
+    pairs, from_pair = _fitting(stats, 1, int(math.log2(min_count)), room - _inserted(words))
+    first = (from_word, from_pair)
+    kept = grams.where(f"n >= if(h & 1 = 0, {1 << from_word}, {1 << from_pair})").select(F.shiftrightunsigned("h", 64 - SHARD_BITS).cast("int").alias("shard"), "h", "n")
     parts = kept.groupBy("shard").applyInPandas(_sub_filter(bits, first), "shard int, size long, bits binary").collect()
     low = 0  # the least level whose words fit the head
-    while sum(k for lv, (k, _) in words.items() if lv > low) > max_head:
+    while sum(r["k"] for r in stats if r["bigram"] == 0 and r["lv"] >= low) > max_head:
         low += 1
     # at most max_head rows
     head = grams.where(f"h & 1 = 0 and n >= {1 << low}").select("h", "n").toArrow()
