@@ -4,6 +4,7 @@ zero-division metrics, single-class guard, sign flip, residual bands."""
 
 import math
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -162,49 +163,46 @@ def test_pvalue_closed_forms():
     assert t_two_sided(2.0, 10) == pytest.approx(0.0733880347707404, rel=1e-9)
 
 
-def test_exact_quantiles_match_pandas_both_paths(spark, monkeypatch):
-    import voxpop.functions.ranks as R
-    vals = [float((i * 7919) % 1013) / 7 for i in range(2000)] + [3.0] * 700
-    df = spark.createDataFrame([(i % 3, v) for i, v in enumerate(vals)], "g int, v double")
+def test_exact_quantiles_match_pandas(spark):
+    vals = [float((i * 7919) % 1013) / 7 - 40 for i in range(2000)] + [3.0] * 700
+    df = spark.createDataFrame([(i % 3 or None, v) for i, v in enumerate(vals)] + [(5, None)], "g int, v double")
     pdf = pd.DataFrame({"g": [i % 3 for i in range(len(vals))], "v": vals})
     want = pdf.groupby("g")["v"].quantile([0.25, 0.5, 0.75]).unstack()
-    for force_buckets in (False, True):
-        if force_buckets:
-            monkeypatch.setattr(R, "SINGLE_WINDOW_MAX_DISTINCT", 0)
-        got = {r["g"]: r for r in R.exact_quantiles(df, "v", [0.25, 0.5, 0.75], by=["g"], bounded=False).collect()} \
-            if force_buckets else {r["g"]: r for r in exact_quantiles(df, "v", [0.25, 0.5, 0.75], by=["g"]).collect()}
-        for g in range(3):
-            assert got[g]["q25"] == pytest.approx(want.loc[g, 0.25], abs=1e-9)
-            assert got[g]["q50"] == pytest.approx(want.loc[g, 0.5], abs=1e-9)
-            assert got[g]["q75"] == pytest.approx(want.loc[g, 0.75], abs=1e-9)
-
-
-def test_bucketed_ranks_equal_single_window(spark, monkeypatch):
-    import voxpop.functions.ranks as R
-    vals = [float((i * 104729) % 5003) for i in range(6000)]
-    df = spark.createDataFrame([(v,) for v in vals], "v double")
-    a = {r["v"]: r["avg_rank"] for r in ranked_values(df, "v", bounded=True).collect()}
-    monkeypatch.setattr(R, "SINGLE_WINDOW_MAX_DISTINCT", 0)
-    b = {r["v"]: r["avg_rank"] for r in R.ranked_values(df, "v", bounded=False).collect()}
-    assert a == b
-    ranks = pd.Series(vals).rank(method="average")
-    assert all(a[v] == pytest.approx(rk) for v, rk in zip(vals[:200], ranks[:200]))
+    got = {r["g"] or 0: r for r in exact_quantiles(df, "v", [0.25, 0.5, 0.75], by=["g"]).collect()}
+    assert sorted(got) == [0, 1, 2]   # a NULL group is a group; a group without values is none
+    for g in range(3):
+        for q, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)):
+            assert got[g][q] == pytest.approx(want.loc[g, p], abs=1e-9)
+
+
+def test_ranks_of_a_continuous_score_by_group(spark):
+    rng = np.random.default_rng(4)
+    vals = np.concatenate([rng.uniform(0, 10, 100_000), np.round(rng.normal(0, 3, 20_000), 1), np.full(5_000, 7.25), rng.normal(0, 1e-9, 500)])
+    pdf = pd.DataFrame({"g": np.arange(len(vals)) % 2, "nps_score": vals})
+    pdf["rank"] = pdf.groupby("g")["nps_score"].rank(method="average")
+    got = ranked_values(spark.createDataFrame(pdf[["g", "nps_score"]]), "nps_score", by=["g"]).toPandas()
+    both = got.merge(pdf.drop_duplicates(["g", "nps_score"]), on=["g", "nps_score"])
+    assert len(both) == len(got) and (both["avg_rank"] == both["rank"]).all()
+    assert set(got["total"]) == set(pdf.groupby("g").size())
 
 
-def test_bucket_count_grows_with_distinct_values(spark, monkeypatch):
+def test_value_ranges_rise_with_the_value(spark):
     import voxpop.functions.ranks as R
-    assert R.bucket_count(10) == R.MIN_BUCKETS
-    assert R.bucket_count(5_000 * R.BUCKET_TARGET) == 5_000
-    assert R.bucket_count(10 ** 15) == R.MAX_BUCKETS
-    # few large buckets (many distinct values per window) still give exact ranks
-    vals = [float((i * 104729) % 5003) for i in range(6000)]
-    df = spark.createDataFrame([(i % 2, v) for i, v in enumerate(vals)], "g int, v double")
-    a = {(r["g"], r["v"]): r["avg_rank"] for r in ranked_values(df, "v", by=["g"], bounded=True).collect()}
-    monkeypatch.setattr(R, "SINGLE_WINDOW_MAX_DISTINCT", 0)
-    monkeypatch.setattr(R, "BUCKET_TARGET", 100)
-    monkeypatch.setattr(R, "MIN_BUCKETS", 2)
-    b = {(r["g"], r["v"]): r["avg_rank"] for r in R.ranked_values(df, "v", by=["g"], bounded=False).collect()}
-    assert a == b
+    edges = [s * m * 2.0 ** e for s in (-1, 1) for e in (-1074, -1022, -30, -1, 0, 1, 9, 52, 1023)
+             for m in (1.0, 1 - 2.0 ** -53, 1 + 2.0 ** -52, 1.5) if m * 2.0 ** e <= 1.7e308]
+    vals = edges + [0.0, -0.0, float("inf"), float("-inf"), float("nan")] + [i / 100 for i in range(-300, 5000, 7)]
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
+    rows = df.select("v", R.value_range("v").alias("r")).orderBy("v").collect()
+    ranges = [x["r"] for x in rows]
+    assert ranges == sorted(ranges) and None not in ranges
+    cents = {x["v"]: x["r"] for x in rows if 1.05 < x["v"] < 50 and x["v"] == round(x["v"], 2)}
+    assert len(set(cents.values())) == len(cents) > 600
+
+
+def test_quantile_plan_has_no_value_map_and_ranks_only_ranges(spark):
+    df = spark.range(1000).withColumn("v", F.rand(1))
+    plan = exact_quantiles(df, "v", [0.5])._jdf.queryExecution().executedPlan().toString()
+    assert "percentile" not in plan and "SortMergeJoin" not in plan
 
 
 def test_stacked_spearman_equals_single_and_pandas(spark):
@@ -233,15 +231,12 @@ def test_qq_positions_match_brute_force(spark):
         assert got == want
 
 
-def test_roc_and_sweep_match_brute_force(spark, monkeypatch):
-    import voxpop.functions.ranks as R
+def test_roc_and_sweep_match_brute_force(spark):
     rows = [(int((i * 37) % 5 < 2), ((i * 7919) % 1009) / 1009.0) for i in range(3000)]
     rows += [(1, 0.15), (0, 0.15), (1, 0.85), (0, 0.1)]   # scores exactly on thresholds
     df = spark.createDataFrame(rows, "label int, score double")
     P = sum(y for y, _ in rows)
     Nn = len(rows) - P
-    monkeypatch.setattr(R, "SINGLE_WINDOW_MAX_DISTINCT", 0)   # force the bucketed running sums
-    monkeypatch.setattr(R, "MIN_BUCKETS", 16)
     got = {r["threshold"]: (r["tpr"], r["fpr"]) for r in EV.roc_points(df).collect()}
     assert got[None] == (0.0, 0.0)
     for s_ in {sc for _, sc in rows}:
@@ -256,13 +251,10 @@ def test_roc_and_sweep_match_brute_force(spark, monkeypatch):
         assert sweep[t]["recall"] == pytest.approx(tp / P, abs=1e-12)
 
 
-def test_six_stat_profile_both_median_paths(spark, monkeypatch):
-    import voxpop.functions.ranks as R
+def test_six_stat_profile_matches_pandas(spark):
     rows = [("abc"[i % 3], (i * 7) % 13, ((i * 7919) % 1009) / 7.0) for i in range(900)]
     df = spark.createDataFrame(rows, "classificacao_nps string, delivery_delay_days int, money double")
     pdf = pd.DataFrame(rows, columns=["classificacao_nps", "delivery_delay_days", "money"])
-    monkeypatch.setattr(R, "SINGLE_WINDOW_MAX_DISTINCT", 0)   # money takes the bucketed ranks
-    monkeypatch.setattr(R, "MIN_BUCKETS", 8)
     got = {(r["classificacao_nps"], r["variable"]): r
            for r in S.six_stat_profile(df, ["delivery_delay_days", "money"]).collect()}
     for (g, c), r in got.items():

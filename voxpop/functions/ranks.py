@@ -1,58 +1,45 @@
 """Distributed cumulative counts over sorted values: average ranks with ties,
 exact quantiles, rank sums.
 
-Nothing here sorts the fact table.  Rows are first reduced to a frequency
-table ``(group..., value, n)`` with a partial aggregation; the running count
-over sorted values is then computed on that table:
-
-* bounded domains (scores with one decimal, small counts, days) — one window
-  per group over the distinct values;
-* unbounded domains (money, ratios) — two levels: distinct values are cut into
-  order-preserving buckets from approximate quantiles (a bounded array of
-  edges), a window per (group, bucket) gives the running count inside the
-  bucket and a window over the per-bucket totals gives the offset.  The bucket
-  count grows with the distinct count (about ``BUCKET_TARGET`` distinct values
-  per bucket), so a bucket stays task-sized at any scale.
-
-Either way the largest window partition is bounded by the number of distinct
-values of one bucket, never by the number of rows.
+Nothing here sorts the fact table, looks at a column's name or size first, or
+runs a job while a plan is built.  Values fall into order-preserving ranges
+(``value_range``: 16,384 ranges an octave of the number), whose number is bounded
+by the type, not by the rows.
+
+* Running counts (``cumulative``): rows are reduced to a frequency table
+  ``(group..., value, n)``; a window per (group, range) counts inside the range
+  and a window over the range totals gives the offset.
+* Quantiles (``exact_quantiles``): range counts straight from the rows (a partial
+  aggregation) name the one or two ranges that hold each order statistic, and
+  only the rows of those ranges are counted by value: no shuffle of fact size.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# Domains known to be small (distinct values bounded independently of rows)
-BOUNDED_COLUMNS = {
-    "nps_score", "csat_internal_score", "customer_age", "customer_tenure_months",
-    "items_quantity", "payment_installments", "delivery_time_days", "delivery_delay_days",
-    "delivery_attempts", "customer_service_contacts", "resolution_time_days",
-    "complaints_count", "repeat_purchase_30d", "score_risco", "label", "y",
-}
-
+from collections.abc import Sequence
 
-# a window partition over at most this many distinct values is cheap for one task
-SINGLE_WINDOW_MAX_DISTINCT = 2_000_000
-# distinct values per bucket in the two-level path, and the bucket-count range
-BUCKET_TARGET = 1_000_000
-MIN_BUCKETS, MAX_BUCKETS = 1024, 65_536
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
+# ranges per octave, and the least binary exponent of a double
+PER_OCTAVE, LEAST_EXPONENT = 1 << 14, -1074
+FIRST = (Window.unboundedPreceding, -1)
 
-def bucket_count(distinct: int) -> int:
-    """Buckets for the two-level running count: ~BUCKET_TARGET distinct
-    values each (the edge array stays a bounded driver-side list)."""
-    need = -(-int(distinct) // BUCKET_TARGET)
-    return max(MIN_BUCKETS, min(MAX_BUCKETS, need))
 
+def value_range(value: str) -> Column:
+    """Number of the range that holds the value, rising with it (NaN last).
 
-def is_bounded(df: DataFrame, col: str) -> bool:
-    if col in BOUNDED_COLUMNS:
-        return True
-    dt = df.schema[col].dataType
-    return isinstance(dt, (T.BooleanType, T.ByteType, T.ShortType))
+    Exponent and leading mantissa bits of the double, by arithmetic.  The formula
+    is continuous across powers of two, so a logarithm that is off in its last
+    digit there gives the same range."""
+    x = F.col(value).cast("double")
+    size = F.abs(x)
+    exponent = F.floor(F.log2(size))
+    inside = F.floor((size / F.pow(F.lit(2.0), exponent.cast("double")) - 1) * PER_OCTAVE)
+    number = (exponent - LEAST_EXPONENT) * PER_OCTAVE + inside + 1
+    top = 1 << 28
+    return (F.when(F.isnan(x), F.lit(top + 1)).when(x == 0, F.lit(0)).when(size == float("inf"), F.signum(x) * top)
+            .otherwise(F.signum(x) * number).cast("long"))
 
 
 def frequencies(df: DataFrame, value: str, by=(), weight: str | None = None) -> DataFrame:
@@ -62,93 +49,82 @@ def frequencies(df: DataFrame, value: str, by=(), weight: str | None = None) ->
             .agg(n.cast("bigint").alias("n")))
 
 
-def cumulative(freq: DataFrame, value: str, by=(), bounded: bool = True,
-               buckets: int | None = None, also=()) -> DataFrame:
+def _range_sums(ranged: DataFrame, by: Sequence[str], sums: dict[str, Column]) -> DataFrame:
+    """(by..., _range) with ``_sum_<c>``, ``_off_<c>`` (sum over lower ranges of
+    the group) and ``total_<c>``."""
+    t = ranged.groupBy(*by, "_range").agg(*[s.cast("bigint").alias(f"_sum_{c}") for c, s in sums.items()])
+    lower = Window.partitionBy(*by).orderBy("_range").rowsBetween(*FIRST)
+    for c in sums:
+        t = (t.withColumn(f"_off_{c}", F.coalesce(F.sum(f"_sum_{c}").over(lower), F.lit(0)))
+             .withColumn(f"total_{c}", F.sum(f"_sum_{c}").over(Window.partitionBy(*by))))
+    return t
+
+
+def _join_ranges(rows: DataFrame, ranges: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``rows`` with the columns of their range; a NULL group is a group."""
+    keys = [*by, "_range"]
+    right = ranges.withColumnsRenamed({k: f"_key_{i}" for i, k in enumerate(keys)})
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        on = on & rows[k].eqNullSafe(right[f"_key_{i}"])
+    return rows.join(right, on).drop(*[f"_key_{i}" for i in range(len(keys))])
+
+
+def cumulative(freq: DataFrame, value: str, by=(), also=()) -> DataFrame:
     """Adds ``cum_before`` (count of smaller values in the group), ``total``
     (count in the group) and ``avg_rank`` = cum_before + (n + 1) / 2.
     Each column ``c`` of ``also`` gets the same running sum as
     ``cum_before_<c>`` (sum over smaller values) and ``total_<c>``."""
     by = list(by)
     sums = ["n"] + [c for c in also if c != "n"]
-
-    def before_name(c):
-        return "cum_before" if c == "n" else f"cum_before_{c}"
-
-    def total_name(c):
-        return "total" if c == "n" else f"total_{c}"
-    before = Window.unboundedPreceding, -1
-    if bounded:
-        w = Window.partitionBy(*by).orderBy(value)
-        out = freq
-        for c in sums:
-            out = (out.withColumn(before_name(c), F.coalesce(F.sum(c).over(w.rowsBetween(*before)), F.lit(0)))
-                   .withColumn(total_name(c), F.sum(c).over(Window.partitionBy(*by))))
-    else:
-        # one small job decides: few distinct values -> single window per group
-        d = freq.agg(F.approx_count_distinct(value).alias("d")).first()["d"] or 0
-        if d <= SINGLE_WINDOW_MAX_DISTINCT:
-            return cumulative(freq, value, by, True, also=also)
-        buckets = buckets or bucket_count(d)
-        # order-preserving bucket edges (a bounded array) from approximate quantiles
-        edges = freq.agg(F.percentile_approx(F.col(value).cast("double"),
-                                             [i / buckets for i in range(1, buckets)], 10 * buckets)
-                         .alias("e")).first()["e"] or []
-        splits = [float("-inf")] + sorted(set(e for e in edges if e is not None)) + [float("inf")]
-        fb = Bucketizer(splits=splits, inputCol="_v", outputCol="_bucket", handleInvalid="keep") \
-            .transform(freq.withColumn("_v", F.col(value).cast("double"))).drop("_v")
-        btot = fb.groupBy(*by, "_bucket").agg(*[F.sum(c).alias(f"_b_{c}") for c in sums])
-        wb = Window.partitionBy(*by).orderBy("_bucket")
-        wi = Window.partitionBy(*by, "_bucket").orderBy(value)
-        for c in sums:
-            btot = (btot.withColumn(f"_off_{c}", F.coalesce(F.sum(f"_b_{c}").over(wb.rowsBetween(*before)), F.lit(0)))
-                    .withColumn(total_name(c), F.sum(f"_b_{c}").over(Window.partitionBy(*by))))
-            fb = fb.withColumn(f"_in_{c}", F.coalesce(F.sum(c).over(wi.rowsBetween(*before)), F.lit(0)))
-        out = fb.join(btot, by + ["_bucket"])
-        for c in sums:
-            out = out.withColumn(before_name(c), F.col(f"_off_{c}") + F.col(f"_in_{c}"))
-        out = out.drop("_bucket", *[f"_{k}_{c}" for c in sums for k in ("b", "off", "in")])
+    ranged = freq.withColumn("_range", value_range(value))
+    ranges = _range_sums(ranged, by, {c: F.sum(c) for c in sums}).drop(*[f"_sum_{c}" for c in sums])
+    below = Window.partitionBy(*by, "_range").orderBy(value).rowsBetween(*FIRST)
+    for c in sums:
+        ranged = ranged.withColumn(f"_in_{c}", F.coalesce(F.sum(c).over(below), F.lit(0)))
+    out = _join_ranges(ranged, ranges, by)
+    for c in sums:
+        out = out.withColumn(f"cum_before_{c}", F.col(f"_off_{c}") + F.col(f"_in_{c}"))
+    out = (out.drop("_range", *[f"_{k}_{c}" for c in sums for k in ("off", "in")])
+           .withColumnsRenamed({"cum_before_n": "cum_before", "total_n": "total"}))
     return out.withColumn("avg_rank", F.col("cum_before") + (F.col("n") + 1) / 2.0)
 
 
-def ranked_values(df: DataFrame, value: str, by=(), bounded: bool | None = None,
-                  weight: str | None = None) -> DataFrame:
+def ranked_values(df: DataFrame, value: str, by=(), weight: str | None = None) -> DataFrame:
     """(by..., value, n, cum_before, total, avg_rank) from raw rows."""
-    if bounded is None:
-        bounded = is_bounded(df, value)
-    return cumulative(frequencies(df, value, by, weight), value, by, bounded)
-
-
-def small_domains(df: DataFrame, cols) -> dict[str, bool]:
-    """One job over the raw rows (HyperLogLog partial aggregates, no
-    shuffle of rows): is each column's distinct count small enough for an
-    exact per-group value map?"""
-    cols = [c for c in dict.fromkeys(cols)]
-    todo = [c for c in cols if not is_bounded(df, c)]
-    out = {c: True for c in cols if c not in todo}
-    if todo:
-        row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in todo]).first()
-        out.update({c: (row[c] or 0) <= SINGLE_WINDOW_MAX_DISTINCT for c in todo})
-    return out
+    return cumulative(frequencies(df, value, by, weight), value, by)
 
 
 def _tag(p: float) -> str:
     return f"{round(p * 100, 6):g}".replace(".", "_")
 
 
-def exact_quantiles(df: DataFrame, value: str, probs, by=(), bounded: bool | None = None) -> DataFrame:
+def _held(p: float, total: str, before: str, n: str) -> tuple[Column, Column, Column]:
+    """Position of a quantile, and whether its lower / upper order statistic is
+    among the ``n`` that follow ``before``."""
+    pos = F.lit(p) * (F.col(total) - 1)
+    hit = lambda i: (F.col(before) <= i) & (i < F.col(before) + F.col(n))
+    return pos, hit(F.floor(pos)), hit(F.ceil(pos))
+
+
+def exact_quantiles(df: DataFrame, value: str, probs, by=()) -> DataFrame:
     """Exact linear-interpolation quantiles (pandas ``quantile`` / Spark
     ``percentile``): one row per group with a column ``q<pct>`` per
-    probability.  Small domains use ``percentile`` (its value map is bounded
-    by the distinct count); large ones the distributed cumulative counts."""
+    probability.  ``by`` are labels (classes, bands, regions, variable names):
+    the named ranges, at most two for each group and probability, are broadcast."""
     by = list(by)
-    if bounded is None or not bounded:
-        bounded = small_domains(df, [value])[value]
-    if bounded:
-        x = F.col(value).cast("double")
-        q = F.percentile(x, F.array(*[F.lit(float(p)) for p in probs]))
-        agg = df.filter(F.col(value).isNotNull()).groupBy(*by).agg(q.alias("_q"))
-        return agg.select(*by, *[F.col("_q")[i].alias(f"q{_tag(p)}") for i, p in enumerate(probs)])
-    return quantiles_from_ranks(cumulative(frequencies(df, value, by), value, by, False), value, probs, by)
+    rows = df.filter(F.col(value).isNotNull()).select(*by, value).withColumn("_range", value_range(value))
+    ranges = _range_sums(rows, by, {"n": F.count(F.lit(1))})
+    named = F.lit(False)
+    for p in probs:
+        _, low, high = _held(p, "total_n", "_off_n", "_sum_n")
+        named = named | low | high
+    ranges = ranges.filter(named).drop("_sum_n")
+    inside = (_join_ranges(rows, F.broadcast(ranges), by)
+              .groupBy(*by, "_range", value, "_off_n", F.col("total_n").alias("total")).agg(F.count(F.lit(1)).alias("n")))
+    below = Window.partitionBy(*by, "_range").orderBy(value).rowsBetween(*FIRST)
+    inside = inside.withColumn("cum_before", F.col("_off_n") + F.coalesce(F.sum("n").over(below), F.lit(0)))
+    return quantiles_from_ranks(inside, value, probs, by)
 
 
 def quantiles_from_ranks(r: DataFrame, value: str, probs, by=()) -> DataFrame:
@@ -156,20 +132,19 @@ def quantiles_from_ranks(r: DataFrame, value: str, probs, by=()) -> DataFrame:
     values at the two order statistics around each position, one grouped
     aggregation (one row per group, a column ``q<pct>`` per probability)."""
     by = list(by)
-    cols = []
-    for p in probs:
-        pos = F.lit(p) * (F.col("total") - 1)
-        lo_i, hi_i = F.floor(pos), F.ceil(pos)
-        hit_lo = (F.col("cum_before") <= lo_i) & (lo_i < F.col("cum_before") + F.col("n"))
-        hit_hi = (F.col("cum_before") <= hi_i) & (hi_i < F.col("cum_before") + F.col("n"))
-        tag = _tag(p)
-        cols += [F.max(F.when(hit_lo, F.col(value).cast("double"))).alias(f"_lo{tag}"),
-                 F.max(F.when(hit_hi, F.col(value).cast("double"))).alias(f"_hi{tag}"),
-                 F.max(pos - lo_i).alias(f"_fr{tag}")]
-    agg = r.groupBy(*by).agg(*cols)
-    outs = []
+    cols, outs = [], []
     for p in probs:
         tag = _tag(p)
+        pos, low, high = _held(p, "total", "cum_before", "n")
+        cols += [F.max(F.when(low, F.col(value).cast("double"))).alias(f"_lo{tag}"),
+                 F.max(F.when(high, F.col(value).cast("double"))).alias(f"_hi{tag}"),
+                 F.max(pos - F.floor(pos)).alias(f"_fr{tag}")]
         lo, hi, fr = F.col(f"_lo{tag}"), F.col(f"_hi{tag}"), F.col(f"_fr{tag}")
         outs.append((lo + (hi - lo) * fr).alias(f"q{tag}"))
-    return agg.select(*by, *outs)
+    return r.groupBy(*by).agg(*cols).select(*by, *outs)
+
+
+def stacked(df: DataFrame, cols: Sequence[str], by=(), name: str = "variable", value: str = "v") -> DataFrame:
+    """(by..., name, value): one row per row and column, values as doubles."""
+    pairs = F.array(*[F.struct(F.lit(c).alias(name), F.col(c).cast("double").alias(value)) for c in cols])
+    return df.select(*by, F.explode(pairs).alias("_s")).select(*by, "_s.*")

@@ -82,11 +82,10 @@ def score_frequencies(scored: DataFrame, y: str = "label", score: str = "score")
 def roc_points(scored: DataFrame, y: str = "label", score: str = "score") -> DataFrame:
     """ML18: (fpr, tpr) at every distinct score, descending, plus (0, 0).
     The running positive / negative counts from the top score down come from
-    the distributed cumulative counts over the negated score (bucketed when
-    the scores are many), never from one window over all scores."""
+    the distributed cumulative counts over the negated score, never from one window over all scores."""
     f = (score_frequencies(scored, y, score)
          .withColumn("n", F.col("pos") + F.col("neg")).withColumn("_desc", -F.col(score).cast("double")))
-    r = cumulative(f, "_desc", bounded=False, also=["pos", "neg"])
+    r = cumulative(f, "_desc", also=["pos", "neg"])
     pts = r.select(F.col(score).cast("double").alias("threshold"),
                    ((F.col("cum_before_pos") + F.col("pos")) / F.col("total_pos")).alias("tpr"),
                    ((F.col("cum_before_neg") + F.col("neg")) / F.col("total_neg")).alias("fpr"))
@@ -98,7 +97,7 @@ def auc_rank(scored: DataFrame, y: str = "label", score: str = "score") -> DataF
     """AUC = (sum of positive ranks - n+(n+ + 1)/2) / (n+ n-), average ranks
     for tied scores (= Mann-Whitney U / (n+ n-))."""
     f = score_frequencies(scored, y, score).withColumn("n", F.col("pos") + F.col("neg"))
-    r = cumulative(f, score, bounded=False)
+    r = cumulative(f, score)
     row = r.agg(F.sum(F.col("pos") * F.col("avg_rank")).alias("R"), F.sum("pos").alias("n_pos"),
                 F.sum("neg").alias("n_neg"))
     npos, nneg = F.col("n_pos").cast("double"), F.col("n_neg").cast("double")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voxpop.functions.ranks import exact_quantiles, stacked
 from voxpop.schema import RANGE_RULES
 
 
@@ -41,44 +42,22 @@ def describe(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -
     Every column is stacked into (column, value) rows right after the scan, so
     the moments are five aggregates grouped by column (a narrow buffer that
     stays inside whole-stage codegen, partial aggregation on the executors)
-    instead of one very wide row.  Quartiles are exact with linear
-    interpolation: columns with a small domain (checked by one HyperLogLog
-    job) are reduced to a (column, value) frequency table and ranked by a
-    window partitioned by column over distinct values; a column with a large
-    domain (ids, money at scale) gets the bucketed distributed ranks instead.
-    No per-column value map is merged in a single task.
-    ``exact=False`` uses ``percentile_approx`` for all."""
-    from voxpop.functions.ranks import (cumulative, exact_quantiles, frequencies, quantiles_from_ranks,
-                                        small_domains)
+    instead of one very wide row.  The exact quartiles of all columns come from
+    the same stack by range counts.  ``exact=False`` uses ``percentile_approx``."""
     cols = cols or _numeric_cols(df)
     probs = [0.25, 0.5, 0.75]
-
-    def stack(names):
-        return (df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("coluna"), F.col(c).cast("double").alias("v"))
-                                              for c in names])).alias("s")).select("s.*"))
+    stack = stacked(df, cols, name="coluna")
     v = F.col("v")
     aggs = [F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev(v).alias("std"),
             F.min(v).alias("min"), F.max(v).alias("max")]
     if not exact:
         aggs.append(F.percentile_approx(v, probs, 10000).alias("_q"))
-    moments = stack(cols).groupBy("coluna").agg(*aggs)
+    moments = stack.groupBy("coluna").agg(*aggs)
     if not exact:
         return moments.select("coluna", "count", "mean", "std", "min",
                               *[F.col("_q")[i].cast("double").alias(n) for i, n in enumerate(("p25", "p50", "p75"))],
                               "max")
-    small = small_domains(df, cols)
-    local = [c for c in cols if small[c]]
-    parts = []
-    if local:
-        ranks = cumulative(frequencies(stack(local), "v", ["coluna"]), "v", ["coluna"], bounded=True)
-        parts.append(quantiles_from_ranks(ranks, "v", probs, ["coluna"]))
-    for c in cols:
-        if c not in local:
-            parts.append(exact_quantiles(df, c, probs, bounded=False).select(F.lit(c).alias("coluna"), "q25", "q50", "q75"))
-    qs = parts[0]
-    for p in parts[1:]:
-        qs = qs.unionByName(p)
-    out = moments.join(qs, "coluna", "left")
+    out = moments.join(exact_quantiles(stack, "v", probs, ["coluna"]), "coluna", "left")
     return out.select("coluna", "count", "mean", "std", "min", F.col("q25").alias("p25"), F.col("q50").alias("p50"),
                       F.col("q75").alias("p75"), "max")
 
@@ -168,7 +147,7 @@ def key_metrics(df: DataFrame) -> DataFrame:
     """DQ8: rows, columns, mean and median NPS, repurchase %."""
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"), F.lit(len(df.columns)).alias("n_cols"),
-        F.avg("nps_score").alias("nps_medio"), F.median("nps_score").alias("nps_mediano"),
+        F.avg("nps_score").alias("nps_medio"), exact_quantiles(df, "nps_score", [0.5]).select("q50").scalar().alias("nps_mediano"),
         (F.avg("repeat_purchase_30d") * 100).alias("pct_recompra"))
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from voxpop.functions import columns as C
 from voxpop.functions.pvalues import (chi2_sf_udf, inverse_normal_udf, normal_two_sided_udf,
                                       t_two_sided_udf)
-from voxpop.functions.ranks import cumulative, exact_quantiles, frequencies, is_bounded
+from voxpop.functions.ranks import cumulative, exact_quantiles, frequencies, ranked_values, stacked
 from voxpop.schema import NPS_CLASSES
 
 
@@ -161,15 +161,8 @@ def top_bottom(corr: DataFrame, k: int = 3, col: str = "r") -> DataFrame:
 # --- ST3 / ST4 ------------------------------------------------------------------------
 
 def spearman(df: DataFrame, x: str, y: str = "nps_score") -> DataFrame:
-    """One row (variable, rho, n): Pearson of average ranks, from the joint
-    (x, y) frequency table weighted by counts."""
-    d = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
-    joint = d.groupBy(x, y).agg(F.count(F.lit(1)).alias("w"))
-    rx = cumulative(joint.groupBy(x).agg(F.sum("w").alias("n")), x, bounded=is_bounded(df, x)) \
-        .select(x, F.col("avg_rank").alias("rx"))
-    ry = cumulative(joint.groupBy(y).agg(F.sum("w").alias("n")), y, bounded=is_bounded(df, y)) \
-        .select(y, F.col("avg_rank").alias("ry"))
-    return _weighted_rho(joint.join(rx, x).join(ry, y), []).select(F.lit(x).alias("variable"), "rho", "n")
+    """One row (variable, rho, n): Pearson of average ranks."""
+    return spearman_stacked(df, [x], y)
 
 
 def _weighted_rho(j: DataFrame, by) -> DataFrame:
@@ -186,29 +179,18 @@ def _weighted_rho(j: DataFrame, by) -> DataFrame:
 
 
 def spearman_stacked(df: DataFrame, variables, y: str = "nps_score") -> DataFrame:
-    """Spearman of several bounded-domain variables with ``y`` in ONE scan.
-
-    Rows are exploded to (variable, x, y) and reduced at once by a partial
-    aggregation to the joint frequency table.  Average ranks come from windows
-    over that table, all partitioned by variable (one shuffle; a window
-    partition holds the distinct (x, y) pairs of one bounded variable):
-    rank(x) = count(rows with value <= x) - (count(x) - 1) / 2, the first
-    term a RANGE running sum, the second a sum over the (variable, x) peers.
-    The moments then aggregate on the same partitioning (no further shuffle).
-    """
-    pairs = F.explode(F.array(*[F.struct(F.lit(v).alias("variable"), F.col(v).cast("double").alias("x"))
-                                for v in variables])).alias("s")
-    stacked = (df.select(pairs, F.col(y).cast("double").alias("y")).select("s.*", "y")
-               .filter(F.col("x").isNotNull() & F.col("y").isNotNull()))
-    joint = stacked.groupBy("variable", "x", "y").agg(F.count(F.lit(1)).alias("w"))
-
-    def avg_rank(c):
-        upto = F.sum("w").over(Window.partitionBy("variable").orderBy(c)
-                               .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-        peers = F.sum("w").over(Window.partitionBy("variable", c))
-        return upto - (peers - 1) / 2.0
-    ranked = joint.withColumn("rx", avg_rank("x")).withColumn("ry", avg_rank("y"))
-    rho = _weighted_rho(ranked, ["variable"])
+    """Spearman of several variables with ``y`` in one scan.
+
+    Rows are stacked to (variable, x, y) and reduced at once by a partial
+    aggregation to the joint frequency table.  The average ranks of x and of y,
+    per variable, come from the distributed cumulative counts over the sums of
+    that table and are joined back to it by value."""
+    rows = stacked(df.withColumn("_y", F.col(y).cast("double")), variables, ["_y"], value="x").withColumnRenamed("_y", "y")
+    joint = rows.filter(F.col("x").isNotNull() & F.col("y").isNotNull()).groupBy("variable", "x", "y").agg(F.count(F.lit(1)).alias("w"))
+    for c in ("x", "y"):
+        rank = cumulative(frequencies(joint, c, ["variable"], "w"), c, ["variable"])
+        joint = joint.join(rank.select("variable", c, F.col("avg_rank").alias(f"r{c}")), ["variable", c])
+    rho = _weighted_rho(joint, ["variable"])
     # every requested variable is reported, also one without any complete row
     names = df.sparkSession.createDataFrame([(v,) for v in variables], "variable string")
     return (F.broadcast(names).join(rho, "variable", "left")
@@ -216,16 +198,8 @@ def spearman_stacked(df: DataFrame, variables, y: str = "nps_score") -> DataFram
 
 
 def spearman_table(df: DataFrame, variables, y: str = "nps_score") -> DataFrame:
-    """ST4: rho per variable, ranked by |rho|.  Bounded-domain variables share
-    one stacked pass; any other variable gets its own (bucketed) rank plan."""
-    variables = list(variables)
-    stacked = [v for v in variables if is_bounded(df, v)] if is_bounded(df, y) else []
-    out = spearman_stacked(df, stacked, y) if stacked else None
-    for v in variables:
-        if v not in stacked:
-            s = spearman(df, v, y)
-            out = s if out is None else out.unionByName(s)
-    return out.withColumn("impacto_abs", F.abs("rho"))
+    """ST3 / ST4: rho per variable and |rho|, by which they are ranked."""
+    return spearman_stacked(df, list(variables), y).withColumn("impacto_abs", F.abs("rho"))
 
 
 def with_t_pvalue(df: DataFrame, r: str = "rho", n: str = "n") -> DataFrame:
@@ -241,7 +215,7 @@ def with_t_pvalue(df: DataFrame, r: str = "rho", n: str = "n") -> DataFrame:
 def kruskal(df: DataFrame, value: str, group: str) -> DataFrame:
     """Kruskal-Wallis H with tie correction; p by chi-square (df = k - 1)."""
     freq = frequencies(df.filter(F.col(group).isNotNull()), value, [group])
-    pooled = cumulative(freq.groupBy(value).agg(F.sum("n").alias("n")), value, bounded=is_bounded(df, value))
+    pooled = cumulative(freq.groupBy(value).agg(F.sum("n").alias("n")), value)
     g = (freq.join(pooled.select(value, "avg_rank", F.col("n").alias("t")), value)
          .groupBy(group).agg(F.sum(F.col("n") * F.col("avg_rank")).alias("R"), F.sum("n").alias("ng")))
     # tie sum and N over the pooled values: one scalar subquery (a struct)
@@ -290,7 +264,7 @@ def mann_whitney_pairs(df: DataFrame, value: str, group: str, groups=tuple(NPS_C
           .agg(F.sum(F.when(F.col(group) == F.col("g1"), F.col("n")).otherwise(0)).alias("n1v"),
                F.sum(F.when(F.col(group) == F.col("g2"), F.col("n")).otherwise(0)).alias("n2v"),
                F.sum("n").alias("n")))
-    r = cumulative(pf, value, by=["g1", "g2", "i1", "i2"], bounded=is_bounded(df, value))
+    r = cumulative(pf, value, by=["g1", "g2", "i1", "i2"])
     s = r.groupBy("g1", "g2", "i1", "i2").agg(
         F.sum(F.col("n1v") * F.col("avg_rank")).alias("R1"), F.sum("n1v").alias("n1"), F.sum("n2v").alias("n2"),
         F.sum(F.col("n1v") * F.col(value)).alias("_s1"), F.sum(F.col("n2v") * F.col(value)).alias("_s2"),
@@ -404,8 +378,6 @@ def histogram(df: DataFrame, col: str = "nps_score", bins: int = 30) -> DataFram
     mean and median markers on every row."""
     spark = df.sparkSession
     x = F.col(col).cast("double")
-    # the median takes the exact path fit for the column's domain (value map
-    # only when the distinct count is bounded)
     med = exact_quantiles(df, col, [0.5]).select("q50").scalar()
     # range and mean: one struct-valued scalar subquery, used as values
     st = df.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"), F.avg(x).alias("media")).alias("s")).scalar()
@@ -443,7 +415,6 @@ def qq_points(df: DataFrame, col: str = "nps_score", points: int = 1000) -> Data
     """Normal Q-Q: ``points`` evenly spaced order statistics (exact values by
     the distributed cumulative counts) against the Filliben order-statistic
     medians mapped through the inverse normal; plus the fitted line."""
-    from voxpop.functions.ranks import ranked_values
     r = ranked_values(df, col)
     total = r.agg(F.sum("n")).scalar()
     # Sample j (0..points-1) takes order statistic i = floor(j (N-1) / (P-1)) + 1.
@@ -489,5 +460,3 @@ def residual_summary(scored: DataFrame, y: str = "nps_score", pred: str = "predi
     return scored.agg(F.avg(F.abs(e)).alias("mae"), F.stddev(e).alias("residuo_std"),
                       F.avg(e).alias("residuo_medio"), F.count(F.lit(1)).alias("n"))
 
-
-__all__ = ["Window"]

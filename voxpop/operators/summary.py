@@ -9,8 +9,7 @@ Plan rules used throughout:
   left join from the fixed label dimension (a few rows, broadcast);
 * shares of total are windows over the already aggregated rows only;
 * money is summed as integer cents (exact, order-independent);
-* medians of bounded columns use ``median``; medians of money use the
-  distributed exact quantile (no per-group value map of unbounded size).
+* medians are the distributed exact quantile (no per-group value map).
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxpop.functions import columns as C
-from voxpop.functions.ranks import exact_quantiles
+from voxpop.functions.ranks import exact_quantiles, stacked
 from voxpop.operators.features import band_dimension
 from voxpop.schema import NPS_CLASSES, PROMOTOR, DETRATOR, SEM_CLASSE, RISK_BANDS
 
@@ -57,10 +56,11 @@ def band_summary(df: DataFrame, band: str, with_median: bool = True,
     count 0, means NULL)."""
     _, bid, _ = C.named_band(band)
     aggs = [F.count("customer_id").alias("qtd_clientes"), F.avg("nps_score").alias("nps_medio")]
-    if with_median:
-        aggs.append(F.median("nps_score").alias("nps_mediano"))
     aggs.append((F.avg(detractor) * 100).alias("pct_detrator"))
-    agg = df.withColumn("band_id", bid).filter(F.col("band_id").isNotNull()).groupBy("band_id").agg(*aggs)
+    banded = df.withColumn("band_id", bid).filter(F.col("band_id").isNotNull())
+    agg = banded.groupBy("band_id").agg(*aggs)
+    if with_median:
+        agg = agg.join(exact_quantiles(banded, "nps_score", [0.5], ["band_id"]).withColumnRenamed("q50", "nps_mediano"), "band_id", "left")
     out = F.broadcast(band_dimension(df.sparkSession, band)).join(agg, "band_id", "left")
     return out.withColumn("qtd_clientes", F.coalesce("qtd_clientes", F.lit(0)))
 
@@ -132,38 +132,16 @@ def zero_vs_rest(df: DataFrame) -> DataFrame:
 def six_stat_profile(df: DataFrame, cols, by: str = "classificacao_nps") -> DataFrame:
     """count/mean/median/std/min/max of each column by class, long form.
 
-    Rows are stacked into (class, variable, value) right after the scan:
-    the moments are five aggregates grouped by (class, variable) and the
-    exact medians come from the distributed ranks over the (class, variable,
-    value) frequency table — a window per (class, variable) over distinct
-    values for small domains, bucketed ranks for a large one.  No value map
-    and no wide aggregation buffer."""
-    from voxpop.functions.ranks import (cumulative, frequencies, quantiles_from_ranks, small_domains)
-    base = df.filter(F.col(by).isNotNull())
-    small = small_domains(df, cols)
-
-    def stack(names):
-        return base.select(by, F.explode(F.array(*[F.struct(F.lit(c).alias("variable"),
-                                                            F.col(c).cast("double").alias("v"))
-                                                   for c in names])).alias("s")).select(by, "s.*")
+    Rows are stacked into (class, variable, value) right after the scan: the
+    moments are five aggregates grouped by (class, variable), the exact medians
+    come from range counts of the same stack."""
+    stack = stacked(df.filter(F.col(by).isNotNull()), cols, [by])
+    keys = [by, "variable"]
     v = F.col("v")
-    moments = stack(cols).groupBy(by, "variable").agg(
+    moments = stack.groupBy(*keys).agg(
         F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev(v).alias("std"),
         F.min(v).alias("min"), F.max(v).alias("max"))
-    keys = [by, "variable"]
-    parts = []
-    local = [c for c in cols if small[c]]
-    if local:
-        ranks = cumulative(frequencies(stack(local), "v", keys), "v", keys, bounded=True)
-        parts.append(quantiles_from_ranks(ranks, "v", [0.5], keys))
-    for c in cols:
-        if not small[c]:
-            one = stack([c])
-            parts.append(quantiles_from_ranks(cumulative(frequencies(one, "v", keys), "v", keys, bounded=False),
-                                              "v", [0.5], keys))
-    med = parts[0]
-    for p in parts[1:]:
-        med = med.unionByName(p)
+    med = exact_quantiles(stack, "v", [0.5], keys)
     return (moments.join(med.withColumnRenamed("q50", "median"), keys, "left")
             .select(by, "variable", "count", "mean", "median", "std", "min", "max"))
 
@@ -216,7 +194,7 @@ def revenue_by(df: DataFrame, key: str, exact_median: bool = True) -> DataFrame:
     repurchase and shares of orders and revenue."""
     base = df.filter(F.col(key).isNotNull())
     agg = base.groupBy(key).agg(*_revenue_aggs())
-    med = exact_quantiles(base, "order_value", [0.5], by=[key], bounded=None) if exact_median else \
+    med = exact_quantiles(base, "order_value", [0.5], by=[key]) if exact_median else \
         base.groupBy(key).agg(F.percentile_approx("order_value", 0.5, 10000).cast("double").alias("q50"))
     out = agg.join(med.withColumnRenamed("q50", "mediana_pedido"), key, "left")
     if key == "teve_atraso":
@@ -225,6 +203,11 @@ def revenue_by(df: DataFrame, key: str, exact_median: bool = True) -> DataFrame:
             .withColumn("participacao_faturamento_pct", _share("faturamento_total")))
 
 
+def _medians(q: DataFrame, names: dict[str, str], by=()) -> DataFrame:
+    """(by..., variable, q50) -> one row per group with a column per variable."""
+    return q.groupBy(*by).agg(*[F.max(F.when(F.col("variable") == c, F.col("q50"))).alias(a) for c, a in names.items()])
+
+
 def high_value_delayed(df: DataFrame) -> DataFrame:
     """AG13 / F4: orders at or above the 75th percentile of value that were
     delayed — summary and share of high-value orders.  The percentile is a
@@ -238,12 +221,12 @@ def high_value_delayed(df: DataFrame) -> DataFrame:
         F.sum(F.when(delayed, F.round(F.col("order_value") * 100).cast("bigint"))).alias("_cents"),
         F.avg(F.when(delayed, F.col("order_value"))).alias("valor_medio"),
         F.avg(F.when(delayed, F.col("delivery_delay_days"))).alias("atraso_medio"),
-        F.median(F.when(delayed, F.col("delivery_delay_days"))).alias("atraso_mediana"),
         F.avg(F.when(delayed, F.col("delivery_attempts"))).alias("tentativas_medias"),
-        F.median(F.when(delayed, F.col("delivery_attempts"))).alias("tentativas_mediana"),
         F.avg(F.when(delayed, F.col("repeat_purchase_30d"))).alias("recompra_media_30d"))
-    med = exact_quantiles(hv.filter(delayed), "order_value", [0.5]).select("q50").scalar()
-    return (summary.withColumn("q75_order_value", q75).withColumn("valor_mediana", med)
+    names = {"order_value": "valor_mediana", "delivery_delay_days": "atraso_mediana", "delivery_attempts": "tentativas_mediana"}
+    med = _medians(exact_quantiles(stacked(hv.filter(delayed), list(names)), "v", [0.5], ["variable"]), names)
+    med = med.select(F.struct(*names.values())).scalar()
+    return (summary.withColumn("q75_order_value", q75).withColumns({c: med[c] for c in names.values()})
             .withColumn("valor_total", F.col("_cents") / F.lit(100.0)).drop("_cents")
             .withColumn("pct_alto_valor_com_atraso",
                         F.try_divide(F.col("alto_valor_com_atraso") * 100.0, F.col("total_alto_valor"))))
@@ -259,7 +242,6 @@ def high_value_mix(df: DataFrame) -> DataFrame:
 
 REGIONAL_AGGS = [
     ("atraso_medio", lambda: F.avg("delivery_delay_days")),
-    ("atraso_mediana", lambda: F.median("delivery_delay_days")),
     ("tempo_entrega_medio", lambda: F.avg("delivery_time_days")),
     ("frete_medio", lambda: F.avg("freight_value")),
     ("peso_medio_frete", lambda: F.avg("freight_ratio")),
@@ -280,8 +262,10 @@ def regional_logistics(df: DataFrame) -> DataFrame:
         n.alias("total_pedidos"), *[f().alias(name) for name, f in REGIONAL_AGGS],
         money_sum("order_value").alias("faturamento_total"),
         *[F.try_divide(F.count_if(F.col("classificacao_nps") == k) * 100.0, nc).alias(k) for k in NPS_CLASSES])
-    med = exact_quantiles(base, "order_value", [0.5], by=["customer_region"])
-    out = agg.join(med.withColumnRenamed("q50", "mediana_pedido"), "customer_region", "left")
+    names = {"order_value": "mediana_pedido", "delivery_delay_days": "atraso_mediana"}
+    by = ["customer_region"]
+    med = _medians(exact_quantiles(stacked(base, list(names), by), "v", [0.5], [*by, "variable"]), names, by)
+    out = agg.join(med, by, "left")
     return (out.withColumn("participacao_faturamento_pct", _share("faturamento_total"))
             .withColumn("participacao_pedidos_pct", _share("total_pedidos")))
 
