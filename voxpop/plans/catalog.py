@@ -49,4 +49,4 @@ def register(name: str, sql: str | None = None, doubles: str | list[str] = ""):
 
 def load_all() -> None:
     # importing the modules registers their queries
-    from voxpop.plans import q_profile, q_summary, q_stats, q_model  # noqa: F401
+    from voxpop.plans import q_io, q_model, q_profile, q_stats, q_summary  # noqa: F401

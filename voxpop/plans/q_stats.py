@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import itertools
+import re
 
 from pyspark.sql import functions as F
 
 from voxpop.operators import stats as ST
 from voxpop.plans.catalog import register
-from voxpop.plans.q_summary import lg, svc
-from voxpop.plans.sqlparts import LOGISTICS_CTE, SERVICE_CTE, safe_corr_sql, with_base
+from voxpop.plans.q_summary import lg
+from voxpop.plans.sqlparts import LOGISTICS_CTE, safe_corr_sql, with_base
 from voxpop.schema import CORR_DEMO, CORR_FULL, CORR_LOGISTICS, NPS_CLASSES, SPEARMAN_OPERATIONAL, SPEARMAN_SINGLE
 from voxpop.sources.tables import load_base
 
@@ -89,7 +90,24 @@ def spearman_single(spark, sf):
     return ST.spearman_table(load_base(spark, sf), SPEARMAN_SINGLE)
 
 
-@register("spearman_pvalues")
+def _simpson(f: str, upto: str, steps: int = 20000) -> str:
+    """Integral of ``f`` (of x) from 0 to ``upto``, by Simpson's rule."""
+    x = f"({upto}) * i / {steps}"
+    return (f"(SELECT ({upto}) / {steps} / 3 * sum(({re.sub(r"\bx\b", x, f)}) * CASE WHEN i = 0 OR i = {steps} THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) "
+            f"FROM range({steps + 1}) AS g(i))")
+
+
+# Student's t by t = sqrt(df) tan(a): its density is proportional to cos(a)^(df - 1)
+_T_DENSITY = "exp((n - 3) * ln(cos(x)))"
+_T_SQL = f"""SELECT variable, rho, n, impacto_abs, t_stat, p AS p_value, CASE WHEN p < 0.05 THEN 'rejeitamos a hipótese nula'
+    WHEN p IS NOT NULL THEN 'não rejeitamos a hipótese nula' END AS leitura
+FROM (SELECT *, greatest(0, 1 - {_simpson(_T_DENSITY, 'a')} / {_simpson(_T_DENSITY, 'top')}) AS p
+      FROM (SELECT *, least(atan(abs(t_stat) / sqrt(n - 2)), top) AS a
+            FROM (SELECT *, rho * sqrt((n - 2) / nullif(1 - rho * rho, 0)) AS t_stat, least(pi() / 2, 40 / sqrt(n - 2)) AS top, abs(rho) AS impacto_abs
+                  FROM (\n{_OPERATIONAL_SQL}\n) r) s) t) u"""
+
+
+@register("spearman_pvalues", with_base(body=_T_SQL), "rho impacto_abs t_stat p_value")
 def spearman_pvalues(spark, sf):
     return ST.with_t_pvalue(ST.spearman_table(load_base(spark, sf), SPEARMAN_OPERATIONAL))
 
@@ -158,7 +176,15 @@ def mwu_delay_stats(spark, sf):
     return ST.mann_whitney_pairs(lg(spark, sf), "delivery_delay_days", "classificacao_nps", with_p=False)
 
 
-@register("mwu_delay")
+_MWU_P_SQL = f"""SELECT * EXCLUDE (p), p AS p_value, least(3 * p, 1) AS p_ajustado, CASE WHEN 3 * p < 0.05 THEN 'Sim' ELSE 'Não' END AS significativo,
+    CASE WHEN 3 * p >= 0.05 THEN 'Não há diferença estatisticamente significativa entre os grupos.'
+         WHEN diferenca_mediana > 0 THEN g1 || ' apresenta mediana de atraso maior que ' || g2 || '.'
+         WHEN diferenca_mediana < 0 THEN g2 || ' apresenta mediana de atraso maior que ' || g1 || '.'
+         ELSE 'Há diferença estatística, mas as medianas são iguais; verificar distribuição e dispersão.' END AS interpretacao
+FROM (SELECT *, greatest(0, 1 - 2 / sqrt(2 * pi()) * {_simpson('exp(-(x) * (x) / 2)', 'least(abs(z), 40)')}) AS p FROM ({_MWU_SQL}) s) t"""
+
+
+@register("mwu_delay", _MWU_P_SQL, "media_1 media_2 mediana_1 mediana_2 diferenca_mediana u_stat z p_value p_ajustado")
 def mwu_delay(spark, sf):
     return ST.mann_whitney_pairs(lg(spark, sf), "delivery_delay_days", "classificacao_nps")
 
@@ -196,19 +222,19 @@ def _corr_change_rows():
     return "\nUNION ALL\n".join(parts)
 
 
-_CC = with_base(f"cc AS ({_corr_change_rows()})", body="""
+CORR_CHANGE_SQL = with_base(f"cc AS ({_corr_change_rows()})", body="""
 SELECT variable, v1, v2, v2 - v1 AS delta, abs(v2 - v1) AS delta_abs,
        CASE WHEN (v1 > 0 AND v2 < 0) OR (v1 < 0 AND v2 > 0) THEN 'inverteu sinal'
             WHEN abs(v2) < abs(v1) THEN 'enfraqueceu' ELSE 'fortaleceu' END AS mudanca
 FROM cc""")
 
 
-@register("corr_change", _CC, "v1 v2 delta delta_abs")
+@register("corr_change", CORR_CHANGE_SQL, "v1 v2 delta delta_abs")
 def corr_change(spark, sf):
     return ST.corr_change(load_base(spark, sf), CORR_FULL)
 
 
-@register("corr_change_top6", f"SELECT * FROM ({_CC}) c ORDER BY delta_abs DESC, variable LIMIT 6",
+@register("corr_change_top6", f"SELECT * FROM ({CORR_CHANGE_SQL}) c ORDER BY delta_abs DESC, variable LIMIT 6",
           "v1 v2 delta delta_abs")
 def corr_change_top6(spark, sf):
     return ST.corr_change(load_base(spark, sf), CORR_FULL).orderBy(F.desc("delta_abs"), "variable").limit(6)
@@ -235,7 +261,10 @@ def _vo_sql():
                      body=rows)
 
 
-@register("version_overview", _vo_sql(), "v1 v2 delta")
+OVERVIEW_SQL = _vo_sql()
+
+
+@register("version_overview", OVERVIEW_SQL, "v1 v2 delta")
 def version_overview(spark, sf):
     return ST.version_overview(load_base(spark, sf))
 
@@ -278,7 +307,21 @@ def box_order_value(spark, sf):
     return ST.box_table(lg(spark, sf), "order_value")
 
 
-@register("qq_points")
+# the normal distribution on a grid of 0.001 (Simpson in each cell), inverted inside a cell by its Taylor series
+_PHI = "exp(-({0}) * ({0}) / 2) / sqrt(2 * pi())"
+_QQ_SQL = with_base(
+    "sv AS (SELECT nps_score AS v, row_number() OVER (ORDER BY nps_score) AS i, count(*) OVER () AS n FROM base WHERE nps_score IS NOT NULL)",
+    "sj AS (SELECT j, j * ((SELECT max(n) FROM sv) - 1) // 999 + 1 AS i FROM range(1000) AS g(j))",
+    """sm AS (SELECT sj.j, sv.i, sv.v, CASE WHEN sv.i = n THEN power(0.5, 1 / CAST(n AS DOUBLE)) WHEN sv.i = 1 THEN 1 - power(0.5, 1 / CAST(n AS DOUBLE))
+                  ELSE (sv.i - CAST(0.3175 AS DOUBLE)) / (n + CAST(0.365 AS DOUBLE)) END AS m FROM sj JOIN sv ON sv.i = sj.i)""",
+    f"""cell AS (SELECT k, x, ({_PHI.format('x')} + 4 * {_PHI.format('x + 0.0005')} + {_PHI.format('x + 0.001')}) / 6000 AS w
+                FROM (SELECT k, CAST(k AS DOUBLE) / 1000 AS x FROM range(-9000, 9000) AS g(k)) q)""",
+    "grid AS (SELECT x, coalesce(sum(w) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM cell)",
+    f"su AS (SELECT sm.*, grid.x, (sm.m - grid.c) / ({_PHI.format('grid.x')}) AS u FROM sm ASOF JOIN grid ON sm.m >= grid.c)",
+    body="SELECT i AS ordem, x + u + x * u * u / 2 + (2 * x * x + 1) * u * u * u / 6 AS teorico, CAST(v AS DOUBLE) AS observado FROM su")
+
+
+@register("qq_points", _QQ_SQL, "teorico observado")
 def qq_points(spark, sf):
     return ST.qq_points(load_base(spark, sf), "nps_score", 1000)
 
@@ -302,5 +345,3 @@ SELECT avg(abs(nps_score - csat_internal_score)) AS mae, stddev_samp(nps_score -
 def residual_summary(spark, sf):
     return ST.residual_summary(load_base(spark, sf).withColumn("prediction", F.col("csat_internal_score")))
 
-
-__all__ = ["svc", "SERVICE_CTE"]
