@@ -1,18 +1,11 @@
 """Spark queries vs their DuckDB oracle on the smallest supplied tables."""
 
 
-FAST = ["dq_profile", "dq_nulls", "dq_range", "dq_key_metrics", "features_v1", "nps_dist_floor", "nps_dist_select",
-        "nps_dist_cut", "driver_contacts", "driver_age", "region_summary", "detractor_profile_long", "zero_vs_rest",
-        "xtab_delay_band", "delay_break", "revenue_by_class", "high_value_delayed", "regional_logistics",
-        "risk_band_summary", "top_risk", "pearson_rank", "pearson_top3", "spearman_rank", "kruskal_region",
-        "kruskal_delay", "mwu_delay_stats", "trend_points", "corr_change", "version_overview", "nps_histogram",
-        "box_order_value", "split_stratified", "folds_stratified", "standardised", "dummies_region", "clf_metrics",
-        "roc_points", "auc_rank", "threshold_sweep", "best_threshold"]
-
-
-def test_oracle_subset(spark):
+def test_every_oracle_of_the_reports(spark):
     from tests.oracle_runner import compare
-    bad = compare(spark, FAST, sf_dir="/root/testdata/sf0.001", verbose=False)
+    from voxpop.plans import catalog
+    catalog.load_all()
+    bad = compare(spark, sorted(catalog.ORACLE), sf_dir="/root/testdata/sf0.001", verbose=False)
     assert bad == []
 
 

@@ -51,19 +51,15 @@ def classification_metrics(scored: DataFrame, y: str = "label", pred: str = "pre
 
 
 def class_report(scored: DataFrame, y: str = "label", pred: str = "prediction") -> DataFrame:
-    """Per-class precision / recall / F1 / support."""
-    out = []
-    for c in (0, 1):
-        yy, pp = F.col(y) == c, F.col(pred) == c
-        row = scored.agg(F.count_if(yy & pp).alias("tp"), F.count_if(~yy & pp).alias("fp"),
-                         F.count_if(yy & ~pp).alias("fn"), F.count_if(yy).alias("support"))
-        z = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
-        row = row.select(F.lit(c).alias("classe"),
-                         z(F.col("tp").cast("double"), F.col("tp") + F.col("fp")).alias("precision"),
-                         z(F.col("tp").cast("double"), F.col("tp") + F.col("fn")).alias("recall"), "support")
-        row = row.withColumn("f1", z(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
-        out.append(row)
-    return out[0].unionByName(out[1])
+    """Per-class precision / recall / F1 / support, one pass."""
+    hit = lambda c: (F.col(y) == c, F.col(pred) == c)
+    row = scored.agg(*[n for c in (0, 1) for yy, pp in [hit(c)]
+                       for n in (F.count_if(yy & pp).alias(f"tp{c}"), F.count_if(pp).alias(f"pp{c}"), F.count_if(yy).alias(f"yy{c}"))])
+    z = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
+    cells = [F.struct(F.lit(c).alias("classe"), z(F.col(f"tp{c}").cast("double"), F.col(f"pp{c}")).alias("precision"),
+                      z(F.col(f"tp{c}").cast("double"), F.col(f"yy{c}")).alias("recall"), F.col(f"yy{c}").alias("support")) for c in (0, 1)]
+    return (row.select(F.inline(F.array(*cells)))
+            .withColumn("f1", z(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall"))))
 
 
 def confusion(scored: DataFrame, y: str = "label", pred: str = "prediction") -> DataFrame:
@@ -121,15 +117,15 @@ def threshold_sweep(scored: DataFrame, y: str = "label", score: str = "score",
     # threshold number k (1-based, ascending) is reached by buckets >= k
     th = spark.createDataFrame([(k + 1, t) for k, t in enumerate(ts)], "k int, t_pct int") \
         .withColumn("threshold", F.col("t_pct") / F.lit(100.0))
-    positives = hist.agg(F.sum("pos")).scalar()
     up = Window.orderBy(F.desc("k")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     full = (F.broadcast(th).join(hist, "k", "full")
             .withColumn("tp", F.sum(F.coalesce("pos", F.lit(0))).over(up))
             .withColumn("fp", F.sum(F.coalesce("neg", F.lit(0))).over(up))
+            .withColumn("_pos", F.sum("pos").over(Window.partitionBy()))
             .filter(F.col("t_pct").isNotNull()))
     z = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
     out = full.select("t_pct", "threshold", "tp", "fp",
-                      z(F.col("tp").cast("double"), positives).alias("recall"),
+                      z(F.col("tp").cast("double"), F.col("_pos")).alias("recall"),
                       z(F.col("tp").cast("double"), F.col("tp") + F.col("fp")).alias("precision"))
     return out.withColumn("f1", z(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
 

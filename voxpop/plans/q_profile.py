@@ -8,8 +8,8 @@ from voxpop.operators import features as FT
 from voxpop.operators import quality as Q
 from voxpop.plans.catalog import register
 from voxpop.plans.sqlparts import (BREAKPOINT_CTE, LOGISTICS_CTE, PROCESSED_CTE, SERVICE_BANDS,
-                                   SERVICE_CTE, band_id_sql, band_label_sql, class_sql,
-                                   detractor_sql, risk_action_sql, risk_points_sql, with_base)
+                                   SERVICE_CTE, class_sql, detractor_sql, risk_action_sql,
+                                   risk_points_sql, with_base)
 from voxpop.schema import BASE_COLUMNS, NUMERIC_COLUMNS, ORDERS_NPS_SCHEMA, RANGE_RULES
 from voxpop.sources.tables import load_base
 
@@ -199,5 +199,3 @@ def currency_report(spark, sf):
     df = load_base(spark, sf).withColumn("_valor", C.currency_brl("order_value"))
     return FT.select_report(df, {"order_id": "order_id", "_valor": "valor_pedido"})
 
-
-__all__ = ["band_id_sql", "band_label_sql"]
