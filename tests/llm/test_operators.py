@@ -121,6 +121,35 @@ def test_a_small_filter_keeps_its_bound_and_the_base_score(spark, edge):
         assert ngram_lm._inserted(of) <= room and (first == 0) == (room == 10**6)
 
 
+def test_score_keeps_every_count_and_any_number_of_groups(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    words = {i: [*_words(t), None] for i, t in _docs(spark, SF).items()}
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in words}
+    grams = [collections.Counter(g for i, x in words.items() if not held[i] for g in f(x)) for f in (list, lambda x: zip([0, *x], x))]
+    n, v, rows = sum(grams[0].values()), len(grams[0]), sum(not h for h in held.values())
+    bits = 64 * sum(k.bit_length() for c in grams for k in c.values())
+    assert list(grams[1].values()).count(1) > len(grams[1]) // 2
+    levels = [collections.defaultdict(list) for _ in grams]
+    for c, lv in zip(grams, levels):
+        for k in c.values():
+            lv[k.bit_length()].append(k)
+    mean = [{k: sum(x) / len(x) for k, x in lv.items()} | {0: 0.0} for lv in levels]
+    count = lambda kind, g: mean[kind][grams[kind][g].bit_length()]
+    train = F.crc32(F.col("doc_id").cast("string")) % 7 != 2
+    # 64 bits an insertion: hardly any false positive; few bits of filter at a time: several passes
+    whole, parts = ({r["doc_id"]: r["__score"] for r in ngram_lm.score_texts(docs, train, bits=64, **k).collect()}
+                    for k in ({"per_shard": 1 << 13}, {"per_shard": 1 << 13, "max_bits": bits // 3}))
+    far = 0
+    for i, x in words.items():
+        score = 0.0
+        for a, b in zip([0, *x], x):
+            c, prev = count(0, b), count(0, a) if a != 0 else rows
+            score += math.log10(0.6 * (c + 1) / (n + v + 1) + 0.4 * min(1.0, count(1, (a, b)) / max(prev, 1.0)))
+        assert math.isclose(parts[i], whole[i], rel_tol=1e-12)
+        far += not math.isclose(whole[i], score, rel_tol=1e-9)
+    assert len(whole) == len(parts) == len(words) and far <= len(words) // 20
+
+
 def _brute_groups(texts):
     def shingles(t):
         w = _words(t)
