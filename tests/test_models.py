@@ -60,3 +60,27 @@ def test_null_region_is_all_zeros_and_null_number_is_named(spark):
     broken = df.withColumn("freight_value", F.when(F.col("order_id") % 11 == 0, None).otherwise(F.col("freight_value")))
     with pytest.raises(ValueError, match="freight_value"):
         FIT.fit(broken, "ops", "nps_score", "linear")
+
+
+def test_registered_ensembles_fit_the_studys_tree_count(spark, monkeypatch):
+    import pytest
+    from voxpop.plans import catalog
+    catalog.load_all()
+
+    class Seen(Exception):
+        pass
+
+    real = FIT.estimator
+
+    def estimator(name, *args, **kw):
+        est = real(name, *args, **kw)
+        if name.startswith(("forest", "gbt")):
+            raise Seen(est.getNumTrees() if name.startswith("forest") else est.getMaxIter())
+        return est
+
+    monkeypatch.setattr(FIT, "estimator", estimator)
+    for q in ("forest_reg", "gbt_reg", "forest_clf", "gbt_clf", "best_model", "best_classifier", "importance", "attribution",
+              "csat_scenario", "risk_bands", "top_risk", "risk_queue"):
+        with pytest.raises(Seen) as seen:
+            catalog.QUERIES[f"ml_{q}"](spark, SF)
+        assert seen.value.args == (200,), q

@@ -3,8 +3,8 @@
 Deterministic operators (splits, folds, weights, scaling, dummies, metrics,
 ROC/AUC, threshold sweep) are checked by SQL on a GIVEN score: a detraction
 probability derived from CSAT, ``(10 - csat) / 10``, against the <=6
-detractor label.  Model fits are rows-only checks (tree counts kept small
-here; the study's values are the library defaults).
+detractor label.  Model fits are rows-only checks with the study's tree counts
+(the library defaults).
 """
 
 from __future__ import annotations
@@ -26,8 +26,6 @@ from voxpop.plans.sqlparts import detractor_sql, with_base
 from voxpop.schema import FEATURES_OPS, THRESHOLDS_PCT
 from voxpop.sources.tables import load_base
 
-TREES = 20  # report-size ensembles; library default is the study's 200
-
 HASH8 = "('0x' || substr(md5(CAST(order_id AS VARCHAR) || '42'), 1, 8))::BIGINT"
 HASH15 = "('0x' || substr(md5(CAST(order_id AS VARCHAR) || '42'), 1, 15))::BIGINT"
 TEST_FRAC = repr(1 - 0.8)
@@ -246,12 +244,12 @@ def ml_ridge(spark, sf):
 
 @register("ml_forest_reg")
 def ml_forest_reg(spark, sf):
-    return FIT.holdout_metrics(frame(spark, sf, "full_v1"), "full_v1", "reg", ["forest_reg"], trees=TREES)
+    return FIT.holdout_metrics(frame(spark, sf, "full_v1"), "full_v1", "reg", ["forest_reg"])
 
 
 @register("ml_gbt_reg")
 def ml_gbt_reg(spark, sf):
-    return FIT.holdout_metrics(frame(spark, sf, "ops"), "ops", "reg", ["gbt_reg"], trees=TREES)
+    return FIT.holdout_metrics(frame(spark, sf, "ops"), "ops", "reg", ["gbt_reg"])
 
 
 @register("ml_logistic")
@@ -266,17 +264,17 @@ def ml_logistic_balanced(spark, sf):
 
 @register("ml_forest_clf")
 def ml_forest_clf(spark, sf):
-    return FIT.holdout_metrics(frame(spark, sf, "full_v1"), "full_v1", "clf", ["forest_clf"], trees=TREES)
+    return FIT.holdout_metrics(frame(spark, sf, "full_v1"), "full_v1", "clf", ["forest_clf"])
 
 
 @register("ml_gbt_clf")
 def ml_gbt_clf(spark, sf):
-    return FIT.holdout_metrics(frame(spark, sf, "ops"), "ops", "clf", ["gbt_clf"], trees=TREES, weighted=True)
+    return FIT.holdout_metrics(frame(spark, sf, "ops"), "ops", "clf", ["gbt_clf"], weighted=True)
 
 
 @register("ml_best_model")
 def ml_best_model(spark, sf):
-    m = FIT.holdout_metrics(frame(spark, sf, "full_v1"), "full_v1", "reg", ["linear", "forest_reg"], trees=TREES)
+    m = FIT.holdout_metrics(frame(spark, sf, "full_v1"), "full_v1", "reg", ["linear", "forest_reg"])
     return EV.best_model(m, "r2", ["linear", "forest_reg"], higher=True)
 
 
@@ -284,7 +282,7 @@ def ml_best_model(spark, sf):
 def ml_best_classifier(spark, sf):
     """SO5: the classifier with the best F1 on the hold-out."""
     models = ["logistic", "forest_clf"]
-    m = FIT.holdout_metrics(frame(spark, sf, "full_v1"), "full_v1", "clf", models, trees=TREES)
+    m = FIT.holdout_metrics(frame(spark, sf, "full_v1"), "full_v1", "clf", models)
     return EV.best_model(m, "f1", models, higher=True)
 
 
@@ -299,7 +297,7 @@ def ml_cv(spark, sf):
 def ml_importance(spark, sf):
     df = frame(spark, sf, "full_v1")
     train = SP.random_split(df).filter("split = 'train'")
-    model = FIT.fit(train, "full_v1", "nps_score", "forest_reg", trees=TREES)
+    model = FIT.fit(train, "full_v1", "nps_score", "forest_reg")
     return FIT.importances(model, df)
 
 
@@ -309,7 +307,7 @@ def ml_attribution(spark, sf):
     additivity gap |base + sum(phi) - margin| over all scored rows."""
     df = frame(spark, sf, "ops")
     split = SP.stratified_split(df, "label")
-    model = FIT.fit(split.filter("split = 'train'"), "ops", "label", "gbt_clf", trees=TREES)
+    model = FIT.fit(split.filter("split = 'train'"), "ops", "label", "gbt_clf")
     scored = FIT.score(model, df).withColumn("_margin", vector_to_array("rawPrediction")[1])
     attr = XP.row_attributions(model, scored, margin="_margin")
     return XP.global_importance(attr, FIT.feature_names(scored)).withColumnRenamed("max_gap", "max_additivity_gap")
@@ -333,8 +331,8 @@ def ml_scenarios(spark, sf):
 @register("ml_csat_scenario")
 def ml_csat_scenario(spark, sf):
     """ML22: the same boosted regressor without / with CSAT."""
-    a = FIT.holdout_metrics(frame(spark, sf, "ops"), "ops", "reg", ["gbt_reg"], trees=TREES, version_tag="v1")
-    b = FIT.holdout_metrics(frame(spark, sf, "ops_csat"), "ops_csat", "reg", ["gbt_reg"], trees=TREES, version_tag="v2")
+    a = FIT.holdout_metrics(frame(spark, sf, "ops"), "ops", "reg", ["gbt_reg"], version_tag="v1")
+    b = FIT.holdout_metrics(frame(spark, sf, "ops_csat"), "ops_csat", "reg", ["gbt_reg"], version_tag="v2")
     return FIT.compare_versions(a.unionByName(b)).withColumnRenamed("v1", "sem_csat").withColumnRenamed("v2", "com_csat")
 
 
@@ -344,7 +342,7 @@ def _risk_scored(spark, sf, scope="all"):
     df = FT.model_frame(load_base(spark, sf), "demo", "select").withColumns(
         {"_d": F.col("delivery_delay_days"), "_c": F.col("complaints_count"), "_s": F.col("customer_service_contacts")})
     split = SP.with_weights(SP.stratified_split(df, "label", 0.75), "label")
-    model = FIT.fit(split.filter("split = 'train'"), "demo", "label", "forest_clf", trees=TREES, depth=30,
+    model = FIT.fit(split.filter("split = 'train'"), "demo", "label", "forest_clf", depth=30,
                     weight_col="weight", scale=False)
     target = split if scope == "all" else split.filter("split = 'test'")
     return FIT.score(model, target).withColumn("risk_score", F.col("score") * 100) \
