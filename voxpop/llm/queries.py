@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxpop.llm import decontam, langid, linedup, mixing, neardup, ngram_lm, pii, quality, topk, urlfilter
+from voxpop.llm import decontam, importance, langid, linedup, mixing, neardup, ngram_lm, pii, quality, topk, urlfilter
 from voxpop.llm.textkit import remainder, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -182,3 +182,41 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= {topk.K}""")
 def op10(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def _crc_sql(digits: str) -> str:
+    """crc32 of the bytes whose hex digits are given, half a byte at a time."""
+    table = []
+    for c in range(16):
+        for _ in range(4):
+            c = (c >> 1) ^ (0xEDB88320 if c & 1 else 0)
+        table.append(c)
+    half = lambda x: f"xor(({x}) >> 4, ({table}::BIGINT[])[(({x}) & 15) + 1])"
+    octets = f"list_transform(range(0, length({digits}) // 2), lambda i: CAST('0x' || substr({digits}, 2 * i + 1, 2) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {octets}), lambda c, b: {half(half('xor(c, b)'))}), 4294967295)"
+
+
+def _resample_sql() -> str:
+    grams = " UNION ALL ".join(f"SELECT id, array_to_string(list_slice(w, i, i + {n}), ' ') AS g FROM (SELECT id, w, unnest(range(1, len(w) - {n} + 1)) AS i FROM {{0}} WHERE len(w) > {n}) x" for n in range(3))
+    return f"""WITH d AS (SELECT row_number() OVER () AS id, doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT row_number() OVER () AS id, {_WORDS} AS w FROM benchmark),
+fd AS ({grams.format('d')}), fb AS ({grams.format('b')}),
+hexed AS MATERIALIZED (SELECT g, hex(encode(g)) AS x FROM (SELECT g FROM fd UNION SELECT g FROM fb) y),
+crc AS MATERIALIZED (SELECT g, {_crc_sql('x')} % 10000 AS bucket FROM hexed),
+s AS (SELECT bucket, CAST(count(*) AS BIGINT) AS n FROM fd JOIN crc USING (g) GROUP BY bucket),
+t AS (SELECT bucket, CAST(count(*) AS BIGINT) AS n FROM fb JOIN crc USING (g) GROUP BY bucket),
+gain AS (SELECT k.bucket, CAST(floor(1000 * ln(CAST(coalesce(t.n, 0) + 1 AS DOUBLE) * CAST((SELECT coalesce(sum(n), 0) FROM s) + 10000 AS DOUBLE)
+    / (CAST(coalesce(s.n, 0) + 1 AS DOUBLE) * CAST((SELECT coalesce(sum(n), 0) FROM t) + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+    FROM range(10000) k(bucket) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)),
+w AS (SELECT id, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight FROM fd JOIN crc USING (g) JOIN gain USING (bucket) GROUP BY id),
+r AS (SELECT d.id, doc_id, len(w) AS words, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST(('0x' || substr(sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8)) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+    FROM d LEFT JOIN w ON d.id = w.id),
+o AS (SELECT id, row_number() OVER (ORDER BY score DESC, doc_id) AS k FROM r WHERE words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN k <= 5 * (SELECT count(*) FROM o) // 100 THEN CAST(k AS BIGINT) END AS rank FROM r LEFT JOIN o USING (id)"""
+
+
+@query("op13_resampling", _resample_sql())
+def op13(spark, sf_dir):
+    out = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
