@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxpop.llm import decontam, importance, langid, linedup, mixing, neardup, ngram_lm, pii, quality, topk, urlfilter
+from voxpop.llm import decontam, forest, importance, langid, linedup, mixing, neardup, ngram_lm, pii, quality, topk, trie, urlfilter
 from voxpop.llm.textkit import remainder, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -220,3 +220,32 @@ SELECT doc_id, n_features, weight, score, CASE WHEN k <= 5 * (SELECT count(*) FR
 def op13(spark, sf_dir):
     out = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def _trie_sql() -> str:
+    return f"""WITH c AS (SELECT conv_id, {_crc_sql('hex(encode(CAST(conv_id AS VARCHAR)))')} % 4 AS h FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL) x),
+t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k,
+    md5(coalesce(role, '')) || md5(coalesce(text, '')) AS id, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words FROM conversations),
+r AS (SELECT c.conv_id, 0 AS own, k, id, words FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 20 WHERE k <= h
+    UNION ALL SELECT c.conv_id, 1, k, id, words FROM c JOIN t ON t.conv_id = c.conv_id WHERE k > h),
+p AS (SELECT conv_id, row_number() OVER o AS depth, words, string_agg(id, '') OVER o AS node FROM r WINDOW o AS (PARTITION BY conv_id ORDER BY own, k ROWS UNBOUNDED PRECEDING)
+    UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+n AS (SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, min(words) AS words FROM p GROUP BY node, depth),
+kids AS (SELECT left(node, -64) AS node, count(*) AS n FROM n WHERE depth > 0 GROUP BY 1),
+up AS (SELECT left(node, 64 * i) AS node, sum(CAST(NOT EXISTS (SELECT 1 FROM kids WHERE kids.node = x.node) AS BIGINT)) AS leaves, sum((n_convs - 1) * words) AS saved
+    FROM (SELECT node, n_convs, words, unnest(range(0, depth + 1)) AS i FROM n) x GROUP BY 1),
+e AS (SELECT node, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM (SELECT conv_id, arg_max(node, depth) AS node FROM p GROUP BY conv_id) x GROUP BY node)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, CAST(coalesce(kids.n, 0) AS BIGINT) AS n_children, CAST(up.leaves AS BIGINT) AS n_leaves,
+    CAST(up.saved AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM n LEFT JOIN n u ON n.depth > 0 AND u.node = left(n.node, -64) LEFT JOIN kids ON kids.node = n.node JOIN up ON up.node = n.node LEFT JOIN e ON e.node = n.node"""
+
+
+@query("op11_prefix_trie", _trie_sql())
+def op11(spark, sf_dir):
+    out = trie.conversation_trie(table(spark, sf_dir, "conversations"))
+    return out.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+@query("op12_neighbours")
+def op12(spark, sf_dir):
+    return forest.nearest_neighbours(table(spark, sf_dir, "embeddings"))
