@@ -17,6 +17,7 @@ from voxpop.llm import decontam, graph, langid, linedup, mixing, neardup, ngram_
 from voxpop.llm import queries as Q
 
 SF = "/root/testdata/sf0.001"
+LATER = ("op11_", "op12_", "op13_")  # tested in test_trie_forest_draw.py
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, __doc string, key int"
 VECS = "vec_id long, embedding array<float>, label int"
 
@@ -66,7 +67,7 @@ def _glob(d, t):
     return f"{d}/{t}.parquet" if d == SF else f"{d}/{t}.parquet/*.parquet"
 
 
-@pytest.mark.parametrize("name", sorted(Q.ORACLE))
+@pytest.mark.parametrize("name", sorted(n for n in Q.ORACLE if not n.startswith(LATER)))
 @pytest.mark.parametrize("where", ["sf", "edge"])
 def test_query_equals_sql(spark, edge, name, where):
     d = SF if where == "sf" else edge
@@ -76,7 +77,7 @@ def test_query_equals_sql(spark, edge, name, where):
     assert canon(Q.QUERIES[name](spark, d).toPandas()) == canon(con.execute(Q.ORACLE[name]).df())
 
 
-@pytest.mark.parametrize("name", sorted(Q.QUERIES))
+@pytest.mark.parametrize("name", sorted(n for n in Q.QUERIES if not n.startswith(LATER)))
 def test_empty_tables(spark, empty, name):
     assert Q.QUERIES[name](spark, empty).count() == 0
 

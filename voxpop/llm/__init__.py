@@ -1,6 +1,7 @@
 """Operators for large-scale training-data pipelines.
 
-Ten operators over ``documents``, ``pages``, ``embeddings``, ``benchmark`` and
-``labels``; ``queries.register()`` returns the named queries and their oracle
-SQL.  Nothing else in the library imports this subpackage.
+Thirteen operators over ``documents``, ``pages``, ``embeddings``, ``benchmark``,
+``labels`` and ``conversations``; ``queries.QUERIES`` and ``queries.ORACLE`` hold
+the named queries and their SQL.  Nothing else in the library imports this
+subpackage.
 """

@@ -230,11 +230,17 @@ def rebuilt(turns: DataFrame, group: int = GROUP, shared_turns: int = SHARED, co
     the first h turns of conversation c - c % ``group`` and then its own behind
     its first h, with h = crc32(c) % ``shared_turns``."""
     full = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    said = turns.where(F.col(conv_id).isNotNull()).select(
-        F.col(conv_id).cast("long").alias("conv_id"), F.col(turn).alias("turn"), full(role).alias("role"),
-        F.md5(F.concat(F.length(full(role)).cast("string"), F.lit(":"), full(role), full(text))).alias("id"),
-        F.size(F.regexp_extract_all(full(text), F.lit(TOKEN), F.lit(0))).alias("words"))
-    own = said.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "id", "words"))).alias("own"))
+    said = turns.where(F.col(conv_id).isNotNull()).select(F.col(conv_id).cast("long").alias("conv_id"), F.col(turn).alias("turn"), full(role).alias("role"), full(text).alias("text"))
+    at = ["conv_id", "turn", "role"]
+    tied = saved(said.groupBy(*at).count().where("count > 1").select(*[F.col(c).alias(f"t_{c}") for c in at]), "trie-tied")
+    tie = F.lit(None).cast("string")
+    if not tied.isEmpty():  # their texts alone travel, to be put in order
+        same = F.col("conv_id").eqNullSafe(F.col("t_conv_id")) & F.col("turn").eqNullSafe(F.col("t_turn")) & F.col("role").eqNullSafe(F.col("t_role"))
+        said = said.join(tied, same, "left")
+        tie = F.when(F.col("t_conv_id").isNotNull(), F.col("text"))
+    said = said.select("conv_id", "turn", "role", tie.alias("tie"), F.md5(F.concat(F.length("role").cast("string"), F.lit(":"), "role", "text")).alias("id"),
+                       F.size(F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0))).alias("words"))
+    own = said.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "tie", "id", "words"))).alias("own"))
     own = saved(own.select("conv_id", F.transform("own", lambda t: F.struct(t["id"].alias("id"), t["words"].alias("words"))).alias("own")), "trie-convs")
     heads = own.where(F.col("conv_id") % group == 0).select(F.col("conv_id").alias("base"), F.slice("own", 1, max(1, shared_turns - 1)).alias("head"))
     h = (F.crc32(F.col("conv_id").cast("string")) % shared_turns).cast("int")
@@ -278,8 +284,7 @@ def conversation_trie(turns: DataFrame, group: int = GROUP, shared_turns: int =
                       text: str = "text", shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """The trie of the rebuilt conversations of ``turns`` (see ``trie_nodes``).
 
-    Turns are ordered by ``turn`` (null first), equal ones by role and then by the
-    turn's id; a null role or text counts as empty; repeated rows are turns one
+    Turns are ordered by ``turn`` (null first), equal ones by role and then by text; a null role or text counts as empty; repeated rows are turns one
     by one; rows with a null conversation id are no conversation; an empty table
     gives an empty result.  Other columns are not read.
     """
