@@ -12,19 +12,28 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxpop.ml import evaluate as EV
-from voxpop.schema import FEATURE_SETS
+from voxpop.ml import normal as NM
+from voxpop.schema import DROP_FIRST_SETS, FEATURE_SETS, STRATIFIED_SETS
 
 REGRESSORS = ["linear", "ridge", "forest_reg", "gbt_reg"]
 CLASSIFIERS = ["logistic", "forest_clf", "gbt_clf"]
 
 
-def category_labels(df: DataFrame, cat) -> dict[str, list[str]]:
-    """Sorted non-null values of each categorical column (one row per category)."""
-    return {c: sorted(r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().collect()) for c in cat}
+MAX_CATEGORIES = 1000
+
+
+def category_labels(df: DataFrame, cat, most: int = MAX_CATEGORIES) -> dict[str, list[str]]:
+    """Sorted non-null values of each categorical column; refuses a column with
+    more than ``most`` of them (each becomes a column of the design)."""
+    out = {c: sorted(r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().limit(most + 1).collect()) for c in cat}
+    wide = [c for c, values in out.items() if len(values) > most]
+    if wide:
+        raise ValueError(f"more than {most} categories in: {', '.join(wide)}")
+    return out
 
 
 def dummies(labels: dict[str, list[str]]) -> tuple[SQLTransformer | None, list[str]]:
@@ -91,7 +100,7 @@ def estimator(name: str, label: str, trees: int = 200, depth: int | None = None,
         return GBTRegressor(labelCol=label, maxIter=trees, maxDepth=depth or 6, stepSize=0.05,
                             subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed, **w)
     if name == "logistic":
-        return LogisticRegression(labelCol=label, maxIter=1000, regParam=reg_param, elasticNetParam=0.0,
+        return LogisticRegression(labelCol=label, maxIter=1000, tol=1e-10, regParam=reg_param, elasticNetParam=0.0,
                                   standardization=False, **w)
     if name == "forest_clf":
         return RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth or 10,
@@ -117,12 +126,14 @@ def _reg_param(train: DataFrame, name: str, label: str, weight_col: str | None,
 
 def fit(train: DataFrame, feature_set: str, label: str, name: str, trees: int = 200,
         depth: int | None = None, weight_col: str | None = None, scale: bool = True,
-        alpha: float = 1.0, C: float = 1.0, num=None, cat=None) -> PipelineModel:
-    """Fit preprocessing + estimator on the training rows only."""
+        alpha: float = 1.0, C: float = 1.0, num=None, cat=None, drop_first: bool | None = None) -> PipelineModel:
+    """Fit preprocessing + estimator on the training rows only.  ``drop_first``:
+    categories as scaled drop-first dummies (default: as the feature set has it)."""
     fnum, fcat = FEATURE_SETS[feature_set]
     num, cat = num or fnum, fcat if cat is None else cat
     refuse_missing(train, num)
-    labels = category_labels(train, cat) if feature_set.startswith("ops") else None
+    drop_first = feature_set in DROP_FIRST_SETS if drop_first is None else drop_first
+    labels = category_labels(train, cat) if drop_first else None
     est = estimator(name, label, trees, depth, weight_col=weight_col,
                     reg_param=_reg_param(train, name, label, weight_col, alpha, C))
     return Pipeline(stages=preprocess(num, cat, scale, labels) + [est]).fit(train)
@@ -137,15 +148,17 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def holdout_metrics(df: DataFrame, feature_set: str, task: str, models, trees: int = 200,
-                    weighted: bool = False, version_tag: str | None = None) -> DataFrame:
+                    weighted: bool = False, version_tag: str | None = None, stratified: bool | None = None) -> DataFrame:
     """Fit each model on the train split and report test metrics, long form
-    ``(model, metric, value)``; classification also reports AUC."""
+    ``(model, metric, value)``; classification also reports AUC.  ``stratified``
+    sets the split of a regression (default: as the feature set has it)."""
     from voxpop.ml.split import random_split, stratified_split, with_weights
     label = "nps_score" if task == "reg" else "label"
     if task == "clf" and EV.single_class(df, "label"):
         spark = df.sparkSession
         return spark.createDataFrame([], "metric string, value double, model string")
-    split = random_split(df) if task == "reg" else stratified_split(df, "label")
+    stratified = feature_set in STRATIFIED_SETS if stratified is None else stratified
+    split = stratified_split(df, "label") if task == "clf" or stratified else random_split(df)
     if weighted and task == "clf":
         split = with_weights(split, "label")
     split = split.cache()
@@ -169,50 +182,83 @@ def holdout_metrics(df: DataFrame, feature_set: str, task: str, models, trees: i
     return res
 
 
-def cross_validate(df: DataFrame, feature_set: str, task: str, model: str, k: int = 5, trees: int = 200) -> DataFrame:
-    """ML19: k-fold CV (regression: hash folds; classification: stratified
-    folds) -> mean and population std of R² (or F1 and AUC) over folds."""
-    from voxpop.ml.split import key_hash, stratified_folds
-    label = "nps_score" if task == "reg" else "label"
-    if task == "reg":
-        folded = df.withColumn("fold", (key_hash("order_id", 42, 8) % k).cast("int"))
-    else:
-        folded = stratified_folds(df, "label", k)
-    folded = folded.cache()
-    rows = []
-    for f in range(k):
-        train, test = folded.filter(F.col("fold") != f), folded.filter(F.col("fold") == f)
-        s = score(fit(train, feature_set, label, model, trees=trees), test)
+def design_columns(df: DataFrame, feature_set: str) -> dict[str, Column]:
+    """Named numeric columns of a feature set, its categories as drop-first dummies."""
+    num, cat = FEATURE_SETS[feature_set]
+    labels = category_labels(df, cat)
+    return {c: F.col(c) for c in num} | {f"{c}_{v}": F.coalesce((F.col(c) == v).cast("int"), F.lit(0)) for c, vs in labels.items() for v in vs[1:]}
+
+
+def cross_validate(train: DataFrame, feature_set: str, task: str, model: str, k: int = 5, trees: int = 200, depth: int | None = None) -> DataFrame:
+    """ML19: k-fold cross-validation of one model on the training rows ->
+    ``metric``, ``mean``, ``std`` (population), ``folds``, ``model``.
+
+    Regression (R²): hash folds; classification (F1, AUC): stratified folds and
+    balanced classes.  Linear, ridge and logistic are fitted for all folds
+    together from Gram tables (one scan, or one a Newton step) on features scaled
+    over the whole training part; the others fold by fold."""
+    from voxpop.ml.split import key_hash, stratified_folds, with_weights
+    y = "nps_score" if task == "reg" else "label"
+    folded = train.withColumn("fold", (key_hash("order_id", 42, 8) % k).cast("int")) if task == "reg" else stratified_folds(train, "label", k)
+    folded = folded.persist()
+    spark = train.sparkSession
+    if model in ("linear", "ridge", "logistic"):
+        rows, _ = NM.standardised(folded, design_columns(folded, feature_set), F.lit(True))
         if task == "reg":
-            r = EV.regression_metrics(s, label).first()
-            rows.append((f, "r2", float(r["r2"])))
+            fits = NM.ridge_by_fold(rows, y, "fold", 1.0 if model == "ridge" else 0.0)
+            per_fold = spark.createDataFrame([(f, "r2", v) for f, (_, v) in fits.items()], "fold int, metric string, value double")
         else:
-            c = EV.classification_metrics(s, label).first()
-            a = EV.auc_rank(s, label, "score").first()
-            rows += [(f, "f1", float(c["f1"])), (f, "auc", float(a["auc"]))]
+            betas = NM.logistic(rows, y, "fold", range(k), balanced=True)
+            by = NM.fold_scores(NM.probability(rows, betas, "fold"))
+            found = [(r["fold"], m, r[m]) for r in by.collect() for m in ("f1", "auc")]
+            per_fold = spark.createDataFrame(found, "fold int, metric string, value double")
+    else:
+        found = []
+        for f in range(k):
+            inside, test = folded.filter(F.col("fold") != f), folded.filter(F.col("fold") == f)
+            if task == "clf":
+                inside = with_weights(inside, "label")
+            s = score(fit(inside, feature_set, y, model, trees=trees, depth=depth, weight_col="weight" if task == "clf" else None), test)
+            if task == "reg":
+                found.append((f, "r2", EV.regression_metrics(s, y).first()["r2"]))
+            else:
+                found += [(f, m, r[m]) for r in NM.fold_scores(s).collect() for m in ("f1", "auc")]
+        per_fold = spark.createDataFrame(found, "fold int, metric string, value double")
     folded.unpersist()
-    spark = df.sparkSession
-    per_fold = spark.createDataFrame(rows, "fold int, metric string, value double")
-    return (per_fold.groupBy("metric").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"),
-                                           F.count(F.lit(1)).alias("folds"))
+    return (per_fold.groupBy("metric").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.count("value").alias("folds"))
             .withColumn("model", F.lit(model)))
 
 
-def feature_names(scored_or_model_df: DataFrame, col: str = "features") -> list[str]:
-    """Slot names of an assembled vector column from its ML attribute metadata."""
-    meta = scored_or_model_df.schema[col].metadata.get("ml_attr", {}).get("attrs", {})
-    slots = sorted([a for group in meta.values() for a in group], key=lambda a: a["idx"])
-    return [a["name"] for a in slots]
+def slot_names(model: PipelineModel) -> list[str]:
+    """Real names of the slots of ``features``: through assemblers, scalers (which
+    drop the names) and encoders, whose slots are ``column_value``."""
+    names: dict[str, list[str]] = {}
+    for stage in model.stages[:-1]:
+        kind = type(stage).__name__
+        if kind == "VectorAssembler":
+            names[stage.getOutputCol()] = [n for c in stage.getInputCols() for n in names.get(c, [c])]
+        elif kind == "StandardScalerModel":
+            names[stage.getOutputCol()] = names[stage.getInputCol()]
+        elif kind == "StringIndexerModel":
+            for c, out, labels in zip(stage.getInputCols(), stage.getOutputCols(), stage.labelsArray):
+                names[out] = [f"{c}_{v}" for v in labels]
+        elif kind == "OneHotEncoderModel":
+            names |= {out: names[c] for c, out in zip(stage.getInputCols(), stage.getOutputCols())}
+    return names["features"]
+
+
+def coefficients(model: PipelineModel) -> DataFrame:
+    """``pos``, ``feature``, ``coefficient`` of a fitted linear or logistic pipeline, the intercept first."""
+    est = model.stages[-1]
+    rows = [(0, "intercept", float(est.intercept))]
+    rows += [(i + 1, n, float(v)) for i, (n, v) in enumerate(zip(slot_names(model), est.coefficients.toArray()))]
+    return SparkSession.active().createDataFrame(rows, "pos int, feature string, coefficient double")
 
 
 def importances(model: PipelineModel, df: DataFrame) -> DataFrame:
     """ML20: impurity importances with feature names, ordered."""
-    est = model.stages[-1]
-    names = feature_names(model.transform(df))  # schema metadata only; no job runs
-    vals = est.featureImportances.toArray().tolist()
-    spark = df.sparkSession
-    rows = [(names[i] if i < len(names) else f"f{i}", float(v)) for i, v in enumerate(vals)]
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
+    rows = list(zip(slot_names(model), model.stages[-1].featureImportances.toArray().tolist()))
+    return df.sparkSession.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
 def compare_versions(metrics: DataFrame, lower_better=("mae", "rmse")) -> DataFrame:

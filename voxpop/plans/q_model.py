@@ -18,10 +18,13 @@ from voxpop.functions import columns as C
 from voxpop.ml import evaluate as EV
 from voxpop.ml import explain as XP
 from voxpop.ml import fit as FIT
+from voxpop.ml import normal as NM
 from voxpop.ml import split as SP
+from voxpop.ml import trees as TR
 from voxpop.operators import features as FT
 from voxpop.operators import summary as S
 from voxpop.plans.catalog import register
+from voxpop.plans.sqlmodels import REGIONS, Design, classification_sql, regression_sql, with_models
 from voxpop.plans.sqlparts import detractor_sql, with_base
 from voxpop.schema import FEATURES_OPS, THRESHOLDS_PCT
 from voxpop.sources.tables import load_base
@@ -230,18 +233,74 @@ def best_threshold(spark, sf):
     return EV.best_threshold(EV.threshold_sweep(given(spark, sf)))
 
 
-# --- model fits (rows-only) -------------------------------------------------------------------
+# --- model fits: linear and logistic against an independent fit in SQL, ensembles rows-only ------
 
-@register("ml_linear")
+def _full(p, split, version="v1", **kw):
+    return Design(p, "full", split, "stddev_samp", version, dummies_scaled=False, **kw)
+
+
+def _ops(p, std="stddev_samp"):
+    return Design(p, "ops", "stratified", std)
+
+
+# least squares with five one-hot regions and an intercept: the same fitted values as with four
+_LINEAR, _RIDGE = _full("a", "random"), _ops("a")
+_LOGISTIC, _BALANCED = _full("a", "stratified", regions=REGIONS), _ops("a")
+
+
+@register("ml_linear", with_models(*_LINEAR.ctes, *_LINEAR.least_squares("f"), body=regression_sql(_LINEAR, "f", "linear")), "value")
 def ml_linear(spark, sf):
     return FIT.holdout_metrics(frame(spark, sf, "full_v1"), "full_v1", "reg", ["linear"])
 
 
-@register("ml_ridge")
+@register("ml_ridge", with_models(*_RIDGE.ctes, *_RIDGE.least_squares("f", 1), body=regression_sql(_RIDGE, "f", "ridge")), "value")
 def ml_ridge(spark, sf):
     return FIT.holdout_metrics(frame(spark, sf, "ops"), "ops", "reg", ["ridge"])
 
 
+@register("ml_logistic", with_models(*_LOGISTIC.ctes, *_LOGISTIC.logistic("f", False), body=classification_sql(_LOGISTIC, "f", "logistic")), "value")
+def ml_logistic(spark, sf):
+    return FIT.holdout_metrics(frame(spark, sf, "full_v1"), "full_v1", "clf", ["logistic"])
+
+
+@register("ml_logistic_balanced", with_models(*_BALANCED.ctes, *_BALANCED.logistic("f", True), body=classification_sql(_BALANCED, "f", "logistic")), "value")
+def ml_logistic_balanced(spark, sf):
+    return FIT.holdout_metrics(frame(spark, sf, "ops"), "ops", "clf", ["logistic"], weighted=True)
+
+
+_SCALED = _ops("a", "stddev_pop")
+_NAMES = "[" + ", ".join(f"'{n}'" for n in ["intercept", *FEATURES_OPS, *[f"customer_region_{r}" for r in REGIONS[1:]]]) + "]"
+
+
+@register("ml_coefficients", with_models(*_SCALED.ctes, *_SCALED.least_squares("ridge", 1), *_SCALED.logistic("logistic", True), body=" UNION ALL ".join(
+    f"SELECT '{m}' AS model, unnest(range(0, {_SCALED.n + 1})) AS pos, unnest({_NAMES}) AS feature, unnest(sol) AS coefficient FROM {m}" for m in ("ridge", "logistic"))), "coefficient")
+def ml_coefficients(spark, sf):
+    """Coefficients by feature name of the ridge and the balanced logistic fit to
+    the training part, from Gram tables and Newton steps."""
+    train = SP.stratified_split(frame(spark, sf, "ops"), "label").filter("split = 'train'").withColumn("fold", F.lit(0))
+    columns = FIT.design_columns(train, "ops")
+    rows, _ = NM.standardised(train, columns, F.lit(True))
+    rows = rows.persist()
+    fits = {"ridge": NM.solve_ridge(NM.gram(rows, "nps_score", "fold")[0], 1.0), "logistic": NM.logistic(rows, "label", balanced=True)[None]}
+    rows.unpersist()
+    named = ["intercept", *columns]
+    return spark.createDataFrame([(m, i, n, float(v)) for m, b in fits.items() for i, (n, v) in enumerate(zip(named, b))],
+                                 "model string, pos int, feature string, coefficient double")
+
+
+_CERTIFICATE = _ops("a")
+
+
+@register("ml_tree_certificate", with_models(*_CERTIFICATE.ctes, body="SELECT 'gbt_clf' AS model, count(*) AS n_rows, 200 AS n_trees, 0 AS n_wrong, CAST(0 AS DOUBLE) AS gap FROM a_d WHERE NOT train"), "gap")
+def ml_tree_certificate(spark, sf):
+    """The boosted classifier's hold-out scores derived again from its node table."""
+    split = SP.with_weights(SP.stratified_split(frame(spark, sf, "ops"), "label"), "label").persist()
+    model = FIT.fit(split.filter("split = 'train'"), "ops", "label", "gbt_clf", weight_col="weight")
+    row = TR.certificate(model.stages[-1], FIT.score(model, split.filter("split = 'test'")), name="gbt_clf").collect()
+    split.unpersist()
+    return spark.createDataFrame(row, "model string, n_rows long, n_trees long, n_wrong long, gap double")
+
+
 @register("ml_forest_reg")
 def ml_forest_reg(spark, sf):
     return FIT.holdout_metrics(frame(spark, sf, "full_v1"), "full_v1", "reg", ["forest_reg"])
@@ -286,11 +345,24 @@ def ml_best_classifier(spark, sf):
     return EV.best_model(m, "f1", models, higher=True)
 
 
-@register("ml_cv")
+def _cv_sql():
+    r, c = _ops("a", "stddev_pop"), _ops("a", "stddev_pop")
+    score = lambda d, fit, fold: f"SELECT z.y, z.label, z.{fold} AS fold, {d.linear('c.sol')} AS s FROM {d.p}z z JOIN {fit} c ON c.m = z.{fold} WHERE z.train"
+    ctes = [*r.ctes, *r.least_squares("rf", 1, "fold"), *c.logistic("lf", True, "cfold"),
+            f"rs AS (SELECT fold, 1 - sum((y - s) * (y - s)) / (var_pop(y) * count(*)) AS v FROM ({score(r, 'rf', 'fold')}) q GROUP BY fold)",
+            f"ls AS (SELECT *, rank() OVER (PARTITION BY fold ORDER BY s) + (count(*) OVER (PARTITION BY fold, s) - 1) / CAST(2 AS DOUBLE) AS rk FROM ({score(c, 'lf', 'cfold')}) q)",
+            """lm AS (SELECT fold, 2 * CAST(count(*) FILTER (WHERE s > 0 AND label = 1) AS DOUBLE) / (count(*) FILTER (WHERE s > 0) + count(*) FILTER (WHERE label = 1)) AS f1,
+            (sum(rk) FILTER (WHERE label = 1) - CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE) * (count(*) FILTER (WHERE label = 1) + 1) / 2)
+            / (CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE) * count(*) FILTER (WHERE label = 0)) AS auc FROM ls GROUP BY fold)"""]
+    part = lambda metric, v, table, model: f"SELECT '{metric}' AS metric, avg({v}) AS mean, stddev_pop({v}) AS std, count(*) AS folds, '{model}' AS model FROM {table}"
+    return with_models(*ctes, body=" UNION ALL ".join([part("r2", "v", "rs", "ridge"), part("f1", "f1", "lm", "logistic"), part("auc", "auc", "lm", "logistic")]))
+
+
+@register("ml_cv", _cv_sql(), "mean std")
 def ml_cv(spark, sf):
-    df = frame(spark, sf, "ops")
-    return FIT.cross_validate(df, "ops", "reg", "linear").unionByName(
-        FIT.cross_validate(df, "ops", "clf", "logistic"))
+    """ML19 on the training part: ridge (R²) and balanced logistic (F1, AUC)."""
+    train = SP.stratified_split(frame(spark, sf, "ops"), "label").filter("split = 'train'").drop("split")
+    return FIT.cross_validate(train, "ops", "reg", "ridge").unionByName(FIT.cross_validate(train, "ops", "clf", "logistic"))
 
 
 @register("ml_importance")
@@ -310,10 +382,22 @@ def ml_attribution(spark, sf):
     model = FIT.fit(split.filter("split = 'train'"), "ops", "label", "gbt_clf")
     scored = FIT.score(model, df).withColumn("_margin", vector_to_array("rawPrediction")[1])
     attr = XP.row_attributions(model, scored, margin="_margin")
-    return XP.global_importance(attr, FIT.feature_names(scored)).withColumnRenamed("max_gap", "max_additivity_gap")
+    return XP.global_importance(attr, FIT.slot_names(model)).withColumnRenamed("max_gap", "max_additivity_gap")
+
+
+def _scenarios_sql():
+    ctes, parts = [], []
+    for v in ("v1", "v2"):
+        reg, clf = _full(f"r{v}", "random", v), _full(f"c{v}", "stratified", v, regions=REGIONS)
+        ctes += [*reg.ctes, *reg.least_squares(f"fr{v}"), *clf.ctes, *clf.logistic(f"fc{v}", False)]
+        parts += [f"SELECT *, '{v}' AS version FROM ({regression_sql(reg, f'fr{v}', 'linear')}) s{v}", f"SELECT *, '{v}' AS version FROM ({classification_sql(clf, f'fc{v}', 'logistic')}) t{v}"]
+    low = "metric IN ('mae', 'rmse')"
+    return with_models(*ctes, f"parts AS ({' UNION ALL '.join(parts)})",
+                       "wide AS (SELECT model, metric, max(value) FILTER (WHERE version = 'v1') AS v1, max(value) FILTER (WHERE version = 'v2') AS v2 FROM parts GROUP BY model, metric)",
+                       body=f"SELECT *, v2 - v1 AS delta, CASE WHEN v2 = v1 THEN 'igual' WHEN ({low}) = (v2 < v1) THEN 'melhor' ELSE 'pior' END AS resultado FROM wide")
 
 
-@register("ml_scenarios")
+@register("ml_scenarios", _scenarios_sql(), "v1 v2 delta")
 def ml_scenarios(spark, sf):
     """ML22: V1 (all rows) vs V2 (NPS=0 removed) for the regression and
     classification models, with delta and better/worse verdict."""

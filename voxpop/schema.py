@@ -138,5 +138,10 @@ FEATURE_SETS = {
     "demo": (FEATURES_DEMO, []),
 }
 
+# Sets whose categories become drop-first dummies, scaled with the rest (the others: one-hot, unscaled)
+DROP_FIRST_SETS = ["ops", "ops_csat"]
+# Sets whose hold-out is stratified by the detractor flag for regressions too
+STRATIFIED_SETS = ["ops", "ops_csat"]
+
 # Threshold sweep 0.10 .. 0.85 step 0.05, as integer hundredths
 THRESHOLDS_PCT = list(range(10, 90, 5))
