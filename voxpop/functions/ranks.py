@@ -3,12 +3,15 @@ exact quantiles, rank sums.
 
 Nothing here sorts the fact table, looks at a column's name or size first, or
 runs a job while a plan is built.  Values fall into order-preserving ranges
-(``value_range``: 16,384 ranges an octave of the number), whose number is bounded
+(``value_range``: 512 ranges an octave of the number), whose number is bounded
 by the type, not by the rows.
 
 * Running counts (``cumulative``): rows are reduced to a frequency table
-  ``(group..., value, n)``; a window per (group, range) counts inside the range
-  and a window over the range totals gives the offset.
+  ``(group..., value, n)``, dealt by range and cell (the next 22 mantissa bits).
+  A window per cell counts inside it, one per range over the totals of its cells,
+  one per group over the totals of its ranges.  However narrow or wide the values,
+  no window partition has more than 2^22 rows: a cell holds 2^21 doubles, a range
+  2^22 cells, a group about 2^21 ranges.
 * Quantiles (``exact_quantiles``): range counts straight from the rows (a partial
   aggregation) name the one or two ranges that hold each order statistic, and
   only the rows of those ranges are counted by value: no shuffle of fact size.
@@ -22,7 +25,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # ranges per octave, and the least binary exponent of a double
-PER_OCTAVE, LEAST_EXPONENT = 1 << 14, -1074
+PER_OCTAVE, LEAST_EXPONENT = 1 << 9, -1074
+CELLS = 1 << 22  # cells of a range: the mantissa's 52 bits are 9 for the range, 22 for the cell, 21 inside
+MANY = 1 << 20  # rows from which a range that holds a quantile is cut into cells
 FIRST = (Window.unboundedPreceding, -1)
 
 
@@ -42,6 +47,17 @@ def value_range(value: str) -> Column:
             .otherwise(F.signum(x) * number).cast("long"))
 
 
+def value_cell(value: str) -> Column:
+    """Number of the value's cell inside its range, rising with the value: the
+    next 22 mantissa bits (0 for zero, infinities and NaN)."""
+    x = F.col(value).cast("double")
+    size = F.abs(x)
+    inside = (size / F.pow(F.lit(2.0), F.floor(F.log2(size)).cast("double")) - 1) * PER_OCTAVE
+    cell = F.floor((inside - F.floor(inside)) * CELLS)
+    return (F.when(F.isnan(x) | (x == 0) | (size == float("inf")), F.lit(0))
+            .when(x < 0, F.lit(CELLS - 1) - cell).otherwise(cell).cast("int"))
+
+
 def frequencies(df: DataFrame, value: str, by=(), weight: str | None = None) -> DataFrame:
     """(by..., value, n) over non-null values; ``weight`` sums a count column."""
     n = F.sum(weight) if weight else F.count(F.lit(1))
@@ -60,14 +76,31 @@ def _range_sums(ranged: DataFrame, by: Sequence[str], sums: dict[str, Column]) -
     return t
 
 
-def _join_ranges(rows: DataFrame, ranges: DataFrame, by: Sequence[str]) -> DataFrame:
-    """``rows`` with the columns of their range; a NULL group is a group."""
-    keys = [*by, "_range"]
-    right = ranges.withColumnsRenamed({k: f"_key_{i}" for i, k in enumerate(keys)})
+def _join_keys(rows: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of ``other``; a NULL group is a group."""
+    right = other.withColumnsRenamed({k: f"_key_{i}" for i, k in enumerate(keys)})
     on = F.lit(True)
     for i, k in enumerate(keys):
         on = on & rows[k].eqNullSafe(right[f"_key_{i}"])
-    return rows.join(right, on).drop(*[f"_key_{i}" for i in range(len(keys))])
+    return rows.join(right, on, how).drop(*[f"_key_{i}" for i in range(len(keys))])
+
+
+def _within(rows: DataFrame, value: str, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """Adds ``_in_<c>``: the sum of ``c`` over the smaller values of the row's
+    range.  ``_many`` says of a row that its range is to be cut into cells."""
+    rows = rows.withColumn("_cell", F.when(F.col("_many"), value_cell(value)).otherwise(F.lit(0)))
+    keys = [*by, "_range", "_cell"]
+    cells = rows.filter("_many").groupBy(*keys).agg(*[F.sum(c).cast("bigint").alias(f"_cellsum_{c}") for c in cols])
+    lower = Window.partitionBy(*by, "_range").orderBy("_cell").rowsBetween(*FIRST)
+    for c in cols:
+        cells = cells.withColumn(f"_celloff_{c}", F.coalesce(F.sum(f"_cellsum_{c}").over(lower), F.lit(0)))
+    cells = cells.drop(*[f"_cellsum_{c}" for c in cols])
+    # by all three keys: a partitioning by the range alone would keep a heavy range in one task
+    out = _join_keys(rows.repartition(*keys), cells, keys, "left")
+    below = Window.partitionBy(*keys).orderBy(value).rowsBetween(*FIRST)
+    for c in cols:
+        out = out.withColumn(f"_in_{c}", F.coalesce(F.sum(c).over(below), F.lit(0)) + F.coalesce(f"_celloff_{c}", F.lit(0)))
+    return out.drop("_cell", "_many", *[f"_celloff_{c}" for c in cols])
 
 
 def cumulative(freq: DataFrame, value: str, by=(), also=()) -> DataFrame:
@@ -77,15 +110,22 @@ def cumulative(freq: DataFrame, value: str, by=(), also=()) -> DataFrame:
     ``cum_before_<c>`` (sum over smaller values) and ``total_<c>``."""
     by = list(by)
     sums = ["n"] + [c for c in also if c != "n"]
-    ranged = freq.withColumn("_range", value_range(value))
-    ranges = _range_sums(ranged, by, {c: F.sum(c) for c in sums}).drop(*[f"_sum_{c}" for c in sums])
-    below = Window.partitionBy(*by, "_range").orderBy(value).rowsBetween(*FIRST)
+    keys = [*by, "_range", "_cell"]
+    dealt = freq.withColumns({"_range": value_range(value), "_cell": value_cell(value)}).repartition(*keys)
+    # cells of a range, ranges of a group: the totals of the one from those of the other
+    cells = dealt.groupBy(*keys).agg(*[F.sum(c).cast("bigint").alias(f"_cell_{c}") for c in sums])
+    lower = Window.partitionBy(*by, "_range").orderBy("_cell").rowsBetween(*FIRST)
+    for c in sums:
+        cells = cells.withColumn(f"_in_{c}", F.coalesce(F.sum(f"_cell_{c}").over(lower), F.lit(0)))
+    ranges = _range_sums(cells, by, {c: F.sum(f"_cell_{c}") for c in sums}).drop(*[f"_sum_{c}" for c in sums])
+    cells = _join_keys(cells.drop(*[f"_cell_{c}" for c in sums]), ranges, [*by, "_range"])
+    below = Window.partitionBy(*keys).orderBy(value).rowsBetween(*FIRST)
     for c in sums:
-        ranged = ranged.withColumn(f"_in_{c}", F.coalesce(F.sum(c).over(below), F.lit(0)))
-    out = _join_ranges(ranged, ranges, by)
+        dealt = dealt.withColumn(f"_at_{c}", F.coalesce(F.sum(c).over(below), F.lit(0)))
+    out = _join_keys(dealt, cells, keys)
     for c in sums:
-        out = out.withColumn(f"cum_before_{c}", F.col(f"_off_{c}") + F.col(f"_in_{c}"))
-    out = (out.drop("_range", *[f"_{k}_{c}" for c in sums for k in ("off", "in")])
+        out = out.withColumn(f"cum_before_{c}", F.col(f"_off_{c}") + F.col(f"_in_{c}") + F.col(f"_at_{c}"))
+    out = (out.drop("_range", "_cell", *[f"_{k}_{c}" for c in sums for k in ("off", "in", "at")])
            .withColumnsRenamed({"cum_before_n": "cum_before", "total_n": "total"}))
     return out.withColumn("avg_rank", F.col("cum_before") + (F.col("n") + 1) / 2.0)
 
@@ -107,11 +147,13 @@ def _held(p: float, total: str, before: str, n: str) -> tuple[Column, Column, Co
     return pos, hit(F.floor(pos)), hit(F.ceil(pos))
 
 
-def exact_quantiles(df: DataFrame, value: str, probs, by=()) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, probs, by=(), many: int = MANY) -> DataFrame:
     """Exact linear-interpolation quantiles (pandas ``quantile`` / Spark
     ``percentile``): one row per group with a column ``q<pct>`` per
     probability.  ``by`` are labels (classes, bands, regions, variable names):
-    the named ranges, at most two for each group and probability, are broadcast."""
+    the named ranges, at most two for each group and probability, are broadcast.
+    Only the values of a named range are shuffled, once each; one with more than
+    ``many`` rows is counted cell by cell."""
     by = list(by)
     rows = df.filter(F.col(value).isNotNull()).select(*by, value).withColumn("_range", value_range(value))
     ranges = _range_sums(rows, by, {"n": F.count(F.lit(1))})
@@ -119,11 +161,10 @@ def exact_quantiles(df: DataFrame, value: str, probs, by=()) -> DataFrame:
     for p in probs:
         _, low, high = _held(p, "total_n", "_off_n", "_sum_n")
         named = named | low | high
-    ranges = ranges.filter(named).drop("_sum_n")
-    inside = (_join_ranges(rows, F.broadcast(ranges), by)
-              .groupBy(*by, "_range", value, "_off_n", F.col("total_n").alias("total")).agg(F.count(F.lit(1)).alias("n")))
-    below = Window.partitionBy(*by, "_range").orderBy(value).rowsBetween(*FIRST)
-    inside = inside.withColumn("cum_before", F.col("_off_n") + F.coalesce(F.sum("n").over(below), F.lit(0)))
+    ranges = ranges.filter(named).withColumn("_many", F.col("_sum_n") > many).drop("_sum_n")
+    inside = (_join_keys(rows, F.broadcast(ranges), [*by, "_range"])
+              .groupBy(*by, "_range", value, "_off_n", "_many", F.col("total_n").alias("total")).agg(F.count(F.lit(1)).alias("n")))
+    inside = _within(inside, value, by, ["n"]).withColumn("cum_before", F.col("_off_n") + F.col("_in_n"))
     return quantiles_from_ranks(inside, value, probs, by)
 
 
