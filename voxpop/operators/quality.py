@@ -80,37 +80,82 @@ def null_counts(df: DataFrame) -> DataFrame:
     return _long(row, structs).orderBy(F.desc("nulls"), "coluna")
 
 
+FILTER_BITS = 1 << 27  # 16 MB, sent to every task
+
+
+def _maybe_in(rows: DataFrame, hashed: str, marked: DataFrame) -> DataFrame:
+    """``rows`` whose ``hashed`` value may be among those of ``marked`` (same
+    column): a bitmap of ``FILTER_BITS`` bits, all its marks and few others pass.
+    At most 4,096 bitmaps of 4 KB are broadcast, whatever the size of ``marked``."""
+    place = F.pmod(F.col(hashed), F.lit(FILTER_BITS)) + 1
+    maps = marked.groupBy(F.bitmap_bucket_number(place).alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_map"))
+    bit = F.bitmap_bit_position(place)
+    octet = F.conv(F.hex(F.substring("_map", F.shiftright(bit, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    out = rows.withColumn("_bucket", F.bitmap_bucket_number(place)).join(F.broadcast(maps), "_bucket")
+    return out.where(F.getbit(octet, (bit % 8).cast("int")) == 1).drop("_bucket", "_map")
+
+
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """DQ4: rows beyond the first of each identical row (one shuffle on the
-    full row, with map-side partial counts)."""
-    per_row = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n"))
-    return per_row.agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_distinct_rows"),
-                       F.sum(F.col("n") - 1).alias("duplicate_rows"))
+    """DQ4: rows, distinct rows and rows beyond the first of each identical row.
+
+    First 128-bit hashes of the rows are counted, then the rows whose hash was
+    seen twice (found by a bitmap of fixed size, without a shuffle) are compared
+    in full.  What is shuffled for the others does not depend on their width."""
+    h1, h2 = free_name("_h1", df), free_name("_h2", df)
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    hashed = df.withColumns({h1: F.xxhash64(F.lit(1), *cols), h2: F.xxhash64(F.lit(2), *cols)})
+    seen = hashed.groupBy(h1, h2).agg(F.count(F.lit(1)).alias("n"))
+    suspects = _maybe_in(hashed, h1, seen.where("n > 1").select(h1)).groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
+    beyond = suspects.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0))).scalar()
+    return seen.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.max(beyond).alias("_b")).select(
+        "n_rows", (F.col("n_rows") - F.coalesce("_b", F.lit(0))).alias("n_distinct_rows"), F.coalesce("_b", F.lit(0)).alias("duplicate_rows"))
+
+
+def free_name(name: str, df: DataFrame) -> str:
+    while name.lower() in [c.lower() for c in df.columns]:
+        name += "_"
+    return name
+
+
+def distinct_integers(df: DataFrame, cols) -> DataFrame:
+    """``key``, ``n_rows``, ``n_filled``, ``n_distinct`` of integer columns, one pass.
+
+    Keys are gathered as words of 64 bits (``key div 64`` and the bit inside, merged
+    by OR): dense ids take 1/64 of the rows that distinct keys would, sparse ones
+    a row each; the words' bits are counted at the end."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("key"), F.col(f"`{c}`").cast("bigint").alias("v")) for c in cols])
+    long = df.select(F.explode(pairs).alias("_p")).select("_p.*")
+    word = F.shiftright("v", 6)
+    bits = F.when(F.col("v").isNotNull(), F.expr("shiftleft(1L, CAST(v & 63 AS INT))"))
+    words = long.groupBy("key", word.alias("word")).agg(F.bit_or(bits).alias("bits"), F.count(F.lit(1)).alias("n"), F.count("v").alias("filled"))
+    return words.groupBy("key").agg(F.sum("n").alias("n_rows"), F.sum("filled").alias("n_filled"), F.sum(F.coalesce(F.bit_count("bits"), F.lit(0))).alias("n_distinct"))
 
 
 def duplicate_keys(df: DataFrame, keys=("order_id", "customer_id")) -> DataFrame:
     """DQ5: per key column: rows, distinct keys, duplicates, unique ratio.
-    A key column missing from the table yields a row of NULLs."""
-    present = [k for k in keys if k in df.columns]
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    for k in present:
-        aggs += [F.count(k).alias(f"{k}__nn"), F.countDistinct(k).alias(f"{k}__d")]
-    row = df.agg(*aggs)
-    structs = []
+    A key column missing from the table yields a row of NULLs.
+
+    Integer keys are counted together as bits of words; a key of another type by
+    an exact grouping of its own."""
+    spark = df.sparkSession
+    kinds = dict(df.dtypes)
+    whole = [k for k in keys if kinds.get(k) in ("tinyint", "smallint", "int", "bigint")]
+    parts = [distinct_integers(df, whole)] if whole else []
     for k in keys:
-        if k in present:
-            structs.append(F.struct(
-                F.lit(k).alias("key_column"), F.lit(True).alias("present"),
-                F.col("__n").alias("n_rows"), F.col(f"{k}__d").alias("n_distinct"),
-                (F.col(f"{k}__nn") - F.col(f"{k}__d")).alias("duplicates"),
-                (F.col(f"{k}__d") / F.nullif(F.col("__n"), F.lit(0))).alias("unique_ratio")))
-        else:
-            structs.append(F.struct(
-                F.lit(k).alias("key_column"), F.lit(False).alias("present"),
-                F.col("__n").alias("n_rows"), F.lit(None).cast("bigint").alias("n_distinct"),
-                F.lit(None).cast("bigint").alias("duplicates"),
-                F.lit(None).cast("double").alias("unique_ratio")))
-    return _long(row, structs)
+        if k in kinds and k not in whole:
+            by = df.groupBy(F.col(f"`{k}`").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+            parts.append(by.agg(F.lit(k).alias("key"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+                                F.coalesce(F.sum(F.when(F.col("v").isNotNull(), F.col("n"))), F.lit(0)).alias("n_filled"), F.count("v").alias("n_distinct")))
+    dim = spark.createDataFrame([(i, k, k in kinds) for i, k in enumerate(keys)], "_i int, key_column string, present boolean")
+    counts = spark.createDataFrame([], "key string, n_rows bigint, n_filled bigint, n_distinct bigint")
+    for p in parts:
+        counts = counts.unionByName(p)
+    rows = df.agg(F.count(F.lit(1))).scalar()  # an empty table or a missing key has no counts
+    out = F.broadcast(dim).join(counts, F.col("key_column") == F.col("key"), "left")
+    distinct = F.when(F.col("present"), F.coalesce("n_distinct", F.lit(0)))
+    return out.select("key_column", "present", F.coalesce("n_rows", rows).alias("n_rows"), distinct.alias("n_distinct"),
+                      (F.coalesce("n_filled", F.lit(0)) - distinct).alias("duplicates"),
+                      (distinct / F.nullif(F.coalesce("n_rows", rows), F.lit(0))).alias("unique_ratio"))
 
 
 def range_check(df: DataFrame, rules=RANGE_RULES) -> DataFrame:

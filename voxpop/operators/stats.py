@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxpop.functions import columns as C
-from voxpop.functions.pvalues import (chi2_sf_udf, inverse_normal_udf, normal_two_sided_udf,
-                                      t_two_sided_udf)
+from voxpop.functions.pvalues import (chi2_sf_udf, inverse_normal_udf, mann_whitney_exact_udf, normal_two_sided_udf,
+                                      score_square_sum_udf, score_sum_udf, t_two_sided_udf)
 from voxpop.functions.ranks import cumulative, exact_quantiles, frequencies, ranked_values, stacked
 from voxpop.schema import NPS_CLASSES
 
@@ -244,9 +244,11 @@ def _pairs(spark, groups) -> DataFrame:
 
 
 def mann_whitney_pairs(df: DataFrame, value: str, group: str, groups=tuple(NPS_CLASSES),
-                       alpha: float = 0.05, with_p: bool = True) -> DataFrame:
-    """Pairwise two-sided Mann-Whitney U with tie correction and continuity,
-    re-ranked inside each pair; Bonferroni-adjusted p; verdict text."""
+                       alpha: float = 0.05, with_p: bool = True, exact_up_to: int = 8) -> DataFrame:
+    """Pairwise two-sided Mann-Whitney U, re-ranked inside each pair;
+    Bonferroni-adjusted p; verdict text.  p is exact for a pair without ties one
+    of whose groups has at most ``exact_up_to`` values, and by the normal tail with
+    tie correction and continuity for the others."""
     spark = df.sparkSession
     d = df.filter(F.col(group).isin(list(groups)) & F.col(value).isNotNull())
     freq = frequencies(d, value, [group])
@@ -285,10 +287,14 @@ def mann_whitney_pairs(df: DataFrame, value: str, group: str, groups=tuple(NPS_C
             (F.col("_s1") / F.col("n1")).alias("media_1"), (F.col("_s2") / F.col("n2")).alias("media_2"),
             "mediana_1", "mediana_2", (F.col("mediana_1") - F.col("mediana_2")).alias("diferenca_mediana"),
             "u_stat", "z"]
-    out = out.select(*cols)
+    small = (F.least("n1", "n2") <= exact_up_to) & (F.col("tt") == 0)  # exact null distribution: a small group, no ties
+    out = out.select(*cols, small.alias("_exact"))
     if not with_p:
-        return out
-    out = (out.withColumn("p_value", normal_two_sided_udf(F.col("z")))
+        return out.drop("_exact")
+    sized = lambda c: F.when(F.col("_exact"), F.col(c).cast("double"))
+    exact = mann_whitney_exact_udf(sized("u_stat"), sized("n1"), sized("n2"))
+    out = (out.withColumn("_p", normal_two_sided_udf(F.col("z"))).withColumn("_e", exact)
+           .withColumn("p_value", F.when(F.col("_exact"), F.col("_e")).otherwise(F.col("_p"))).drop("_exact", "_p", "_e")
            .withColumn("p_ajustado", F.least(F.col("p_value") * m, F.lit(1.0)))
            .withColumn("significativo", F.when(F.col("p_ajustado") < alpha, "Sim").otherwise("Não")))
     return out.withColumn("interpretacao", interpretation())
@@ -414,7 +420,7 @@ def box_table(df: DataFrame, value: str, group: str = "classificacao_nps") -> Da
 def qq_points(df: DataFrame, col: str = "nps_score", points: int = 1000) -> DataFrame:
     """Normal Q-Q: ``points`` evenly spaced order statistics (exact values by
     the distributed cumulative counts) against the Filliben order-statistic
-    medians mapped through the inverse normal; plus the fitted line."""
+    medians mapped through the inverse normal (the line: ``qq_line``)."""
     r = ranked_values(df, col)
     total = r.agg(F.sum("n")).scalar()
     # Sample j (0..points-1) takes order statistic i = floor(j (N-1) / (P-1)) + 1.
@@ -442,6 +448,24 @@ def qq_points(df: DataFrame, col: str = "nps_score", points: int = 1000) -> Data
             .select(F.col("i").cast("bigint").alias("ordem"), "teorico", F.col(col).cast("double").alias("observado")))
 
 
+def qq_line(df: DataFrame, col: str = "nps_score") -> DataFrame:
+    """ST12: least-squares line of the ordered values on their normal scores, and
+    their correlation, over all n rows: ``slope``, ``intercept``, ``r``, ``n``.
+
+    A value's rows hold consecutive ranks; the sum of the scores over them comes
+    in closed form with end corrections, so nothing is listed by rank.  The scores
+    are symmetric: their mean is 0."""
+    ranked = ranked_values(df, col)
+    y, n = F.col(col).cast("double"), F.col("n").cast("double")
+    scores = score_sum_udf(F.col("cum_before").cast("double"), (F.col("cum_before") + F.col("n")).cast("double"), F.col("total").cast("double"))
+    mean = df.agg(F.avg(F.col(col).cast("double"))).scalar()
+    one = (ranked.withColumn("_s", scores).withColumn("_d", y - mean)
+           .agg(F.sum("n").alias("n"), F.max(mean).alias("intercept"), F.sum(F.col("_d") * F.col("_s")).alias("_sy"), F.sum(n * F.col("_d") * F.col("_d")).alias("_yy")))
+    one = one.withColumn("_ss", score_square_sum_udf(F.col("n").cast("double")))
+    return one.select((F.col("_sy") / F.nullif("_ss", F.lit(0.0))).alias("slope"), "intercept",
+                      (F.col("_sy") / F.nullif(F.sqrt(F.col("_ss") * F.col("_yy")), F.lit(0.0))).alias("r"), "n")
+
+
 def residual_bands(scored: DataFrame, y: str = "nps_score", pred: str = "prediction",
                    include_lowest: bool = False) -> DataFrame:
     """ST13: |error| mean and n per real-NPS band (0,3],(3,6],(6,8],(8,10];

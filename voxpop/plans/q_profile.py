@@ -61,6 +61,18 @@ def dq_dup_rows(spark, sf):
     return Q.duplicate_rows(load_base(spark, sf))
 
 
+_REPEATED = "SELECT * FROM base UNION ALL SELECT * FROM base WHERE order_id % 50 = 0 UNION ALL SELECT * FROM base WHERE order_id % 100 = 0"
+
+
+@register("dq_dup_rows_repeated", with_base(f"rep AS ({_REPEATED})", body=f"""
+SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_distinct_rows, CAST(sum(n - 1) AS BIGINT) AS duplicate_rows
+FROM (SELECT count(*) AS n FROM rep GROUP BY {', '.join(BASE_COLUMNS)}) g"""))
+def dq_dup_rows_repeated(spark, sf):
+    """DQ4 on the base with some of its rows two or three times."""
+    b = load_base(spark, sf)
+    return Q.duplicate_rows(b.unionByName(b.where("order_id % 50 = 0")).unionByName(b.where("order_id % 100 = 0")))
+
+
 def _dupkey_sql(k):
     return (f"SELECT '{k}' AS key_column, true AS present, count(*) AS n_rows, count(DISTINCT {k}) AS n_distinct, "
             f"count({k}) - count(DISTINCT {k}) AS duplicates, "

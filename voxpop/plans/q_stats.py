@@ -309,16 +309,31 @@ def box_order_value(spark, sf):
 
 # the normal distribution on a grid of 0.001 (Simpson in each cell), inverted inside a cell by its Taylor series
 _PHI = "exp(-({0}) * ({0}) / 2) / sqrt(2 * pi())"
-_QQ_SQL = with_base(
-    "sv AS (SELECT nps_score AS v, row_number() OVER (ORDER BY nps_score) AS i, count(*) OVER () AS n FROM base WHERE nps_score IS NOT NULL)",
-    "sj AS (SELECT j, j * ((SELECT max(n) FROM sv) - 1) // 999 + 1 AS i FROM range(1000) AS g(j))",
-    """sm AS (SELECT sj.j, sv.i, sv.v, CASE WHEN sv.i = n THEN power(0.5, 1 / CAST(n AS DOUBLE)) WHEN sv.i = 1 THEN 1 - power(0.5, 1 / CAST(n AS DOUBLE))
+
+def _qq_sql(ranks: str, body: str) -> str:
+    """Normal scores (``t``) of the ranks that the CTE ``sj`` names."""
+    return with_base(
+        "sv AS (SELECT nps_score AS v, row_number() OVER (ORDER BY nps_score) AS i, count(*) OVER () AS n FROM base WHERE nps_score IS NOT NULL)",
+        f"sj AS ({ranks})",
+        """sm AS (SELECT sj.j, sv.i, sv.v, CASE WHEN sv.i = n THEN power(0.5, 1 / CAST(n AS DOUBLE)) WHEN sv.i = 1 THEN 1 - power(0.5, 1 / CAST(n AS DOUBLE))
                   ELSE (sv.i - CAST(0.3175 AS DOUBLE)) / (n + CAST(0.365 AS DOUBLE)) END AS m FROM sj JOIN sv ON sv.i = sj.i)""",
-    f"""cell AS (SELECT k, x, ({_PHI.format('x')} + 4 * {_PHI.format('x + 0.0005')} + {_PHI.format('x + 0.001')}) / 6000 AS w
+        f"""cell AS (SELECT k, x, ({_PHI.format('x')} + 4 * {_PHI.format('x + 0.0005')} + {_PHI.format('x + 0.001')}) / 6000 AS w
                 FROM (SELECT k, CAST(k AS DOUBLE) / 1000 AS x FROM range(-9000, 9000) AS g(k)) q)""",
-    "grid AS (SELECT x, coalesce(sum(w) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM cell)",
-    f"su AS (SELECT sm.*, grid.x, (sm.m - grid.c) / ({_PHI.format('grid.x')}) AS u FROM sm ASOF JOIN grid ON sm.m >= grid.c)",
-    body="SELECT i AS ordem, x + u + x * u * u / 2 + (2 * x * x + 1) * u * u * u / 6 AS teorico, CAST(v AS DOUBLE) AS observado FROM su")
+        "grid AS (SELECT x, coalesce(sum(w) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM cell)",
+        f"su AS (SELECT sm.*, grid.x, (sm.m - grid.c) / ({_PHI.format('grid.x')}) AS u FROM sm ASOF JOIN grid ON sm.m >= grid.c)",
+        "st AS (SELECT *, x + u + x * u * u / 2 + (2 * x * x + 1) * u * u * u / 6 AS t FROM su)", body=body)
+
+
+_QQ_SQL = _qq_sql("SELECT j, j * ((SELECT max(n) FROM sv) - 1) // 999 + 1 AS i FROM range(1000) AS g(j)",
+                  "SELECT i AS ordem, t AS teorico, CAST(v AS DOUBLE) AS observado FROM st")
+_QQ_LINE_SQL = _qq_sql("SELECT i AS j, i FROM sv", """SELECT regr_slope(CAST(v AS DOUBLE), t) AS slope, regr_intercept(CAST(v AS DOUBLE), t) AS intercept,
+    corr(CAST(v AS DOUBLE), t) AS r, count(*) AS n FROM st""")
+
+
+@register("qq_line", _QQ_LINE_SQL, "slope intercept r")
+def qq_line(spark, sf):
+    """ST12: the fitted line of the Q-Q plot over all rows."""
+    return ST.qq_line(load_base(spark, sf), "nps_score")
 
 
 @register("qq_points", _QQ_SQL, "teorico observado")
