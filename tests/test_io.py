@@ -46,7 +46,7 @@ def test_write_comparison_tables_round_trip(spark):
     tables = {"visao_geral": ST.version_overview(base), "correlacoes": ST.corr_change(base, CORR_FULL)}
     IO.write_comparison(tables, d)
     for name, df in tables.items():
-        back = spark.read.option("header", True).schema(df.schema).csv(f"{d}/{name}")
+        back = spark.read.option("header", True).schema(df.schema).csv(IO.published(spark, d)[name])
         assert back.count() == df.count() > 0
         assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
 
@@ -73,3 +73,67 @@ def test_csv_is_read_by_header_name_and_counts_what_does_not_parse(spark, tmp_pa
     base.drop("nps_score").write.option("header", True).csv(str(tmp_path / "short"))
     with pytest.raises(ValueError, match="nps_score"):
         IO.read_orders(spark, str(tmp_path / "short"))
+
+
+def test_quarantine_names_file_line_and_column(spark, tmp_path):
+    base = IO.load_base(spark, "/root/testdata/sf0.001").limit(30)
+    rows = [",".join("" if v is None else str(v) for v in r) for r in base.collect()]
+    at = base.columns.index("order_value")
+    swap = lambda line, v: ",".join([*line.split(",")[:at], v, *line.split(",")[at + 1:]])
+    head = ",".join(base.columns)
+    lines = [head, rows[0], rows[1] + ",extra", "", swap(rows[2], "cheap"), rows[3].rsplit(",", 3)[0], swap(rows[4], "NaN"), swap(rows[5], "")]
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n")
+    (tmp_path / "b.csv").write_text("\n".join([head, *rows[6:], "not an order"]) + "\n")
+    clean, faults = IO.read_orders_checked(spark, str(tmp_path))
+    got = {(r["file"].rsplit("/", 1)[1], r["line"], r["column"], r["text"]) for r in faults.collect()}
+    assert got == {("a.csv", 3, None, lines[2]), ("a.csv", 5, "order_value", "cheap"), ("a.csv", 6, None, lines[5]), ("b.csv", len(rows[6:]) + 2, None, "not an order")}
+    assert clean.schema == base.schema and clean.count() + len(got) == 30 + 1
+    kept = {r["order_id"]: r for r in clean.collect()}
+    empty = [kept[int(x.split(",")[base.columns.index("order_id")])]["order_value"] for x in (rows[4], rows[5])]
+    assert empty == [None, None]
+
+
+def test_line_numbers_over_several_splits_of_a_file(spark, tmp_path):
+    base = IO.load_base(spark, "/root/testdata/sf0.001")
+    rows = [",".join("" if v is None else str(v) for v in r) for r in base.collect()]
+    bad = [7, 500, 501, 1400]
+    for i in bad:
+        rows[i] = f"fault {i}"
+    (tmp_path / "all.csv").write_text("\n".join([",".join(base.columns), *rows]) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        clean, faults = IO.read_orders_checked(spark, str(tmp_path))
+        assert sorted((r["line"], r["text"]) for r in faults.collect()) == [(i + 2, f"fault {i}") for i in bad]
+        assert clean.count() == len(rows) - len(bad)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_readers_see_whole_publications_only(spark, tmp_path):
+    import pytest
+    folder = str(tmp_path / "reports")
+    one, two = spark.range(3).toDF("a"), spark.range(5).toDF("a")
+    assert IO.published(spark, folder) == {}
+    IO.write_comparison({"x": one, "y": one}, folder)
+    first = IO.published(spark, folder)
+    assert set(first) == {"x", "y"} and spark.read.option("header", True).csv(first["y"]).count() == 3
+    broken = two.select(F.raise_error(F.lit("half way")).cast("long").alias("a"))
+    with pytest.raises(Exception, match="half way"):
+        IO.write_comparison({"x": two, "y": broken}, folder)
+    assert IO.published(spark, folder) == first
+    IO.write_comparison({"x": two, "y": two}, folder)
+    assert all(spark.read.option("header", True).csv(p).count() == 5 for p in IO.published(spark, folder).values())
+
+
+def test_rewritten_inputs_give_a_new_base(spark, tmp_path):
+    import os
+    import shutil
+
+    import pyarrow.parquet as pq
+    d = str(tmp_path / "sf")
+    shutil.copytree("/root/testdata/sf0.001", d)
+    before = IO.load_base(spark, d).count()
+    os.chmod(f"{d}/orders.parquet", 0o644)
+    pq.write_table(pq.read_table("/root/testdata/sf0.001/orders.parquet").slice(0, 100), f"{d}/orders.parquet")
+    assert before == 1500 and IO.load_base(spark, d).count() == 100

@@ -35,6 +35,18 @@ def test_attributions_are_additive(spark):
     assert gap < 1e-6
 
 
+def test_attributions_are_the_same_for_any_group_of_trees(spark):
+    import numpy as np
+    df = model_frame(load_base(spark, SF), "ops")
+    for name, label in (("gbt_reg", "nps_score"), ("forest_reg", "nps_score")):
+        model = FIT.fit(df, "ops", label, name, trees=5, depth=4)
+        scored = FIT.score(model, df).select("order_id", "features", "prediction")
+        one, many = ({r["order_id"]: r for r in XP.row_attributions(model, scored, margin="prediction", group_nodes=n).collect()} for n in (10**6, 40))
+        assert set(one) == set(many) and len(one) == df.count()
+        for i, r in one.items():
+            assert np.allclose(r["phi"], many[i]["phi"], atol=1e-12) and r["gap"] < 1e-9 and many[i]["gap"] < 1e-9
+
+
 def test_holdout_metrics_shape(spark):
     df = model_frame(load_base(spark, SF), "full_v1")
     m = FIT.holdout_metrics(df, "full_v1", "clf", ["logistic"])
@@ -79,7 +91,7 @@ def test_registered_ensembles_fit_the_studys_tree_count(spark, monkeypatch):
         return est
 
     monkeypatch.setattr(FIT, "estimator", estimator)
-    for q in ("forest_reg", "gbt_reg", "forest_clf", "gbt_clf", "best_model", "best_classifier", "importance", "attribution",
+    for q in ("forest_reg", "gbt_reg", "forest_clf", "gbt_clf", "best_model", "best_classifier", "importance", "attribution", "attribution_reg", "tree_certificate",
               "csat_scenario", "risk_bands", "top_risk", "risk_queue"):
         with pytest.raises(Seen) as seen:
             catalog.QUERIES[f"ml_{q}"](spark, SF)

@@ -288,6 +288,15 @@ def ml_coefficients(spark, sf):
                                  "model string, pos int, feature string, coefficient double")
 
 
+@register("ml_attribution_reg")
+def ml_attribution_reg(spark, sf):
+    """ML21 for the boosted regressor."""
+    df = frame(spark, sf, "ops")
+    model = FIT.fit(SP.stratified_split(df, "label").filter("split = 'train'"), "ops", "nps_score", "gbt_reg")
+    attr = XP.row_attributions(model, FIT.score(model, df), margin="prediction")
+    return XP.global_importance(attr, FIT.slot_names(model)).withColumnRenamed("max_gap", "max_additivity_gap")
+
+
 _CERTIFICATE = _ops("a")
 
 

@@ -24,7 +24,10 @@ window.  Plan notes, per stage:
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import time
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -132,20 +135,32 @@ def derive_orders_nps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(*BASE_COLUMNS)
 
 
+BASE_TABLES = ["orders", "lineitem", "customer", "nation", "region"]
 _BASE_CACHE: dict[tuple[str, str], str] = {}
 
 
+def _files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Name, length and modification time of every file at or under ``path``."""
+    fs, jpath = _file_system(spark, path)
+    found, it = [], fs.listFiles(jpath, True)
+    while it.hasNext():
+        f = it.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return sorted(found)
+
+
 def load_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The derived base, written once per application under the shared
     checkpoint folder and read back as Parquet (filter pushdown, column
-    pruning, lineage cut, survives executor loss)."""
+    pruning, lineage cut, survives executor loss).  Input files that have been
+    rewritten since (name, length or time) give a new base, in a fresh folder."""
     sf_dir = os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir
-    key = (spark.sparkContext.applicationId, sf_dir)
+    state = [f for t in BASE_TABLES for f in _files(spark, f"{sf_dir.rstrip('/')}/{t}.parquet")]
+    key = (spark.sparkContext.applicationId, hashlib.sha256(repr(state).encode()).hexdigest())
     path = _BASE_CACHE.get(key)
     if path is None:
-        tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
-        path = f"{checkpoint_root(spark)}/voxpop_base/{key[0]}/{tag}/orders_nps"
-        derive_orders_nps(spark, sf_dir).write.mode("overwrite").parquet(path)
+        path = f"{checkpoint_root(spark)}/voxpop_base/{key[0]}/{uuid.uuid4().hex}/orders_nps"
+        derive_orders_nps(spark, sf_dir).write.parquet(path)
         _BASE_CACHE[key] = path
     return spark.read.schema(ORDERS_NPS_SCHEMA).parquet(path)
 
@@ -165,7 +180,11 @@ def read_orders(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
         df = raw.select(*[_parsed(f).alias(f.name) for f in ORDERS_NPS_SCHEMA.fields])
     else:
         df = spark.read.schema(ORDERS_NPS_SCHEMA).format(fmt).load(path)
-    # NaN is ordered above every number in Spark; treat it as missing
+    return _without_nan(df)
+
+
+def _without_nan(df: DataFrame) -> DataFrame:
+    """NaN is ordered above every number in Spark; treat it as missing."""
     return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double"))
                            for c, t in df.dtypes if t == "double"})
 
@@ -179,26 +198,71 @@ def _orders_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _parsed(field) -> Column:
-    kind, c = field.dataType.simpleString(), field.name
-    if kind == "string":
-        return F.col(c)
-    if kind == "double":
-        return F.expr(f"try_cast(`{c}` AS DOUBLE)")
+    return _parsed_text(field, F.col(field.name))
+
+
+def _parsed_text(field, text: Column) -> Column:
+    kind = field.dataType.simpleString()
+    if kind in ("string", "double"):
+        return text if kind == "string" else text.try_cast("double")
     # as written first: large keys lose digits on the way through DOUBLE
-    return F.expr(f"coalesce(try_cast(`{c}` AS {kind}), try_cast(try_cast(`{c}` AS DOUBLE) AS {kind}))")
+    return F.coalesce(text.try_cast(kind), text.try_cast("double").try_cast(kind))
+
+
+def _unparsed(field, text: Column) -> Column:
+    """A value is there, but no number."""
+    return (F.trim(text) != "") & (F.lower(F.trim(text)) != "nan") & _parsed_text(field, text).isNull()
 
 
 def unparsed_orders(spark: SparkSession, path: str) -> DataFrame:
     """One row: per column, how many non-blank CSV values are no number."""
     raw = _orders_text(spark, path)
-    return raw.agg(*[F.count(F.when((F.trim(F.col(f.name)) != "") & (F.lower(F.trim(F.col(f.name))) != "nan") & _parsed(f).isNull(), 1))
-                     .alias(f.name) for f in ORDERS_NPS_SCHEMA.fields])
+    return raw.agg(*[F.count(F.when(_unparsed(f, F.col(f.name)), 1)).alias(f.name) for f in ORDERS_NPS_SCHEMA.fields])
+
+
+def _text_parsed(columns: list[str], line: str) -> Column:
+    """A CSV line as a struct of texts; ``_bad`` holds the line when its number of fields differs."""
+    schema = ", ".join(f"`{c}` string" for c in columns) + ", _bad string"
+    return F.from_csv(F.col(line), F.lit(schema), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+
+
+def read_orders_checked(spark: SparkSession, path: str, columns: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """IO1 with a quarantine: the clean orders, and ``file``, ``line`` (from 1),
+    ``column``, ``text``, ``record`` of every fault.
+
+    A record with too few or too many fields is one fault (``column`` NULL,
+    ``text`` the record); a value that does not parse is one for its column.  Every
+    line but headers and blank ones is either clean or quarantined.  ``columns``
+    names the fields of files without a header.  Line numbers come from one count
+    a file split, not from a sort."""
+    columns = columns or _orders_text(spark, path).columns
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.input_file_block_start().alias("_block"),
+                                         F.monotonically_increasing_id().alias("_id"))
+    blocks = lines.groupBy("file", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_lines"))
+    before = F.sum("_lines").over(Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))  # one row a split
+    blocks = blocks.withColumn("_before", F.coalesce(before, F.lit(0))).withColumnsRenamed({"file": "_f", "_block": "_b"})
+    rows = lines.where(F.trim("value") != "").withColumn("_r", _text_parsed(columns, "value"))
+    header = F.lit(True)
+    for c in columns:
+        header = header & F.col(f"_r.`{c}`").eqNullSafe(F.lit(c))
+    rows = rows.where(~header)
+    wrong = [F.when(_unparsed(f, F.col(f"_r.`{f.name}`")), F.struct(F.lit(f.name).alias("column"), F.col(f"_r.`{f.name}`").alias("text"))) for f in ORDERS_NPS_SCHEMA.fields]
+    whole = F.array(F.struct(F.lit(None).cast("string").alias("column"), F.col("value").alias("text")))
+    rows = rows.withColumn("_faults", F.when(F.col("_r._bad").isNotNull(), whole).otherwise(F.filter(F.array(*wrong), lambda x: x.isNotNull())))
+    clean = rows.where(F.size("_faults") == 0).select(*[_parsed_text(f, F.col(f"_r.`{f.name}`")).alias(f.name) for f in ORDERS_NPS_SCHEMA.fields])
+    at = (F.col("file") == F.col("_f")) & (F.col("_block") == F.col("_b"))
+    faults = rows.where(F.size("_faults") > 0).join(blocks, at).select(
+        "file", (F.col("_before") + F.col("_id") - F.col("_first") + 1).alias("line"), F.explode("_faults").alias("_x"), F.col("value").alias("record"))
+    return _without_nan(clean), faults.select("file", "line", "_x.column", "_x.text", "record")
+
+
+def _file_system(spark: SparkSession, path: str):
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, jpath = _file_system(spark, path)
     return fs.exists(jpath)
 
 
@@ -220,11 +284,56 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     w.format(fmt).save(path)
 
 
-def write_comparison(tables: dict[str, DataFrame], folder: str, fmt: str = "csv") -> None:
-    """IO4: the report tables (overview, regression, classification,
-    correlations), one folder each."""
-    for name, df in tables.items():
-        write_table(df, f"{folder.rstrip('/')}/{name}", fmt)
+def write_comparison(tables: dict[str, DataFrame], folder: str, fmt: str = "csv") -> str:
+    """IO4: publishes the report tables (overview, regression, classification,
+    correlations) together and returns the folder of this version.
+
+    The tables go to a folder of their own; a manifest that names them is put in
+    place last, by one rename.  A reader (``published``) sees all tables of one
+    publication or those of the one before it, also when a write fails half way."""
+    spark = next(iter(tables.values())).sparkSession
+    folder, name = folder.rstrip("/"), f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+    version = f"{folder}/version-{name}"
+    for table, df in tables.items():
+        write_table(df, f"{version}/{table}", fmt)
+    fs, ready = _file_system(spark, f"{folder}/_manifests/{name}.json")
+    _, draft = _file_system(spark, f"{version}/_manifest.json")
+    out = fs.create(draft)
+    out.write(bytearray(json.dumps({"version": version, "format": fmt, "tables": sorted(tables)}).encode()))
+    out.close()
+    fs.mkdirs(ready.getParent())
+    if not fs.rename(draft, ready):
+        raise OSError(f"the manifest could not be put in place: {ready}")
+    return version
+
+
+def published(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Paths of the tables of the latest publication, by name; empty before the first."""
+    fs, manifests = _file_system(spark, f"{folder.rstrip('/')}/_manifests")
+    if not fs.exists(manifests):
+        return {}
+    latest = max((f.getPath().toString() for f in fs.listStatus(manifests)), default=None)
+    if latest is None:
+        return {}
+    found = json.loads(spark.read.text(latest, wholetext=True).first()[0])
+    return {t: f"{found['version']}/{t}" for t in found["tables"]}
+
+
+def metric_table(metrics: DataFrame, shown: dict[str, str], metric: str, order: list[str]) -> DataFrame:
+    """``metrica``, ``v1``, ``v2`` (texts): the ``shown`` metrics of the model of
+    each version that is best by ``metric``, then the models' names as
+    ``modelo_v1`` and ``modelo_v2``.  ``metrics``: model, metric, value, version."""
+    from voxpop.ml.evaluate import best_model
+    best = None
+    for v in ("v1", "v2"):
+        one = best_model(metrics.where(F.col("version") == v), metric, order).select(F.col("model").alias("_m"), F.lit(v).alias("_v"))
+        best = one if best is None else best.unionByName(one)
+    won = metrics.join(best, (F.col("model") == F.col("_m")) & (F.col("version") == F.col("_v")))
+    names = F.create_map(*[x for m, s in shown.items() for x in (F.lit(m), F.lit(s))])
+    numbers = won.where(F.col("metric").isin(list(shown))).groupBy(names[F.col("metric")].alias("metrica")).agg(
+        *[F.max(F.when(F.col("version") == v, F.col("value"))).cast("string").alias(v) for v in ("v1", "v2")])
+    texts = best.select(F.concat(F.lit("modelo_"), "_v").alias("metrica"), *[F.when(F.col("_v") == v, F.col("_m")).otherwise("").alias(v) for v in ("v1", "v2")])
+    return numbers.unionByName(texts)
 
 
 def read_metric_table(spark: SparkSession, path: str) -> DataFrame:
