@@ -32,7 +32,7 @@ def test_duplicate_rows_of_any_kind(spark, monkeypatch, bits):
 
 def test_only_suspected_rows_are_compared_in_full(spark):
     df = spark.range(50_000).select("id", F.repeat(F.lit("wide"), 50).alias("text"))
-    one = Q._maybe_in(df.withColumn("h", F.xxhash64("id")), "h", df.where("id < 300").select(F.xxhash64("id").alias("h")))
+    one = Q.may_be_among(df.withColumn("h", F.xxhash64("id")), "h", df.where("id < 300").select(F.xxhash64("id").alias("h")))
     assert 300 <= one.count() <= 400 and one.where("id < 300").count() == 300
 
 

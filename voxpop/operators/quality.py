@@ -83,7 +83,7 @@ def null_counts(df: DataFrame) -> DataFrame:
 FILTER_BITS = 1 << 27  # 16 MB, sent to every task
 
 
-def _maybe_in(rows: DataFrame, hashed: str, marked: DataFrame) -> DataFrame:
+def may_be_among(rows: DataFrame, hashed: str, marked: DataFrame) -> DataFrame:
     """``rows`` whose ``hashed`` value may be among those of ``marked`` (same
     column): a bitmap of ``FILTER_BITS`` bits, all its marks and few others pass.
     At most 4,096 bitmaps of 4 KB are broadcast, whatever the size of ``marked``."""
@@ -105,7 +105,7 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     cols = [F.col(f"`{c}`") for c in df.columns]
     hashed = df.withColumns({h1: F.xxhash64(F.lit(1), *cols), h2: F.xxhash64(F.lit(2), *cols)})
     seen = hashed.groupBy(h1, h2).agg(F.count(F.lit(1)).alias("n"))
-    suspects = _maybe_in(hashed, h1, seen.where("n > 1").select(h1)).groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
+    suspects = may_be_among(hashed, h1, seen.where("n > 1").select(h1)).groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
     beyond = suspects.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0))).scalar()
     return seen.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.max(beyond).alias("_b")).select(
         "n_rows", (F.col("n_rows") - F.coalesce("_b", F.lit(0))).alias("n_distinct_rows"), F.coalesce("_b", F.lit(0)).alias("duplicate_rows"))
