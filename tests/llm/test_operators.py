@@ -309,6 +309,56 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(got, [total(langid.MARK + w) for w in words])
 
 
+@pytest.mark.parametrize("letters", [31, 75, 400])
+def test_a_long_run_is_summed_over_all_its_segmentations(letters):
+    """Against exact fractions, over the whole run; beyond a double's range in logarithms."""
+    from fractions import Fraction
+
+    import numpy as np
+    rng = random.Random(letters)
+    pieces = sorted([langid.MARK, "a", "b", "ab", langid.MARK + "a", "ba", "aba", "bbbb"])
+    seg = langid.Segments(pieces)
+    prob = np.array([[0.01 + 0.02 * i, 0.2 / (i + 1)] for i in range(len(pieces))] + [[1e-7, 1e-7]])
+    word = "".join(rng.choice("aaabbbz") for _ in range(letters))
+    s = langid.MARK + word
+    for lang in (0, 1):
+        exact = [Fraction(1)] + [Fraction(0)] * len(s)
+        p = {x: Fraction(prob[i, lang]) for i, x in enumerate(pieces)}
+        for j in range(1, len(s) + 1):
+            exact[j] = sum(exact[i] * p.get(s[i:j], Fraction(prob[-1, lang]) if j - i == 1 else 0) for i in range(max(0, j - 4), j))
+        want = math.log(exact[-1].numerator) - math.log(exact[-1].denominator)
+        assert math.isclose(langid.log_totals(seg, [word, "ab"], prob)[0, lang], want, rel_tol=1e-12)
+    times = np.array([2.0, 3.0])
+    counts = langid.long_expected(seg, word, np.log(prob), times)
+    covered = sum(c * (len(pieces[i]) if i < len(pieces) else 1) for i, c in counts.items())
+    assert np.allclose(covered, times * len(s))  # every letter is in one piece of a segmentation
+    if letters == 31:
+        hits, size = seg.hits([word])
+        total = langid.expected(hits, size, prob, times[None])
+        assert all(np.allclose(total[i], counts.get(i, 0)) for i in range(len(total)))
+
+
+def test_words_are_whole_runs_and_rare_languages_keep_their_part():
+    assert langid.words_of("あ" * 75 + " x1 y") == ["あ" * 75, "x", "y"]
+    assert langid.quotas({"a": 10, "b": 5000, "c": 1_000_000}, 6000) == {"a": 10, "b": 2995, "c": 2995}
+    assert langid.quotas({"a": 3}, 6000) == {"a": 3} and langid.quotas({}, 10) == {}
+
+
+def test_the_cut_is_the_quantile_of_all_labelled_rows(spark):
+    import numpy as np
+    rng = random.Random(7)
+    rows = [(i, " ".join(rng.choice(["word", "other", "#$%", "A", "end."][: 5 if i % 4 else 2]) for _ in range(rng.randint(3, 60)))) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i, _ in rows[:600]], "doc_id long, quality int")
+    model = quality.fit(docs, labels, sample=60)
+    raw = np.array([model.raw(quality.features(t)[None])[0] for _, t in rows[:600]])
+    bad = sum(i % 4 == 0 for i in range(600)) / 600
+    assert math.isclose(model.cut, float(np.quantile(raw, bad)), rel_tol=1e-9, abs_tol=1e-12)
+    assert math.isclose(model.scale, float(raw.std()), rel_tol=1e-9)
+    few = quality.fit(docs, labels, sample=60, pairs=50)
+    assert not np.allclose(few.w, model.w)
+
+
 def test_pairwise_model_without_labels_and_with_one_class(spark, edge):
     docs = spark.read.parquet(f"{edge}/documents.parquet")
     labels = spark.read.parquet(f"{edge}/labels.parquet")

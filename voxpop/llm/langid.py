@@ -6,10 +6,12 @@ The probability of a word is the sum over all its segmentations into pieces
 probabilities are learned by expectation-maximisation: the forward-backward
 algorithm counts each piece by its share of a word's segmentations.
 
-Words are runs of letters, lower-cased, with the vocabulary's word mark in
-front; a run of more than ``STRETCH`` letters is scored in stretches of that
-length.  Learned from about ``sample`` training rows, chosen by a hash of the
-id (a documented bound); every text is scored whole.
+Words are runs of letters of any length, lower-cased, with the vocabulary's word
+mark in front.  Short ones are summed many at a time, those of more than
+``SHORT`` letters one by one in logarithms: the same sum without underflow.
+Learned from about ``sample`` training rows (a documented bound), chosen by a hash
+of the id, with as equal a share for each language as its rows allow; every text
+is scored whole.
 """
 
 from __future__ import annotations
@@ -28,16 +30,13 @@ from voxpop.llm.textkit import saved, slices, small_batches
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 WORD = re.compile(r"[^\W\d_]+")
-STRETCH = 30
+SHORT = 30
 UNKNOWN = 1e-7
 NONE = "und"
 
 
 def words_of(text: str | None) -> list[str]:
-    found = WORD.findall((text or "").lower())
-    if any(len(w) > STRETCH for w in found):
-        found = [w[i:i + STRETCH] for w in found for i in range(0, len(w), STRETCH)]
-    return found
+    return WORD.findall((text or "").lower())
 
 
 def pieces_of(path: str) -> list[str]:
@@ -79,6 +78,59 @@ class Segments:
         return np.array(out, np.int32).reshape(-1, 4).T, np.array(size, np.int32)
 
 
+    def at(self, s: str, i: int) -> list[tuple[int, int]]:
+        """(end, piece) of every piece of ``s`` that starts at ``i``."""
+        out, j = [(i + 1, self.ids.get(s[i], self.n))], i + 1
+        while j < len(s):
+            j += 1
+            sub = s[i:j]
+            if sub not in self.starts:
+                break
+            if sub in self.ids:
+                out.append((j, self.ids[sub]))
+        return out
+
+
+def long_forward(seg: Segments, word: str, logs: np.ndarray) -> np.ndarray:
+    """Logarithm of the probability of every prefix of a word of any length: [length, language]."""
+    s = MARK + word
+    alpha = np.full((len(s) + 1, logs.shape[1]), -np.inf)
+    alpha[0] = 0
+    for i in range(len(s)):
+        for j, piece in seg.at(s, i):
+            alpha[j] = np.logaddexp(alpha[j], alpha[i] + logs[piece])
+    return alpha
+
+
+def long_expected(seg: Segments, word: str, logs: np.ndarray, times: np.ndarray) -> dict[int, np.ndarray]:
+    """Expected counts by piece of a word of any length that occurs ``times`` [language]."""
+    s = MARK + word
+    alpha, beta = long_forward(seg, word, logs), np.full((len(s) + 1, logs.shape[1]), -np.inf)
+    beta[-1] = 0
+    out: dict[int, np.ndarray] = {}
+    for i in range(len(s) - 1, -1, -1):
+        for j, piece in seg.at(s, i):
+            after = logs[piece] + beta[j]
+            beta[i] = np.logaddexp(beta[i], after)
+            out[piece] = out.get(piece, 0) + np.exp(alpha[i] + after - alpha[-1]) * times
+    return out
+
+
+def log_totals(seg: Segments, words: list[str], prob: np.ndarray, chunk: int = 10_000) -> np.ndarray:
+    """Logarithm of each word's probability, summed over all segmentations: [word, language]."""
+    out = np.zeros((len(words), prob.shape[1]))
+    short = [k for k, w in enumerate(words) if len(w) <= SHORT]
+    for i in range(0, len(short), chunk):
+        at = short[i:i + chunk]
+        hits, size = seg.hits([words[k] for k in at])
+        out[at] = np.log(forward(hits, size, prob)[np.arange(len(at)), size])
+    logs = np.log(prob)
+    for k, w in enumerate(words):
+        if len(w) > SHORT:
+            out[k] = long_forward(seg, w, logs)[-1]
+    return out
+
+
 def forward(hits: np.ndarray, size: np.ndarray, prob: np.ndarray) -> np.ndarray:
     """Probability of every prefix: [word, length, language]."""
     word, a, b, piece = hits
@@ -130,19 +182,35 @@ def _expect(model, langs: list[str], chunk: int = 10_000):
     def part(batches):
         pieces, prob = model.value
         seg = Segments(pieces)
-        total = np.zeros_like(prob)
+        total, logs = np.zeros_like(prob), np.log(prob)
         for batch in batches:
             for i in range(0, batch.num_rows, chunk):
                 x = batch.slice(i, chunk)
-                hits, size = seg.hits(x.column("word").to_pylist())
+                words = x.column("word").to_pylist()
                 times = np.zeros((x.num_rows, len(langs)))
                 times[np.arange(x.num_rows), [langs.index(c) for c in x.column("lang").to_pylist()]] = x.column("n").to_numpy()
-                total += expected(hits, size, prob, times)
+                short = np.array([len(w) <= SHORT for w in words], bool)
+                if short.any():
+                    hits, size = seg.hits([w for w, ok in zip(words, short) if ok])
+                    total += expected(hits, size, prob, times[short])
+                for k in np.flatnonzero(~short):
+                    for piece, c in long_expected(seg, words[k], logs, times[k]).items():
+                        total[piece] += c
         p, c = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(p), pa.array(c), pa.array(total[p, c])], schema=schema)
     return part
 
 
+def quotas(rows: dict[str, int], sample: int) -> dict[str, int]:
+    """Rows of each language to learn from: equal parts of ``sample``; what a
+    language doesn't have goes to the others."""
+    out, left = {}, sample
+    for k, c in enumerate(sorted(rows, key=lambda c: (rows[c], c))):
+        out[c] = min(rows[c], left // (len(rows) - k))
+        left -= out[c]
+    return out
+
+
 def fit(train: DataFrame, doc_id: str, text: str, lang: str, vocabulary: str, sample: int, rounds: int) -> dict:
     """Languages, pieces, their probabilities [piece, language] and the languages' shares."""
     spark = train.sparkSession
@@ -151,8 +219,9 @@ def fit(train: DataFrame, doc_id: str, text: str, lang: str, vocabulary: str, sa
     by = {r["c"]: r["count"] for r in train.groupBy("c").count().collect()}
     langs = sorted(by)
     n = sum(by.values())
-    part = int(min(1.0, sample / max(1, n)) * (1 << 30))
-    some = train.where(F.pmod(F.xxhash64("i"), F.lit(1 << 30)) < part)
+    part = {c: (q << 30) // by[c] for c, q in quotas(by, sample).items()}
+    limit = F.create_map(*[F.lit(x) for c, p in part.items() for x in (c, p)])[F.col("c")] if part else F.lit(0)
+    some = train.where(F.pmod(F.xxhash64("i"), F.lit(1 << 30)) < limit)
     counts = saved(some.mapInArrow(_word_counts("t", "c"), "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "lang-words")
     prob = np.full((len(pieces) + 1, len(langs)), 1 / max(1, len(pieces)))
     prob[-1] = UNKNOWN
@@ -179,13 +248,8 @@ def _predict(text: str, model, schema: pa.Schema, most: int):
                 if len(known) > most:  # the memory of word scores starts anew; results don't change
                     known, table = {}, table[:0]
                 new = list(dict.fromkeys(w for d in docs for w in d if w not in known)) if langs else []
-                rows = [table]
-                for i in range(0, len(new), 10_000):
-                    some = new[i:i + 10_000]
-                    hits, size = seg.hits(some)
-                    rows.append(np.log(forward(hits, size, m["prob"])[np.arange(len(some)), size]))
                 known.update(zip(new, range(len(table), len(table) + len(new))))
-                table = np.concatenate(rows)
+                table = np.concatenate([table, log_totals(seg, new, m["prob"])]) if new else table
                 for d in docs:
                     if not langs or not any(c.isalpha() for w in d for c in w):
                         preds.append(NONE)
