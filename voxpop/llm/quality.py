@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voxpop.llm.textkit import slices, small_batches
+from voxpop.functions.ranks import exact_quantiles
+from voxpop.llm.textkit import saved, slices, small_batches
 
 LETTERS = bytes(b for b in range(256) if chr(b).isalpha() and b < 128)
 UPPER = bytes(range(65, 91))
@@ -56,7 +57,7 @@ def expanded(x: np.ndarray, knots: np.ndarray) -> np.ndarray:
     return np.concatenate([x, *(np.maximum(0, x - k) for k in knots)], axis=1)
 
 
-def fit_pairs(x: np.ndarray, good: np.ndarray, pairs: int = 60_000, ridge: float = 1.0, seed: int = 5) -> np.ndarray:
+def fit_pairs(x: np.ndarray, good: np.ndarray, pairs: int, ridge: float = 1.0, seed: int = 5) -> np.ndarray:
     """Weights that minimise the mean logistic loss of ``pairs`` good-bad differences."""
     rng = np.random.default_rng(seed)
     a, b = np.flatnonzero(good), np.flatnonzero(~good)
@@ -76,20 +77,20 @@ def fit_pairs(x: np.ndarray, good: np.ndarray, pairs: int = 60_000, ridge: float
 
 
 class Model:
-    """Scale, knots, weights and the cut."""
+    """Scale, knots and weights; the cut once ``place`` has set it."""
 
-    def __init__(self, x: np.ndarray, good: np.ndarray, cut_score: float):
+    def __init__(self, x: np.ndarray, good: np.ndarray, pairs: int):
         self.mean = x.mean(axis=0) if len(x) else np.zeros(FEATURES)
         self.std = np.maximum(x.std(axis=0), 1e-6) if len(x) else np.ones(FEATURES)
         z = (x - self.mean) / self.std
         self.knots = np.quantile(z, [0.1, 0.25, 0.5, 0.75, 0.9], axis=0) if len(x) else np.zeros((1, FEATURES))
-        self.w = fit_pairs(expanded(z, self.knots), good) if len(x) else np.zeros(2 * FEATURES)
-        s = self.raw(x) if len(x) else np.zeros(1)
-        bad = float((~good).mean()) if len(x) else 0.0
-        fitted = bool(self.w.any())
-        self.cut = float(np.quantile(s, bad)) if fitted else 0.0
-        self.scale = max(1e-9, float(s.std())) if fitted else 1.0
-        self.shift = float(np.log(cut_score / (1 - cut_score))) if fitted else 0.0
+        self.w = fit_pairs(expanded(z, self.knots), good, pairs) if len(x) else np.zeros(2 * FEATURES)
+        self.fitted = bool(self.w.any())
+        self.place(0.0, 1.0, 0.5)
+
+    def place(self, cut: float, scale: float, cut_score: float) -> None:
+        self.cut, self.scale = cut, max(1e-9, scale)
+        self.shift = float(np.log(cut_score / (1 - cut_score)))
 
     def raw(self, x: np.ndarray) -> np.ndarray:
         return expanded((x - self.mean) / self.std, self.knots) @ self.w
@@ -111,25 +112,42 @@ def _rows(text: str, of: Callable[[np.ndarray], np.ndarray], schema: pa.Schema):
     return part
 
 
+def _raw(model):
+    def part(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column("x").flatten().to_numpy().reshape(batch.num_rows, -1)
+                yield pa.RecordBatch.from_arrays([batch.column("good"), pa.array(model.value.raw(x))], ["good", "raw"])
+    return part
+
+
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
-        sample: int = 20_000, cut_score: float = 0.3) -> Model:
+        sample: int = 20_000, cut_score: float = 0.3, pairs: int = 60_000) -> Model:
     """The model of the labelled rows of ``docs``.  Null labels are no labels; of
-    several labels of one document the mean decides; without good or without
-    bad rows every score is 0.5."""
-    small_batches(docs.sparkSession)
-    marks = (labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("__id"))
-             .agg((F.avg(label) >= 0.5).alias("__good")))
-    near = docs.select(F.col(doc_id).alias("__id"))
-    n = near.join(marks, "__id").count()
-    part = min(1.0, sample / max(1, n))
-    take = marks.where(F.pmod(F.xxhash64("__id"), F.lit(1 << 30)) < int(part * (1 << 30)))
-    rows = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text")).join(take, "__id")
-    schema = pa.schema([("__good", pa.bool_()), ("x", pa.list_(pa.float64()))])
-    got = rows.select("__good", "__text").mapInArrow(_rows("__text", lambda f: f, schema), "__good boolean, x array<double>").toArrow()
+    several labels of one document the mean decides; repeated rows of a document
+    count one by one; without good or without bad rows (an empty table has
+    neither) every score is 0.5."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    marks = (labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("id"))
+             .agg((F.avg(label) >= 0.5).alias("good")))
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(marks, "id")
+    kind = rows.schema["id"].dataType.simpleString()
+    from pyspark.sql.pandas.types import to_arrow_type
+    schema = pa.schema([("id", to_arrow_type(rows.schema["id"].dataType)), ("good", pa.bool_()), ("x", pa.list_(pa.float64()))])
+    known = saved(rows.select("id", "good", "text").mapInArrow(_rows("text", lambda f: f, schema), f"id {kind}, good boolean, x array<double>"), "quality-labelled")
+    part = min(1.0, sample / max(1, known.count()))
+    got = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(part * (1 << 30))).select("good", "x").toArrow()  # about ``sample`` rows
     x = np.stack(got["x"].to_numpy()) if got.num_rows else np.zeros((0, FEATURES))
-    good = got["__good"].to_numpy().astype(bool)
+    good = got["good"].to_numpy().astype(bool)
     order = np.lexsort([*x.T, good])  # the same fit however the rows arrive
-    return Model(x[order], good[order], cut_score)
+    model = Model(x[order], good[order], pairs)
+    if model.fitted:
+        scored = saved(known.mapInArrow(_raw(spark.sparkContext.broadcast(model)), "good boolean, raw double"), "quality-raw")
+        spread = scored.agg(F.avg((~F.col("good")).cast("double")).alias("bad"), F.stddev_pop("raw").alias("std")).first()
+        cut = exact_quantiles(scored, "raw", [spread["bad"]]).first()[0]
+        model.place(cut, spread["std"], cut_score)
+    return model
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
