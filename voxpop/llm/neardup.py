@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from voxpop.llm.graph import components
 from voxpop.llm.textkit import U, mix, saved, slices, small_batches, word_hashes
+from voxpop.operators.quality import may_be_among
 
 SHINGLE = 5
 PERCENT = 75
@@ -143,13 +144,22 @@ def _sets(doc_id: str, text: str, n: int):
     return part
 
 
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``doc``, ``text`` of the documents in ``ids`` (``doc``, distinct).  A bitmap
+    of fixed size keeps the texts of most others out of the exchange; the join
+    behind it is exact."""
+    marked = ids.select(F.xxhash64("doc").alias("h"))
+    some = may_be_among(docs.select("doc", "text", F.xxhash64("doc").alias("h")), "h", marked)
+    return some.drop("h").join(ids, "doc", "left_semi")
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """``pairs`` (a, b) whose full sets reach the similarity; ``docs`` has ``doc``, ``text``.
 
     Only the sets of documents in pairs are made, anew from their texts."""
     pairs = saved(pairs, "dup-pairs")
-    need = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct()
-    sets = saved(docs.join(need, "doc").select("doc", "text").mapInArrow(_sets("doc", "text", n), "doc long, s array<long>"), "dup-sets")
+    need = saved(pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct(), "dup-need")
+    sets = saved(_texts_of(docs, need).mapInArrow(_sets("doc", "text", n), "doc long, s array<long>"), "dup-sets")
     left = sets.select(F.col("doc").alias("a"), F.col("s").alias("x"))
     right = sets.select(F.col("doc").alias("b"), F.col("s").alias("y"))
     both = pairs.join(left, "a").join(right, "b").withColumn("i", F.size(F.array_intersect("x", "y")).cast("long"))
@@ -224,7 +234,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def _exploded_sets(rows: DataFrame, docs: DataFrame, n: int) -> DataFrame:
-    return (rows.join(docs, "doc", "left_semi").select("doc", "text").mapInArrow(_sets("doc", "text", n), "doc long, s array<long>")
+    return (_texts_of(rows, docs).mapInArrow(_sets("doc", "text", n), "doc long, s array<long>")
             .select("doc", F.explode("s").alias("s")))
 
 
