@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from voxpop.functions.ranks import exact_quantiles
 from voxpop.llm.textkit import saved, slices, small_batches
+from voxpop.operators.quality import may_be_among
 
 LETTERS = bytes(b for b in range(256) if chr(b).isalpha() and b < 128)
 UPPER = bytes(range(65, 91))
@@ -127,15 +128,17 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     several labels of one document the mean decides; repeated rows of a document
     count one by one; without good or without bad rows (an empty table has
     neither) every score is 0.5."""
+    from pyspark.sql.pandas.types import to_arrow_type
     spark = docs.sparkSession
     small_batches(spark)
     marks = (labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("id"))
              .agg((F.avg(label) >= 0.5).alias("good")))
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(marks, "id")
-    kind = rows.schema["id"].dataType.simpleString()
-    from pyspark.sql.pandas.types import to_arrow_type
-    schema = pa.schema([("id", to_arrow_type(rows.schema["id"].dataType)), ("good", pa.bool_()), ("x", pa.list_(pa.float64()))])
-    known = saved(rows.select("id", "good", "text").mapInArrow(_rows("text", lambda f: f, schema), f"id {kind}, good boolean, x array<double>"), "quality-labelled")
+    # a bitmap of the labelled ids lets their texts through (and few others); only features reach the exact join
+    some = may_be_among(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.xxhash64(doc_id).alias("h")), "h", marks.select(F.xxhash64("id").alias("h")))
+    kind = some.schema["id"].dataType
+    schema = pa.schema([("id", to_arrow_type(kind)), ("x", pa.list_(pa.float64()))])
+    measured = some.select("id", "text").mapInArrow(_rows("text", lambda f: f, schema), f"id {kind.simpleString()}, x array<double>")
+    known = saved(measured.join(marks, "id").select("id", "good", "x"), "quality-labelled")
     part = min(1.0, sample / max(1, known.count()))
     got = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(part * (1 << 30))).select("good", "x").toArrow()  # about ``sample`` rows
     x = np.stack(got["x"].to_numpy()) if got.num_rows else np.zeros((0, FEATURES))
