@@ -35,11 +35,16 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
+    """Of each group of near copies the document with the smallest id stays.  Of
+    rows that repeat an id the one with the greatest text (that which the operator
+    compares) stays, equal texts by their other columns; rows with a null id are
+    no documents to it and stay all."""
     groups = neardup.near_duplicates(docs)
     gone = saved(groups.where("doc <> comp").select(F.col("doc").alias("__gone")), "near-gone")
     if not docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
-        named = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
+        rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+        one = docs.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.struct("text", *rest)).alias("__row"))
+        named = one.select("doc_id", "__row.*").select(*docs.columns)
         docs = named.unionByName(docs.where("doc_id is null"))
     return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
 
