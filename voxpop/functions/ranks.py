@@ -85,24 +85,6 @@ def _join_keys(rows: DataFrame, other: DataFrame, keys: Sequence[str], how: str
     return rows.join(right, on, how).drop(*[f"_key_{i}" for i in range(len(keys))])
 
 
-def _within(rows: DataFrame, value: str, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """Adds ``_in_<c>``: the sum of ``c`` over the smaller values of the row's
-    range.  ``_many`` says of a row that its range is to be cut into cells."""
-    rows = rows.withColumn("_cell", F.when(F.col("_many"), value_cell(value)).otherwise(F.lit(0)))
-    keys = [*by, "_range", "_cell"]
-    cells = rows.filter("_many").groupBy(*keys).agg(*[F.sum(c).cast("bigint").alias(f"_cellsum_{c}") for c in cols])
-    lower = Window.partitionBy(*by, "_range").orderBy("_cell").rowsBetween(*FIRST)
-    for c in cols:
-        cells = cells.withColumn(f"_celloff_{c}", F.coalesce(F.sum(f"_cellsum_{c}").over(lower), F.lit(0)))
-    cells = cells.drop(*[f"_cellsum_{c}" for c in cols])
-    # by all three keys: a partitioning by the range alone would keep a heavy range in one task
-    out = _join_keys(rows.repartition(*keys), cells, keys, "left")
-    below = Window.partitionBy(*keys).orderBy(value).rowsBetween(*FIRST)
-    for c in cols:
-        out = out.withColumn(f"_in_{c}", F.coalesce(F.sum(c).over(below), F.lit(0)) + F.coalesce(f"_celloff_{c}", F.lit(0)))
-    return out.drop("_cell", "_many", *[f"_celloff_{c}" for c in cols])
-
-
 def cumulative(freq: DataFrame, value: str, by=(), also=()) -> DataFrame:
     """Adds ``cum_before`` (count of smaller values in the group), ``total``
     (count in the group) and ``avg_rank`` = cum_before + (n + 1) / 2.
@@ -163,8 +145,20 @@ def exact_quantiles(df: DataFrame, value: str, probs, by=(), many: int = MANY) -
         named = named | low | high
     ranges = ranges.filter(named).withColumn("_many", F.col("_sum_n") > many).drop("_sum_n")
     inside = (_join_keys(rows, F.broadcast(ranges), [*by, "_range"])
-              .groupBy(*by, "_range", value, "_off_n", "_many", F.col("total_n").alias("total")).agg(F.count(F.lit(1)).alias("n")))
-    inside = _within(inside, value, by, ["n"]).withColumn("cum_before", F.col("_off_n") + F.col("_in_n"))
+              .groupBy(*by, "_range", value, "_off_n", "_many", F.col("total_n").alias("total")).agg(F.count(F.lit(1)).alias("n"))
+              .withColumn("_cell", F.when(F.col("_many"), value_cell(value)).otherwise(F.lit(0))))
+    # of the cells, too, only those that hold a quantile are kept and broadcast
+    keys = [*by, "_range", "_cell"]
+    cells = inside.groupBy(*keys).agg(F.sum("n").alias("_sum"), F.max("_off_n").alias("_off"), F.max("total").alias("_total"))
+    lower = Window.partitionBy(*by, "_range").orderBy("_cell").rowsBetween(*FIRST)
+    cells = cells.withColumn("_off", F.col("_off") + F.coalesce(F.sum("_sum").over(lower), F.lit(0)))
+    named = F.lit(False)
+    for p in probs:
+        _, low, high = _held(p, "_total", "_off", "_sum")
+        named = named | low | high
+    inside = _join_keys(inside, F.broadcast(cells.filter(named).select(*keys, "_off")), keys)
+    below = Window.partitionBy(*keys).orderBy(value).rowsBetween(*FIRST)
+    inside = inside.withColumn("cum_before", F.col("_off") + F.coalesce(F.sum("n").over(below), F.lit(0)))
     return quantiles_from_ranks(inside, value, probs, by)
 
 
