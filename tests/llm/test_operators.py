@@ -373,11 +373,95 @@ def test_top_k_over_small_blocks_and_repeated_rows(spark, edge):
     assert a == sorted(map(tuple, topk.top_k(v.unionByName(v.limit(30)), row_block=16, query_block=2, lists=3).collect()))
 
 
+def test_top_k_needs_the_entries_beyond_the_named_ones(spark):
+    """The best vector leads neither list: only the phases after the cutoff find it."""
+    import numpy as np
+    import pandas as pd
+    k, vecs = 3, {0: [8, 8], 1: [5, 5]}
+    vecs |= {10 + i: [9 - i, -9] for i in range(4)} | {20 + i: [-9, 9 - i] for i in range(4)}
+    x = pd.DataFrame({"cid": [i for i in vecs if i], "v": [v for i, v in vecs.items() if i]})
+    best, whose = topk._named(np.array([[8.0, 8.0]]), x, k, 2)
+    assert 1 not in whose and 80 not in best
+    i, j = topk._sufficient(topk._parts(np.array([[8.0, 8.0]]), topk._matrix(x["v"]), 2), best.min(axis=1))
+    assert 1 in x["cid"].to_numpy()[j]
+    df = spark.createDataFrame([(i, [c / 64 for c in v]) for i, v in vecs.items()], "vec_id long, embedding array<double>")
+    assert topk.top_k(df, k=k, query_every=1000).first()[:] == (0, 1, 1, 80)
+
+
+def test_top_k_names_a_vector_once_over_tiles(spark, monkeypatch):
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(4)
+    x = pd.DataFrame({"cid": np.arange(500), "v": list(rng.integers(-30, 30, (500, 8)))})
+    q = rng.integers(-30, 30, (20, 8)).astype(float)
+    monkeypatch.setattr(topk, "TILE", 64)
+    best, whose = topk._named(q, x, 6, 3)
+    full = q @ topk._matrix(x["v"]).T
+    for r in range(20):
+        assert len(set(whose[r])) == 6 and np.array_equal(full[r, whose[r]], best[r])
+    few, none = topk._named(q, x[:2], 6, 3)
+    assert np.isfinite(few).sum() == 40
+
+
 def test_mix_totals_follow_the_budget(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("__take", F.lit("clash"))
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
     total = docs.select(mixing.n_words("text").alias("n")).agg(F.sum("n")).first()[0]
-    m = mixing.mix(docs.drop("__take"), Q.mix_levels(), Q.MIX_WEIGHTS, (3, 2), 4)
+    m = mixing.mix(docs, Q.mix_levels(), Q.MIX_WEIGHTS, (3, 2), 4)
     taken = m.agg(F.sum("__take")).first()[0]
     assert 0 <= total * 3 // 2 - taken <= 40  # whole tokens per node: rounded down once a node
     cut = mixing.prefix(m).where("__take < __n").select(mixing.n_words("text").alias("n"), "__take").collect()
     assert all(r["n"] == r["__take"] for r in cut)
+
+
+def _repeated_rows():
+    """Null ids, one id on many rows of equal and of other lengths, and rows equal in every column."""
+    rng = random.Random(8)
+    text = lambda n: " ".join(rng.choice("abcdefgh") for _ in range(n))
+    rows = [(None, text(5)) for _ in range(60)] + [(7, text(rng.choice([4, 4, 6]))) for _ in range(80)] + [(9, "one two three")] * 70
+    return rows + [(i, text(rng.randint(1, 9))) for i in range(20, 60)]
+
+
+def _draw(df, budget, epochs, ranked):
+    m = mixing.mix(df, {"all": F.lit("x")}, {}, budget, epochs, ranked=ranked)
+    return sorted(tuple(map(str, r)) for r in m.collect())
+
+
+@pytest.mark.parametrize("budget", [(1, 5), (1, 2), (3, 4), (7, 5)])
+def test_mix_draws_the_same_rows_however_they_arrive(spark, budget):
+    rows = _repeated_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = _draw(df.repartition(1), budget, 2, 4096)
+    total = sum(len(t.split()) for _, t in rows)
+    assert sum(int(r[3]) for r in want) == total * budget[0] // budget[1]
+    for parts, ranked in ((7, 4096), (31, 3), (1, 1)):
+        mixed = list(rows)
+        random.Random(parts).shuffle(mixed)
+        assert _draw(spark.createDataFrame(mixed, "doc_id long, text string").repartition(parts), budget, 2, ranked) == want
+
+
+OWN = {"line_dedup": linedup.RESULT, "decontaminate": decontam.RESULT, "pii": ("__base", "__added"), "quality": ("__score",), "mix": ("__epoch", "__take", "__n"),
+       "lm": ngram_lm.RESULT}
+WORK = ("__row", "__doc", "__text", "__drops", "__spans", "__levels", "__tail", "__times", "__known", "tk", "tb", "__ident", "__whole", "__edge", "__need", "__open",
+        "__order", "__content", "__seen", "__copy", "__level_a", "__level_a_p", "__rest", "__b", "__cap", "__w", "__key", "__bucket", "doc", "comp", "first", "last", "n", "h", "h1", "id")
+
+
+@pytest.mark.parametrize("name", sorted(OWN))
+def test_clashing_columns_pass_through(spark, edge, name):
+    """Every working name comes back as it was, a result's name with underscores behind."""
+    plain = spark.read.parquet(f"{edge}/documents.parquet").select("doc_id", "text")
+    items, labels = (spark.read.parquet(f"{edge}/{t}.parquet") for t in ("benchmark", "labels"))
+    extra = [c for c in dict.fromkeys([*WORK, *OWN[name], OWN[name][0].upper() + "_"])]
+    docs = plain.withColumns({c: F.concat(F.lit(c), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) for c in extra})
+    run = {"line_dedup": linedup.dedup_lines, "decontaminate": lambda d: decontam.match_items(d, items), "pii": pii.find_pii,
+           "quality": lambda d: quality.score(d, quality.fit(d, labels)), "mix": lambda d: mixing.mix(d, {"a": F.col("doc_id") % 2}, {}),
+           "lm": lambda d: ngram_lm.score_texts(d, F.col("__row").isNotNull() if "__row" in d.columns else F.lit(True))}[name]
+    got, want = run(docs), run(plain)
+    own = [c for c in want.columns if c not in docs.columns or c in OWN[name]]
+    assert set(want.columns) <= set(got.columns) and len(got.columns) == len(want.columns) + len(extra)
+    show = lambda df: sorted(map(str, df.select("doc_id", *own).collect()))
+    assert show(got) == show(want)
+    for r in got.collect():
+        row = r.asDict()
+        for c in extra:
+            at = c if c not in OWN[name] else next(k for k in row if k.lower().startswith(c.lower() + "_") and k not in extra)
+            assert row[at] == f"{c}{row['doc_id']}", (c, at)

@@ -95,3 +95,15 @@ def test_stage_on_empty_tables(spark, empty, stage):  # noqa: F811
     docs = spark.read.parquet(f"{empty}/documents.parquet")
     out = P.run(spark, empty) if stage is None else stage(spark, docs, empty)
     assert out.count() == 0
+
+
+@pytest.mark.parametrize("name,stage", P.STAGES, ids=[n for n, _ in P.STAGES])
+def test_stage_keeps_clashing_columns(spark, edge, name, stage):  # noqa: F811
+    docs = spark.read.parquet(f"{edge}/documents.parquet")
+    extra = ["__score", "__n_lines", "__n_dropped", "__n_words", "__n_hit", "__spans", "__items", "__gone", "__row", "__n", "__take", "__epoch", "__edge", "__drops"]
+    more = docs.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in extra})
+    got, want = stage(spark, more, edge), stage(spark, docs, edge)
+    assert sorted(got.columns) == sorted([*want.columns, *extra])
+    for r in got.collect():
+        assert all(r[c] == f"{c}{r['doc_id']}" for c in extra)
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))

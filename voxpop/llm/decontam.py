@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voxpop.llm.textkit import ALNUM, hasher, slices, small_batches, text_buffer, word_hashes, word_spans
+from voxpop.llm.textkit import ALNUM, apart, hasher, restored, slices, small_batches, text_buffer, word_hashes, word_spans
 
 WINDOW = 10
 
@@ -176,6 +176,9 @@ def _match(text: str, autos: list, schema: pa.Schema):
     return part
 
 
+RESULT = ("__n_words", "__n_hit", "__spans", "__items")
+
+
 def match_items(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id",
                 item_text: str = "text", window: int = WINDOW, max_words: int = 2_000_000) -> DataFrame:
     """``docs`` with ``__n_words``, ``__n_hit`` (words inside an item's window),
@@ -183,8 +186,10 @@ def match_items(docs: DataFrame, items: DataFrame, text: str = "text", item_id:
 
     A null text has no words; an item without words fits nothing; an item with a
     null id counts under the empty id; repeated items are one; empty tables are
-    allowed on both sides.  Other columns pass through.
+    allowed on both sides.  Other columns pass through; one called like a result
+    column gets underscores behind its name.
     """
+    docs = apart(docs, *RESULT)
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
     autos = [spark.sparkContext.broadcast(SuffixAutomaton(x, window)) for x in shards(items, item_id, item_text, max_words)]
@@ -215,11 +220,12 @@ def _remove(text: str, schema: pa.Schema):
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
                   window: int = WINDOW, max_coverage: float = 0.5, max_words: int = 2_000_000) -> DataFrame:
     """``docs`` without the text of hit runs; documents with more than
-    ``max_coverage`` of their words hit go altogether.  Same columns as ``docs``."""
+    ``max_coverage`` of their words hit go altogether.  Same columns as ``docs``, whatever their names."""
     hit = match_items(docs, items, text, item_id, item_text, window, max_words)
     hit = hit.where(F.col("__n_hit") <= max_coverage * F.col("__n_words"))
     from pyspark.sql.pandas.types import to_arrow_schema
-    return hit.mapInArrow(_remove(text, to_arrow_schema(docs.schema)), docs.schema)
+    kept = apart(docs, *RESULT).schema
+    return restored(hit.mapInArrow(_remove(text, to_arrow_schema(kept)), kept), docs.columns, *RESULT)
 
 
 def ids_digest(ids: list[str] | None) -> str:

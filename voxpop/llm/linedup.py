@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voxpop.llm.textkit import NOT_SPACE, U, free, hasher, mix, saved, slices, small_batches, text_buffer
+from voxpop.llm.textkit import NOT_SPACE, U, apart, free, hasher, mix, saved, slices, small_batches, text_buffer
 
 MIN_CHARS = 10
 PROBES = 2
@@ -149,6 +149,9 @@ def _rebuild(text: str, drop: str, min_chars: int, schema: pa.Schema):
     return part
 
 
+RESULT = ("__n_lines", "__n_dropped")
+
+
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS,
                 bits_per_line: int = 16, max_bits: int = 1 << 30) -> DataFrame:
     """``docs`` with every repeated line removed outside the smallest ``doc_id``
@@ -158,8 +161,10 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     only keys of at least ``min_chars`` code points count.  Null text stays null
     and has one empty line; a row with a null id takes no part and keeps all its
     lines; rows that share an id are one document; an empty table gives an
-    empty one.  Other columns, whatever their names, pass through.
+    empty one.  Other columns pass through; one called like a result column gets
+    underscores behind its name.
     """
+    docs = apart(docs, *RESULT)
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
     take = docs.select(F.col(doc_id).cast("long").alias("__doc"), F.col(text).alias("__text")).where("__doc is not null")

@@ -9,10 +9,12 @@ children of a node are full is the node itself short, so its own siblings (the
 ancestors' level) take over the rest.
 
 A leaf's budget is whole epochs of all its documents plus a prefix, in tokens,
-of one more epoch in seeded order.  The prefix is found from token sums of
-4,096 hash buckets per leaf: buckets below the boundary are taken whole, and
-only the boundary bucket's documents are ranked, so no leaf - however large - is
-sorted or gathered in one task.
+of one more epoch in seeded order.  The order is a string of digits: the seeded
+key, the document's tokens, a hash of its columns.  The prefix is found from
+token sums by leading digits, 4,096 buckets a leaf at first; the boundary bucket
+is cut by further digits until it holds few enough rows to rank.  Buckets below
+the boundary are taken whole, so no leaf - however large, and whatever ids
+repeat in it - is sorted or gathered in one task.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxpop.llm.textkit import saved
+from voxpop.llm.textkit import moved, saved
 
 WORDS = r"[^\x20\x09-\x0D]+"
 WIDE = "decimal(38,0)"
@@ -85,12 +87,44 @@ def budgets(tokens: DataFrame, levels: Sequence[str], weights: Mapping[str, Mapp
     return node.select(*levels, "__tokens", "__budget")
 
 
-def _key(doc_id: str, seed: int, epoch: Column) -> Column:
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))))
+# Positions in a row's order: 32 digits of the seeded key, 12 of its tokens, 32 of
+# its content.  The boundary is refined from one step to the next.
+KEY, SIZE, FULL = 32, 12, 76
+STEPS = (3, 6, 9, KEY, KEY + SIZE, KEY + SIZE + 3, KEY + SIZE + 6, KEY + SIZE + 9, FULL)
+RANKED = 4096  # rows of a leaf that one task ranks
+
+
+def _order(seed: int, content: Column | None = None) -> Column:
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("__whole").cast("string"), F.col("__ident")))
+    size = F.lpad(F.col("__n").cast("string"), SIZE, "0")
+    return F.concat(key, size) if content is None else F.concat(key, size, content)
+
+
+def _boundaries(narrow: DataFrame, rows: DataFrame, content: Column, plan: DataFrame, names: Sequence[str], seed: int, ranked: int) -> tuple[DataFrame, int]:
+    """``plan`` with ``__edge``, the leading digits of the order at which a leaf's last
+    epoch ends, and ``__need``, the tokens to take among the rows that begin so.
+    Digits are added where more than ``ranked`` rows begin so.  Also the number of
+    digits looked at."""
+    mine = [F.col(c).eqNullSafe(F.col(f"{c}_p")) for c in names]
+    state = plan.select(*[F.col(c).alias(f"{c}_p") for c in names], "__whole", F.when(F.col("__rest") > 0, F.lit("")).alias("__edge"),
+                        F.col("__rest").alias("__need"), (F.col("__rest") > 0).alias("__open"))
+    for upto in STEPS:
+        rows_of = narrow if upto <= KEY + SIZE else rows
+        order = _order(seed) if upto <= KEY + SIZE else _order(seed, content)
+        part = rows_of.join(state.where("__open"), _all(mine)).withColumn("__order", order).where("startswith(__order, __edge)")
+        sums = (part.groupBy(*[f"{c}_p" for c in names], "__whole", "__need", F.substring("__order", 1, upto).alias("__edge"))
+                .agg(F.sum("__n").alias("__sum"), F.count("*").alias("__rows")))
+        upward = Window.partitionBy(*[f"{c}_p" for c in names]).orderBy("__edge")
+        edge = (sums.withColumn("__cum", F.sum("__sum").over(upward)).where("__cum >= __need and __cum - __sum < __need")
+                .select(*[f"{c}_p" for c in names], "__whole", "__edge", F.expr("__need - __cum + __sum").alias("__need"), (F.col("__rows") > ranked).alias("__open")))
+        state = saved(state.where("not __open").unionByName(edge), "mix-edges")
+        if state.where("__open").isEmpty():
+            break
+    return state.drop("__open"), upto
 
 
 def mix(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[str, Mapping[str, int]], budget: tuple[int, int] = (1, 2),
-        max_epochs: int = 4, seed: int = 7, doc_id: str = "doc_id", n_tokens: Column | None = None) -> DataFrame:
+        max_epochs: int = 4, seed: int = 7, doc_id: str = "doc_id", n_tokens: Column | None = None, ranked: int = RANKED) -> DataFrame:
     """Rows of ``docs`` drawn to the target weights, once per epoch in which they
     are drawn, with ``__epoch`` and ``__take`` (how many of the document's
     leading tokens belong to the mix; fewer than all only for the last one of a
@@ -99,35 +133,41 @@ def mix(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[str, Map
     ``levels`` maps level names, root first, to expressions over ``docs``.
     Documents without tokens (null or empty text) are never drawn; null labels
     are labels of their own; rows sharing an id are drawn one after the other
-    in order of length; an empty table gives an empty mix.  All columns of
-    ``docs`` pass through; the working columns start with ``__``.
+    in order of length, then of a hash of all their columns, so the rows drawn
+    do not depend on partitions; a row without an id is ordered by that hash in
+    the id's place; rows equal in all columns are drawn as often as their number
+    says.  An empty table gives an empty mix.  All columns of ``docs`` pass
+    through; one called like a result column gets underscores behind its name.
     """
-    names = [f"__level_{k}" for k in levels]
-    renamed = {f"__level_{k}": v for k, v in weights.items()}
-    rows = docs.withColumns({"__n": n_words("text") if n_tokens is None else n_tokens.cast("long"), **dict(zip(names, levels.values()))}).where("__n > 0")
-    narrow = saved(rows.select(F.col(doc_id).alias("__doc"), "__n", *names), "mix-tokens")
-    plan = saved(budgets(narrow, names, renamed, budget, max_epochs)
+    names, fresh = [f"__level_{k}" for k in levels], ("__epoch", "__take", "__n")
+    away = moved(docs.columns, [*fresh, *names, *[f"{c}_p" for c in names], "__ident", "__whole", "__edge", "__need", "__open", "__order", "__content", "__seen", "__copy"])
+    content = lambda cols: F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in cols])))
+    ident = F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("null:"), content(docs.columns)))
+    mine = [F.col(f"`{c}`").alias(away.get(c, c)) for c in docs.columns]
+    rows = docs.select(*mine, ident.alias("__ident"), (n_words("text") if n_tokens is None else n_tokens.cast("long")).alias("__n"),
+                       *[v.alias(c) for c, v in zip(names, levels.values())]).where("__n > 0")
+    tie = content([away.get(c, c) for c in docs.columns])
+    narrow = saved(rows.select("__ident", "__n", *names), "mix-tokens")
+    plan = saved(budgets(narrow, names, {f"__level_{k}": v for k, v in weights.items()}, budget, max_epochs)
                  .withColumn("__whole", F.expr("__budget div __tokens")).withColumn("__rest", F.expr("__budget % __tokens"))
                  .where("__budget > 0"), "mix-plan")
-    # the boundary bucket of each leaf's last epoch
-    part = narrow.join(plan.select(*[F.col(c).alias(f"{c}_p") for c in names], "__whole", "__rest"),
-                       _all([F.col(c).eqNullSafe(F.col(f"{c}_p")) for c in names])).where("__rest > 0")
-    bucket = part.withColumn("__bucket", F.substring(_key("__doc", seed, F.col("__whole")), 1, 3)).groupBy(*names, "__bucket", "__rest").agg(F.sum("__n").alias("__n"))
-    upto = Window.partitionBy(*names).orderBy("__bucket")
-    bucket = bucket.withColumn("__cum", F.sum("__n").over(upto)).where("__cum >= __rest and __cum - __n < __rest")
-    edge = bucket.select(*[F.col(c).alias(f"{c}_e") for c in names], F.col("__bucket").alias("__edge"), (F.col("__rest") - F.col("__cum") + F.col("__n")).alias("__need"))
-    plan = saved(plan.join(edge, _all([F.col(c).eqNullSafe(F.col(f"{c}_e")) for c in names]), "left")
-                 .select(*[F.col(c).alias(f"{c}_p") for c in names], "__whole", "__edge", "__need"), "mix-edges")
+    plan, digits = _boundaries(narrow, rows, tie, plan, names, seed, ranked)
     drawn = rows.join(plan, _all([F.col(c).eqNullSafe(F.col(f"{c}_p")) for c in names]))
-    whole = (drawn.where("__whole > 0").withColumn("__epoch", F.explode(F.expr("sequence(0L, __whole - 1)"))).withColumn("__take", F.col("__n")))
-    last = drawn.where("__edge is not null").withColumn("__key", _key(doc_id, seed, F.col("__whole")))
-    low = last.where("substring(__key, 1, 3) < __edge").withColumn("__epoch", F.col("__whole")).withColumn("__take", F.col("__n"))
-    at = last.where("substring(__key, 1, 3) = __edge")
-    run = Window.partitionBy(*names).orderBy("__key", doc_id, "__n").rowsBetween(Window.unboundedPreceding, -1)
-    at = (at.withColumn("__seen", F.coalesce(F.sum("__n").over(run), F.lit(0))).where("__seen < __need")
-          .withColumn("__epoch", F.col("__whole")).withColumn("__take", F.least(F.col("__n"), F.col("__need") - F.col("__seen"))))
-    cols = [*docs.columns, "__epoch", "__take", "__n"]
-    return whole.select(*cols).unionByName(low.select(*cols)).unionByName(at.select(*cols))
+    whole = drawn.where("__whole > 0").withColumn("__epoch", F.explode(F.expr("sequence(0L, __whole - 1)"))).withColumn("__take", F.col("__n"))
+    order = F.when(F.length("__edge") > KEY + SIZE, _order(seed, tie)).otherwise(_order(seed))
+    last = drawn.where("__edge is not null").withColumn("__epoch", F.col("__whole")).withColumn("__order", order)
+    low = last.where("substring(__order, 1, length(__edge)) < __edge").withColumn("__take", F.col("__n"))
+    at = last.where("startswith(__order, __edge)")
+    run = Window.partitionBy(*names).orderBy("__order", "__content").rowsBetween(Window.unboundedPreceding, -1)
+    few = (at.where(F.length("__edge") < FULL).withColumn("__content", tie).withColumn("__seen", F.coalesce(F.sum("__n").over(run), F.lit(0)))
+           .where("__seen < __need").withColumn("__take", F.least(F.col("__n"), F.col("__need") - F.col("__seen"))))
+    cols = [*[F.col(f"`{away.get(c, c)}`").alias(away[c] if c.lower() in fresh else c) for c in docs.columns], *fresh]
+    out = whole.select(*cols).unionByName(low.select(*cols)).unionByName(few.select(*cols))
+    if digits == FULL:  # more than ``ranked`` rows equal in every column: one of them, as often as the need says
+        same = (at.where(F.length("__edge") == FULL).dropDuplicates(names).withColumn("__copy", F.explode(F.expr("sequence(0L, (__need - 1) div __n)")))
+                .withColumn("__take", F.expr("least(__n, __need - __copy * __n)")))
+        out = out.unionByName(same.select(*cols))
+    return out
 
 
 def _all(conds: Sequence[Column]) -> Column:

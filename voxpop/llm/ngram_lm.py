@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxpop.llm.textkit import U, mix, saved, slices, small_batches, word_hashes
+from voxpop.llm.textkit import U, mix, moved, saved, slices, small_batches, word_hashes
 
 EVEN = U(0xFFFFFFFFFFFFFFFE)
 END, START = U(0x1F123BB5159A55E4), U(0x8B72E5A1D0C94C76)
@@ -243,6 +243,9 @@ def _fitting(stats: list, kind: int, first: int, room: int) -> tuple[dict[int, t
         first += 1
 
 
+RESULT = ("__n_tokens", "__n_known", "__train_tokens", "__base", "__score")
+
+
 def score_texts(docs: DataFrame, train: Column, text: str = "text", weight: float = 0.4, bits: int = 8, max_bits: int = 1 << 30,
                 max_head: int = 1 << 20, most: int = 4_000_000, per_shard: int = 1 << 16) -> DataFrame:
     """``docs`` (without ``text``) with ``__n_tokens``, ``__n_known``, ``__train_tokens``,
@@ -252,7 +255,8 @@ def score_texts(docs: DataFrame, train: Column, text: str = "text", weight: floa
 
     A null or empty text is the end token alone; without training rows every
     count is 0; repeated rows count and are scored each; an empty table gives
-    an empty one.  Other columns pass through.
+    an empty one.  Other columns pass through; one called like a result column
+    gets underscores behind its name.
     """
     small_batches(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
@@ -291,6 +295,9 @@ def score_texts(docs: DataFrame, train: Column, text: str = "text", weight: floa
 
     means_of = {"word": means(words), "pair": means(pairs), "docs": float(n_docs), "total": total, "vocab": vocab}
     model = sc.broadcast({"head": h[order], "counts": head["n"].to_numpy()[order], "filter": group(0), "whole": groups == 1, **means_of})
+    away = moved(docs.columns, [*RESULT, "__row", "__known", "__tail", "__times", "__levels", "tk", "tb"])
+    passed = [F.col(f"`{away.get(c, c)}`").alias(away[c] if c.lower() in RESULT and c in away else c) for c in docs.columns if c != text]
+    docs, text = docs.withColumnsRenamed(away), away.get(text, text)
     keep = [c for c in docs.columns if c != text]
     numbered = docs.withColumn("__row", F.monotonically_increasing_id())
     if groups > 1:
@@ -312,7 +319,7 @@ def score_texts(docs: DataFrame, train: Column, text: str = "text", weight: floa
             .groupBy("__row").agg(F.sum("k").alias("tk"), F.sum(F.col("k") * F.log10(F.col("n") + 1.0)).alias("tb")))
     norm = math.log10(total + vocab + 1)
     return (scored.join(tail, "__row", "left")
-            .select(*keep, F.col("__n_tokens"), (F.col("__known") + F.coalesce("tk", F.lit(0))).alias("__n_known"), F.lit(total).cast("long").alias("__train_tokens"),
+            .select(*passed, F.col("__n_tokens"), (F.col("__known") + F.coalesce("tk", F.lit(0))).alias("__n_known"), F.lit(total).cast("long").alias("__train_tokens"),
                     (F.col("__base") + F.coalesce("tb", F.lit(0.0)) - F.col("__n_tokens") * norm).alias("__base"), "__score"))
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voxpop.llm.textkit import slices, small_batches
+from voxpop.llm.textkit import apart, slices, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 N = len(KINDS) + 1  # label 0: outside
@@ -299,8 +299,9 @@ def find_pii(docs: DataFrame, text: str = "text", least: float = 0.8) -> DataFra
 
     A null or empty text has no spans; repeated rows are tagged each; an empty
     table gives an empty one and a model without added spans.  Other columns
-    pass through.
+    pass through; one called like a result column gets underscores behind its name.
     """
+    docs = apart(docs, "__base", "__added")
     small_batches(docs.sparkSession)
     from pyspark.sql.pandas.types import to_arrow_schema
     counts = (docs.select(text).mapInArrow(_counts(text), "what int, x long, y int, n long")

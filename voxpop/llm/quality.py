@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voxpop.functions.ranks import exact_quantiles
-from voxpop.llm.textkit import saved, slices, small_batches
+from voxpop.llm.textkit import apart, saved, slices, small_batches
 from voxpop.operators.quality import may_be_among
 
 LETTERS = bytes(b for b in range(256) if chr(b).isalpha() and b < 128)
@@ -157,7 +157,9 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``__score`` (0 to 1; at the cut: the model's ``cut_score``).
 
     A null or empty text is scored by its features like any other; repeated rows
-    are scored each; an empty table gives an empty one."""
+    are scored each; an empty table gives an empty one.  Other columns pass
+    through; one called ``__score`` gets underscores behind its name."""
+    docs = apart(docs, "__score")
     small_batches(docs.sparkSession)
     from pyspark.sql.pandas.types import to_arrow_schema
     schema = T.StructType([*docs.schema.fields, T.StructField("__score", T.DoubleType())])

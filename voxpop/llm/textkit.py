@@ -10,6 +10,7 @@ length; 64 bits per hash, two independent hashes where 128 are wanted.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -163,6 +164,32 @@ def free(name: str, df: DataFrame) -> str:
     return name
 
 
+def moved(columns: list[str], names: Iterable[str]) -> dict[str, str]:
+    """New names, with underscores behind, for the ``columns`` called like one of
+    ``names`` (in any case): an operator's own columns take those."""
+    own = {n.lower() for n in names}
+    taken = own | {c.lower() for c in columns}
+    out = {}
+    for c in columns:
+        if c.lower() in own:
+            new = c + "_"
+            while new.lower() in taken:
+                new += "_"
+            taken.add(new.lower())
+            out[c] = new
+    return out
+
+
+def apart(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` with the columns that clash with ``names`` renamed (see ``moved``)."""
+    return df.withColumnsRenamed(moved(df.columns, names))
+
+
+def restored(df: DataFrame, columns: list[str], *names: str) -> DataFrame:
+    """The inverse of ``apart`` once the operator's own columns are gone."""
+    return df.withColumnsRenamed({new: c for c, new in moved(columns, names).items()})
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Whole texts travel to Python in Arrow batches of ``rows`` rows: the default
     of 10,000 holds tens of megabytes several times over in each task.  A session

@@ -4,9 +4,10 @@ The components are cut into ``lists`` slices.  A slice is a list in the sense
 of the method: it knows a partial score of every (query, vector), and a
 vector's score is the sum over the lists.
 
-1. Every list gives each query its best partial scores; the vectors named are
-   scored in full, and the k-th best full score is a safe cutoff T: no answer
-   scores less.
+1. Every list gives each query its best partial scores; only the vectors named
+   are scored in full, a share of the vectors keeps one running list of them, and
+   the k-th best over all shares is a safe cutoff T: no answer scores less.  A
+   vector that leads no list is not among them, however well it scores.
 2. T is sent to the tasks with each query.  A vector that scores T or more
    reaches T / lists in at least one list (the uniform threshold), so each list
    gives all entries from T / lists on.
@@ -16,7 +17,8 @@ vector's score is the sum over the lists.
 
 Equal vectors are searched once, as one class with its k + 1 smallest ids, so
 a vector that fills a third of the table is one candidate.  Vectors and queries
-meet in blocks: each task holds one block of vectors and one of queries.
+meet in blocks: each task holds one share of the vectors and one block of
+queries, and multiplies ``TILE`` vectors at a time.
 """
 
 from __future__ import annotations
@@ -73,41 +75,79 @@ def _by_width(left: pd.DataFrame, right: pd.DataFrame):
             yield left[lw == w], right[rw == w]
 
 
+TILE = 4096  # vectors multiplied at a time
+
+
+def _tiles(x: pd.DataFrame):
+    """Ids and vectors of a share, a tile at a time."""
+    for a in range(0, len(x), TILE):
+        yield x["cid"].to_numpy()[a:a + TILE], _matrix(x["v"].iloc[a:a + TILE])
+
+
+def _rows(q: np.ndarray, ids: np.ndarray, score: np.ndarray) -> pd.DataFrame:
+    return pd.DataFrame({"qid": q, "cid": ids, "score": score.astype(np.int64)})
+
+
+NOTHING = _rows(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+
+
+def _named(q: np.ndarray, x: pd.DataFrame, k: int, lists: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per query the ``k`` best full scores among the vectors that lead one of a
+    share's lists, and whose they are (-1: none).  Only those are scored in full."""
+    best, whose = np.full((len(q), k), -np.inf), np.full((len(q), k), -1)
+    for ids, v in _tiles(x):
+        parts = _parts(q, v, lists)
+        m = min(k, len(ids))
+        at = np.concatenate([np.argpartition(-p, m - 1, axis=1)[:, :m] for p in parts], axis=1)
+        score = sum(np.take_along_axis(p, at, 1) for p in parts)
+        order = np.argsort(at, axis=1, kind="stable")  # a vector that leads several lists counts once
+        again = np.zeros(at.shape, bool)
+        sorted_at = np.take_along_axis(at, order, 1)
+        np.put_along_axis(again, order[:, 1:], sorted_at[:, 1:] == sorted_at[:, :-1], 1)
+        score[again] = -np.inf
+        both, names = np.concatenate([best, score], axis=1), np.concatenate([whose, np.where(again, -1, ids[at])], axis=1)
+        top = np.argpartition(-both, k - 1, axis=1)[:, :k]
+        best, whose = np.take_along_axis(both, top, 1), np.take_along_axis(names, top, 1)
+    return best, whose
+
+
 def _local_tops(k: int, lists: int):
     def group(_, queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        out = [NOTHING]
         for q, x in _by_width(queries, rows):
-            ids = x["cid"].to_numpy()
-            parts = _parts(_matrix(q["v"]), _matrix(x["v"]), lists)
-            full = sum(parts)
-            for p in parts:
-                m = min(k, len(ids))
-                at = np.argpartition(-p, m - 1, axis=1)[:, :m]
-                out.append(pd.DataFrame({"qid": np.repeat(q["cid"].to_numpy(), m), "cid": ids[at].ravel(), "score": np.take_along_axis(full, at, 1).ravel().astype(np.int64)}))
-        return pd.concat(out) if out else pd.DataFrame({"qid": [], "cid": [], "score": []}).astype(np.int64)
+            best, whose = _named(_matrix(q["v"]), x, k, lists)
+            some = np.isfinite(best)
+            out.append(_rows(np.repeat(q["cid"].to_numpy(), k)[some.ravel()], whose[some], best[some]))
+        return pd.concat(out)
     return group
 
 
+def _sufficient(parts: list[np.ndarray], cutoff: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(query, vector) positions that a list names at the cutoff's share and whose
+    upper bound reaches the cutoff."""
+    t = cutoff[:, None] / len(parts) - 1e-3  # below the share: rounding only adds entries
+    named = [p >= t for p in parts]
+    upper = sum(np.where(m, p, t) for m, p in zip(named, parts))  # a list that does not name it holds less than t
+    return np.nonzero(np.logical_or.reduce(named) & (upper >= len(parts) * t))
+
+
 def _enough(lists: int):
     def group(_, queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        out = [NOTHING]
         for q, x in _by_width(queries, rows):
-            ids = x["cid"].to_numpy()
-            parts = _parts(_matrix(q["v"]), _matrix(x["v"]), lists)
-            t = q["cutoff"].to_numpy(np.float64)[:, None] / lists - 1e-3  # below the cutoff's share: rounding only adds entries
-            named = [p >= t for p in parts]
-            upper = sum(np.where(m, p, t) for m, p in zip(named, parts))  # a list that does not name it holds less than t
-            keep = np.logical_or.reduce(named) & (upper >= lists * t)
-            i, j = np.nonzero(keep)
-            exact = sum(p[i, j] for p in parts).astype(np.int64)
-            ok = exact >= q["cutoff"].to_numpy()[i]
-            out.append(pd.DataFrame({"qid": q["cid"].to_numpy()[i[ok]], "cid": ids[j[ok]], "score": exact[ok]}))
-        return pd.concat(out) if out else pd.DataFrame({"qid": [], "cid": [], "score": []}).astype(np.int64)
+            who, cutoff, qs = q["cid"].to_numpy(), q["cutoff"].to_numpy(np.float64), _matrix(q["v"])
+            for ids, v in _tiles(x):
+                parts = _parts(qs, v, lists)
+                i, j = _sufficient(parts, cutoff)
+                exact = sum(p[i, j] for p in parts)
+                ok = exact >= cutoff[i]
+                out.append(_rows(who[i[ok]], ids[j[ok]], exact[ok]))
+        return pd.concat(out)
     return group
 
 
 def top_k(vectors: DataFrame, k: int = K, query_every: int = 20, scale: int = 64, lists: int = 2, vec_id: str = "vec_id",
-          embedding: str = "embedding", row_block: int = 4096, query_block: int = 1024) -> DataFrame:
+          embedding: str = "embedding", row_block: int = 16384, query_block: int = 1024) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: for each row whose id is
     divisible by ``query_every`` the ``k`` other rows of highest inner product
     (all, if fewer), equal scores by smaller id.
@@ -129,6 +169,7 @@ def top_k(vectors: DataFrame, k: int = K, query_every: int = 20, scale: int = 64
     asked = _blocks(asked, "cid", query_block, m, "qb")
     spread = F.explode(F.sequence(F.lit(0), F.lit(rb - 1)))
     out = "qid long, cid long, score long"
+    # at most k + 1 rows a query and share
     near = (asked.withColumn("rb", spread).groupBy("rb", "qb").cogroup(rows.groupBy("rb", "qb")).applyInPandas(_local_tops(k + 1, lists), out))
     best = Window.partitionBy("qid").orderBy(F.col("score").desc(), "cid")
     # k + 1: a query's own class is among them and may have no other member
