@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from voxpop.llm import decontam, linedup, mixing, neardup, quality
 from voxpop.llm.queries import CUT, MIX_BUDGET, MIX_EPOCHS, MIX_SEED, MIX_WEIGHTS, mix_levels
-from voxpop.llm.textkit import remainder, saved, table
+from voxpop.llm.textkit import apart, remainder, restored, saved, table
 
 
 def _measured(docs: DataFrame) -> DataFrame:
@@ -26,12 +26,13 @@ def _measured(docs: DataFrame) -> DataFrame:
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier scores below its cut go."""
     model = quality.fit(docs.where(remainder("doc_id", 5) != 0), table(spark, sf_dir, "labels"), cut_score=CUT)
-    return quality.score(docs, model).where(F.col("__score") >= CUT).drop("__score")
+    kept = quality.score(docs, model).where(F.col("__score") >= CUT).drop("__score")
+    return restored(kept, docs.columns, "__score")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that repeat across documents stay in the first of them only."""
-    return _measured(linedup.dedup_lines(docs).drop("__n_lines", "__n_dropped"))
+    return _measured(restored(linedup.dedup_lines(docs).drop(*linedup.RESULT), docs.columns, *linedup.RESULT))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,9 +56,12 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The leaves' token prefixes at the target weights, with their texts."""
+    """The leaves' token prefixes at the target weights, with their texts.  A column
+    of ``docs`` called like an added one gets underscores behind its name."""
+    docs = apart(docs, "epoch", "take_tokens", "n_tokens")
     mixed = mixing.mix(docs, mix_levels(), MIX_WEIGHTS, MIX_BUDGET, MIX_EPOCHS, MIX_SEED)
-    return mixing.prefix(mixed).withColumnsRenamed({"__epoch": "epoch", "__take": "take_tokens", "__n": "n_tokens"})
+    added = {"__epoch": "epoch", "__take": "take_tokens", "__n": "n_tokens"}
+    return restored(mixing.prefix(mixed).withColumnsRenamed(added), docs.columns, *added)
 
 
 STAGES = [("quality", quality_filter), ("line_dedup", line_dedup), ("near_dedup", near_dedup),
