@@ -153,16 +153,17 @@ def mix(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[str, Map
                  .where("__budget > 0"), "mix-plan")
     plan, digits = _boundaries(narrow, rows, tie, plan, names, seed, ranked)
     drawn = rows.join(plan, _all([F.col(c).eqNullSafe(F.col(f"{c}_p")) for c in names]))
-    whole = drawn.where("__whole > 0").withColumn("__epoch", F.explode(F.expr("sequence(0L, __whole - 1)"))).withColumn("__take", F.col("__n"))
-    order = F.when(F.length("__edge") > KEY + SIZE, _order(seed, tie)).otherwise(_order(seed))
-    last = drawn.where("__edge is not null").withColumn("__epoch", F.col("__whole")).withColumn("__order", order)
-    low = last.where("substring(__order, 1, length(__edge)) < __edge").withColumn("__take", F.col("__n"))
-    at = last.where("startswith(__order, __edge)")
+    deep = F.length("__edge") > KEY + SIZE  # never of a leaf without a last epoch in part: its edge is null
+    drawn = drawn.withColumn("__order", F.when(deep, _order(seed, tie)).when(F.col("__edge").isNotNull(), _order(seed)))
+    # the whole epochs and, below the boundary, one more: one scan
+    whole = (drawn.withColumn("__epoch", F.expr("__whole + if(substring(__order, 1, length(__edge)) < __edge, 1L, 0L)")).where("__epoch > 0")
+             .withColumn("__epoch", F.explode(F.expr("sequence(0L, __epoch - 1)"))).withColumn("__take", F.col("__n")))
+    at = drawn.where("startswith(__order, __edge)").withColumn("__epoch", F.col("__whole"))
     run = Window.partitionBy(*names).orderBy("__order", "__content").rowsBetween(Window.unboundedPreceding, -1)
     few = (at.where(F.length("__edge") < FULL).withColumn("__content", tie).withColumn("__seen", F.coalesce(F.sum("__n").over(run), F.lit(0)))
            .where("__seen < __need").withColumn("__take", F.least(F.col("__n"), F.col("__need") - F.col("__seen"))))
     cols = [*[F.col(f"`{away.get(c, c)}`").alias(away[c] if c.lower() in fresh else c) for c in docs.columns], *fresh]
-    out = whole.select(*cols).unionByName(low.select(*cols)).unionByName(few.select(*cols))
+    out = whole.select(*cols).unionByName(few.select(*cols))
     if digits == FULL:  # more than ``ranked`` rows equal in every column: one of them, as often as the need says
         same = (at.where(F.length("__edge") == FULL).dropDuplicates(names).withColumn("__copy", F.explode(F.expr("sequence(0L, (__need - 1) div __n)")))
                 .withColumn("__take", F.expr("least(__n, __need - __copy * __n)")))
