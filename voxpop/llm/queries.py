@@ -29,7 +29,7 @@ def query(name: str, sql: str | None = None):
 # op1: the production tree, weights, budget and epochs
 DOMAIN = "CASE WHEN source IS NULL THEN NULL WHEN right(source, 1) IN ('0', '1', '2', '3', '4') THEN 'web' WHEN right(source, 1) IN ('5', '6', '7') THEN 'books' ELSE 'other' END"
 MIX_WEIGHTS = {"domain": {"web": 5, "books": 3, "other": 2}, "lang": {"en": 6, "de": 2, "fr": 2}, "source": {"src0": 2}}
-# the budget fills some nodes on every level: their siblings, then their parents' siblings take the rest
+# the budget fills leaves and whole languages: their siblings, then the siblings of their parents take the rest
 MIX_BUDGET, MIX_EPOCHS, MIX_SEED = (3, 2), 2, 7
 
 
