@@ -1,8 +1,11 @@
 """Model operators: fits run, splits are exact and stable, attributions add up."""
 
+import numpy as np
+import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from voxpop.ml import evaluate as EV
 from voxpop.ml import explain as XP
 from voxpop.ml import fit as FIT
 from voxpop.ml import split as SP
@@ -96,3 +99,41 @@ def test_registered_ensembles_fit_the_studys_tree_count(spark, monkeypatch):
         with pytest.raises(Seen) as seen:
             catalog.QUERIES[f"ml_{q}"](spark, SF)
         assert seen.value.args == (200,), q
+
+
+def _given(spark):
+    rng = np.random.default_rng(9)
+    score = rng.integers(0, 101, 400) / 100
+    label = (rng.uniform(size=400) < score).astype(int)
+    rows = [(int(a), float(b)) for a, b in zip(label, score)] + [(1, None), (0, None)]
+    return rows, spark.createDataFrame(rows, "label int, score double")
+
+
+@pytest.mark.parametrize("default", [50, 33])
+def test_default_and_best_threshold_equal_brute_force(spark, default):
+    rows, df = _given(spark)
+    known = [(a, b) for a, b in rows if b is not None]
+
+    def at(t):
+        cells = [sum(1 for a, b in known if a == y and (b >= t / 100) == p) for y, p in ((1, True), (0, True), (1, False), (0, False))]
+        tp, fp, fn, _ = cells
+        return [*cells, 2 * tp / (2 * tp + fp + fn)]
+    best = max(range(10, 90, 5), key=lambda t: (at(t)[-1], -t))
+    got = {r["corte"]: r for r in EV.compare_thresholds(df, default_pct=default).collect()}
+    for name, t in (("padrão", default), ("otimizado", best)):
+        r = got[name]
+        assert r["t_pct"] == t and [r["tp"], r["fp"], r["fn"], r["tn"]] == at(t)[:4]
+        assert r["f1"] == pytest.approx(at(t)[-1]) and r["ganho_f1"] == pytest.approx(at(t)[-1] - at(default)[-1])
+
+
+def test_threshold_comparison_without_a_score(spark):
+    out = EV.compare_thresholds(spark.createDataFrame([], "label int, score double")).collect()
+    assert {r["corte"] for r in out} == {"padrão", "otimizado"}
+    assert all((r["tp"], r["fp"], r["fn"], r["tn"], r["f1"]) == (0, 0, 0, 0, 0.0) for r in out)
+
+
+def test_positive_scale(spark):
+    row = SP.positive_scale(spark.createDataFrame([(1,), (0,), (0,), (None,)], "label int")).first()
+    assert (row["n_pos"], row["n_neg"], row["scale_pos"]) == (1, 2, 2.0)
+    assert SP.positive_scale(spark.createDataFrame([(0,)], "label int")).first()["scale_pos"] is None
+    assert SP.positive_scale(spark.createDataFrame([], "label int")).first()["scale_pos"] is None

@@ -332,3 +332,24 @@ def test_t_tail_stays_exact_at_large_df():
         assert abs(t_two_sided(t, 1e6 + 1) / below - 1) < 1e-5
         for df in (1.5e11, 1e13):
             assert abs(t_two_sided(t, df) - 2 * normal_sf(t)) < 1e-9
+
+
+def test_pair_medians_and_residual_bins_match_numpy(spark):
+    rng = np.random.default_rng(3)
+    values = {"a": rng.integers(0, 9, 40).astype(float), "b": rng.normal(size=31), "c": rng.integers(3, 5, 2).astype(float)}
+    df = spark.createDataFrame([(g, float(v)) for g, vs in values.items() for v in vs] + [("a", None)], "g string, v double")
+    for r in ST.mann_whitney_pairs(df, "v", "g", groups=("a", "b", "c", "none"), with_p=False).collect():
+        for g, m, n in (("g1", "mediana_1", "n1"), ("g2", "mediana_2", "n2")):
+            mine = values.get(r[g], np.array([]))
+            assert r[n] == len(mine)
+            assert r[m] == (pytest.approx(np.median(mine)) if len(mine) else None)
+    with_p = {r["comparacao"]: r for r in ST.mann_whitney_pairs(df, "v", "g", groups=("a", "b", "none")).collect()}
+    for pair in ("a vs none", "b vs none"):
+        assert with_p[pair]["p_value"] is None and with_p[pair]["significativo"] == "Não"
+    one = ST.kruskal(df.filter("v IS NOT NULL").limit(1), "v", "g").first()
+    assert one["n"] == 1 and one["h_stat"] is None
+    y, p = rng.uniform(0, 10, 500), rng.uniform(0, 10, 500)
+    out = ST.residual_histogram(spark.createDataFrame([(float(a), float(b)) for a, b in zip(y, p)], "nps_score double, prediction double"), bins=12)
+    got = sorted(out.collect(), key=lambda r: r["bin"])
+    assert [r["n"] for r in got] == np.histogram(y - p, 12)[0].tolist()
+    assert got[0]["mediana"] == pytest.approx(np.median(y - p))

@@ -162,21 +162,19 @@ def exact_quantiles(df: DataFrame, value: str, probs, by=(), many: int = MANY) -
     return quantiles_from_ranks(inside, value, probs, by)
 
 
+def quantile(value: str, p: float, total: str = "total", before: str = "cum_before", n: str = "n") -> Column:
+    """Aggregate over the value rows of a ``cumulative`` table: the linear
+    interpolation between the two order statistics around the position."""
+    pos, low, high = _held(p, total, before, n)
+    at = lambda held: F.max(F.when(held, F.col(value).cast("double")))
+    return at(low) + (at(high) - at(low)) * F.max(pos - F.floor(pos))
+
+
 def quantiles_from_ranks(r: DataFrame, value: str, probs, by=()) -> DataFrame:
     """Exact linear-interpolation quantiles from a ``cumulative`` table: the
     values at the two order statistics around each position, one grouped
     aggregation (one row per group, a column ``q<pct>`` per probability)."""
-    by = list(by)
-    cols, outs = [], []
-    for p in probs:
-        tag = _tag(p)
-        pos, low, high = _held(p, "total", "cum_before", "n")
-        cols += [F.max(F.when(low, F.col(value).cast("double"))).alias(f"_lo{tag}"),
-                 F.max(F.when(high, F.col(value).cast("double"))).alias(f"_hi{tag}"),
-                 F.max(pos - F.floor(pos)).alias(f"_fr{tag}")]
-        lo, hi, fr = F.col(f"_lo{tag}"), F.col(f"_hi{tag}"), F.col(f"_fr{tag}")
-        outs.append((lo + (hi - lo) * fr).alias(f"q{tag}"))
-    return r.groupBy(*by).agg(*cols).select(*by, *outs)
+    return r.groupBy(*by).agg(*[quantile(value, p).alias(f"q{_tag(p)}") for p in probs])
 
 
 def stacked(df: DataFrame, cols: Sequence[str], by=(), name: str = "variable", value: str = "v") -> DataFrame:

@@ -136,6 +136,25 @@ def best_threshold(sweep: DataFrame) -> DataFrame:
     return sweep.withColumn("_rk", F.row_number().over(w)).filter("_rk = 1").drop("_rk")
 
 
+def compare_thresholds(scored: DataFrame, y: str = "label", score: str = "score", default_pct: int = 50,
+                       thresholds_pct=THRESHOLDS_PCT) -> DataFrame:
+    """ML16: the default threshold against the one with the best F1, a row each:
+    recall, precision, F1, the four cells of the confusion matrix and the gain in
+    F1 over the default.  The default is only compared, not a candidate, unless
+    listed.  Rows without a score count nowhere."""
+    listed = [int(t) for t in thresholds_pct]
+    sweep = threshold_sweep(scored, y, score, sorted({*listed, int(default_pct)}))
+    default = sweep.filter(F.col("t_pct") == int(default_pct)).withColumn("corte", F.lit("padrão"))
+    best = best_threshold(sweep.filter(F.col("t_pct").isin(listed))).withColumn("corte", F.lit("otimizado"))
+    of = scored.filter(F.col(score).isNotNull()).agg(F.struct(
+        F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg"))).scalar()
+    base = F.max(F.when(F.col("corte") == "padrão", F.col("f1"))).over(Window.partitionBy())
+    return default.unionByName(best).select(
+        "corte", "t_pct", "threshold", "recall", "precision", "f1", F.coalesce("tp", F.lit(0)).alias("tp"),
+        F.coalesce("fp", F.lit(0)).alias("fp"), (of["pos"] - F.coalesce("tp", F.lit(0))).alias("fn"),
+        (of["neg"] - F.coalesce("fp", F.lit(0))).alias("tn"), (F.col("f1") - base).alias("ganho_f1"))
+
+
 def best_model(metrics: DataFrame, metric: str, order: list[str], higher: bool = True) -> DataFrame:
     """SO5: best model by a metric; ties go to the earlier declared model."""
     spark = metrics.sparkSession

@@ -86,6 +86,13 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     return counts.withColumn("weight", total / (k * F.col("n_c")))
 
 
+def positive_scale(df: DataFrame, label: str = "label") -> DataFrame:
+    """ML14: class counts and ``scale_pos`` = negatives / positives (NULL without a
+    positive); rows without a label count for neither."""
+    pos, neg = F.count_if(F.col(label) == 1), F.count_if(F.col(label) == 0)
+    return df.agg(pos.alias("n_pos"), neg.alias("n_neg"), F.try_divide(neg.cast("double"), pos).alias("scale_pos"))
+
+
 def with_weights(df: DataFrame, label: str = "label", pos_weight: float | None = None) -> DataFrame:
     """Weight column: balanced (default) or a plain positive-class weight."""
     if pos_weight is not None:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from voxpop.functions import columns as C
 from voxpop.functions.pvalues import (chi2_sf_udf, inverse_normal_udf, mann_whitney_exact_udf, normal_two_sided_udf,
                                       score_square_sum_udf, score_sum_udf, t_two_sided_udf)
-from voxpop.functions.ranks import cumulative, exact_quantiles, frequencies, ranked_values, stacked
+from voxpop.functions.ranks import cumulative, exact_quantiles, frequencies, quantile, ranked_values, stacked
 from voxpop.schema import NPS_CLASSES
 
 
@@ -224,7 +224,7 @@ def kruskal(df: DataFrame, value: str, group: str) -> DataFrame:
     s = g.agg(F.sum(F.col("R") * F.col("R") / F.col("ng")).alias("S"), F.count(F.lit(1)).alias("k"))
     N = ties["N"].cast("double")
     h0 = F.lit(12.0) / (N * (N + 1)) * F.col("S") - 3 * (N + 1)
-    corr = 1 - ties["tt"] / (N * N * N - N)
+    corr = 1 - ties["tt"] / F.nullif(N * N * N - N, F.lit(0.0))
     out = s.select(
         (h0 / F.nullif(corr, F.lit(0.0))).alias("h_stat"), (F.col("k") - 1).alias("df"),
         F.col("k"), ties["N"].alias("n"))
@@ -248,7 +248,8 @@ def mann_whitney_pairs(df: DataFrame, value: str, group: str, groups=tuple(NPS_C
     """Pairwise two-sided Mann-Whitney U, re-ranked inside each pair;
     Bonferroni-adjusted p; verdict text.  p is exact for a pair without ties one
     of whose groups has at most ``exact_up_to`` values, and by the normal tail with
-    tie correction and continuity for the others."""
+    tie correction and continuity for the others.  A group without a value has no
+    mean and no median; its pairs have no z and no p."""
     spark = df.sparkSession
     d = df.filter(F.col(group).isin(list(groups)) & F.col(value).isNotNull())
     freq = frequencies(d, value, [group])
@@ -266,28 +267,28 @@ def mann_whitney_pairs(df: DataFrame, value: str, group: str, groups=tuple(NPS_C
           .agg(F.sum(F.when(F.col(group) == F.col("g1"), F.col("n")).otherwise(0)).alias("n1v"),
                F.sum(F.when(F.col(group) == F.col("g2"), F.col("n")).otherwise(0)).alias("n2v"),
                F.sum("n").alias("n")))
-    r = cumulative(pf, value, by=["g1", "g2", "i1", "i2"])
+    # the running count of the first group gives the ranks inside either group, hence both medians
+    r = (cumulative(pf, value, by=["g1", "g2", "i1", "i2"], also=["n1v"])
+         .withColumn("_before_2", F.col("cum_before") - F.col("cum_before_n1v")).withColumn("_total_2", F.col("total") - F.col("total_n1v")))
     s = r.groupBy("g1", "g2", "i1", "i2").agg(
+        quantile(value, 0.5, "total_n1v", "cum_before_n1v", "n1v").alias("mediana_1"),
+        quantile(value, 0.5, "_total_2", "_before_2", "n2v").alias("mediana_2"),
         F.sum(F.col("n1v") * F.col("avg_rank")).alias("R1"), F.sum("n1v").alias("n1"), F.sum("n2v").alias("n2"),
         F.sum(F.col("n1v") * F.col(value)).alias("_s1"), F.sum(F.col("n2v") * F.col(value)).alias("_s2"),
         F.sum(F.pow(F.col("n").cast("double"), 3) - F.col("n")).alias("tt"))
-    med = exact_quantiles(d, value, [0.5], by=[group])
-    m1 = med.select(F.col(group).alias("g1"), F.col("q50").alias("mediana_1"))
-    m2 = med.select(F.col(group).alias("g2"), F.col("q50").alias("mediana_2"))
     n1, n2 = F.col("n1").cast("double"), F.col("n2").cast("double")
     N = n1 + n2
     u1 = F.col("R1") - n1 * (n1 + 1) / 2
-    out = (s.join(m1, "g1", "left").join(m2, "g2", "left")
-           .withColumn("u_stat", u1)
+    out = (s.withColumn("u_stat", u1)
            .withColumn("_u", F.greatest(u1, n1 * n2 - u1))
-           .withColumn("_sigma", F.sqrt(n1 * n2 / 12.0 * ((N + 1) - F.col("tt") / (N * (N - 1)))))
+           .withColumn("_sigma", F.sqrt(n1 * n2 / 12.0 * ((N + 1) - F.col("tt") / F.nullif(N * (N - 1), F.lit(0.0)))))
            .withColumn("z", (F.col("_u") - n1 * n2 / 2.0 - 0.5) / F.nullif(F.col("_sigma"), F.lit(0.0))))
     m = len(groups) * (len(groups) - 1) // 2
     cols = [F.concat_ws(" vs ", "g1", "g2").alias("comparacao"), "g1", "g2", "n1", "n2",
-            (F.col("_s1") / F.col("n1")).alias("media_1"), (F.col("_s2") / F.col("n2")).alias("media_2"),
+            F.try_divide("_s1", "n1").alias("media_1"), F.try_divide("_s2", "n2").alias("media_2"),
             "mediana_1", "mediana_2", (F.col("mediana_1") - F.col("mediana_2")).alias("diferenca_mediana"),
             "u_stat", "z"]
-    small = (F.least("n1", "n2") <= exact_up_to) & (F.col("tt") == 0)  # exact null distribution: a small group, no ties
+    small = F.least("n1", "n2").between(1, exact_up_to) & (F.col("tt") == 0)  # exact null distribution: a small group, no ties
     out = out.select(*cols, small.alias("_exact"))
     if not with_p:
         return out.drop("_exact")
@@ -479,6 +480,12 @@ def residual_bands(scored: DataFrame, y: str = "nps_score", pred: str = "predict
         .withColumn("n", F.coalesce("n", F.lit(0)))
 
 
+def residual_histogram(scored: DataFrame, y: str = "nps_score", pred: str = "prediction", bins: int = 30) -> DataFrame:
+    """ST13: equal-width bins of the residual (real - predicted), as ``histogram``."""
+    residual = F.col(y).cast("double") - F.col(pred).cast("double")
+    return histogram(scored.select(residual.alias("residuo")), "residuo", bins)
+
+
 def residual_summary(scored: DataFrame, y: str = "nps_score", pred: str = "prediction") -> DataFrame:
     e = F.col(y) - F.col(pred)
     return scored.agg(F.avg(F.abs(e)).alias("mae"), F.stddev(e).alias("residuo_std"),

@@ -51,6 +51,18 @@ def pearson_matrix(spark, sf):
     return ST.pearson_matrix(load_base(spark, sf), _MATRIX)
 
 
+# the study's nine logistics columns, written out
+_LOG9 = ("nps_score", "delivery_delay_days", "delivery_time_days", "freight_value", "freight_ratio", "order_value", "items_quantity",
+         "delivery_attempts", "repeat_purchase_30d")
+
+
+@register("pearson_matrix_logistics", with_base(LOGISTICS_CTE, body="\nUNION ALL\n".join(
+    f"SELECT '{a}' AS x, '{b}' AS y, " + (safe_corr_sql(a, b) if a != b else f"CASE WHEN stddev_pop({a}) > 0 THEN CAST(1 AS DOUBLE) END")
+    + " AS r FROM lg" for a, b in itertools.product(_LOG9, repeat=2))), "r")
+def pearson_matrix_logistics(spark, sf):
+    return ST.pearson_matrix(lg(spark, sf), ["nps_score", *CORR_LOGISTICS])
+
+
 _P_UNION = "\nUNION ALL\n".join(f"SELECT '{v}' AS variable, {safe_corr_sql(v, 'nps_score')} AS r FROM base"
                                 for v in CORR_FULL)
 register("pearson_top3", with_base(f"pr AS ({_P_UNION})", body="""
@@ -353,6 +365,18 @@ def residual_bands(spark, sf):
     return ST.residual_bands(load_base(spark, sf).withColumn("prediction", F.col("csat_internal_score")))
 
 
+@register("residual_histogram", with_base(
+    "re AS (SELECT CAST(nps_score AS DOUBLE) - CAST(csat_internal_score AS DOUBLE) AS e FROM base)",
+    "es AS (SELECT min(e) AS lo, max(e) AS hi, avg(e) AS media, median(e) AS mediana FROM re)",
+    "eb AS (SELECT coalesce(CAST(least(floor((e - lo) / nullif((hi - lo) / 30, 0)), 29) AS INTEGER), 0) AS bin, count(*) AS n FROM re, es WHERE e IS NOT NULL GROUP BY 1)",
+    body="""
+SELECT CAST(g.i AS INTEGER) AS bin, lo + g.i * ((hi - lo) / 30) AS inicio, CASE WHEN g.i = 29 THEN hi ELSE lo + (g.i + 1) * ((hi - lo) / 30) END AS fim,
+       coalesce(eb.n, 0) AS n, media, mediana
+FROM range(30) AS g(i) CROSS JOIN es LEFT JOIN eb ON eb.bin = g.i"""), "inicio fim media mediana")
+def residual_histogram(spark, sf):
+    return ST.residual_histogram(load_base(spark, sf).withColumn("prediction", F.col("csat_internal_score")))
+
+
 @register("residual_summary", with_base(body="""
 SELECT avg(abs(nps_score - csat_internal_score)) AS mae, stddev_samp(nps_score - csat_internal_score) AS residuo_std,
        avg(nps_score - csat_internal_score) AS residuo_medio, count(*) AS n FROM base"""),
