@@ -96,6 +96,14 @@ def class_weights(spark, sf):
     return SP.class_weights(frame(spark, sf), "label")
 
 
+@register("class_positive_scale", with_base(body=f"""
+SELECT count(*) FILTER (WHERE label = 1) AS n_pos, count(*) FILTER (WHERE label = 0) AS n_neg,
+       CAST(count(*) FILTER (WHERE label = 0) AS DOUBLE) / nullif(count(*) FILTER (WHERE label = 1), 0) AS scale_pos
+FROM (SELECT {LABEL_SQL} AS label FROM base) l"""), "scale_pos")
+def class_positive_scale(spark, sf):
+    return SP.positive_scale(frame(spark, sf), "label")
+
+
 # --- ML3 / ML5 ------------------------------------------------------------------------------
 _OPS_NUM_SQL = {
     "atraso_critico": "CAST(delivery_delay_days >= 3 AS INTEGER)",
@@ -233,6 +241,19 @@ def best_threshold(spark, sf):
     return EV.best_threshold(EV.threshold_sweep(given(spark, sf)))
 
 
+@register("threshold_comparison", with_base(
+    GIVEN_CTE, f"th AS (SELECT t_pct, t_pct / CAST(100 AS DOUBLE) AS threshold FROM (VALUES {_TH}) AS v(t_pct))",
+    """cells AS (SELECT t_pct, threshold, count(*) FILTER (WHERE label = 1 AND score >= threshold) AS tp, count(*) FILTER (WHERE label = 0 AND score >= threshold) AS fp,
+       count(*) FILTER (WHERE label = 1 AND score < threshold) AS fn, count(*) FILTER (WHERE label = 0 AND score < threshold) AS tn FROM th, gv GROUP BY 1, 2)""",
+    """rates AS (SELECT *, coalesce(tp / CAST(nullif(tp + fn, 0) AS DOUBLE), 0) AS recall, coalesce(tp / CAST(nullif(tp + fp, 0) AS DOUBLE), 0) AS precision,
+       coalesce(2 * tp / CAST(nullif(2 * tp + fp + fn, 0) AS DOUBLE), 0) AS f1 FROM cells)""",
+    "two AS ((SELECT 'padrão' AS corte, * FROM rates WHERE t_pct = 50) UNION ALL (SELECT 'otimizado' AS corte, * FROM rates ORDER BY f1 DESC, t_pct LIMIT 1))",
+    body="SELECT *, f1 - (SELECT f1 FROM rates WHERE t_pct = 50) AS ganho_f1 FROM two"), "threshold recall precision f1 ganho_f1")
+def threshold_comparison(spark, sf):
+    """ML16: default against best threshold on the given score, with both confusion matrices."""
+    return EV.compare_thresholds(given(spark, sf))
+
+
 # --- model fits: linear and logistic against an independent fit in SQL, ensembles rows-only ------
 
 def _full(p, split, version="v1", **kw):
@@ -320,16 +341,6 @@ def ml_gbt_reg(spark, sf):
     return FIT.holdout_metrics(frame(spark, sf, "ops"), "ops", "reg", ["gbt_reg"])
 
 
-@register("ml_logistic")
-def ml_logistic(spark, sf):
-    return FIT.holdout_metrics(frame(spark, sf, "full_v1"), "full_v1", "clf", ["logistic"])
-
-
-@register("ml_logistic_balanced")
-def ml_logistic_balanced(spark, sf):
-    return FIT.holdout_metrics(frame(spark, sf, "ops"), "ops", "clf", ["logistic"], weighted=True)
-
-
 @register("ml_forest_clf")
 def ml_forest_clf(spark, sf):
     return FIT.holdout_metrics(frame(spark, sf, "full_v1"), "full_v1", "clf", ["forest_clf"])
@@ -429,6 +440,32 @@ def ml_csat_scenario(spark, sf):
     return FIT.compare_versions(a.unionByName(b)).withColumnRenamed("v1", "sem_csat").withColumnRenamed("v2", "com_csat")
 
 
+def _csat_sql():
+    without, given_csat = _ops("a", "stddev_pop"), Design("b", "ops_csat", "stratified", "stddev_pop")
+    both = " UNION ALL ".join(f"SELECT *, '{v}' AS version FROM ({classification_sql(d, f'f{v}', 'logistic')}) {v}" for v, d in (("sem", without), ("com", given_csat)))
+    return with_models(*without.ctes, *without.logistic("fsem", True), *given_csat.ctes, *given_csat.logistic("fcom", True), f"parts AS ({both})",
+                       "wide AS (SELECT model, metric, max(value) FILTER (WHERE version = 'sem') AS sem_csat, max(value) FILTER (WHERE version = 'com') AS com_csat FROM parts GROUP BY model, metric)",
+                       body="SELECT *, com_csat - sem_csat AS delta, CASE WHEN com_csat = sem_csat THEN 'igual' WHEN com_csat > sem_csat THEN 'melhor' ELSE 'pior' END AS resultado FROM wide")
+
+
+@register("ml_csat_scenario_clf", _csat_sql(), "sem_csat com_csat delta")
+def ml_csat_scenario_clf(spark, sf):
+    """ML22: the same balanced logistic classifier without / with CSAT, by Newton
+    steps to the optimum (the differences are as small as a solver's tolerance)."""
+    found = []
+    for s, v in (("ops", "v1"), ("ops_csat", "v2")):
+        split = SP.stratified_split(frame(spark, sf, s), "label").persist()
+        inside = F.col("split") == "train"
+        rows, _ = NM.standardised(split, FIT.design_columns(split.filter(inside), s), inside)
+        scored = NM.probability(rows.filter(~inside), NM.logistic(rows.filter(inside), "label", balanced=True))
+        scored = scored.withColumn("prediction", (F.col("score") > 0.5).cast("int"))
+        auc = EV.auc_rank(scored).select(F.lit("auc").alias("metric"), F.col("auc").alias("value"), F.lit("logistic").alias("model"))
+        m = EV.classification_metrics(scored, model="logistic", long=True).unionByName(auc)
+        found += [(*r, v) for r in m.select("metric", "value", "model").collect()]
+        split.unpersist()
+    return FIT.compare_versions(spark.createDataFrame(found, "metric string, value double, model string, version string")).withColumnRenamed("v1", "sem_csat").withColumnRenamed("v2", "com_csat")
+
+
 def _risk_scored(spark, sf, scope="all"):
     """ML24: balanced forest on the demo features scores every row (or only
     the hold-out), risk = P(detractor) * 100."""
