@@ -137,3 +137,19 @@ def test_rewritten_inputs_give_a_new_base(spark, tmp_path):
     os.chmod(f"{d}/orders.parquet", 0o644)
     pq.write_table(pq.read_table("/root/testdata/sf0.001/orders.parquet").slice(0, 100), f"{d}/orders.parquet")
     assert before == 1500 and IO.load_base(spark, d).count() == 100
+
+
+def test_checked_read_parses_a_line_once(spark, tmp_path):
+    base = IO.load_base(spark, "/root/testdata/sf0.001").limit(5)
+    base.write.option("header", True).csv(str(tmp_path / "orders"))
+    for df in IO.read_orders_checked(spark, str(tmp_path / "orders")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_csv") == 1
+
+
+def test_checked_read_takes_the_names_given_in_any_case(spark, tmp_path):
+    base = IO.load_base(spark, "/root/testdata/sf0.001").limit(5)
+    first = [*reversed(base.columns)]
+    base.select(*first).write.csv(str(tmp_path / "bare"))
+    clean, faults = IO.read_orders_checked(spark, str(tmp_path / "bare"), [c.upper() for c in first])
+    assert clean.exceptAll(base).count() == 0 and clean.count() == 5 and faults.count() == 0

@@ -211,7 +211,7 @@ def _parsed_text(field, text: Column) -> Column:
 
 def _unparsed(field, text: Column) -> Column:
     """A value is there, but no number."""
-    return (F.trim(text) != "") & (F.lower(F.trim(text)) != "nan") & _parsed_text(field, text).isNull()
+    return _parsed_text(field, text).isNull() & (F.trim(text) != "") & (F.lower(F.trim(text)) != "nan")
 
 
 def unparsed_orders(spark: SparkSession, path: str) -> DataFrame:
@@ -220,10 +220,12 @@ def unparsed_orders(spark: SparkSession, path: str) -> DataFrame:
     return raw.agg(*[F.count(F.when(_unparsed(f, F.col(f.name)), 1)).alias(f.name) for f in ORDERS_NPS_SCHEMA.fields])
 
 
-def _text_parsed(columns: list[str], line: str) -> Column:
-    """A CSV line as a struct of texts; ``_bad`` holds the line when its number of fields differs."""
-    schema = ", ".join(f"`{c}` string" for c in columns) + ", _bad string"
-    return F.from_csv(F.col(line), F.lit(schema), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+def _text_parsed(names: list[str], line: str) -> Column:
+    """The texts of a CSV line as columns; ``_bad`` holds the line when its number
+    of fields differs.  A generator: the line is parsed once, however often its
+    columns are named later (a struct would be parsed anew for each of them)."""
+    schema = ", ".join(f"`{c}` string" for c in names) + ", _bad string"
+    return F.inline(F.array(F.from_csv(F.col(line), F.lit(schema), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})))
 
 
 def read_orders_checked(spark: SparkSession, path: str, columns: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
@@ -241,15 +243,17 @@ def read_orders_checked(spark: SparkSession, path: str, columns: list[str] | Non
     blocks = lines.groupBy("file", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_lines"))
     before = F.sum("_lines").over(Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))  # one row a split
     blocks = blocks.withColumn("_before", F.coalesce(before, F.lit(0))).withColumnsRenamed({"file": "_f", "_block": "_b"})
-    rows = lines.where(F.trim("value") != "").withColumn("_r", _text_parsed(columns, "value"))
+    names = [f"_c{i}" for i in range(len(columns))]
+    text = {c.lower(): F.col(n) for c, n in zip(columns, names)}
+    rows = lines.where(F.trim("value") != "").select("*", _text_parsed(names, "value"))
     header = F.lit(True)
-    for c in columns:
-        header = header & F.col(f"_r.`{c}`").eqNullSafe(F.lit(c))
+    for c, n in zip(columns, names):
+        header = header & F.col(n).eqNullSafe(F.lit(c))
     rows = rows.where(~header)
-    wrong = [F.when(_unparsed(f, F.col(f"_r.`{f.name}`")), F.struct(F.lit(f.name).alias("column"), F.col(f"_r.`{f.name}`").alias("text"))) for f in ORDERS_NPS_SCHEMA.fields]
+    wrong = [F.when(_unparsed(f, text[f.name]), F.struct(F.lit(f.name).alias("column"), text[f.name].alias("text"))) for f in ORDERS_NPS_SCHEMA.fields]
     whole = F.array(F.struct(F.lit(None).cast("string").alias("column"), F.col("value").alias("text")))
-    rows = rows.withColumn("_faults", F.when(F.col("_r._bad").isNotNull(), whole).otherwise(F.filter(F.array(*wrong), lambda x: x.isNotNull())))
-    clean = rows.where(F.size("_faults") == 0).select(*[_parsed_text(f, F.col(f"_r.`{f.name}`")).alias(f.name) for f in ORDERS_NPS_SCHEMA.fields])
+    rows = rows.withColumn("_faults", F.when(F.col("_bad").isNotNull(), whole).otherwise(F.filter(F.array(*wrong), lambda x: x.isNotNull())))
+    clean = rows.where(F.size("_faults") == 0).select(*[_parsed_text(f, text[f.name]).alias(f.name) for f in ORDERS_NPS_SCHEMA.fields])
     at = (F.col("file") == F.col("_f")) & (F.col("_block") == F.col("_b"))
     faults = rows.where(F.size("_faults") > 0).join(blocks, at).select(
         "file", (F.col("_before") + F.col("_id") - F.col("_first") + 1).alias("line"), F.explode("_faults").alias("_x"), F.col("value").alias("record"))
