@@ -200,17 +200,20 @@ def cross_validate(train: DataFrame, feature_set: str, task: str, model: str, k:
     from voxpop.ml.split import key_hash, stratified_folds, with_weights
     y = "nps_score" if task == "reg" else "label"
     folded = train.withColumn("fold", (key_hash("order_id", 42, 8) % k).cast("int")) if task == "reg" else stratified_folds(train, "label", k)
-    folded = folded.persist()
+    num, cat = FEATURE_SETS[feature_set]
+    folded = folded.select(*dict.fromkeys(["nps_score", "label", "fold", *num, *cat])).persist()
     spark = train.sparkSession
     if model in ("linear", "ridge", "logistic"):
         rows, _ = NM.standardised(folded, design_columns(folded, feature_set), F.lit(True))
+        rows = rows.select("_z", y, "fold")
         if task == "reg":
             fits = NM.ridge_by_fold(rows, y, "fold", 1.0 if model == "ridge" else 0.0)
             per_fold = spark.createDataFrame([(f, "r2", v) for f, (_, v) in fits.items()], "fold int, metric string, value double")
         else:
             betas = NM.logistic(rows, y, "fold", range(k), balanced=True)
-            by = NM.fold_scores(NM.probability(rows, betas, "fold"))
-            found = [(r["fold"], m, r[m]) for r in by.collect() for m in ("f1", "auc")]
+            scored = NM.probability(rows, betas, "fold").select("label", "fold", "score").persist()
+            found = [(r["fold"], m, r[m]) for r in NM.fold_scores(scored).collect() for m in ("f1", "auc")]
+            scored.unpersist()
             per_fold = spark.createDataFrame(found, "fold int, metric string, value double")
     else:
         found = []

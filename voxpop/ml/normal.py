@@ -53,19 +53,38 @@ def _refuse_gaps(df: DataFrame, y: str) -> None:
 
 
 def gram(df: DataFrame, y: str, fold: str) -> dict[int, np.ndarray]:
-    """Sums of products of (1, z..., y) by fold, from one aggregation."""
+    """Sums of products of (1, z..., y) by fold, from one scan: a table a task and
+    fold, added up."""
     _refuse_gaps(df, y)
-    row = F.concat(F.array(F.lit(1.0)), F.col("_z"), F.array(F.col(y).cast("double")))
-    rows = df.select(F.col(fold).alias("fold"), row.alias("v"))
-    width = len(rows.select("v").first()["v"])
-    products = rows.select("fold", "v", F.posexplode("v").alias("i", "a"))
-    sums = products.groupBy("fold", "i").agg(*[F.sum(F.col("a") * F.col("v")[j]).alias(f"s{j}") for j in range(width)])
+    rows = df.select("_z", F.col(y).cast("double").alias("y"), F.col(fold).cast("int").alias("fold"))
+    width = 2 + len(rows.first()["_z"])
     out: dict[int, np.ndarray] = {}
-    for r in sums.collect():  # folds x columns
-        out.setdefault(r["fold"], np.zeros((width, width)))[r["i"]] = [r[f"s{j}"] for j in range(width)]
+    for r in rows.mapInArrow(_products, "fold int, at int, v double").groupBy("fold", "at").agg(F.sum("v").alias("v")).collect():  # folds x columns^2
+        out.setdefault(r["fold"], np.zeros((width, width))).flat[r["at"]] = r["v"]
     return out
 
 
+def _design(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(1, z...), y and fold of a batch."""
+    y, fold = batch.column("y").to_numpy(zero_copy_only=False), batch.column("fold").to_numpy(zero_copy_only=False)
+    z = batch.column("_z").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+    return np.hstack([np.ones((len(z), 1)), z]), y, fold
+
+
+def _products(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per task and fold: the sums of products of the design row and y."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        if batch.num_rows:
+            x, y, fold = _design(batch)
+            v = np.hstack([x, y[:, None]])
+            for f in np.unique(fold):
+                a = v[fold == f]
+                sums[int(f)] = sums.get(int(f), 0.0) + a.T @ a
+    for f, s in sums.items():
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(s.size, f), pa.int32()), pa.array(np.arange(s.size), pa.int32()), pa.array(s.ravel())], ["fold", "at", "v"])
+
+
 def solve_ridge(g: np.ndarray, alpha: float) -> np.ndarray:
     """Intercept (unpenalised) and slopes of least squares with penalty ``alpha``."""
     a = g[:-1, :-1] + alpha * np.diag([0.0, *[1.0] * (len(g) - 2)])
@@ -97,9 +116,7 @@ def _step_sums(models: list[tuple[int | None, np.ndarray, float, float]]):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            y, fold = batch.column("y").to_numpy(zero_copy_only=False), batch.column("fold").to_numpy(zero_copy_only=False)
-            z = batch.column("_z").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-            x = np.hstack([np.ones((len(z), 1)), z])
+            x, y, fold = _design(batch)
             for k, (left_out, beta, w0, w1) in enumerate(models):
                 use = slice(None) if left_out is None else fold != left_out
                 a, b = x[use], y[use]
