@@ -115,3 +115,25 @@ def test_categories_are_refused_above_a_number(spark):
     assert len(FIT.category_labels(df, ["c"])["c"]) == 20
     with pytest.raises(ValueError, match="more than 10"):
         FIT.category_labels(df, ["c"], most=10)
+
+
+def test_products_are_one_table_a_fold_and_task():
+    import pyarrow as pa
+    z, y, fold = np.arange(8.0).reshape(4, 2), np.array([1.0, 0, 2, 5]), np.array([0, 1, 0, 1], dtype=np.int32)
+    batch = lambda s: pa.RecordBatch.from_arrays([pa.array(z[s].tolist()), pa.array(y[s]), pa.array(fold[s])], ["_z", "y", "fold"])
+    out = list(NM._products([batch(slice(0, 3)), batch(slice(3, 4)), batch(slice(0, 0))]))
+    v = np.hstack([np.ones((4, 1)), z, y[:, None]])
+    assert [set(b.column("fold").to_pylist()) for b in out] == [{0}, {1}]
+    for f, b in enumerate(out):
+        assert np.array(b.column("v").to_pylist()).reshape(4, 4) == pytest.approx(v[fold == f].T @ v[fold == f])
+
+
+def test_holdout_prepares_once_for_all_models(spark, monkeypatch):
+    seen, real = [], FIT.refuse_missing
+    monkeypatch.setattr(FIT, "refuse_missing", lambda df, num: (seen.append(df.columns), real(df, num)))
+    df = model_frame(load_base(spark, SF), "full_v1")
+    both = {(r["model"], r["metric"]): r["value"] for r in FIT.holdout_metrics(df, "full_v1", "reg", ["linear", "ridge"]).collect()}
+    assert len(seen) == 1 and "order_id" not in seen[0] and "customer_id" not in seen[0]
+    for m in ("linear", "ridge"):
+        alone = {r["metric"]: r["value"] for r in FIT.holdout_metrics(df, "full_v1", "reg", [m]).collect()}
+        assert all(both[m, k] == pytest.approx(v, abs=1e-12) for k, v in alone.items()) and len(alone) == 3

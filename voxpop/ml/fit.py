@@ -124,19 +124,27 @@ def _reg_param(train: DataFrame, name: str, label: str, weight_col: str | None,
     return 0.0
 
 
-def fit(train: DataFrame, feature_set: str, label: str, name: str, trees: int = 200,
-        depth: int | None = None, weight_col: str | None = None, scale: bool = True,
-        alpha: float = 1.0, C: float = 1.0, num=None, cat=None, drop_first: bool | None = None) -> PipelineModel:
-    """Fit preprocessing + estimator on the training rows only.  ``drop_first``:
-    categories as scaled drop-first dummies (default: as the feature set has it)."""
+def prepare(train: DataFrame, feature_set: str, scale: bool = True, num=None, cat=None, drop_first: bool | None = None) -> PipelineModel:
+    """Preprocessing fitted on the training rows only.  ``drop_first``: categories
+    as scaled drop-first dummies (default: as the feature set has it)."""
     fnum, fcat = FEATURE_SETS[feature_set]
     num, cat = num or fnum, fcat if cat is None else cat
     refuse_missing(train, num)
     drop_first = feature_set in DROP_FIRST_SETS if drop_first is None else drop_first
     labels = category_labels(train, cat) if drop_first else None
+    return Pipeline(stages=preprocess(num, cat, scale, labels)).fit(train)
+
+
+def fit(train: DataFrame, feature_set: str, label: str, name: str, trees: int = 200,
+        depth: int | None = None, weight_col: str | None = None, scale: bool = True,
+        alpha: float = 1.0, C: float = 1.0, num=None, cat=None, drop_first: bool | None = None,
+        prepared: PipelineModel | None = None) -> PipelineModel:
+    """Fit preprocessing + estimator on the training rows only.  ``prepared``: the
+    result of ``prepare`` for these rows, to fit several estimators after it."""
+    prepared = prepared or prepare(train, feature_set, scale, num, cat, drop_first)
     est = estimator(name, label, trees, depth, weight_col=weight_col,
                     reg_param=_reg_param(train, name, label, weight_col, alpha, C))
-    return Pipeline(stages=preprocess(num, cat, scale, labels) + [est]).fit(train)
+    return PipelineModel([*prepared.stages, est.fit(prepared.transform(train))])
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -161,12 +169,16 @@ def holdout_metrics(df: DataFrame, feature_set: str, task: str, models, trees: i
     split = stratified_split(df, "label") if task == "clf" or stratified else random_split(df)
     if weighted and task == "clf":
         split = with_weights(split, "label")
-    split = split.cache()
+    num, cat = FEATURE_SETS[feature_set]
+    split = split.select(*dict.fromkeys([label, "split", *num, *cat, *(["weight"] if "weight" in split.columns else [])])).cache()
     train, test = split.filter("split = 'train'"), split.filter("split = 'test'")
-    out = None
+    prepared = prepare(train, feature_set)
+    out, held = None, []
     for m in models:
-        model = fit(train, feature_set, label, m, trees=trees, weight_col="weight" if weighted else None)
+        model = fit(train, feature_set, label, m, trees=trees, weight_col="weight" if weighted else None, prepared=prepared)
         s = score(model, test)
+        s = s.select(label, "prediction", *[c for c in ("score",) if c in s.columns]).persist()  # the metrics read it several times
+        held.append(s)
         if task == "reg":
             part = EV.regression_metrics(s, label, "prediction", m, long=True)
         else:
@@ -178,7 +190,8 @@ def holdout_metrics(df: DataFrame, feature_set: str, task: str, models, trees: i
         out = out.withColumn("version", F.lit(version_tag))
     # materialise the small metric table before dropping the cached split
     res = df.sparkSession.createDataFrame(out.collect(), out.schema)
-    split.unpersist()
+    for s in [split, *held]:
+        s.unpersist()
     return res
 
 
