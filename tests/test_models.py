@@ -137,3 +137,30 @@ def test_positive_scale(spark):
     assert (row["n_pos"], row["n_neg"], row["scale_pos"]) == (1, 2, 2.0)
     assert SP.positive_scale(spark.createDataFrame([(0,)], "label int")).first()["scale_pos"] is None
     assert SP.positive_scale(spark.createDataFrame([], "label int")).first()["scale_pos"] is None
+
+
+@pytest.mark.parametrize("with_categories", [False, True])
+def test_attributions_equal_a_walk_and_credit_each_leaf_once(with_categories):
+    rng = np.random.default_rng(5)
+    rows = []
+    for t in range(3):
+        for i in range(31):
+            leaf, cats = i >= 15, with_categories and i % 4 == 1
+            rows.append({"tree": t, "node": i, "left": -1 if leaf else 2 * i + 1, "right": -1 if leaf else 2 * i + 2, "feature": -1 if leaf else 3 if cats else int(rng.integers(0, 3)),
+                         "split": None if leaf or cats else float(rng.normal()), "categories": [0.0, 2.0] if cats and not leaf else None, "value": float(rng.normal()), "weight": 0.5})
+    x = np.hstack([rng.normal(size=(50, 3)), rng.integers(0, 4, (50, 1))])
+    x[7, :3] = np.nan
+    at = {(r["tree"], r["node"]): r for r in rows}
+    want, base = np.zeros((50, 4)), sum(0.5 * at[t, 0]["value"] for t in range(3))
+    for k, row in enumerate(x):
+        for t in range(3):
+            r = at[t, 0]
+            while r["left"] >= 0:
+                lower = row[r["feature"]] in r["categories"] if r["categories"] else row[r["feature"]] <= r["split"]
+                below = at[t, r["left"] if lower else r["right"]]
+                want[k, r["feature"]] += 0.5 * (below["value"] - r["value"])
+                r = below
+    trees, weights = XP._arrays(rows)
+    got = XP._attribute(x, trees, weights, 4)
+    assert got[0] == pytest.approx(base) and got[1] == pytest.approx(want, abs=1e-12)
+    assert all(len(XP._leaves(x, arr)) == 50 and (XP._leaves(x, arr) >= 15).all() for arr in trees)
