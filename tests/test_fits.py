@@ -137,3 +137,28 @@ def test_holdout_prepares_once_for_all_models(spark, monkeypatch):
     for m in ("linear", "ridge"):
         alone = {r["metric"]: r["value"] for r in FIT.holdout_metrics(df, "full_v1", "reg", [m]).collect()}
         assert all(both[m, k] == pytest.approx(v, abs=1e-12) for k, v in alone.items()) and len(alone) == 3
+
+
+@pytest.mark.parametrize("name", ["forest_clf"])
+def test_forests_keep_node_ids_and_grow_the_same_trees(spark, name):
+    df = model_frame(load_base(spark, SF), "demo").select("order_id", "nps_score", "label", *FIT.FEATURE_SETS["demo"][0]).persist()
+    rows = FIT.prepare(df, "demo", scale=False).transform(df)
+    est = FIT.estimator(name, "label" if name == "forest_clf" else "nps_score", trees=6, depth=14)
+    assert est.getCacheNodeIds()
+    # a megabyte holds few nodes, so a level takes several passes
+    grown = [[t.toDebugString.split("\n", 1)[1] for t in est.copy({est.cacheNodeIds: cached, est.maxMemoryInMB: 1}).fit(rows).trees] for cached in (True, False)]
+    assert grown[0] == grown[1] and len(grown[0]) == 6
+    df.unpersist()
+
+
+def test_risk_scores_are_written_once_and_free_of_the_model(spark, monkeypatch):
+    from voxpop.plans import q_model as Q
+    fitted, scored_by, fit, score = [], [], FIT.fit, FIT.score
+    monkeypatch.setattr(FIT, "fit", lambda *a, **kw: (fitted.append(fit(*a, **{**kw, "depth": 4}, trees=5)), fitted[-1])[1])
+    monkeypatch.setattr(FIT, "score", lambda *a: (scored_by.append(a), score(*a))[1])
+    rows = Q._risk_scored(spark, SF)
+    assert rows.inputFiles() and all("/voxpop_scored/" in f for f in rows.inputFiles())
+    got = {r["order_id"]: r["score"] for r in rows.collect()}
+    again = {r["order_id"]: r["score"] for r in score(fitted[0], model_frame(load_base(spark, SF), "demo")).collect()}
+    assert got == again and len(got) == load_base(spark, SF).count()
+    assert Q.ml_risk_queue(spark, SF).count() > 0 and len(scored_by) == 2
