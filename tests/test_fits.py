@@ -139,7 +139,7 @@ def test_holdout_prepares_once_for_all_models(spark, monkeypatch):
         assert all(both[m, k] == pytest.approx(v, abs=1e-12) for k, v in alone.items()) and len(alone) == 3
 
 
-@pytest.mark.parametrize("name", ["forest_clf"])
+@pytest.mark.parametrize("name", ["forest_clf", "forest_reg"])
 def test_forests_keep_node_ids_and_grow_the_same_trees(spark, name):
     df = model_frame(load_base(spark, SF), "demo").select("order_id", "nps_score", "label", *FIT.FEATURE_SETS["demo"][0]).persist()
     rows = FIT.prepare(df, "demo", scale=False).transform(df)
