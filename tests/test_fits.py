@@ -162,3 +162,17 @@ def test_risk_scores_are_written_once_and_free_of_the_model(spark, monkeypatch):
     again = {r["order_id"]: r["score"] for r in score(fitted[0], model_frame(load_base(spark, SF), "demo")).collect()}
     assert got == again and len(got) == load_base(spark, SF).count()
     assert Q.ml_risk_queue(spark, SF).count() > 0 and len(scored_by) == 2
+
+
+def test_rows_are_not_shuffled_from_level_to_level_of_the_node_table(spark):
+    x = np.random.default_rng(4).normal(size=(60, 2))
+    unknown = lambda data, schema: spark.createDataFrame(spark.sparkContext.parallelize(data), schema)  # noqa: E731  (for Spark as large as can be)
+    rows = unknown([(i, v.tolist()) for i, v in enumerate(x)], "order_id long, x array<double>")
+    nodes = unknown([r for t in range(3) for r in ((t, 0, 1, 2, 0, 0.1 * t, None, 0.0, 0.5), (t, 1, 3, 4, 1, 0.0, None, 0.0, 0.5),
+                                                   *[(t, n, -1, -1, -1, None, None, float(10 * t + n), 0.5) for n in (2, 3, 4)])],
+                    "tree int, node int, left int, right int, feature int, split double, categories array<double>, value double, weight double")
+    out = TR.derived(nodes, rows, "order_id", "x", TR.node_depth(nodes))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1  # the sum over the trees
+    want = [sum(0.5 * (10 * t + (2 if v[0] > 0.1 * t else 3 if v[1] <= 0 else 4)) for t in range(3)) for v in x]
+    assert {r["order_id"]: r["output"] for r in out.collect()} == pytest.approx(dict(enumerate(want)))
