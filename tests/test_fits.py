@@ -176,3 +176,20 @@ def test_rows_are_not_shuffled_from_level_to_level_of_the_node_table(spark):
     assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1  # the sum over the trees
     want = [sum(0.5 * (10 * t + (2 if v[0] > 0.1 * t else 3 if v[1] <= 0 else 4)) for t in range(3)) for v in x]
     assert {r["order_id"]: r["output"] for r in out.collect()} == pytest.approx(dict(enumerate(want)))
+
+
+def test_csat_scenario_fits_both_regressors_at_once(spark, monkeypatch):
+    import threading
+
+    from voxpop.plans import q_model as Q
+    both, real = threading.Barrier(2, timeout=60), FIT.holdout_metrics
+
+    def metrics(*a, **kw):
+        both.wait()  # the second fit begins before the first ends
+        return real(*a, **{**kw, "trees": 3})
+
+    monkeypatch.setattr(FIT, "holdout_metrics", metrics)
+    got = {r["metric"]: (r["sem_csat"], r["com_csat"]) for r in Q.ml_csat_scenario(spark, SF).collect()}
+    for i, s in enumerate(("ops", "ops_csat")):
+        alone = {r["metric"]: r["value"] for r in real(Q.frame(spark, SF, s), s, "reg", ["gbt_reg"], trees=3).collect()}
+        assert set(alone) == set(got) and all(got[m][i] == pytest.approx(v, abs=1e-9) for m, v in alone.items())
