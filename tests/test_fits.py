@@ -151,6 +151,20 @@ def test_forests_keep_node_ids_and_grow_the_same_trees(spark, name):
     df.unpersist()
 
 
+@pytest.mark.parametrize("name", ["forest_clf", "forest_reg"])
+def test_node_ids_above_the_bound_are_not_kept(spark, monkeypatch, name):
+    df = model_frame(load_base(spark, SF), "demo").persist()
+    label, n = "label" if name == "forest_clf" else "nps_score", df.count()
+    grown = []
+    for most, kept in ((4 * 3 * n, True), (4 * 3 * n - 1, False)):
+        monkeypatch.setattr(FIT, "NODE_IDS_BYTES", most)
+        model = FIT.fit(df, "demo", label, name, trees=3, depth=6).stages[-1]
+        assert model.getCacheNodeIds() == kept
+        grown.append([t.toDebugString.split("\n", 1)[1] for t in model.trees])
+    assert grown[0] == grown[1] and len(grown[0]) == 3
+    df.unpersist()
+
+
 def test_risk_scores_are_written_once_and_free_of_the_model(spark, monkeypatch):
     from voxpop.plans import q_model as Q
     fitted, scored_by, fit, score = [], [], FIT.fit, FIT.score
