@@ -139,6 +139,26 @@ def test_holdout_prepares_once_for_all_models(spark, monkeypatch):
         assert all(both[m, k] == pytest.approx(v, abs=1e-12) for k, v in alone.items()) and len(alone) == 3
 
 
+@pytest.mark.parametrize("task, models", [("clf", ["logistic", "forest_clf"]), ("reg", ["linear", "forest_reg"])])
+def test_holdout_fits_its_models_at_once(spark, monkeypatch, task, models):
+    import threading
+
+    df, fit = model_frame(load_base(spark, SF), "full_v1"), FIT.fit
+    alone = [tuple(r) for m in models for r in FIT.holdout_metrics(df, "full_v1", task, [m], trees=3).collect()]
+    both = threading.Barrier(2, timeout=60)
+
+    def meet(*a, **kw):
+        both.wait()  # the second fit begins before the first ends
+        return fit(*a, **kw)
+
+    monkeypatch.setattr(FIT, "fit", meet)
+    rows = FIT.holdout_metrics(df, "full_v1", task, models, trees=3)
+    got = [tuple(r) for r in rows.collect()]
+    at = [rows.columns.index(c) for c in ("model", "metric", "value")]
+    named = lambda found: {(r[at[0]], r[at[1]]): r[at[2]] for r in found}
+    assert [r[at[0]] for r in got] == [r[at[0]] for r in alone] and named(got) == pytest.approx(named(alone), abs=1e-9)
+
+
 @pytest.mark.parametrize("name", ["forest_clf", "forest_reg"])
 def test_forests_keep_node_ids_and_grow_the_same_trees(spark, name):
     df = model_frame(load_base(spark, SF), "demo").select("order_id", "nps_score", "label", *FIT.FEATURE_SETS["demo"][0]).persist()
